@@ -1,3 +1,73 @@
-"""Registered queries."""
+"""Registered queries for the sources (SRC1-SRC4, SRC7, SRC8, SRC10)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rivulet.functions.codec import encode_utf8
+from rivulet.plans.registry import register
+from rivulet.plans.views_sql import with_views
+from rivulet.session import scratch_path
+from rivulet.sources import envelope as E
+from rivulet.sources import readers as S
+from rivulet.sources.tables import env_events, env_turns, table
+
+ENV = '"key", "value", "partition", "offset", "timestamp"'
+
+# Start positions of a consumer group per partition
+# (partition 2 at "latest", partition 3 unlisted = earliest).
+START_OFFSETS = {0: 1000, 1: 2000, 2: S.LATEST}
+SENTINEL_KEY = "error"
+
+
+@register("src_topic_stream", "SRC1", sql=with_views(f"SELECT {ENV} FROM env_events", "env_events"))
+def src_topic_stream(spark, d):
+    return env_events(spark, d)
+
+
+@register("src_record_fields", "SRC3", sql=with_views(
+    'SELECT "key", "value", "partition", "offset" FROM env_events', "env_events"))
+def src_record_fields(spark, d):
+    return E.record_fields(env_events(spark, d))
+
+
+@register("src_from_offset", "SRC2", sql=with_views(
+    f"SELECT {ENV} FROM env_events WHERE CASE \"partition\" WHEN 0 THEN \"offset\" >= 1000 "
+    "WHEN 1 THEN \"offset\" >= 2000 WHEN 2 THEN false ELSE true END", "env_events"))
+def src_from_offset(spark, d):
+    return S.from_offsets(env_events(spark, d), START_OFFSETS)
+
+
+@register("src_decode_utf8", "SRC4, SC11", sql=with_views(
+    'SELECT "partition", "offset", decode(encode("value")) AS "value", '
+    'decode(encode("value")) IS NOT NULL AS valid FROM env_turns', "env_turns"))
+def src_decode_utf8(spark, d):
+    raw = env_turns(spark, d).select("partition", "offset", encode_utf8("value").alias("value"))
+    return S.decode_values(raw).select("partition", "offset", "value", "valid")
+
+
+@register("src_take_until", "SRC7", sql=with_views(
+    f"SELECT {ENV} FROM (SELECT *, sum(CASE WHEN \"key\" = '{SENTINEL_KEY}' THEN 1 ELSE 0 END) "
+    "OVER (PARTITION BY \"partition\" ORDER BY \"offset\" ROWS UNBOUNDED PRECEDING) AS seen "
+    "FROM env_events) WHERE seen = 0", "env_events"))
+def src_take_until(spark, d):
+    return S.take_until(env_events(spark, d), F.col("key") == F.lit(SENTINEL_KEY))
+
+
+@register("src_text_lines", "SRC8, SRC9, REC12", sql=(
+    "SELECT '1' AS \"key\", unnest(string_split(text, chr(10))) AS \"value\" FROM documents"))
+def src_text_lines(spark, d):
+    # The documents, written once as a text file (one record per line), then
+    # read back by the line source as the line producer would send them.
+    path = scratch_path(spark, "text-lines")
+    table(spark, d, "documents").select("text").write.mode("overwrite").text(path)
+    return E.read_lines(spark, path, key="1")
+
+
+@register("src_json_envelope", "SRC10", sql=with_views(
+    "SELECT \"partition\", \"offset\", CAST(json_object('schema', json_object('type', 'string', "
+    "'optional', false), 'payload', \"value\") AS VARCHAR) AS json, \"value\" AS payload "
+    "FROM env_events", "env_events"))
+def src_json_envelope(spark, d):
+    wrapped = S.wrap_json(env_events(spark, d))
+    return S.unwrap_json(wrapped).select("partition", "offset", "json", "payload")
