@@ -42,4 +42,9 @@ VIEWS = {
 
 def with_views(body: str, *names: str, extra: dict | None = None) -> str:
     ctes = [VIEWS[n] for n in names] + [f"{k} AS ({v})" for k, v in (extra or {}).items()]
-    return ("WITH " + ",\n".join(ctes) + "\n" + body) if ctes else body
+    if not ctes:
+        return body
+    if body.lstrip().upper().startswith("WITH "):
+        # merge with the body's own CTE list
+        return "WITH " + ",\n".join(ctes) + ",\n" + body.lstrip()[5:]
+    return "WITH " + ",\n".join(ctes) + "\n" + body
