@@ -1,0 +1,59 @@
+"""Golden rows for sources and topic maintenance."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from rivulet.operators import topics as O
+from rivulet.sources import readers as S
+from tests.conftest import envelope
+
+
+def test_offset_gaps_golden(spark):
+    df = envelope(spark, [("k", "v", 0, o) for o in [0, 1, 1, 4]])
+    got = sorted((r.kind, r.prev_offset, r.offset) for r in O.offset_gaps(df, width=2).collect())
+    assert got == [("duplicate", 1, 1), ("gap", 1, 4)]
+
+
+def test_take_until_per_partition(spark):
+    rows = [("k", "1", 0, 0), ("k", "2", 0, 1), ("k", "exit", 0, 2), ("k", "3", 0, 3), ("k", "4", 1, 0)]
+    out = S.take_until(envelope(spark, rows), S.value_equals("exit"))
+    assert sorted(r.value for r in out.collect()) == ["1", "2", "4"]
+
+
+def test_from_offsets(spark):
+    rows = [("k", str(i), p, i) for p in range(3) for i in range(5)]
+    out = S.from_offsets(envelope(spark, rows), {0: 3, 1: S.LATEST})
+    assert sorted((r.partition, r.offset) for r in out.collect()) == \
+        [(0, 3), (0, 4)] + [(2, i) for i in range(5)]
+
+
+def test_decode_values_rejects(spark):
+    df = spark.createDataFrame([(bytearray(b"A"),), (bytearray(b"\xffA"),), (None,)], "value binary")
+    got = [(r.value, r.valid) for r in S.decode_values(df).collect()]
+    assert got == [("A", True), (None, False), (None, True)]
+
+
+def test_compact_summary_lag_reconcile(spark):
+    rows = [("a", "1", 0, 0), ("b", "2", 0, 1), ("a", "3", 0, 2), ("a", "9", 1, 0)]
+    df = envelope(spark, rows)
+    comp = sorted((r.partition, r.key, r.value) for r in O.compact(df).collect())
+    assert comp == [(0, "a", "3"), (0, "b", "2"), (1, "a", "9")]
+    summ = {r.partition: (r.first_offset, r.last_offset, r.records) for r in O.topic_summary(df).collect()}
+    assert summ == {0: (0, 2, 3), 1: (0, 0, 1)}
+    committed = spark.createDataFrame([(0, 1)], "partition int, committed bigint")
+    lag = {r.partition: (r.end_offset, r.committed, r.lag) for r in O.lag(df, committed).collect()}
+    assert lag == {0: (3, 1, 2), 1: (1, None, 1)}
+    right = df.where(F.col("offset") != 1).withColumn(
+        "value", F.when(F.col("offset") == 2, "X").otherwise(F.col("value")))
+    rec = sorted((r.partition, r.offset, r.status) for r in O.reconcile(df, right).collect())
+    assert rec == [(0, 1, "missing_right"), (0, 2, "differs")]
+
+
+def test_retention_keeps_last_week(spark):
+    t = dt.datetime(2024, 1, 30)
+    rows = [("k", "v", 0, i, t - dt.timedelta(hours=h)) for i, h in enumerate([0, 100, 168, 169])]
+    kept = sorted(r.offset for r in O.retention(envelope(spark, rows)).collect())
+    assert kept == [0, 1, 2]
+    low = spark.createDataFrame([(0, 2)], "partition int, committed bigint")
+    assert sorted(r.offset for r in O.delete_before(envelope(spark, rows), low).collect()) == [2, 3]
