@@ -60,29 +60,71 @@ def auto_time_seconds(df: DataFrame, col: str, target_rows: int = 1_000_000,
     return max(min_seconds, -(-span // buckets))
 
 
+def auto_number_width(df: DataFrame, col: str, target_rows: int = 1_000_000) -> int:
+    """Numeric twin of :func:`auto_time_seconds` (offsets, ids)."""
+    r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    if r is None or r["n"] == 0 or r["lo"] is None:
+        return 1 << 20
+    buckets = max(1, r["n"] // max(1, target_rows))
+    return max(1, -(-(int(r["hi"]) - int(r["lo"]) + 1) // buckets))
+
+
+# Session settings: the bucket width of time orders (seconds) and of
+# numeric orders (offsets, ids), or ``auto`` to derive it from the data with
+# one narrow aggregate job so that a bucket holds about ``bucketRows`` rows.
+# The defaults are fine enough that a key holding a third of 100 TB a year
+# still gives window tasks of a few hundred MB, and coarse enough that the
+# per-bucket table stays far smaller than the data.
+CONF_SECONDS = "rivulet.order.bucketSeconds"
+CONF_WIDTH = "rivulet.order.bucketWidth"
+CONF_ROWS = "rivulet.order.bucketRows"
+DEFAULT_SECONDS = 600
+DEFAULT_WIDTH = 1 << 16
+DEFAULT_BUCKET_ROWS = 2_000_000
+
+
 @dataclass(frozen=True)
 class Order:
     """How a stream is ordered and bucketed.
 
     ``by``: order columns (ties must be broken, e.g. ``ts, partition, offset``);
-    ``bucket``: a non-decreasing function of that order.
+    ``bucket``: a non-decreasing function of that order, or ``None`` to size
+    the buckets at run time: from the session setting
+    ``rivulet.order.bucketSeconds`` / ``bucketWidth`` (defaults below), or from
+    the data so that a bucket holds about ``rivulet.order.bucketRows`` rows
+    when that setting is ``auto``.
     """
     by: tuple
-    bucket: Column
+    bucket: Column | None = None
+    kind: str = "time"
 
     @staticmethod
-    def by_time(ts: str, *tie_breakers: str, seconds: int = 86_400) -> "Order":
-        return Order(tuple([ts, *tie_breakers]), time_bucket(ts, seconds))
+    def by_time(ts: str, *tie_breakers: str, seconds: int | None = None) -> "Order":
+        b = time_bucket(ts, seconds) if seconds else None
+        return Order(tuple([ts, *tie_breakers]), b, "time")
 
     @staticmethod
-    def by_number(col: str, *tie_breakers: str, width: int = 1 << 20) -> "Order":
-        return Order(tuple([col, *tie_breakers]), number_bucket(col, width))
+    def by_number(col: str, *tie_breakers: str, width: int | None = None) -> "Order":
+        b = number_bucket(col, width) if width else None
+        return Order(tuple([col, *tie_breakers]), b, "number")
+
+    def bucket_for(self, df: DataFrame) -> Column:
+        if self.bucket is not None:
+            return self.bucket
+        conf = df.sparkSession.conf
+        first = self.by[0]
+        rows = int(conf.get(CONF_ROWS, None) or DEFAULT_BUCKET_ROWS)
+        if self.kind == "time":
+            w = conf.get(CONF_SECONDS, None) or DEFAULT_SECONDS
+            return time_bucket(first, auto_time_seconds(df, first, rows) if w == "auto" else int(w))
+        w = conf.get(CONF_WIDTH, None) or DEFAULT_WIDTH
+        return number_bucket(first, auto_number_width(df, first, rows) if w == "auto" else int(w))
 
 
 def _keyed(df: DataFrame, partition_by, order: Order) -> DataFrame:
     keys = [as_col(c) for c in partition_by]
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("k"))
-    return df.withColumn(_K, key).withColumn(_B, order.bucket)
+    return df.withColumn(_K, key).withColumn(_B, order.bucket_for(df))
 
 
 # ------------------------------------------------------------ prefix sums
@@ -118,7 +160,7 @@ def sequence_number(df: DataFrame, order: Order, partition_by=(), out: str = "se
 
 # ------------------------------------------------------------------- lag
 
-def previous_in_order(df: DataFrame, col: str, partition_by=(), width: int = 1 << 20,
+def previous_in_order(df: DataFrame, col: str, partition_by=(), width: int | None = None,
                       out: str = "previous") -> DataFrame:
     """``lag(col) OVER (PARTITION BY keys ORDER BY col)`` for a numeric column.
 
@@ -126,8 +168,7 @@ def previous_in_order(df: DataFrame, col: str, partition_by=(), width: int = 1 <
     largest value of the nearest earlier non-empty bucket.  Equal values
     (duplicates) see each other, as ``lag`` does.
     """
-    order = Order.by_number(col, width=width)
-    d = _keyed(df, partition_by, order)
+    d = _keyed(df, partition_by, Order.by_number(col, width=width))
     w_in = Window.partitionBy(_K, _B).orderBy(col)
     local = d.withColumn("__lag", F.lag(col).over(w_in))
     tops = d.groupBy(_K, _B).agg(F.max(col).alias("__top"))

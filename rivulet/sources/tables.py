@@ -14,16 +14,32 @@ from pyspark.sql import functions as F
 
 from rivulet.operators.ordered import Order, sequence_number
 
-# Fixed values from the test-table adaptation: four partitions, sentinels.
+# Fixed value from the test-table adaptation: four topic partitions.
 PARTITIONS = 4
-TIME_BUCKET_SECONDS = 6 * 3600
-ID_BUCKET_WIDTH = 1 << 16
+# Bucket widths of the arrival-order operators: None = the session setting
+# (``rivulet.order.bucketSeconds`` / ``bucketWidth``) or, without one,
+# sized from the data (see :class:`rivulet.operators.ordered.Order`).
+TIME_BUCKET_SECONDS = None
+ID_BUCKET_WIDTH = None
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a source that yields fewer splits than the cluster has cores
+    (e.g. one large row group) before CPU-heavy per-row text work.
+
+    A no-op for a big input, whose scan already has at least as many
+    splits as cores; otherwise one round-robin exchange of the pruned rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * 2)
+
+
 def _number(df: DataFrame, order: Order) -> DataFrame:
     numbered = sequence_number(df, order, partition_by=["partition"], out="__seq")
     return numbered.withColumn("offset", (F.col("__seq") - 1).cast("bigint")).drop("__seq")
@@ -56,7 +72,7 @@ def env_docs(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFram
     if offsets:
         df = _number(df, Order.by_number("doc_id", width=ID_BUCKET_WIDTH))
         return df.select("key", "value", "partition", "offset", "timestamp")
-    return df.select("key", "value", "partition", "timestamp")
+    return spread(df.select("key", "value", "partition", "timestamp"))
 
 
 def env_turns(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFrame:
@@ -69,7 +85,7 @@ def env_turns(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFra
     if offsets:
         df = _number(df, Order.by_number("conv_id", "turn", width=ID_BUCKET_WIDTH))
         return df.select("key", "value", "partition", "offset", "timestamp")
-    return df.select("key", "value", "partition", "timestamp")
+    return spread(df.select("key", "value", "partition", "timestamp"))
 
 
 def live_input(spark: SparkSession, sf_dir: str) -> DataFrame:
