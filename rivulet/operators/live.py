@@ -150,7 +150,9 @@ def category_domain(values: DataFrame, domain: Sequence[str], category: str = "c
     values), and only those at most ``len(domain)`` rows meet the domain.
     """
     spark = values.sparkSession
-    dom = spark.createDataFrame([(i, c) for i, c in enumerate(domain)], f"{ord_col} bigint, __cat string")
+    entries = [F.struct(F.lit(i).cast("bigint").alias(ord_col), F.lit(c).alias("__cat"))
+               for i, c in enumerate(domain)]
+    dom = spark.range(1).select(F.inline(F.array(*entries)))
     shown = values.where(F.col(category).isin(list(domain)))
     joined = F.broadcast(dom).join(F.broadcast(shown), F.col("__cat") == F.col(category), "left")
     return joined.select(F.col(ord_col), F.col("__cat").alias(category),
