@@ -138,6 +138,13 @@ def constant_key(df: DataFrame, key: str = "1") -> DataFrame:
     return df.withColumn("key", F.lit(key))
 
 
+def repartition_by_key(df: DataFrame, partitions: int | None = None, key: str = "key") -> DataFrame:
+    """AGG7: explicit hash repartition on the (new) key, as a repartition
+    topic does.  ``groupBy`` inserts the same exchange by itself; use this
+    only to co-locate several later operators on one key."""
+    return df.repartition(partitions, key) if partitions else df.repartition(key)
+
+
 # REC11 / SNK4 --------------------------------------------------------------
 
 def format_line(df: DataFrame, fmt: str = "%s===>%s", cols=("key", "value"), out: str = "line") -> DataFrame:

@@ -101,3 +101,29 @@ def changelog(df: DataFrame, order_cols: Sequence[str], out: str = "count") -> D
     """AGG4 streaming, per record: the count of its key after it."""
     present = df.where(F.col("key").isNotNull() & F.col("value").isNotNull())
     return running_count_and_total(present, ["key"], order_cols, seq=out)
+
+
+def offset_gaps(df: DataFrame, key: str = "partition", col: str = "offset") -> DataFrame:
+    """OPS9 streaming: duplicates and gaps per partition, the state being the
+    last offset seen.  Assumes offsets arrive in order per partition (as a
+    consumer reads them); output ``(partition, kind, prev_offset, offset)``."""
+    out_schema = T.StructType([T.StructField(key, df.schema[key].dataType),
+                               T.StructField("kind", T.StringType()),
+                               T.StructField("prev_offset", T.LongType()),
+                               T.StructField(col, T.LongType())])
+
+    def step(k, pdfs, state):
+        pdf = _concat(pdfs)
+        if pdf.empty:
+            return
+        offs = pdf[col].sort_values(kind="mergesort").astype("int64").tolist()
+        prev = [state.get[0] if state.exists else None] + offs[:-1]
+        rows = [(k[0], "duplicate" if o == p else "gap", p, o)
+                for p, o in zip(prev, offs) if p is not None and (o == p or o - p > 1)]
+        state.update((offs[-1],))
+        if rows:
+            yield pd.DataFrame(rows, columns=[key, "kind", "prev_offset", col])
+
+    return df.groupBy(key).applyInPandasWithState(
+        step, out_schema, T.StructType([T.StructField("last", T.LongType())]), "append",
+        GroupStateTimeout.NoTimeout)

@@ -160,3 +160,46 @@ def test_topic_sink_and_long_values(spark, topic_parts):
     back = spark.read.parquet(out)
     assert set(back.columns) == {"key", "value", "partition", "offset", "timestamp"}
     assert back.count() == counts.count()
+
+
+def test_offset_gaps_stream_parity(spark, topic_parts):
+    from rivulet.operators.topics import offset_gaps
+    d = tempfile.mkdtemp(prefix="rv-topic-")
+    thinned = [p[p["key"] != "error"] for p in topic_parts]
+    _write_parts(thinned, d)
+    got = RN.run_to_table(K.offset_gaps(_stream(spark, d)))
+    exp = offset_gaps(_batch(spark, thinned))
+    assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_named_state_is_readable_after_stop(spark, topic_parts):
+    d = tempfile.mkdtemp(prefix="rv-topic-")
+    ckpt = tempfile.mkdtemp(prefix="rv-ckpt-")
+    _write_parts(topic_parts, d)
+    q = RN.start(T.count_by_key(_stream(spark, d)), output_mode="update", checkpoint=ckpt,
+                 sink="noop")
+    RN.drain(q)
+    state = spark.read.format("statestore").load(ckpt)
+    got = sorted((r.key.key, r.value["count"]) for r in state.collect())
+    exp = sorted(tuple(r) for r in T.count_by_key(_batch(spark, topic_parts)).collect())
+    assert got == exp
+
+
+def test_cadence_trigger_stamp_and_json_panel(spark, topic_parts):
+    d = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts, d)
+    out = tempfile.mkdtemp(prefix="rv-panel-") + "/panel"
+    stamped = RN.stamp_arrival(_stream(spark, d))
+
+    def build(batch):
+        return L.category_domain(L.category_total(
+            batch.select(F.col("key").alias("category"), F.length("value").cast("bigint").alias("value"))),
+            ["click", "view", "refund"])
+
+    q = RN.start(stamped, trigger="200 milliseconds", foreach_batch=SN.json_snapshot(out, build))
+    q.processAllAvailable()
+    q.stop()
+    panel = spark.read.json(out)
+    assert sorted(r.category for r in panel.collect()) == ["click", "refund", "view"]
+    assert RN.trigger_args("1 second") == {"processingTime": "1 second"}
+    assert "time" in stamped.columns
