@@ -83,3 +83,58 @@ def json_snapshot(path: str, build: Callable[[DataFrame], DataFrame]) -> Callabl
     def run(batch: DataFrame, batch_id: int) -> None:
         build(batch).coalesce(1).write.mode("overwrite").json(path)
     return run
+
+
+def running_totals(out_path: str, carry_path: str, inc: str | None, order, series=None, seed=0,
+                   seq: str = "seq", total: str = "total", keep_versions: int = 2) -> Callable[[DataFrame, int], None]:
+    """Streaming sequence numbers and running totals (LIVE1, LIVE6), ungrouped
+    or per series, without putting a key - or the whole stream - in one task.
+
+    Each micro-batch is numbered and summed with the bucketed batch
+    operators; a carry table (one row per series: count and total so far,
+    versioned by batch id) supplies the offset from earlier batches and is
+    joined on the series key (a constant for the ungrouped form).  Output
+    rows go to ``out_path/batch=<id>``, overwritten on retry.
+    """
+    from pyspark.sql import functions as F
+
+    from rivulet.operators.ordered import running_sum, sequence_number
+
+    keys = [] if series is None else ([series] if isinstance(series, str) else list(series))
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumn("__ck", F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0)))
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        prev = read_latest(spark, carry_path, before=batch_id)
+        cur = sequence_number(batch, order, keys, out="__s")
+        if inc:
+            cur = running_sum(cur, F.col(inc), order, keys, out="__r")
+        cur = keyed(cur)
+        if prev is not None:
+            p = prev.select(F.col("__ck").alias("__pk"), "__n", "__t")
+            cur = cur.join(p, F.col("__ck") == F.col("__pk"), "left").drop("__pk")
+        else:
+            cur = cur.withColumn("__n", F.lit(None).cast("bigint")).withColumn("__t", F.lit(None))
+        cur = cur.withColumn(seq, F.col("__s") + F.coalesce("__n", F.lit(0)))
+        if inc:
+            cur = cur.withColumn(total, F.coalesce("__t", F.lit(seed)) + F.coalesce("__r", F.lit(0)))
+        else:
+            cur = cur.withColumn(total, F.lit(None))
+        cur = cur.persist()
+        try:
+            cur.drop("__s", "__r", "__n", "__t", "__ck", *([] if inc else [total])) \
+               .write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+            newest = F.max(F.struct(F.col(seq).alias("n"), F.col(total).alias("t")))
+            carry = cur.groupBy("__ck").agg(newest.alias("__c")).select(
+                "__ck", F.col("__c.n").alias("__n"), F.col("__c.t").alias("__t"))
+            if prev is not None:
+                carry = carry.unionByName(prev.join(carry.select("__ck"), "__ck", "left_anti"),
+                                          allowMissingColumns=True)
+            carry.write.mode("overwrite").parquet(f"{carry_path}/v={batch_id}")
+        finally:
+            cur.unpersist()
+        _prune(spark, carry_path, keep_versions)
+
+    return run

@@ -203,3 +203,19 @@ def test_cadence_trigger_stamp_and_json_panel(spark, topic_parts):
     assert sorted(r.category for r in panel.collect()) == ["click", "refund", "view"]
     assert RN.trigger_args("1 second") == {"processingTime": "1 second"}
     assert "time" in stamped.columns
+
+
+@pytest.mark.parametrize("series", [None, "key"])
+def test_distributed_running_totals_parity(spark, topic_parts, series):
+    d = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts, d)
+    base = tempfile.mkdtemp(prefix="rv-run-")
+    s = _stream(spark, d).withColumn("inc", F.length("value").cast("bigint"))
+    q = RN.start(s, foreach_batch=SN.running_totals(f"{base}/out", f"{base}/carry", "inc", _order(),
+                                                   series=series, seed=5))
+    RN.drain(q)
+    got = spark.read.parquet(f"{base}/out").select("partition", "offset", "seq", "total")
+    b = _batch(spark, topic_parts).withColumn("inc", F.length("value").cast("bigint"))
+    exp = L.running_total(L.sequence(b, _order(), series), "inc", _order(), series, seed=5)
+    cols = ["partition", "offset", "seq", "total"]
+    assert sorted(got.collect()) == sorted(exp.select(*cols).collect())
