@@ -69,10 +69,13 @@ def live_last_n(spark, d):
         "event_id", F.col("seq").alias("x"), "y")
 
 
-@register("live_last_n_by_series", "LIVE4", sql=with_views(
+LAST_N_BY_SERIES_SQL = with_views(
     f"SELECT series, event_id, x, y FROM (SELECT series, event_id, seq AS x, y, row_number() OVER "
     "(PARTITION BY series ORDER BY ts DESC, event_id DESC) AS r "
-    f"FROM ({PARSED_SQL}) WHERE y IS NOT NULL) WHERE r <= {LAST_N}", "live_input"))
+    f"FROM ({PARSED_SQL}) WHERE y IS NOT NULL) WHERE r <= {LAST_N}", "live_input")
+
+
+@register("live_last_n_by_series", "LIVE4", sql=LAST_N_BY_SERIES_SQL)
 def live_last_n_by_series(spark, d):
     points = L.accepted(_parsed(spark, d))
     return L.last_n(points, LAST_N, ["ts", "event_id"], "series").select(

@@ -38,7 +38,7 @@ def register(name: str, operator: str, sql: str | None = None):
 def _load() -> None:
     # importing the modules fills the registry
     from rivulet.plans import (live_queries, record_queries, source_queries,  # noqa: F401
-                               table_queries, topic_queries)
+                               stream_queries, table_queries, topic_queries)
 
 
 def all_queries() -> dict[str, Query]:

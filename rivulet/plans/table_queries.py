@@ -27,9 +27,12 @@ WORDS_SQL = """SELECT "key", w AS "value" FROM (
 WHERE w <> '' OR (i = 1 AND (v = '' OR regexp_matches(v, '\\w')))"""
 
 
-@register("agg_word_count", "AGG3, REC6, AGG7", sql=with_views(
+WORD_COUNT_SQL = with_views(
     "SELECT \"value\" AS word, CAST(count(*) AS BIGINT) AS count FROM ("
-    + WORDS_SQL.format(src="env_docs") + ") GROUP BY \"value\"", "env_docs"))
+    + WORDS_SQL.format(src="env_docs") + ") GROUP BY \"value\"", "env_docs")
+
+
+@register("agg_word_count", "AGG3, REC6, AGG7", sql=WORD_COUNT_SQL)
 def agg_word_count(spark, d):
     return T.word_count(env_docs(spark, d, offsets=False))
 

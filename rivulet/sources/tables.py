@@ -27,6 +27,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1) -> DataFrame:
+    """A test table as a file stream (the file source needs a directory, so
+    the table's file is selected with a glob filter)."""
+    schema = table(spark, sf_dir, name).schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+            .option("maxFilesPerTrigger", files_per_trigger).parquet(sf_dir.rstrip("/")))
+
+
+def events_topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a streaming topic: the envelope without offsets (a stream
+    cannot number rows with a window), ordered by ``(timestamp, event_id)``."""
+    ev = stream_table(spark, sf_dir, "events")
+    return ev.select(
+        F.col("event_type").alias("key"),
+        F.format_string("%d\t%s %s", "user_id", "event_type", "props").alias("value"),
+        (F.col("user_id") % PARTITIONS).cast("int").alias("partition"),
+        F.col("ts").alias("timestamp"), "event_id")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a source that yields fewer splits than the cluster has cores
     (e.g. one large row group) before CPU-heavy per-row text work.

@@ -99,3 +99,29 @@ def replay(spark: SparkSession, source: str, *, fmt: str = "parquet", options: d
     (or, for a streaming app, a start on a fresh checkpoint)."""
     from rivulet.sources.envelope import read_topic
     return read_topic(spark, source, fmt=fmt, stream=False, starting="earliest", options=options)
+
+
+def run_to_files(df: DataFrame, *, output_mode: str = "append", path: str | None = None,
+                 checkpoint: str | None = None) -> DataFrame:
+    """Drain a streaming DataFrame (available-now) into files under the shared
+    checkpoint folder and return them as a batch DataFrame.
+
+    ``append``: the file sink (exactly-once through its metadata log).
+    ``complete``: each micro-batch overwrites version ``v=<batch_id>`` and the
+    newest version is read.  Nothing is collected on the driver, unlike the
+    memory sink.
+    """
+    from rivulet.streaming.snapshot import maintain, read_latest
+    spark = df.sparkSession
+    path = path or scratch_path(spark, "stream-out")
+    if output_mode == "append":
+        drain(start(df, sink="parquet", path=path, checkpoint=checkpoint))
+        return spark.read.parquet(path)
+    if output_mode != "complete":
+        raise ValueError("use complete mode, or foreachBatch with an upsert, for keyed tables")
+    drain(start(df, output_mode="complete", checkpoint=checkpoint,
+                foreach_batch=maintain(path, lambda prev, batch: batch)))
+    latest = read_latest(spark, path)
+    if latest is None:
+        raise RuntimeError("the stream produced no micro-batch")
+    return latest
