@@ -89,7 +89,8 @@ def reconcile(left: DataFrame, right: DataFrame, only_differences: bool = True)
 
 def throughput(df: DataFrame, bucket: str = "hour", exact: bool = True,
                accuracy: int = 10_000) -> DataFrame:
-    """OPS8: records, bytes and size percentiles per ``date_trunc`` bucket.
+    """OPS8: records, bytes, average size, size percentiles and record rate
+    per ``date_trunc`` bucket.
 
     ``exact`` uses ``percentile`` (a frequency map of distinct sizes per
     group, partially aggregated); ``exact=False`` uses the bounded-memory
@@ -101,8 +102,13 @@ def throughput(df: DataFrame, bucket: str = "hour", exact: bool = True,
     out = df.groupBy(F.date_trunc(bucket, "timestamp").alias("bucket")).agg(
         F.count(F.lit(1)).cast("bigint").alias("records"),
         F.sum(size).cast("bigint").alias("bytes"),
+        F.avg(size).alias("avg_bytes"),
         pct(0.5).alias("p50_bytes"), pct(0.95).alias("p95_bytes"))
-    return out
+    return out.withColumn("records_per_sec", F.col("records") / F.lit(float(BUCKET_SECONDS[bucket])))
+
+
+# Length of each date_trunc unit used as a throughput bucket.
+BUCKET_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
 def offset_gaps(df: DataFrame, width: int = 1 << 20) -> DataFrame:

@@ -132,3 +132,35 @@ def stream_category_total(spark, d):
     g = stream_table(spark, d, "events").select(F.col("event_type").alias("category"),
                                                 F.floor("value").cast("bigint").alias("value"))
     return RN.run_to_files(L.category_total(g, start=LQ.GAUGE_START), output_mode="complete")
+
+
+def dashboard_specs():
+    from rivulet.operators import records as R
+    from rivulet.streaming.dashboard import PanelSpec
+
+    def gauge(b):
+        return b.select(F.col("event_type").alias("category"), "ts", "event_id",
+                        F.floor("value").cast("bigint").alias("value"))
+
+    def readings(b):
+        wide = b.select(F.col("ts").alias("time"), "event_id",
+                        (F.col("user_id") * F.lit(1.0)).cast("double").alias("cpu"),
+                        F.col("value").cast("double").alias("memory"),
+                        F.get_json_object("props", "$.k").cast("double").alias("disk"))
+        long = R.unpivot_readings(wide, ["time", "event_id"], LQ.FACTORS)
+        return long.select(F.col("factor").alias("category"), F.col("time").alias("ts"), "event_id",
+                           F.floor("x").cast("bigint").alias("value"))
+
+    return [PanelSpec("currency", "value1", "latest", gauge, LQ.CURRENCY_DOMAIN, LQ.GAUGE_START),
+            PanelSpec("stock", "value2", "total", gauge, LQ.STOCK_DOMAIN, LQ.GAUGE_START),
+            PanelSpec("resources", "value3", "latest", readings, tuple(LQ.FACTORS), LQ.GAUGE_START),
+            PanelSpec("calls", "value4", "history", gauge, n=LQ.LAYOUT_HISTORY_N)]
+
+
+@register("stream_dashboard", "LIVE12, SNK7 streaming (foreachBatch panels)",
+          sql=with_views(LQ.DASH_SQL, "gauge_input", "wide_input"))
+def stream_dashboard(spark, d):
+    from rivulet.streaming.dashboard import dashboard_sink, visible
+    path = scratch_path(spark, "dashboard")
+    RN.drain(RN.start(stream_table(spark, d, "events"), foreach_batch=dashboard_sink(path, dashboard_specs())))
+    return visible(SN.read_latest(spark, path))

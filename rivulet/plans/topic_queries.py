@@ -92,12 +92,16 @@ def ops_reconcile(spark, d):
 @register("ops_throughput", "OPS8", sql=with_views(
     "SELECT date_trunc('hour', \"timestamp\") AS bucket, CAST(count(*) AS BIGINT) AS records, "
     "CAST(sum(octet_length(encode(\"value\"))) AS BIGINT) AS bytes, "
+    "round(avg(octet_length(encode(\"value\"))), 6) AS avg_bytes, "
     "round(quantile_cont(octet_length(encode(\"value\")), 0.5), 4) AS p50_bytes, "
-    "round(quantile_cont(octet_length(encode(\"value\")), 0.95), 4) AS p95_bytes "
+    "round(quantile_cont(octet_length(encode(\"value\")), 0.95), 4) AS p95_bytes, "
+    "round(count(*) / 3600.0, 6) AS records_per_sec "
     "FROM env_events GROUP BY 1", "env_events"))
 def ops_throughput(spark, d):
     out = O.throughput(env_events(spark, d, offsets=False))
-    return out.withColumns({"p50_bytes": F.round("p50_bytes", 4), "p95_bytes": F.round("p95_bytes", 4)})
+    return out.withColumns({"p50_bytes": F.round("p50_bytes", 4), "p95_bytes": F.round("p95_bytes", 4),
+                            "avg_bytes": F.round("avg_bytes", 6),
+                            "records_per_sec": F.round("records_per_sec", 6)})
 
 
 GAPS_INPUT_SQL = (f"SELECT \"partition\", \"offset\" FROM env_events WHERE \"key\" <> '{LOST_KEY}' "

@@ -219,3 +219,27 @@ def test_distributed_running_totals_parity(spark, topic_parts, series):
     exp = L.running_total(L.sequence(b, _order(), series), "inc", _order(), series, seed=5)
     cols = ["partition", "offset", "seq", "total"]
     assert sorted(got.collect()) == sorted(exp.select(*cols).collect())
+
+
+def test_dashboard_stream_equals_batch_over_four_batches(spark):
+    from rivulet.plans import live_queries as LQ
+    from rivulet.plans.stream_queries import dashboard_specs
+    from rivulet.streaming.dashboard import dashboard_sink, visible
+    ev = pq.read_table(f"{SF_SMALL}/events.parquet").sort_by([("ts", "ascending"), ("event_id", "ascending")])
+    q = ev.num_rows // 4
+    d = tempfile.mkdtemp(prefix="rv-events-")
+    now = time.time()
+    for i in range(4):
+        part = ev.slice(i * q, q if i < 3 else ev.num_rows - 3 * q)
+        path = f"{d}/part-{i}.parquet"
+        pq.write_table(part, path)
+        os.utime(path, (now - 100 + i, now - 100 + i))
+    schema = spark.read.parquet(f"{SF_SMALL}/events.parquet").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d)
+    out = tempfile.mkdtemp(prefix="rv-dash-") + "/table"
+    page = tempfile.mkdtemp(prefix="rv-page-") + "/panel.json"
+    RN.drain(RN.start(stream, foreach_batch=dashboard_sink(out, dashboard_specs(), json_path=page)))
+    got = sorted(visible(SN.read_latest(spark, out)).collect(), key=str)
+    exp = sorted(LQ.live_dashboard(spark, SF_SMALL).collect(), key=str)
+    assert got == exp
+    assert spark.read.json(page).count() == len(exp)
