@@ -73,6 +73,18 @@ def first_field(col, sep: str) -> Column:
     return F.substring_index(as_col(col), sep, 1)
 
 
+# Fixed value: code points outside the Basic Multilingual Plane, which Java
+# strings store as two UTF-16 units.
+SUPPLEMENTARY = r"[^\x{10000}-\x{10FFFF}]"
+
+
+def java_length(col) -> Column:
+    """``String.length()``: UTF-16 units, i.e. code points plus one for each
+    code point outside the BMP (Spark's ``length`` counts code points)."""
+    v = as_col(col)
+    return F.length(v) + F.length(F.regexp_replace(v, SUPPLEMENTARY, ""))
+
+
 def java_format(fmt: str, *cols) -> Column:
     """``printf``/string concatenation: nulls render as ``null``."""
     return F.format_string(fmt, *[as_col(c) for c in cols])

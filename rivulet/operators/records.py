@@ -15,7 +15,7 @@ from typing import Callable, Sequence, Union
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.text import explode_run_split, first_field, java_format
+from rivulet.functions.text import explode_run_split, first_field, java_format, java_length
 
 Pred = Union[Column, Callable[[Column, Column], Column]]
 
@@ -111,8 +111,9 @@ def map_records(df: DataFrame, fn: Callable[[Column, Column], tuple[Column, Colu
 
 
 def lower_and_length(k: Column, v: Column):
-    """The reference mapper: ``pair(v.toLowerCase(), toString(v.length()))``."""
-    return F.lower(v), F.length(v).cast("string")
+    """The reference mapper: ``pair(v.toLowerCase(), toString(v.length()))``
+    (Java length: UTF-16 units)."""
+    return F.lower(v), java_length(v).cast("string")
 
 
 def map_values(df: DataFrame, fn: Callable[[Column], Column]) -> DataFrame:

@@ -85,7 +85,8 @@ def rec_flat_map_ws(spark, d):
 
 
 @register("rec_map", "REC8, SC4, SC6, SC7", sql=with_views(
-    'SELECT lower("value") AS "key", CAST(length("value") AS VARCHAR) AS "value", '
+    'SELECT lower("value") AS "key", CAST(length("value") + length(regexp_replace("value", '
+    '\'[^\\x{10000}-\\x{10FFFF}]\', \'\', \'g\')) AS VARCHAR) AS "value", '
     '"partition", "offset", "timestamp" FROM env_events', "env_events"))
 def rec_map(spark, d):
     return R.map_records(env_events(spark, d), R.lower_and_length)

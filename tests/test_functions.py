@@ -79,3 +79,9 @@ def test_json_envelope_round_trip(spark):
     assert rows[0].j == '{"schema":{"type":"string","optional":false},"payload":"a \\"q\\"\\tb"}'
     assert rows[0].bare == '"a \\"q\\"\\tb"'
     assert all(r.p == r.v and r.p2 == r.v for r in rows)
+
+
+def test_java_length_counts_utf16_units(spark):
+    from rivulet.functions import java_length
+    df = spark.createDataFrame([("abc",), ("é",), ("a\U0001F600b",), ("",)], "v string")
+    assert [r.n for r in df.select(java_length("v").alias("n")).collect()] == [3, 1, 4, 0]
