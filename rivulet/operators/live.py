@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.functions.numbers import py_int
-from rivulet.operators.ordered import Order, running_sum, sequence_number, sliding_frame
+from rivulet.operators.ordered import Order, running_sum, running_sums, sequence_number, sliding_frame
 
 REJECT_REASON = "Wrong Input"
 
@@ -77,16 +77,31 @@ def last_n(df: DataFrame, n: int, order_cols: Sequence[str], series=None,
 # LIVE5 -----------------------------------------------------------------------
 
 def sliding(df: DataFrame, order: Order, size: int, y: str = "y", series=None,
-            bucket_rows: int = 1 << 16) -> DataFrame:
+            bucket_rows: int = 1 << 16, position: str | None = None) -> DataFrame:
     """What the buffer of the newest ``size`` points held after each point:
-    ``n``, ``lo``, ``hi``, ``total`` over ``ROWS size-1 PRECEDING``."""
+    ``n``, ``lo``, ``hi``, ``total`` over ``ROWS size-1 PRECEDING``.
+
+    ``position``: an existing dense 1-based position of the points per
+    series (e.g. from :func:`sequence_with_accepted`); computed if absent."""
     keys = _keys(series)
-    pos = sequence_number(df, order, keys, out="__pos")
+    pos = position or "__pos"
+    if position is None:
+        df = sequence_number(df, order, keys, out=pos)
     aggs = {"n": F.count(y), "lo": F.min(y), "hi": F.max(y), "total": F.sum(y)}
-    out = sliding_frame(pos, "__pos", size, aggs, keys, bucket_rows).drop("__pos")
+    out = sliding_frame(df, pos, size, aggs, keys, bucket_rows)
+    out = out.drop("__pos") if position is None else out
     return out.withColumn("n", F.col("n").cast("bigint"))
 
 
+def sequence_with_accepted(df: DataFrame, order: Order, series=None, y: str = "y",
+                           seq: str = "seq", accepted_pos: str = "apos") -> DataFrame:
+    """LIVE1 + LIVE2 in one bucketed pass: the message counter over all rows
+    and the dense position among accepted rows (NULL-free ``y``)."""
+    ones = {seq: F.lit(1).cast("bigint"),
+            accepted_pos: F.when(F.col(y).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("bigint")}
+    return running_sums(df, ones, order, _keys(series))
+
+
 # LIVE6-LIVE8 -----------------------------------------------------------------
 
 def running_total(df: DataFrame, inc: str, order: Order, series=None, seed=0,

@@ -129,28 +129,43 @@ def _keyed(df: DataFrame, partition_by, order: Order) -> DataFrame:
 
 # ------------------------------------------------------------ prefix sums
 
-def running_sum(df: DataFrame, value, order: Order, partition_by=(), out: str = "running",
-                seed=None) -> DataFrame:
-    """``[seed +] sum(value) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED
-    PRECEDING)`` computed in two passes, with SQL null semantics (NULL until
-    the first non-null value)."""
-    v = as_col(value)
-    d = _keyed(df, partition_by, order).withColumn("__v", v)
+def running_sums(df: DataFrame, values: dict, order: Order, partition_by=(), seeds: dict | None = None) -> DataFrame:
+    """Several prefix sums in one pass: for each ``out: value`` in ``values``,
+    ``[seed +] sum(value) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED
+    PRECEDING)``, with SQL null semantics (NULL until the first non-null
+    value).  One bucketed window, one per-bucket table and one join serve
+    all of them."""
+    seeds = seeds or {}
+    names = list(values)
+    d = _keyed(df, partition_by, order).withColumns(
+        {f"__v{i}": as_col(values[n]) for i, n in enumerate(names)})
     w_in = Window.partitionBy(_K, _B).orderBy(*order.by).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    local = d.withColumn("__local", F.sum("__v").over(w_in))
+    local = d.withColumns({f"__l{i}": F.sum(f"__v{i}").over(w_in) for i in range(len(names))})
 
-    totals = d.groupBy(_K, _B).agg(F.sum("__v").alias("__bt"))
+    totals = d.groupBy(_K, _B).agg(*[F.sum(f"__v{i}").alias(f"__t{i}") for i in range(len(names))])
     w_prev = Window.partitionBy(_K).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select(F.col(_K).alias("__k2"), F.col(_B).alias("__b2"),
-                          F.sum("__bt").over(w_prev).alias("__base"))
+                          *[F.sum(f"__t{i}").over(w_prev).alias(f"__p{i}") for i in range(len(names))])
 
     j = local.join(bases, (F.col(_K) == F.col("__k2")) & (F.col(_B) == F.col("__b2")), "inner")
-    total = F.when(F.col("__local").isNull() & F.col("__base").isNull(), F.lit(None)).otherwise(
-        F.coalesce(F.col("__base"), F.lit(0)) + F.coalesce(F.col("__local"), F.lit(0)))
-    if seed is not None:
-        total = F.lit(seed) + F.coalesce(total, F.lit(0))
-    return j.withColumn(out, total).drop(_K, _B, "__v", "__local", "__k2", "__b2", "__base")
+    outs = {}
+    for i, n in enumerate(names):
+        lc, pc = F.col(f"__l{i}"), F.col(f"__p{i}")
+        total = F.when(lc.isNull() & pc.isNull(), F.lit(None)).otherwise(
+            F.coalesce(pc, F.lit(0)) + F.coalesce(lc, F.lit(0)))
+        if seeds.get(n) is not None:
+            total = F.lit(seeds[n]) + F.coalesce(total, F.lit(0))
+        outs[n] = total
+    tmp = [c for i in range(len(names)) for c in (f"__v{i}", f"__l{i}", f"__p{i}")]
+    return j.withColumns(outs).drop(_K, _B, "__k2", "__b2", *tmp)
+
+
+def running_sum(df: DataFrame, value, order: Order, partition_by=(), out: str = "running",
+                seed=None) -> DataFrame:
+    """``[seed +] sum(value) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED
+    PRECEDING)`` computed in two passes (see :func:`running_sums`)."""
+    return running_sums(df, {out: value}, order, partition_by, {out: seed})
 
 
 def sequence_number(df: DataFrame, order: Order, partition_by=(), out: str = "seq") -> DataFrame:

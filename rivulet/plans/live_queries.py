@@ -89,8 +89,8 @@ def live_last_n_by_series(spark, d):
     f"WINDOW w AS (PARTITION BY series ORDER BY ts, event_id ROWS BETWEEN {LAST_N - 1} PRECEDING "
     "AND CURRENT ROW)", "live_input"))
 def live_sliding_frame(spark, d):
-    points = L.accepted(_parsed(spark, d))
-    out = L.sliding(points, _order(), LAST_N, "y", "series")
+    parsed = L.sequence_with_accepted(L.parse_points(live_input(spark, d)), _order(), "series")
+    out = L.sliding(L.accepted(parsed), _order(), LAST_N, "y", "series", position="apos")
     return out.select("series", "event_id", F.col("seq").alias("x"), "n", "lo", "hi",
                       F.col("total").cast("bigint").alias("total"))
 

@@ -60,3 +60,14 @@ def test_sliding_frame_equals_window(spark):
     exp = df.select("id", F.min("v").over(w).alias("lo"), F.count("v").over(w).alias("n"),
                     F.sum("v").over(w).alias("s"))
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_running_sums_several_values_one_pass(spark):
+    from rivulet.operators.ordered import running_sums
+    df = _data(spark)
+    got = running_sums(df, {"s": F.col("v"), "c": F.lit(1), "pos": F.when(F.col("v") > 10, 1).otherwise(0)},
+                       Order.by_number("t", "id", width=9), ["k"], seeds={"c": 100}).select("id", "s", "c", "pos")
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.select("id", F.sum("v").over(w).alias("s"), (F.lit(100) + F.count(F.lit(1)).over(w)).alias("c"),
+                    F.sum(F.when(F.col("v") > 10, 1).otherwise(0)).over(w).alias("pos"))
+    assert sorted(got.collect()) == sorted(exp.collect())
