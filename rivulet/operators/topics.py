@@ -2,9 +2,10 @@
 
 All work on the envelope ``(key, value, partition, offset, timestamp)``.
 Per-partition quantities are declarative aggregates (partial + final), and
-the only joins are against tables with one row per topic partition (a
-structural size bound, broadcast) or equi-joins on ``(partition, offset)``,
-whose keys are spread evenly however skewed the record keys are.
+the only joins are against tables with one row per topic partition
+(broadcast after a size check, :mod:`rivulet.operators.joins`) or
+equi-joins on ``(partition, offset)``, whose keys are spread evenly however
+skewed the record keys are.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.operators.joins import join_small
 from rivulet.operators.ordered import previous_in_order
 from rivulet.operators.tables import newest_record_by
 
@@ -39,7 +41,7 @@ def delete_before(df: DataFrame, low_watermarks: DataFrame, col: str = "committe
     """OPS3 (delete-records): drop records below each partition's low
     watermark; partitions without one keep everything."""
     lw = low_watermarks.select(F.col("partition").alias("__p"), F.col(col).alias("__low"))
-    j = df.join(F.broadcast(lw), F.col("partition") == F.col("__p"), "left")
+    j = join_small(df, lw, F.col("partition") == F.col("__p"), "left")
     return j.where(F.col("__low").isNull() | (F.col("offset") >= F.col("__low"))).drop("__p", "__low")
 
 
@@ -63,7 +65,7 @@ def lag(df: DataFrame, committed: DataFrame) -> DataFrame:
     ends = df.groupBy("partition").agg((F.max("offset") + 1).cast("bigint").alias("end_offset"),
                                        F.count(F.lit(1)).cast("bigint").alias("__n"))
     c = committed.select(F.col("partition").alias("__p"), F.col("committed"))
-    j = ends.join(F.broadcast(c), F.col("partition") == F.col("__p"), "left")
+    j = join_small(ends, c, F.col("partition") == F.col("__p"), "left")
     return j.select("partition", "end_offset", "committed",
                     F.coalesce(F.col("end_offset") - F.col("committed"), F.col("__n")).alias("lag"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.codec import decode_utf8, from_json_envelope, to_json_envelope
+from rivulet.operators.joins import join_small
 
 # Kafka's conventions for start positions in a per-partition offsets map.
 LATEST = -1
@@ -51,13 +52,13 @@ def take_until(df: DataFrame, sentinel: Union[Column, Callable[[Column, Column],
 
     The sentinel itself is not output; a partition without one is kept
     whole.  One aggregate gives the first sentinel offset per partition -
-    at most one row per topic partition, a structural size bound - which
-    is broadcast to the scan, so the records themselves never shuffle.
+    one row per topic partition - which, its size checked, is broadcast to
+    the scan, so the records themselves never shuffle.
     """
     is_stop = sentinel(F.col("key"), F.col("value")) if callable(sentinel) else sentinel
     stops = (df.where(F.coalesce(is_stop, F.lit(False))).groupBy("partition")
              .agg(F.min("offset").alias("__stop")).withColumnRenamed("partition", "__p"))
-    joined = df.join(F.broadcast(stops), F.col("partition") == F.col("__p"), "left")
+    joined = join_small(df, stops, F.col("partition") == F.col("__p"), "left")
     return joined.where(F.col("__stop").isNull() | (F.col("offset") < F.col("__stop"))).drop("__p", "__stop")
 
 
