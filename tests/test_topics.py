@@ -57,3 +57,27 @@ def test_retention_keeps_last_week(spark):
     assert kept == [0, 1, 2]
     low = spark.createDataFrame([(0, 2)], "partition int, committed bigint")
     assert sorted(r.offset for r in O.delete_before(envelope(spark, rows), low).collect()) == [2, 3]
+
+
+def test_join_small_falls_back_beyond_bound(spark):
+    from rivulet.operators.joins import join_small
+    big = spark.range(50).withColumn("p", F.col("id") % 3)
+    small = spark.createDataFrame([(0, "a"), (1, "b")], "q long, tag string")
+    cond = F.col("p") == F.col("q")
+    a = sorted(join_small(big, small, cond, "left").collect())
+    b = sorted(join_small(big, small, cond, "left", max_rows=1).collect())
+    assert a == b and len(a) == 50
+
+
+def test_auto_bucket_width_setting(spark):
+    from rivulet.operators.ordered import Order, sequence_number
+    rows = [("k", i * 7, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, t bigint, id bigint")
+    spark.conf.set("rivulet.order.bucketWidth", "auto")
+    spark.conf.set("rivulet.order.bucketRows", "16")
+    try:
+        got = sorted(r.seq for r in sequence_number(df, Order.by_number("t", "id"), ["k"]).collect())
+    finally:
+        spark.conf.unset("rivulet.order.bucketWidth")
+        spark.conf.unset("rivulet.order.bucketRows")
+    assert got == list(range(1, 201))
