@@ -46,17 +46,19 @@ def events_topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("timestamp"), "event_id")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *ids: str) -> DataFrame:
     """Spread a source that yields fewer splits than the cluster has cores
     (e.g. one large row group) before CPU-heavy per-row text work.
 
     A no-op for a big input, whose scan already has at least as many
-    splits as cores; otherwise one round-robin exchange of the pruned rows.
+    splits as cores; otherwise one hash exchange on the row's unique id -
+    balanced, and deterministic on retry without the sort a round-robin
+    repartition needs.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores * 2)
+    return df.repartition(cores * 2, *ids) if ids else df.repartition(cores * 2)
 
 
 def _number(df: DataFrame, order: Order) -> DataFrame:
@@ -91,7 +93,7 @@ def env_docs(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFram
     if offsets:
         df = _number(df, Order.by_number("doc_id", width=ID_BUCKET_WIDTH))
         return df.select("key", "value", "partition", "offset", "timestamp")
-    return spread(df.select("key", "value", "partition", "timestamp"))
+    return spread(df, "doc_id").select("key", "value", "partition", "timestamp")
 
 
 def env_turns(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFrame:
@@ -104,7 +106,7 @@ def env_turns(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFra
     if offsets:
         df = _number(df, Order.by_number("conv_id", "turn", width=ID_BUCKET_WIDTH))
         return df.select("key", "value", "partition", "offset", "timestamp")
-    return spread(df.select("key", "value", "partition", "timestamp"))
+    return spread(df, "conv_id", "turn").select("key", "value", "partition", "timestamp")
 
 
 def live_input(spark: SparkSession, sf_dir: str) -> DataFrame:
