@@ -121,10 +121,16 @@ class Order:
         return number_bucket(first, auto_number_width(df, first, rows) if w == "auto" else int(w))
 
 
+# Bucket of rows whose order value is NULL: they sort first (ASC NULLS FIRST),
+# so they go to a bucket below every real one instead of being lost in the join.
+_NULL_BUCKET = -(1 << 62)
+
+
 def _keyed(df: DataFrame, partition_by, order: Order) -> DataFrame:
     keys = [as_col(c) for c in partition_by]
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("k"))
-    return df.withColumn(_K, key).withColumn(_B, order.bucket_for(df))
+    bucket = F.coalesce(order.bucket_for(df).cast("bigint"), F.lit(_NULL_BUCKET))
+    return df.withColumn(_K, key).withColumn(_B, bucket)
 
 
 # ------------------------------------------------------------ prefix sums

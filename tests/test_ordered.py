@@ -71,3 +71,14 @@ def test_running_sums_several_values_one_pass(spark):
     exp = df.select("id", F.sum("v").over(w).alias("s"), (F.lit(100) + F.count(F.lit(1)).over(w)).alias("c"),
                     F.sum(F.when(F.col("v") > 10, 1).otherwise(0)).over(w).alias("pos"))
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_null_order_values_sort_first_and_are_kept(spark):
+    rows = [("a", None, 0, 1), ("a", 5, 1, 2), ("a", None, 2, 3), ("a", 1, 3, 4), ("b", None, 4, 5)]
+    df = spark.createDataFrame(rows, "k string, t bigint, id bigint, v bigint")
+    got = running_sum(df, "v", Order.by_number("t", "id", width=2), ["k"], out="s").select("id", "s")
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    exp = df.select("id", F.sum("v").over(w).alias("s"))
+    assert sorted(got.collect()) == sorted(exp.collect())
+    prev = previous_in_order(df.where(F.col("t").isNotNull()), "t", ["k"], width=2, out="p")
+    assert sorted((r.id, r.p) for r in prev.collect()) == [(1, 1), (3, None)]
