@@ -66,8 +66,7 @@ def _number(df: DataFrame, order: Order) -> DataFrame:
     return numbered.withColumn("offset", (F.col("__seq") - 1).cast("bigint")).drop("__seq")
 
 
-def env_events(spark: SparkSession, sf_dir: str, offsets: bool = True,
-               keep: tuple = ()) -> DataFrame:
+def env_events(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFrame:
     """``events`` as a topic: key = event_type, value = ``user_id\\tevent_type props``,
     partition = user_id % 4, offsets in ``(ts, event_id)`` order."""
     ev = table(spark, sf_dir, "events")
@@ -76,11 +75,11 @@ def env_events(spark: SparkSession, sf_dir: str, offsets: bool = True,
         F.format_string("%d\t%s %s", "user_id", "event_type", "props").alias("value"),
         (F.col("user_id") % PARTITIONS).cast("int").alias("partition"),
         F.col("ts").alias("timestamp"),
-        "event_id", *keep)
+        "event_id")
     if offsets:
         df = _number(df, Order.by_time("timestamp", "event_id", seconds=TIME_BUCKET_SECONDS))
-        return df.select("key", "value", "partition", "offset", "timestamp", *keep)
-    return df.select("key", "value", "partition", "timestamp", *keep)
+        return df.select("key", "value", "partition", "offset", "timestamp")
+    return df.select("key", "value", "partition", "timestamp")
 
 
 def env_docs(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFrame:
