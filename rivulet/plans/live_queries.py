@@ -82,12 +82,15 @@ def live_last_n_by_series(spark, d):
         "series", "event_id", F.col("seq").alias("x"), "y")
 
 
-@register("live_sliding_frame", "LIVE5", sql=with_views(
+SLIDING_SQL = with_views(
     "SELECT series, event_id, seq AS x, CAST(count(y) OVER w AS BIGINT) AS n, min(y) OVER w AS lo, "
     "max(y) OVER w AS hi, CAST(sum(y) OVER w AS BIGINT) AS total "
     f"FROM ({PARSED_SQL}) WHERE y IS NOT NULL "
     f"WINDOW w AS (PARTITION BY series ORDER BY ts, event_id ROWS BETWEEN {LAST_N - 1} PRECEDING "
-    "AND CURRENT ROW)", "live_input"))
+    "AND CURRENT ROW)", "live_input")
+
+
+@register("live_sliding_frame", "LIVE5", sql=SLIDING_SQL)
 def live_sliding_frame(spark, d):
     parsed = L.sequence_with_accepted(L.parse_points(live_input(spark, d)), _order(), "series")
     out = L.sliding(L.accepted(parsed), _order(), LAST_N, "y", "series", position="apos")
@@ -120,10 +123,13 @@ def live_running_total_global(spark, d):
     return out.select("event_id", F.col("total").cast("decimal(28,2)").alias("total"))
 
 
-@register("live_history", "LIVE7", sql=(
+HISTORY_SQL = (
     "SELECT ts, event_id, total FROM (SELECT ts, event_id, CAST(sum(inc) OVER (ORDER BY ts, event_id "
     "ROWS UNBOUNDED PRECEDING) AS DECIMAL(28,2)) AS total, row_number() OVER (ORDER BY ts DESC, "
-    f"event_id DESC) AS r FROM ({INC_SQL})) WHERE r <= {HISTORY_N}"))
+    f"event_id DESC) AS r FROM ({INC_SQL})) WHERE r <= {HISTORY_N}")
+
+
+@register("live_history", "LIVE7", sql=HISTORY_SQL)
 def live_history(spark, d):
     out = L.history(_increments(spark, d), "inc", _order(), HISTORY_N, None, seed=SEED)
     return out.select("ts", "event_id", F.col("total").cast("decimal(28,2)").alias("total"))

@@ -164,3 +164,25 @@ def stream_dashboard(spark, d):
     path = scratch_path(spark, "dashboard")
     RN.drain(RN.start(stream_table(spark, d, "events"), foreach_batch=dashboard_sink(path, dashboard_specs())))
     return visible(SN.read_latest(spark, path))
+
+
+@register("stream_sliding_frame", "LIVE1, LIVE5 streaming (keyed state)", sql=LQ.SLIDING_SQL)
+def stream_sliding_frame(spark, d):
+    parsed = L.parse_points(_live_stream(spark, d))
+    out = RN.run_to_files(K.sequence_and_sliding(parsed, ["series"], ["ts", "event_id"], "y", LQ.LAST_N))
+    return out.where(F.col("y").isNotNull()).select("series", "event_id", F.col("seq").alias("x"),
+                                                    "n", "lo", "hi", "total")
+
+
+@register("stream_history", "LIVE6, LIVE7 streaming (distributed foreachBatch + snapshot)",
+          sql=LQ.HISTORY_SQL)
+def stream_history(spark, d):
+    ev = stream_table(spark, d, "events").select(
+        "ts", "event_id", F.col("value").cast("decimal(18,2)").alias("inc"))
+    base = scratch_path(spark, "history")
+    order = Order.by_time("ts", "event_id")
+    RN.drain(RN.start(ev, foreach_batch=SN.running_totals(
+        f"{base}/out", f"{base}/carry", "inc", order, seed=LQ.SEED,
+        history_path=f"{base}/history", history_n=LQ.HISTORY_N)))
+    hist = SN.read_latest(spark, f"{base}/history")
+    return hist.select("ts", "event_id", F.col("total").cast("decimal(28,2)").alias("total"))

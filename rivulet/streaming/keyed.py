@@ -127,3 +127,46 @@ def offset_gaps(df: DataFrame, key: str = "partition", col: str = "offset") -> D
     return df.groupBy(key).applyInPandasWithState(
         step, out_schema, T.StructType([T.StructField("last", T.LongType())]), "append",
         GroupStateTimeout.NoTimeout)
+
+
+def sequence_and_sliding(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], y: str,
+                         size: int, seq: str = "seq") -> DataFrame:
+    """LIVE1 + LIVE5 streaming: per series, the message counter over every row
+    and, for rows with a non-null ``y``, the buffer of the newest ``size``
+    accepted values after it (``n``, ``lo``, ``hi``, ``total``).  The state is
+    the counter and the last ``size - 1`` accepted values."""
+    keys, order_cols = list(keys), list(order_cols)
+    stats = [T.StructField("n", T.LongType()), T.StructField("lo", T.LongType()),
+             T.StructField("hi", T.LongType()), T.StructField("total", T.LongType())]
+    out_schema = T.StructType(list(df.schema.fields) + [T.StructField(seq, T.LongType())] + stats)
+    state_schema = T.StructType([T.StructField("count", T.LongType()),
+                                 T.StructField("recent", T.ArrayType(T.LongType()))])
+    names = out_schema.fieldNames()
+
+    def step(key, pdfs, state):
+        pdf = _concat(pdfs)
+        if pdf.empty:
+            return
+        pdf = pdf.sort_values(order_cols, kind="mergesort").reset_index(drop=True)
+        count, recent = state.get if state.exists else (0, [])
+        recent = [int(v) for v in (recent if recent is not None else [])]
+        pdf[seq] = range(count + 1, count + 1 + len(pdf))
+        cols = {"n": [], "lo": [], "hi": [], "total": []}
+        for v in pdf[y].tolist():
+            if v is None or pd.isna(v):
+                for c in cols:
+                    cols[c].append(None)
+                continue
+            buf = (recent + [int(v)])[-size:]
+            cols["n"].append(len(buf))
+            cols["lo"].append(min(buf))
+            cols["hi"].append(max(buf))
+            cols["total"].append(sum(buf))
+            recent = buf[-(size - 1):] if size > 1 else []
+        for c, vals in cols.items():
+            pdf[c] = pd.array(vals, dtype="Int64")
+        state.update((int(pdf[seq].iloc[-1]), recent))
+        yield pdf[names]
+
+    return df.groupBy(*keys).applyInPandasWithState(
+        step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)

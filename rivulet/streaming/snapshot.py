@@ -86,7 +86,9 @@ def json_snapshot(path: str, build: Callable[[DataFrame], DataFrame]) -> Callabl
 
 
 def running_totals(out_path: str, carry_path: str, inc: str | None, order, series=None, seed=0,
-                   seq: str = "seq", total: str = "total", keep_versions: int = 2) -> Callable[[DataFrame, int], None]:
+                   seq: str = "seq", total: str = "total", keep_versions: int = 2,
+                   history_path: str | None = None, history_n: int | None = None
+                   ) -> Callable[[DataFrame, int], None]:
     """Streaming sequence numbers and running totals (LIVE1, LIVE6), ungrouped
     or per series, without putting a key - or the whole stream - in one task.
 
@@ -94,7 +96,9 @@ def running_totals(out_path: str, carry_path: str, inc: str | None, order, serie
     operators; a carry table (one row per series: count and total so far,
     versioned by batch id) supplies the offset from earlier batches and is
     joined on the series key (a constant for the ungrouped form).  Output
-    rows go to ``out_path/batch=<id>``, overwritten on retry.
+    rows go to ``out_path/batch=<id>``, overwritten on retry.  With
+    ``history_path``/``history_n`` it also keeps LIVE7's bounded history:
+    the newest ``history_n`` rows (per series) as a versioned snapshot.
     """
     from pyspark.sql import functions as F
 
@@ -133,8 +137,17 @@ def running_totals(out_path: str, carry_path: str, inc: str | None, order, serie
                 carry = carry.unionByName(prev.join(carry.select("__ck"), "__ck", "left_anti"),
                                           allowMissingColumns=True)
             carry.write.mode("overwrite").parquet(f"{carry_path}/v={batch_id}")
+            if history_path and history_n:
+                from rivulet.operators.live import last_n
+                rows = cur.drop("__s", "__r", "__n", "__t", "__ck")
+                old = read_latest(spark, history_path, before=batch_id)
+                both = rows if old is None else old.unionByName(rows)
+                last_n(both, history_n, list(order.by), series).write.mode("overwrite") \
+                    .parquet(f"{history_path}/v={batch_id}")
         finally:
             cur.unpersist()
         _prune(spark, carry_path, keep_versions)
+        if history_path and history_n:
+            _prune(spark, history_path, keep_versions)
 
     return run

@@ -283,3 +283,27 @@ def test_foreach_batch_writers_are_idempotent_on_retry(spark, topic_parts):
     once = sorted(SN.read_latest(spark, snap).collect())
     upd(batch1, 1)
     assert sorted(SN.read_latest(spark, snap).collect()) == once
+
+
+def test_sliding_and_history_stream_parity(spark, topic_parts):
+    d = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts, d)
+    y = F.when(F.col("offset") % 3 == 0, F.lit(None)).otherwise(F.length("value")).cast("bigint")
+    s = _stream(spark, d).withColumn("y", y)
+    got = RN.run_to_files(K.sequence_and_sliding(s, ["key"], ORDER_COLS, "y", 4))
+    b = _batch(spark, topic_parts).withColumn("y", y)
+    numbered = L.sequence_with_accepted(b, _order(), "key")
+    exp = L.sliding(L.accepted(numbered), _order(), 4, "y", "key", position="apos")
+    cols = ["partition", "offset", "seq", "n", "lo", "hi", "total"]
+    assert sorted(got.where(F.col("y").isNotNull()).select(*cols).collect()) == \
+        sorted(exp.select(*cols).collect())
+
+    base = tempfile.mkdtemp(prefix="rv-hist-")
+    inc = _stream(spark, d).withColumn("inc", F.length("value").cast("bigint"))
+    RN.drain(RN.start(inc, foreach_batch=SN.running_totals(
+        f"{base}/out", f"{base}/carry", "inc", _order(), seed=0,
+        history_path=f"{base}/hist", history_n=50)))
+    hist = SN.read_latest(spark, f"{base}/hist").select("partition", "offset", "total")
+    bi = _batch(spark, topic_parts).withColumn("inc", F.length("value").cast("bigint"))
+    exp_h = L.history(bi, "inc", _order(), 50).select("partition", "offset", "total")
+    assert sorted(hist.collect()) == sorted(exp_h.collect())
