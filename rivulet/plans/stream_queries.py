@@ -186,3 +186,15 @@ def stream_history(spark, d):
         history_path=f"{base}/history", history_n=LQ.HISTORY_N)))
     hist = SN.read_latest(spark, f"{base}/history")
     return hist.select("ts", "event_id", F.col("total").cast("decimal(28,2)").alias("total"))
+
+
+@register("stream_compact", "OPS4 streaming (complete mode)", sql=(
+    'SELECT "key", "value", "partition", "timestamp", event_id FROM (SELECT event_type AS "key", '
+    "CAST(user_id AS VARCHAR) || chr(9) || event_type || ' ' || props AS \"value\", "
+    'CAST(user_id % 4 AS INTEGER) AS "partition", ts AS "timestamp", event_id, row_number() OVER '
+    '(PARTITION BY user_id % 4, event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1'))
+def stream_compact(spark, d):
+    out = T.newest_record_by(events_topic_stream(spark, d), ["partition", "key"],
+                             order_cols=("timestamp", "event_id"))
+    return RN.run_to_files(out, output_mode="complete").select(
+        "key", "value", "partition", "timestamp", "event_id")
