@@ -50,8 +50,8 @@ def main() -> None:
     print("per-bucket carry table of an ungrouped running sum (one row per time bucket) or the one-row")
     print("`max(timestamp)` of retention.  Streaming queries (`stream_*`) run eagerly and are covered by")
     print("their tests instead.\n")
-    print("| query | shuffles | single-partition inputs | broadcasts | partial top-N | sort agg | scans read |")
-    print("| --- | --- | --- | --- | --- | --- | --- |")
+    print("| query | shuffles | single-partition inputs | broadcasts | partial top-N | sort agg | Python | scans read |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
     for name, q in sorted(all_queries().items()):
         if name.startswith("stream_"):
             continue
@@ -61,7 +61,7 @@ def main() -> None:
         scans = "<br>".join(s["scans"])
         single = ", ".join(s["single"]) or "-"
         print(f"| {name} | {s['shuffles']} | {single} | {s['broadcasts']} | {s['group_limit']} | "
-              f"{s['sort_agg']} | {scans} |")
+              f"{s['sort_agg']} | {'yes' if s['python'] else 'no'} | {scans} |")
     spark.stop()
 
 
