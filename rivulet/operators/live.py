@@ -121,22 +121,32 @@ def padded_history(df: DataFrame, inc: str, order: Order, time_col: str, n: int,
                    seed=0, out: str = "total", slot: str = "slot") -> DataFrame:
     """History that always has ``n`` rows: a series with fewer rows begins with
     ``(start_time, seed)`` pad rows, as the chart's pre-filled buffer does.
+    ``slot`` numbers the buffer 1..n, oldest first."""
+    return pad_history(history(df, inc, order, n, series, seed, out), n, time_col, list(order.by),
+                       series, seed, out, slot)
 
-    ``slot`` numbers the buffer 1..n, oldest first.  Pads are generated from
-    a one-row-per-series table by ``explode(sequence(...))`` - at most ``n``
-    per series, no cross join.
+
+def pad_history(hist: DataFrame, n: int, time_col: str, order_cols: Sequence[str], series=None,
+                seed=0, out: str = "total", slot: str = "slot") -> DataFrame:
+    """Slots and pads for a bounded history table (at most ``n`` rows per
+    series, e.g. :func:`history` or its streaming snapshot).
+
+    A series with fewer than ``n`` rows has never dropped one, so its oldest
+    row is its start time.  Pads come from a one-row-per-series table by
+    ``explode(sequence(...))`` - at most ``n`` per series, no cross join.
     """
     keys = _keys(series)
-    ranked = last_n(running_total(df, inc, order, series, seed, out), n, list(order.by), series,
-                    out="__rd")
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order_cols]) if keys else \
+        Window.orderBy(*[F.col(c).desc() for c in order_cols])
+    ranked = hist.withColumn("__rd", F.row_number().over(w))
     real = ranked.select(*keys, (F.lit(n) - F.col("__rd") + 1).cast("bigint").alias(slot),
                          F.col(time_col), F.col(out))
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(time_col).alias(time_col))
+    stats = hist.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(time_col).alias(time_col))
     pad = F.lit(n) - F.col("__n")
     pads = stats.select(*keys, F.col(time_col),
                         F.explode(F.when(pad >= 1, F.sequence(F.lit(1).cast("bigint"), pad.cast("bigint")))
                                   .otherwise(F.array().cast("array<bigint>"))).alias(slot))
-    seed_col = F.lit(seed).cast(real.schema[out].dataType)
+    seed_col = F.lit(seed).cast(hist.schema[out].dataType)
     return real.unionByName(pads.select(*keys, slot, time_col, seed_col.alias(out)))
 
 

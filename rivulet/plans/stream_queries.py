@@ -198,3 +198,19 @@ def stream_compact(spark, d):
                              order_cols=("timestamp", "event_id"))
     return RN.run_to_files(out, output_mode="complete").select(
         "key", "value", "partition", "timestamp", "event_id")
+
+
+@register("stream_history_padded", "LIVE8 streaming (foreachBatch history snapshot + pads)",
+          sql=with_views(LQ.PADDED_SQL, "gauge_input"))
+def stream_history_padded(spark, d):
+    g = stream_table(spark, d, "events").select(
+        F.col("event_type").alias("series"), F.col("ts").alias("time"), "event_id",
+        F.floor("value").cast("bigint").alias("value"))
+    base = scratch_path(spark, "padded")
+    order = Order.by_time("time", "event_id")
+    RN.drain(RN.start(g, foreach_batch=SN.running_totals(
+        f"{base}/out", f"{base}/carry", "value", order, series="series", seed=LQ.SEED,
+        history_path=f"{base}/history", history_n=LQ.HISTORY_N)))
+    hist = SN.read_latest(spark, f"{base}/history")
+    out = L.pad_history(hist, LQ.HISTORY_N, "time", ["time", "event_id"], "series", LQ.SEED)
+    return out.select("series", "slot", "time", F.col("total").cast("bigint").alias("total"))
