@@ -41,27 +41,37 @@ def from_kafka(df: DataFrame) -> DataFrame:
 
 
 def read_topic(spark: SparkSession, topic: str, *, fmt: str = "parquet", stream: bool = False,
-               starting: str = "earliest", raw: bool = False, options: dict | None = None) -> DataFrame:
+               starting: str = "earliest", raw: bool = False, options: dict | None = None,
+               per_trigger: int | None = None) -> DataFrame:
     """SRC1 / SRC2: a topic as a DataFrame of envelopes.
 
     ``fmt='kafka'``: ``topic`` is the topic name, ``options`` carries
     ``kafka.bootstrap.servers`` etc.  ``starting`` is ``earliest`` (a
-    Streams application) or ``latest`` (a new consumer group).
+    Streams application) or ``latest`` (a new consumer group).  Large topic
+    partitions are split over at least ``defaultParallelism`` tasks
+    (``minPartitions``); operators that need order sort explicitly.
     Other formats: ``topic`` is a directory of envelope files; a stream
     starting at ``latest`` only sees files that arrive after it starts.
+
+    ``per_trigger`` bounds a micro-batch (``maxOffsetsPerTrigger`` records
+    for Kafka, ``maxFilesPerTrigger`` files otherwise), which also bounds
+    what keyed state sees of one key per batch.
     """
     opts = dict(options or {})
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
         opts.setdefault("subscribe", topic)
         opts.setdefault("startingOffsets", starting)
+        opts.setdefault("minPartitions", str(spark.sparkContext.defaultParallelism))
+        if stream and per_trigger:
+            opts.setdefault("maxOffsetsPerTrigger", str(per_trigger))
         df = reader.format("kafka").options(**opts).load()
         if raw:
             return df.select("key", "value", F.col("partition").cast("int").alias("partition"),
                              "offset", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
         return from_kafka(df)
-    if stream and starting == "latest":
-        opts.setdefault("latestFirst", "false")
+    if stream and per_trigger:
+        opts.setdefault("maxFilesPerTrigger", str(per_trigger))
     schema = RAW_ENVELOPE if raw else ENVELOPE
     return reader.format(fmt).schema(schema).options(**opts).load(topic)
 
