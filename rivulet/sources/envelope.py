@@ -50,8 +50,9 @@ def read_topic(spark: SparkSession, topic: str, *, fmt: str = "parquet", stream:
     Streams application) or ``latest`` (a new consumer group).  Large topic
     partitions are split over at least ``defaultParallelism`` tasks
     (``minPartitions``); operators that need order sort explicitly.
-    Other formats: ``topic`` is a directory of envelope files; a stream
-    starting at ``latest`` only sees files that arrive after it starts.
+    Other formats: ``topic`` is a directory of envelope files; a stream on a
+    fresh checkpoint starts with the files already there (``earliest``),
+    and the batch form of ``latest`` is :func:`rivulet.sources.readers.from_offsets`.
 
     ``per_trigger`` bounds a micro-batch (``maxOffsetsPerTrigger`` records
     for Kafka, ``maxFilesPerTrigger`` files otherwise), which also bounds
