@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.numbers import py_int
 from rivulet.operators.ordered import Order, running_sum, running_sums, sequence_number, sliding_frame
 
+# Fixed value: what the live chart prints for a message it cannot parse.
 REJECT_REASON = "Wrong Input"
 
 

@@ -19,6 +19,16 @@ from rivulet.functions.text import explode_run_split, first_field, java_format,
 
 Pred = Union[Column, Callable[[Column, Column], Column]]
 
+# Fixed values of the reference's example operators: the flat-map pair
+# values, the filtered first field and numeric bound, the producer's
+# constant key, and the two console line formats.
+HEY_HI = ("Hey", "Hi")
+NULL_TOKEN = "NULL"
+NUMERIC_BOUND = 14
+CONSTANT_KEY = "1"
+FOREACH_FORMAT = "%s===>%s"
+RECORD_FORMAT = "Consumer Record:(%s, %s, %d, %d)"
+
 
 def _pred(p: Pred) -> Column:
     return p(F.col("key"), F.col("value")) if callable(p) else p
@@ -60,14 +70,14 @@ def filter_not(df: DataFrame, predicate: Pred) -> DataFrame:
     return df.where(~F.coalesce(_pred(predicate), F.lit(False)))
 
 
-def first_tab_field_is_not(token: str = "NULL") -> Callable[[Column, Column], Column]:
+def first_tab_field_is_not(token: str = NULL_TOKEN) -> Callable[[Column, Column], Column]:
     """The reference filter ``!value.split("\\t")[0].equals("NULL")``.
 
     A null value gives NULL (dropped by :func:`filter_records`)."""
     return lambda k, v: first_field(v, "\t") != F.lit(token)
 
 
-def first_tab_number_above(bound: int = 14) -> Callable[[Column, Column], Column]:
+def first_tab_number_above(bound: int = NUMERIC_BOUND) -> Callable[[Column, Column], Column]:
     """``Integer.parseInt(value.split("\\t")[0]) > bound``; NULL where Java throws."""
     from rivulet.functions.numbers import java_parse_int
     return lambda k, v: java_parse_int(first_field(v, "\t")) > F.lit(bound)
@@ -90,7 +100,7 @@ def flat_map(df: DataFrame, fn: Callable[[Column, Column], Sequence[tuple[Column
 
 def hey_hi(k: Column, v: Column):
     """The reference flat-mapper: ``[(v, "Hey"), (v, "Hi")]``."""
-    return [(v, F.lit("Hey")), (v, F.lit("Hi"))]
+    return [(v, F.lit(word)) for word in HEY_HI]
 
 
 def flat_map_values_split(df: DataFrame, pattern: str, lower: bool = False) -> DataFrame:
@@ -131,7 +141,7 @@ def first_word_key(k: Column, v: Column) -> Column:
     return first_field(v, " ")
 
 
-def constant_key(df: DataFrame, key: str = "1") -> DataFrame:
+def constant_key(df: DataFrame, key: str = CONSTANT_KEY) -> DataFrame:
     """REC12: every record gets the same key.
 
     Writing such a stream to a keyed sink puts every row in one partition;
@@ -148,15 +158,11 @@ def repartition_by_key(df: DataFrame, partitions: int | None = None, key: str =
 
 # REC11 / SNK4 --------------------------------------------------------------
 
-def format_line(df: DataFrame, fmt: str = "%s===>%s", cols=("key", "value"), out: str = "line") -> DataFrame:
+def format_line(df: DataFrame, fmt: str = FOREACH_FORMAT, cols=("key", "value"), out: str = "line") -> DataFrame:
     """Rendered console line per record; nulls print as ``null``."""
     return df.withColumn(out, java_format(fmt, *cols))
 
 
-FOREACH_FORMAT = "%s===>%s"
-RECORD_FORMAT = "Consumer Record:(%s, %s, %d, %d)"
-
-
 # REC13 ---------------------------------------------------------------------
 
 def route(df: DataFrame, routes: dict[str, Callable[[DataFrame], DataFrame]],

@@ -48,19 +48,19 @@ def rec_branch(spark, d):
 @register("rec_filter", "REC2, SC2, SC8", sql=with_views(
     f"SELECT {ENV} FROM env_events WHERE split_part(\"value\", {TAB}, 1) <> 'NULL'", "env_events"))
 def rec_filter(spark, d):
-    return R.filter_records(env_events(spark, d), R.first_tab_field_is_not("NULL"))
+    return R.filter_records(env_events(spark, d), R.first_tab_field_is_not())
 
 
 @register("rec_filter_numeric", "REC3, SC9", sql=with_views(
     f"SELECT {ENV} FROM env_events WHERE {NUMERIC_SQL}", "env_events"))
 def rec_filter_numeric(spark, d):
-    return R.filter_records(env_events(spark, d), R.first_tab_number_above(14))
+    return R.filter_records(env_events(spark, d), R.first_tab_number_above())
 
 
 @register("rec_filter_not", "REC4", sql=with_views(
     f"SELECT {ENV} FROM env_events WHERE NOT coalesce({NUMERIC_SQL}, false)", "env_events"))
 def rec_filter_not(spark, d):
-    return R.filter_not(env_events(spark, d), R.first_tab_number_above(14))
+    return R.filter_not(env_events(spark, d), R.first_tab_number_above())
 
 
 @register("rec_flat_map", "REC5, SC13", sql=with_views(
@@ -125,7 +125,7 @@ def snk_record_line(spark, d):
 @register("rec_constant_key", "REC12", sql=with_views(
     "SELECT '1' AS \"key\", \"value\", \"partition\", \"offset\", \"timestamp\" FROM env_turns", "env_turns"))
 def rec_constant_key(spark, d):
-    return R.constant_key(env_turns(spark, d), "1")
+    return R.constant_key(env_turns(spark, d))
 
 
 @register("rec_route", "REC13", sql=with_views(
@@ -135,7 +135,7 @@ def rec_constant_key(spark, d):
 def rec_route(spark, d):
     routes = {
         "a_topic": lambda df: R.branch_outputs(df, *_branch_preds())[0],
-        "filter_topic": lambda df: R.filter_records(df, R.first_tab_field_is_not("NULL")),
+        "filter_topic": lambda df: R.filter_records(df, R.first_tab_field_is_not()),
         "hey_hi_topic": lambda df: R.flat_map(df, R.hey_hi),
         "topic_map": lambda df: R.map_records(df, R.lower_and_length),
     }

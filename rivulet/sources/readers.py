@@ -14,6 +14,8 @@ from rivulet.operators.joins import join_small
 # Kafka's conventions for start positions in a per-partition offsets map.
 LATEST = -1
 EARLIEST = -2
+# Fixed value: the consumer's stop message.
+SENTINEL = "exit"
 
 
 def from_offsets(df: DataFrame, starts: dict[int, int], default: int = EARLIEST) -> DataFrame:
@@ -62,7 +64,7 @@ def take_until(df: DataFrame, sentinel: Union[Column, Callable[[Column, Column],
     return joined.where(F.col("__stop").isNull() | (F.col("offset") < F.col("__stop"))).drop("__p", "__stop")
 
 
-def value_equals(token: str = "exit"):
+def value_equals(token: str = SENTINEL):
     """The reference sentinel: ``value == "exit"``."""
     return lambda k, v: v == F.lit(token)
 
