@@ -87,8 +87,8 @@ def json_snapshot(path: str, build: Callable[[DataFrame], DataFrame]) -> Callabl
 
 def running_totals(out_path: str, carry_path: str, inc: str | None, order, series=None, seed=0,
                    seq: str = "seq", total: str = "total", keep_versions: int = 2,
-                   history_path: str | None = None, history_n: int | None = None
-                   ) -> Callable[[DataFrame, int], None]:
+                   history_path: str | None = None, history_n: int | None = None,
+                   history_where=None) -> Callable[[DataFrame, int], None]:
     """Streaming sequence numbers and running totals (LIVE1, LIVE6), ungrouped
     or per series, without putting a key - or the whole stream - in one task.
 
@@ -98,7 +98,8 @@ def running_totals(out_path: str, carry_path: str, inc: str | None, order, serie
     joined on the series key (a constant for the ungrouped form).  Output
     rows go to ``out_path/batch=<id>``, overwritten on retry.  With
     ``history_path``/``history_n`` it also keeps LIVE7's bounded history:
-    the newest ``history_n`` rows (per series) as a versioned snapshot.
+    the newest ``history_n`` rows (per series) as a versioned snapshot,
+    optionally only rows matching ``history_where`` (e.g. accepted points).
     """
     from pyspark.sql import functions as F
 
@@ -140,6 +141,8 @@ def running_totals(out_path: str, carry_path: str, inc: str | None, order, serie
             if history_path and history_n:
                 from rivulet.operators.live import last_n
                 rows = cur.drop("__s", "__r", "__n", "__t", "__ck")
+                if history_where is not None:
+                    rows = rows.where(history_where)
                 old = read_latest(spark, history_path, before=batch_id)
                 both = rows if old is None else old.unionByName(rows)
                 last_n(both, history_n, list(order.by), series).write.mode("overwrite") \

@@ -307,3 +307,45 @@ def test_sliding_and_history_stream_parity(spark, topic_parts):
     bi = _batch(spark, topic_parts).withColumn("inc", F.length("value").cast("bigint"))
     exp_h = L.history(bi, "inc", _order(), 50).select("partition", "offset", "total")
     assert sorted(hist.collect()) == sorted(exp_h.collect())
+
+
+def test_apps_run_end_to_end(spark, topic_parts):
+    from rivulet import apps
+    src = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts, src)
+    base = tempfile.mkdtemp(prefix="rv-apps-")
+
+    RN.drain(apps.run(spark, ["wordcount", "--source", src, "--sink", f"{base}/wc",
+                              "--checkpoint", f"{base}/ck-wc", "--per-trigger", "1"]))
+    got = SN.read_latest(spark, f"{base}/wc")
+    exp = T.word_count(_batch(spark, topic_parts)).withColumnRenamed("word", "key")
+    assert sorted(got.collect()) == sorted(exp.collect())
+
+    RN.drain(apps.run(spark, ["tour", "--flag", "groupby", "--source", src, "--sink", f"{base}/gb",
+                              "--checkpoint", f"{base}/ck-gb"]))
+    exp = T.count_by(_batch(spark, topic_parts), T.upper_value)
+    assert sorted(SN.read_latest(spark, f"{base}/gb").collect()) == sorted(exp.collect())
+
+    RN.drain(apps.run(spark, ["tour", "--flag", "map", "--source", src, "--sink", f"{base}/map",
+                              "--checkpoint", f"{base}/ck-map"]))
+    assert spark.read.parquet(f"{base}/map").count() == sum(len(p) for p in topic_parts)
+
+    nums = [p.assign(value=p["value"].str.len().astype(str)) for p in topic_parts]
+    nsrc = tempfile.mkdtemp(prefix="rv-nums-")
+    _write_parts(nums, nsrc)
+    RN.drain(apps.run(spark, ["livechart", "--source", nsrc, "--sink", f"{base}/live",
+                              "--checkpoint", f"{base}/ck-live", "--per-trigger", "1"]))
+    live = SN.read_latest(spark, f"{base}/live/history")
+    assert live.count() == 20 and live.agg(F.max("seq")).first()[0] == sum(len(p) for p in nums)
+
+    RN.drain(apps.run(spark, ["timeseries", "--source", nsrc, "--sink", f"{base}/ts",
+                              "--checkpoint", f"{base}/ck-ts", "--per-trigger", "1"]))
+    newest = SN.read_latest(spark, f"{base}/ts/history").orderBy(F.col("timestamp").desc()).first()
+    assert newest.total == sum(int(v) for p in nums for v in p["value"])
+
+    RN.drain(apps.run(spark, ["gauges", "--source", nsrc, "--sink", f"{base}/g",
+                              "--checkpoint", f"{base}/ck-g", "--per-trigger", "1"]))
+    g = {r.key: r.value for r in SN.read_latest(spark, f"{base}/g").collect()}
+    import pandas as pd
+    allnums = pd.concat(nums)
+    assert g == {k: 10 + int(v.astype(int).sum()) for k, v in allnums.groupby("key")["value"]}
