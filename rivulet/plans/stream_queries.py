@@ -33,25 +33,25 @@ def _docs_stream(spark, d):
     return docs.select(F.col("lang").alias("key"), F.col("text").alias("value"))
 
 
-@register("stream_word_count", "AGG3 streaming (complete mode)", sql=TQ.WORD_COUNT_SQL)
+@register("stream_word_count", "AGG3 streaming (update mode changelog)", sql=TQ.WORD_COUNT_SQL)
 def stream_word_count(spark, d):
-    return RN.run_to_files(T.word_count(_docs_stream(spark, d)), output_mode="complete")
+    return RN.run_to_files(T.word_count(_docs_stream(spark, d)), output_mode="update", keys=["word"])
 
 
-@register("stream_count_by_key", "AGG1 streaming (complete mode)", sql=with_views(
+@register("stream_count_by_key", "AGG1 streaming (update mode changelog)", sql=with_views(
     'SELECT "key", CAST(count(*) AS BIGINT) AS count FROM env_events '
     'WHERE "key" IS NOT NULL AND "value" IS NOT NULL GROUP BY "key"', "env_events"))
 def stream_count_by_key(spark, d):
-    return RN.run_to_files(T.count_by_key(events_topic_stream(spark, d)), output_mode="complete")
+    return RN.run_to_files(T.count_by_key(events_topic_stream(spark, d)), output_mode="update", keys=["key"])
 
 
-@register("stream_latest_by_key", "AGG5, LIVE10 streaming (complete mode)", sql=with_views(
+@register("stream_latest_by_key", "AGG5, LIVE10 streaming (update mode changelog)", sql=with_views(
     'SELECT "key", arg_max("value", ("timestamp", event_id)) AS "value" FROM '
     '(SELECT event_type AS "key", CAST(user_id AS VARCHAR) || chr(9) || event_type || \' \' || props '
     'AS "value", ts AS "timestamp", event_id FROM events) GROUP BY "key"'))
 def stream_latest_by_key(spark, d):
-    return RN.run_to_files(T.latest_by_key(events_topic_stream(spark, d), STREAM_ORDER),
-                           output_mode="complete")
+    return RN.run_to_files(T.latest_by_key(events_topic_stream(spark, d), STREAM_ORDER, keep_tombstones=True),
+                           output_mode="update", keys=["key"]).where(F.col("value").isNotNull())
 
 
 @register("stream_changelog", "AGG4 streaming (keyed state)", sql=(
@@ -126,12 +126,12 @@ def stream_last_n_by_series(spark, d):
     return SN.read_latest(spark, path).select("series", "event_id", F.col("seq").alias("x"), "y")
 
 
-@register("stream_category_total", "LIVE9 streaming (complete mode)", sql=with_views(
+@register("stream_category_total", "LIVE9 streaming (update mode changelog)", sql=with_views(
     LQ.TOTALS_SQL, "gauge_input"))
 def stream_category_total(spark, d):
     g = stream_table(spark, d, "events").select(F.col("event_type").alias("category"),
                                                 F.floor("value").cast("bigint").alias("value"))
-    return RN.run_to_files(L.category_total(g, start=LQ.GAUGE_START), output_mode="complete")
+    return RN.run_to_files(L.category_total(g, start=LQ.GAUGE_START), output_mode="update", keys=["category"])
 
 
 def dashboard_specs():
@@ -188,7 +188,7 @@ def stream_history(spark, d):
     return hist.select("ts", "event_id", F.col("total").cast("decimal(28,2)").alias("total"))
 
 
-@register("stream_compact", "OPS4 streaming (complete mode)", sql=(
+@register("stream_compact", "OPS4 streaming (update mode changelog)", sql=(
     'SELECT "key", "value", "partition", "timestamp", event_id FROM (SELECT event_type AS "key", '
     "CAST(user_id AS VARCHAR) || chr(9) || event_type || ' ' || props AS \"value\", "
     'CAST(user_id % 4 AS INTEGER) AS "partition", ts AS "timestamp", event_id, row_number() OVER '
@@ -196,7 +196,7 @@ def stream_history(spark, d):
 def stream_compact(spark, d):
     out = T.newest_record_by(events_topic_stream(spark, d), ["partition", "key"],
                              order_cols=("timestamp", "event_id"))
-    return RN.run_to_files(out, output_mode="complete").select(
+    return RN.run_to_files(out, output_mode="update", keys=["partition", "key"]).select(
         "key", "value", "partition", "timestamp", "event_id")
 
 

@@ -102,14 +102,18 @@ def replay(spark: SparkSession, source: str, *, fmt: str = "parquet", options: d
 
 
 def run_to_files(df: DataFrame, *, output_mode: str = "append", path: str | None = None,
-                 checkpoint: str | None = None) -> DataFrame:
+                 checkpoint: str | None = None, keys=None) -> DataFrame:
     """Drain a streaming DataFrame (available-now) into files under the shared
     checkpoint folder and return them as a batch DataFrame.
 
     ``append``: the file sink (exactly-once through its metadata log).
-    ``complete``: each micro-batch overwrites version ``v=<batch_id>`` and the
-    newest version is read.  Nothing is collected on the driver, unlike the
-    memory sink.
+    ``update`` (keyed tables, ``keys`` given): each micro-batch writes only
+    its changed rows to ``batch_id=<id>`` (a retry overwrites its own
+    folder) - a changelog - and the table is the newest row per key, read
+    with one aggregate, like a compacted changelog topic.  Work per batch
+    is proportional to the changes, not to the table.
+    ``complete``: each micro-batch overwrites version ``v=<batch_id>``.
+    Nothing is collected on the driver, unlike the memory sink.
     """
     from rivulet.streaming.snapshot import maintain, read_latest
     spark = df.sparkSession
@@ -117,8 +121,22 @@ def run_to_files(df: DataFrame, *, output_mode: str = "append", path: str | None
     if output_mode == "append":
         drain(start(df, sink="parquet", path=path, checkpoint=checkpoint))
         return spark.read.parquet(path)
+    if output_mode == "update":
+        if not keys:
+            raise ValueError("update mode needs the table's key columns")
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.withColumn("__batch", F.lit(batch_id).cast("bigint")) \
+                 .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+        drain(start(df, output_mode="update", checkpoint=checkpoint, foreach_batch=write))
+        log = spark.read.parquet(path).drop("batch_id")
+        cols = [c for c in log.columns if c not in ("__batch", *keys)]
+        newest = F.max(F.struct(F.col("__batch"), *[F.col(c) for c in cols]))
+        return log.groupBy(*keys).agg(newest.alias("__r")).select(
+            *keys, *[F.col(f"__r.{c}").alias(c) for c in cols])
     if output_mode != "complete":
-        raise ValueError("use complete mode, or foreachBatch with an upsert, for keyed tables")
+        raise ValueError(f"unknown output mode {output_mode}")
     drain(start(df, output_mode="complete", checkpoint=checkpoint,
                 foreach_batch=maintain(path, lambda prev, batch: batch)))
     latest = read_latest(spark, path)

@@ -349,3 +349,14 @@ def test_apps_run_end_to_end(spark, topic_parts):
     import pandas as pd
     allnums = pd.concat(nums)
     assert g == {k: 10 + int(v.astype(int).sum()) for k, v in allnums.groupby("key")["value"]}
+
+
+def test_update_mode_changelog_over_four_batches(spark, topic_parts):
+    d = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts, d)
+    got = RN.run_to_files(T.word_count(_stream(spark, d)), output_mode="update", keys=["word"])
+    exp = T.word_count(_batch(spark, topic_parts))
+    assert sorted(got.collect()) == sorted(exp.collect())
+    latest = RN.run_to_files(T.latest_by_key(_stream(spark, d), ORDER_COLS, keep_tombstones=True),
+                             output_mode="update", keys=["key"])
+    assert sorted(latest.collect()) == sorted(T.latest_by_key(_batch(spark, topic_parts), ORDER_COLS).collect())
