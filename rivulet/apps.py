@@ -36,19 +36,14 @@ LAST_N = 20
 HISTORY_N = 3600
 
 
-def _upsert(prev: DataFrame | None, batch: DataFrame) -> DataFrame:
-    """Keyed table from an update-mode changelog: the batch's rows replace
-    the previous rows of their keys."""
-    return batch if prev is None else prev.join(batch.select("key"), "key", "left_anti").unionByName(batch)
-
-
 def wordcount(spark: SparkSession, a) -> object:
     """Word count: lower, split on non-word runs, count per word; the table's
-    changelog (update mode) is upserted into a keyed snapshot table."""
+    changelog (update mode) goes to ``<sink>/batch_id=<n>``, read back with
+    :func:`rivulet.streaming.snapshot.read_changelog`."""
     words = T.word_count(read_topic(spark, a.source, fmt=a.fmt, stream=True, per_trigger=a.per_trigger))
     table = words.withColumnRenamed("word", "key")
     return RN.start(table, output_mode="update", checkpoint=a.checkpoint, trigger=a.trigger,
-                    foreach_batch=SN.maintain(a.sink, _upsert))
+                    foreach_batch=SN.changelog_writer(a.sink))
 
 
 TOUR: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -69,7 +64,7 @@ def tour(spark: SparkSession, a) -> object:
     if a.flag in ("groupbyKey", "groupby"):
         counts = T.count_by_key(src) if a.flag == "groupbyKey" else T.count_by(src, T.upper_value)
         return RN.start(counts, output_mode="update", checkpoint=a.checkpoint, trigger=a.trigger,
-                        foreach_batch=SN.maintain(a.sink, _upsert))
+                        foreach_batch=SN.changelog_writer(a.sink))
     out = TOUR[a.flag](src)
     if a.flag == "foreach":
         return W.to_text(out, a.sink, checkpoint=a.checkpoint, trigger=a.trigger)
@@ -111,7 +106,7 @@ def gauges(spark: SparkSession, a) -> object:
                                                                     F.col("y").alias("value"))
     totals = L.category_total(readings).withColumnRenamed("category", "key")
     return RN.start(totals, output_mode="update", checkpoint=a.checkpoint, trigger=a.trigger,
-                    foreach_batch=SN.maintain(a.sink, _upsert))
+                    foreach_batch=SN.changelog_writer(a.sink))
 
 
 APPS = {"wordcount": wordcount, "tour": tour, "consumer": consumer, "livechart": livechart,

@@ -125,16 +125,9 @@ def run_to_files(df: DataFrame, *, output_mode: str = "append", path: str | None
         if not keys:
             raise ValueError("update mode needs the table's key columns")
 
-        def write(batch: DataFrame, batch_id: int) -> None:
-            batch.withColumn("__batch", F.lit(batch_id).cast("bigint")) \
-                 .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-        drain(start(df, output_mode="update", checkpoint=checkpoint, foreach_batch=write))
-        log = spark.read.parquet(path).drop("batch_id")
-        cols = [c for c in log.columns if c not in ("__batch", *keys)]
-        newest = F.max(F.struct(F.col("__batch"), *[F.col(c) for c in cols]))
-        return log.groupBy(*keys).agg(newest.alias("__r")).select(
-            *keys, *[F.col(f"__r.{c}").alias(c) for c in cols])
+        from rivulet.streaming.snapshot import changelog_writer, read_changelog
+        drain(start(df, output_mode="update", checkpoint=checkpoint, foreach_batch=changelog_writer(path)))
+        return read_changelog(spark, path, keys)
     if output_mode != "complete":
         raise ValueError(f"unknown output mode {output_mode}")
     drain(start(df, output_mode="complete", checkpoint=checkpoint,

@@ -154,3 +154,25 @@ def running_totals(out_path: str, carry_path: str, inc: str | None, order, serie
             _prune(spark, history_path, keep_versions)
 
     return run
+
+
+def changelog_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer for an update-mode keyed table: each batch's
+    changed rows go to ``batch_id=<id>`` (a retry overwrites its folder)."""
+    from pyspark.sql import functions as F
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("__batch", F.lit(batch_id).cast("bigint")) \
+             .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    return run
+
+
+def read_changelog(spark: SparkSession, path: str, keys) -> DataFrame:
+    """The table behind a changelog: the newest row per key (one aggregate,
+    as log compaction keeps it)."""
+    from pyspark.sql import functions as F
+    keys = list(keys)
+    log = spark.read.parquet(path).drop("batch_id")
+    cols = [c for c in log.columns if c not in ("__batch", *keys)]
+    newest = F.max(F.struct(F.col("__batch"), *[F.col(c) for c in cols]))
+    return log.groupBy(*keys).agg(newest.alias("__r")).select(*keys, *[F.col(f"__r.{c}").alias(c) for c in cols])

@@ -317,14 +317,14 @@ def test_apps_run_end_to_end(spark, topic_parts):
 
     RN.drain(apps.run(spark, ["wordcount", "--source", src, "--sink", f"{base}/wc",
                               "--checkpoint", f"{base}/ck-wc", "--per-trigger", "1"]))
-    got = SN.read_latest(spark, f"{base}/wc")
+    got = SN.read_changelog(spark, f"{base}/wc", ["key"])
     exp = T.word_count(_batch(spark, topic_parts)).withColumnRenamed("word", "key")
     assert sorted(got.collect()) == sorted(exp.collect())
 
     RN.drain(apps.run(spark, ["tour", "--flag", "groupby", "--source", src, "--sink", f"{base}/gb",
                               "--checkpoint", f"{base}/ck-gb"]))
     exp = T.count_by(_batch(spark, topic_parts), T.upper_value)
-    assert sorted(SN.read_latest(spark, f"{base}/gb").collect()) == sorted(exp.collect())
+    assert sorted(SN.read_changelog(spark, f"{base}/gb", ["key"]).collect()) == sorted(exp.collect())
 
     RN.drain(apps.run(spark, ["tour", "--flag", "map", "--source", src, "--sink", f"{base}/map",
                               "--checkpoint", f"{base}/ck-map"]))
@@ -345,7 +345,7 @@ def test_apps_run_end_to_end(spark, topic_parts):
 
     RN.drain(apps.run(spark, ["gauges", "--source", nsrc, "--sink", f"{base}/g",
                               "--checkpoint", f"{base}/ck-g", "--per-trigger", "1"]))
-    g = {r.key: r.value for r in SN.read_latest(spark, f"{base}/g").collect()}
+    g = {r.key: r.value for r in SN.read_changelog(spark, f"{base}/g", ["key"]).collect()}
     import pandas as pd
     allnums = pd.concat(nums)
     assert g == {k: 10 + int(v.astype(int).sum()) for k, v in allnums.groupby("key")["value"]}
