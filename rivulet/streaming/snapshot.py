@@ -176,3 +176,69 @@ def read_changelog(spark: SparkSession, path: str, keys) -> DataFrame:
     cols = [c for c in log.columns if c not in ("__batch", *keys)]
     newest = F.max(F.struct(F.col("__batch"), *[F.col(c) for c in cols]))
     return log.groupBy(*keys).agg(newest.alias("__r")).select(*keys, *[F.col(f"__r.{c}").alias(c) for c in cols])
+
+
+def take_until_batches(out_path: str, carry_path: str, sentinel, order_cols=("offset",),
+                       key: str = "partition", keep_versions: int = 2) -> Callable[[DataFrame, int], None]:
+    """SRC7 streaming without keyed state: per micro-batch, the first
+    sentinel of each partition (one aggregate) and the carried set of
+    partitions that already stopped (one row per partition) cut the batch;
+    rows before the cut go to ``out_path/batch=<id>``."""
+    from pyspark.sql import functions as F
+
+    from rivulet.operators.joins import join_small
+
+    order = [F.col(c) for c in order_cols]
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        prev = read_latest(spark, carry_path, before=batch_id)
+        flagged = batch.withColumn("__stop", F.coalesce(sentinel, F.lit(False)))
+        cuts = (flagged.where("__stop").groupBy(F.col(key).alias("__p"))
+                .agg(F.min(F.struct(*order)).alias("__cut")))
+        if prev is not None:
+            stopped = prev.select(F.col(key).alias("__p"), F.lit(True).alias("__done"))
+            cuts = cuts.join(stopped, "__p", "full_outer")
+        else:
+            cuts = cuts.withColumn("__done", F.lit(None).cast("boolean"))
+        cuts = cuts.persist()
+        try:
+            j = join_small(flagged, cuts, F.col(key) == F.col("__p"), "left")
+            keep = F.col("__done").isNull() & (F.col("__cut").isNull() | (F.struct(*order) < F.col("__cut")))
+            j.where(keep).drop("__stop", "__p", "__cut", "__done") \
+             .write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+            cuts.where(F.col("__cut").isNotNull() | F.col("__done").isNotNull()) \
+                .select(F.col("__p").alias(key)).write.mode("overwrite").parquet(f"{carry_path}/v={batch_id}")
+        finally:
+            cuts.unpersist()
+        _prune(spark, carry_path, keep_versions)
+
+    return run
+
+
+def offset_gaps_batches(out_path: str, carry_path: str, key: str = "partition", col: str = "offset",
+                        keep_versions: int = 2) -> Callable[[DataFrame, int], None]:
+    """OPS9 streaming without keyed state: the batch's offsets plus the
+    carried last offset of each partition go through the bucketed ``lag``;
+    gaps and duplicates go to ``out_path/batch=<id>``."""
+    from pyspark.sql import functions as F
+
+    from rivulet.operators.topics import offset_gaps
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        prev = read_latest(spark, carry_path, before=batch_id)
+        cur = batch.select(key, col).withColumn("__carried", F.lit(False))
+        both = cur if prev is None else cur.unionByName(
+            prev.select(key, col).withColumn("__carried", F.lit(True)))
+        both = both.persist()
+        try:
+            found = offset_gaps(both)
+            found.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+            both.groupBy(key).agg(F.max(col).alias(col)).write.mode("overwrite") \
+                .parquet(f"{carry_path}/v={batch_id}")
+        finally:
+            both.unpersist()
+        _prune(spark, carry_path, keep_versions)
+
+    return run

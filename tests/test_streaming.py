@@ -360,3 +360,24 @@ def test_update_mode_changelog_over_four_batches(spark, topic_parts):
     latest = RN.run_to_files(T.latest_by_key(_stream(spark, d), ORDER_COLS, keep_tombstones=True),
                              output_mode="update", keys=["key"])
     assert sorted(latest.collect()) == sorted(T.latest_by_key(_batch(spark, topic_parts), ORDER_COLS).collect())
+
+
+def test_distributed_take_until_and_gaps_parity(spark, topic_parts):
+    from rivulet.operators.topics import offset_gaps
+    from rivulet.sources.readers import take_until
+    d = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts, d)
+    base = tempfile.mkdtemp(prefix="rv-tu-")
+    RN.drain(RN.start(_stream(spark, d), foreach_batch=SN.take_until_batches(
+        f"{base}/out", f"{base}/carry", F.col("key") == "error")))
+    got = spark.read.parquet(f"{base}/out").drop("batch")
+    exp = take_until(_batch(spark, topic_parts), F.col("key") == "error")
+    assert sorted(got.collect()) == sorted(exp.collect())
+
+    thinned = [p[p["key"] != "error"] for p in topic_parts]
+    d2 = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(thinned, d2)
+    base2 = tempfile.mkdtemp(prefix="rv-gaps-")
+    RN.drain(RN.start(_stream(spark, d2), foreach_batch=SN.offset_gaps_batches(f"{base2}/out", f"{base2}/carry")))
+    got = spark.read.parquet(f"{base2}/out").drop("batch")
+    assert sorted(got.collect()) == sorted(offset_gaps(_batch(spark, thinned)).collect())
