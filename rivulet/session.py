@@ -24,6 +24,41 @@ _DEFAULTS = {
 }
 
 
+# Settings for a large cluster (about 100 TB of input, on the order of a
+# thousand executors).  Shuffle partitions are set high and adaptive
+# execution coalesces them to ~256 MB each, so a stage neither spills
+# because partitions are too big nor drowns in tiny tasks; scans split at
+# 256 MB; skewed shuffle-join partitions are split; keyed streaming state
+# lives in RocksDB.  ``spark.checkpoint.dir`` must name a shared folder.
+CLUSTER_CONF = {
+    **_DEFAULTS,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "rivulet.order.bucketSeconds": "600",
+}
+
+
+def cluster_session(app_name: str = "rivulet", extra: dict | None = None) -> SparkSession:
+    """Session for a cluster deployment: the master, executors and
+    ``spark.checkpoint.dir`` come from the submit command; this adds
+    :data:`CLUSTER_CONF` where the deployment did not set a value."""
+    spark = SparkSession.builder.appName(app_name).getOrCreate()
+    for k, v in {**CLUSTER_CONF, **(extra or {})}.items():
+        try:
+            if spark.conf.get(k, None) is None:
+                spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - static settings belong to spark-submit
+            pass
+    checkpoint_dir(spark)
+    return spark
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "rivulet", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench (``local[N]``, UI off)."""
