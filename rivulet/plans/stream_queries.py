@@ -29,7 +29,7 @@ SENTINEL_KEY = "error"
 
 
 def _docs_stream(spark, d):
-    docs = stream_table(spark, d, "documents")
+    docs = stream_table(spark, d, "documents", spread_by=("doc_id",))
     return docs.select(F.col("lang").alias("key"), F.col("text").alias("value"))
 
 

@@ -27,12 +27,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1) -> DataFrame:
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1,
+                 spread_by: tuple = ()) -> DataFrame:
     """A test table as a file stream (the file source needs a directory, so
-    the table's file is selected with a glob filter)."""
-    schema = table(spark, sf_dir, name).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", files_per_trigger).parquet(sf_dir.rstrip("/")))
+    the table's file is selected with a glob filter).
+
+    ``spread_by``: unique id columns; if a batch read of the same file has
+    fewer splits than cores, each micro-batch is hash-spread on them (the
+    rule of :func:`spread`, decided on the static file layout)."""
+    static = table(spark, sf_dir, name)
+    stream = (spark.readStream.schema(static.schema).option("pathGlobFilter", f"{name}.parquet")
+              .option("maxFilesPerTrigger", files_per_trigger).parquet(sf_dir.rstrip("/")))
+    if spread_by and spread(static, *spread_by) is not static:
+        return stream.repartition(spark.sparkContext.defaultParallelism * 2, *spread_by)
+    return stream
 
 
 def events_topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
