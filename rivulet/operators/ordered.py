@@ -35,10 +35,32 @@ _B = "__obkt"   # bucket id
 
 # ---------------------------------------------------------------- buckets
 
-def time_bucket(col, seconds: int) -> Column:
-    """Bucket id of a timestamp (or timestamp_ntz) column, ``seconds`` wide."""
-    micros = F.unix_micros(as_col(col).cast("timestamp"))
-    return F.floor(micros / F.lit(int(seconds) * 1_000_000))
+def _epoch_micros(col, ntz: bool = True) -> Column:
+    """Microseconds since 1970-01-01 as a non-decreasing function of the column.
+
+    ``timestamp`` is an instant: ``unix_micros``.  ``timestamp_ntz`` is a wall
+    clock: built from its own fields, because any conversion to an instant
+    goes through the session time zone, which is not monotone across a
+    daylight-saving gap."""
+    c = as_col(col)
+    if not ntz:
+        return F.unix_micros(c)
+    day = F.unix_date(F.to_date(c)).cast("bigint") * F.lit(86_400_000_000)
+    clock = (F.hour(c).cast("bigint") * F.lit(3_600_000_000) + F.minute(c).cast("bigint") * F.lit(60_000_000)
+             + (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("bigint"))
+    return day + clock
+
+
+def time_bucket(col, seconds: int, ntz: bool = True) -> Column:
+    """Bucket id of a timestamp_ntz (``ntz``) or timestamp column, ``seconds`` wide."""
+    return F.floor(_epoch_micros(col, ntz) / F.lit(int(seconds) * 1_000_000))
+
+
+def _is_ntz(df: DataFrame, col: str) -> bool:
+    try:
+        return df.schema[col].dataType.typeName() == "timestamp_ntz"
+    except (KeyError, AttributeError):
+        return True
 
 
 def number_bucket(col, width: int) -> Column:
@@ -50,9 +72,8 @@ def auto_time_seconds(df: DataFrame, col: str, target_rows: int = 1_000_000,
                       min_seconds: int = 1) -> int:
     """Bucket width so that a bucket of uniformly spread rows holds about
     ``target_rows`` rows.  One aggregate job; three scalars reach the driver."""
-    r = df.agg(F.min(F.unix_seconds(F.col(col).cast("timestamp"))).alias("lo"),
-               F.max(F.unix_seconds(F.col(col).cast("timestamp"))).alias("hi"),
-               F.count(F.lit(1)).alias("n")).first()
+    secs = F.floor(_epoch_micros(col, _is_ntz(df, col)) / F.lit(1_000_000))
+    r = df.agg(F.min(secs).alias("lo"), F.max(secs).alias("hi"), F.count(F.lit(1)).alias("n")).first()
     if r is None or r["n"] == 0 or r["lo"] is None:
         return max(min_seconds, 3600)
     span = r["hi"] - r["lo"] + 1
@@ -97,16 +118,15 @@ class Order:
     by: tuple
     bucket: Column | None = None
     kind: str = "time"
+    width: int | None = None
 
     @staticmethod
     def by_time(ts: str, *tie_breakers: str, seconds: int | None = None) -> "Order":
-        b = time_bucket(ts, seconds) if seconds else None
-        return Order(tuple([ts, *tie_breakers]), b, "time")
+        return Order(tuple([ts, *tie_breakers]), None, "time", seconds)
 
     @staticmethod
     def by_number(col: str, *tie_breakers: str, width: int | None = None) -> "Order":
-        b = number_bucket(col, width) if width else None
-        return Order(tuple([col, *tie_breakers]), b, "number")
+        return Order(tuple([col, *tie_breakers]), None, "number", width)
 
     def bucket_for(self, df: DataFrame) -> Column:
         if self.bucket is not None:
@@ -115,9 +135,10 @@ class Order:
         first = self.by[0]
         rows = int(conf.get(CONF_ROWS, None) or DEFAULT_BUCKET_ROWS)
         if self.kind == "time":
-            w = conf.get(CONF_SECONDS, None) or DEFAULT_SECONDS
-            return time_bucket(first, auto_time_seconds(df, first, rows) if w == "auto" else int(w))
-        w = conf.get(CONF_WIDTH, None) or DEFAULT_WIDTH
+            w = self.width or conf.get(CONF_SECONDS, None) or DEFAULT_SECONDS
+            secs = auto_time_seconds(df, first, rows) if w == "auto" else int(w)
+            return time_bucket(first, secs, _is_ntz(df, first))
+        w = self.width or conf.get(CONF_WIDTH, None) or DEFAULT_WIDTH
         return number_bucket(first, auto_number_width(df, first, rows) if w == "auto" else int(w))
 
 

@@ -105,3 +105,17 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert hot_plain == 1
     assert hot_bucketed >= 4
     assert sorted(plain.select("id", "s").collect()) == sorted(bucketed.select("id", "s").collect())
+
+
+def test_time_buckets_are_monotone_across_a_dst_gap(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 3, 10, 1, 50)
+    rows = [("k", base + dt.timedelta(minutes=5 * i), i, 1) for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, id bigint, v bigint")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = sorted(running_sum(df, "v", Order.by_time("t", "id", seconds=600), ["k"], out="s")
+                     .select("id", "s").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.s for r in got] == list(range(1, 31))
