@@ -121,12 +121,12 @@ def running_totals(out_path: str, carry_path: str, inc: str | None, order, serie
             p = prev.select(F.col("__ck").alias("__pk"), "__n", "__t")
             cur = cur.join(p, F.col("__ck") == F.col("__pk"), "left").drop("__pk")
         else:
-            cur = cur.withColumn("__n", F.lit(None).cast("bigint")).withColumn("__t", F.lit(None))
+            cur = cur.withColumn("__n", F.lit(None).cast("bigint")).withColumn("__t", F.lit(None).cast("bigint"))
         cur = cur.withColumn(seq, F.col("__s") + F.coalesce("__n", F.lit(0)))
         if inc:
             cur = cur.withColumn(total, F.coalesce("__t", F.lit(seed)) + F.coalesce("__r", F.lit(0)))
         else:
-            cur = cur.withColumn(total, F.lit(None))
+            cur = cur.withColumn(total, F.lit(None).cast("bigint"))
         cur = cur.persist()
         try:
             cur.drop("__s", "__r", "__n", "__t", "__ck", *([] if inc else [total])) \
