@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.numbers import long_to_bytes
 from rivulet.functions.text import java_format
 from rivulet.operators.records import RECORD_FORMAT
-from rivulet.sources.envelope import FIELDS
+from rivulet.sources.envelope import FIELDS, TEXT_FORMAT_OPTIONS
 
 
 def _write(df: DataFrame, fmt: str, path: str | None, *, mode: str = "append",
@@ -40,6 +40,8 @@ def to_topic(df: DataFrame, topic: str, *, fmt: str = "parquet", **kw):
     for c, t in missing.items():
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast(t))
+    if fmt in ("json", "csv"):
+        kw["options"] = {**TEXT_FORMAT_OPTIONS, **(kw.get("options") or {})}
     return _write(out.select(*FIELDS), fmt, topic, **kw)
 
 

@@ -30,6 +30,11 @@ RAW_ENVELOPE = T.StructType([
 
 FIELDS = ["key", "value", "partition", "offset", "timestamp"]
 
+# Text formats keep the full microsecond precision of the timestamp (the
+# JSON/CSV default formats stop at milliseconds).
+TEXT_FORMAT_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+                       "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 
 def from_kafka(df: DataFrame) -> DataFrame:
     """Cast Spark's Kafka source schema to the string envelope."""
@@ -73,6 +78,8 @@ def read_topic(spark: SparkSession, topic: str, *, fmt: str = "parquet", stream:
         return from_kafka(df)
     if stream and per_trigger:
         opts.setdefault("maxFilesPerTrigger", str(per_trigger))
+    if fmt in ("json", "csv"):
+        opts = {**TEXT_FORMAT_OPTIONS, **opts}
     schema = RAW_ENVELOPE if raw else ENVELOPE
     return reader.format(fmt).schema(schema).options(**opts).load(topic)
 

@@ -381,3 +381,22 @@ def test_distributed_take_until_and_gaps_parity(spark, topic_parts):
     RN.drain(RN.start(_stream(spark, d2), foreach_batch=SN.offset_gaps_batches(f"{base2}/out", f"{base2}/carry")))
     got = spark.read.parquet(f"{base2}/out").drop("batch")
     assert sorted(got.collect()) == sorted(offset_gaps(_batch(spark, thinned)).collect())
+
+
+def test_json_topic_raw_envelope_decode_and_console_lines(spark, topic_parts):
+    from rivulet.sources.envelope import RAW_ENVELOPE
+    from rivulet.sources.readers import decode_values
+    d = tempfile.mkdtemp(prefix="rv-json-") + "/topic"
+    b = _batch(spark, topic_parts)
+    W.to_topic(b, d, fmt="json")
+    back = read_topic(spark, d, fmt="json")
+    assert sorted(back.collect()) == sorted(b.collect())
+
+    raw_dir = tempfile.mkdtemp(prefix="rv-raw-") + "/topic"
+    rows = [(None, bytearray(b"ok"), 0, 0, None), (None, bytearray(b"\xffbad"), 0, 1, None)]
+    spark.createDataFrame(rows, RAW_ENVELOPE).write.parquet(raw_dir)
+    decoded = RN.run_to_files(decode_values(read_topic(spark, raw_dir, stream=True, raw=True)))
+    assert sorted((r.offset, r.value, r.valid) for r in decoded.collect()) == [(0, "ok", True), (1, None, False)]
+
+    lines = W.console_lines(b.where(F.col("offset") == 0)).collect()
+    assert all(r.value.startswith("Consumer Record:(") for r in lines) and len(lines) == 4
