@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from rivulet.operators.live import last_n
 from rivulet.operators.ordered import Order, running_sum
+from rivulet.sources.envelope import TEXT_FORMAT_OPTIONS
 from rivulet.streaming.snapshot import _prune, read_latest
 
 STATE_COLUMNS = ("panel", "series", "x_time", "x_cat", "y", "__ots", "__oid")
@@ -119,7 +120,7 @@ def dashboard_sink(path: str, panels: Sequence[PanelSpec], json_path: str | None
         if json_path:
             # the panel table is bounded (domains and n points), one JSON file
             read_latest(spark, path).select("panel", "series", "x_time", "x_cat", "y") \
-                .coalesce(1).write.mode("overwrite").json(json_path)
+                .coalesce(1).write.mode("overwrite").options(**TEXT_FORMAT_OPTIONS).json(json_path)
     return run
 
 

@@ -90,8 +90,9 @@ def mirror(spark: SparkSession, source: str, target: str, *, fmt: str = "parquet
         opts.setdefault("topic", target)
         return start(stream.select("key", "value"), sink="kafka", checkpoint=checkpoint,
                      trigger=trigger, options=opts)
-    return start(stream, sink=fmt, checkpoint=checkpoint, trigger=trigger, path=target,
-                 options=target_options)
+    from rivulet.sinks.writers import to_topic
+    return to_topic(stream, target, fmt=fmt, checkpoint=checkpoint, trigger=trigger,
+                    options=target_options)
 
 
 def replay(spark: SparkSession, source: str, *, fmt: str = "parquet", options: dict | None = None) -> DataFrame:

@@ -81,7 +81,8 @@ def json_snapshot(path: str, build: Callable[[DataFrame], DataFrame]) -> Callabl
     """SNK7: publish the current panel table as one small JSON document for
     an embedding page; each batch replaces it (idempotent per batch)."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        build(batch).coalesce(1).write.mode("overwrite").json(path)
+        from rivulet.sources.envelope import TEXT_FORMAT_OPTIONS
+        build(batch).coalesce(1).write.mode("overwrite").options(**TEXT_FORMAT_OPTIONS).json(path)
     return run
 
 

@@ -400,3 +400,15 @@ def test_json_topic_raw_envelope_decode_and_console_lines(spark, topic_parts):
 
     lines = W.console_lines(b.where(F.col("offset") == 0)).collect()
     assert all(r.value.startswith("Consumer Record:(") for r in lines) and len(lines) == 4
+
+
+def test_mirror_json_topic_keeps_microseconds(spark, topic_parts):
+    src = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts, src)
+    dst = tempfile.mkdtemp(prefix="rv-mirror-") + "/topic"
+    RN.drain(RN.mirror(spark, src, dst, fmt="parquet"))
+    jdst = tempfile.mkdtemp(prefix="rv-mirror-") + "/json"
+    W.to_topic(RN.replay(spark, dst), jdst, fmt="json")
+    jdst2 = tempfile.mkdtemp(prefix="rv-mirror-") + "/json2"
+    RN.drain(RN.mirror(spark, jdst, jdst2, fmt="json"))
+    assert sorted(RN.replay(spark, jdst2, fmt="json").collect()) == sorted(_batch(spark, topic_parts).collect())
