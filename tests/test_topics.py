@@ -81,3 +81,31 @@ def test_auto_bucket_width_setting(spark):
         spark.conf.unset("rivulet.order.bucketWidth")
         spark.conf.unset("rivulet.order.bucketRows")
     assert got == list(range(1, 201))
+
+
+def test_throughput_exact_and_approximate(spark):
+    base = dt.datetime(2024, 1, 1)
+    rows = [("k", "x" * (i % 7 + 1), 0, i, base + dt.timedelta(seconds=30 * i)) for i in range(240)]
+    df = envelope(spark, rows)
+    exact = {r.bucket: r for r in O.throughput(df, bucket="hour").collect()}
+    approx = {r.bucket: r for r in O.throughput(df, bucket="hour", exact=False).collect()}
+    assert len(exact) == 2 and set(exact) == set(approx)
+    for b, r in exact.items():
+        assert r.records == 120 and r.records_per_sec == 120 / 3600
+        assert approx[b].records == r.records and approx[b].bytes == r.bytes
+        assert 1 <= approx[b].p95_bytes <= 7
+
+
+def test_auto_time_bucket_setting(spark):
+    from rivulet.operators.ordered import Order, sequence_number
+    base = dt.datetime(2024, 1, 1)
+    rows = [("k", base + dt.timedelta(minutes=13 * i), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, id bigint")
+    spark.conf.set("rivulet.order.bucketSeconds", "auto")
+    spark.conf.set("rivulet.order.bucketRows", "20")
+    try:
+        got = sorted(r.seq for r in sequence_number(df, Order.by_time("t", "id"), ["k"]).collect())
+    finally:
+        spark.conf.unset("rivulet.order.bucketSeconds")
+        spark.conf.unset("rivulet.order.bucketRows")
+    assert got == list(range(1, 301))
