@@ -37,9 +37,16 @@ def committed_offsets(df: DataFrame, processed: Column) -> DataFrame:
             .agg((F.max("offset") + 1).cast("bigint").alias("committed")))
 
 
-def delete_before(df: DataFrame, low_watermarks: DataFrame, col: str = "committed") -> DataFrame:
+def delete_before(df: DataFrame, low_watermarks, col: str = "committed") -> DataFrame:
     """OPS3 (delete-records): drop records below each partition's low
-    watermark; partitions without one keep everything."""
+    watermark; partitions without one keep everything.
+
+    ``low_watermarks``: a ``{partition: offset}`` map (as the delete-records
+    tool takes it) becomes a pushable filter; a DataFrame
+    ``(partition, committed)`` is joined after a size check."""
+    if isinstance(low_watermarks, dict):
+        from rivulet.sources.readers import EARLIEST, offsets_predicate
+        return df.where(offsets_predicate(low_watermarks, default=EARLIEST))
     lw = low_watermarks.select(F.col("partition").alias("__p"), F.col(col).alias("__low"))
     j = join_small(df, lw, F.col("partition") == F.col("__p"), "left")
     return j.where(F.col("__low").isNull() | (F.col("offset") >= F.col("__low"))).drop("__p", "__low")

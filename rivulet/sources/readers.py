@@ -18,26 +18,35 @@ EARLIEST = -2
 SENTINEL = "exit"
 
 
+def offsets_predicate(starts: dict[int, int], default: int = EARLIEST) -> Column:
+    """The filter of :func:`from_offsets` as an OR of per-partition terms
+    ``partition = p AND offset >= s`` - a form the parquet reader can push
+    down (partition pruning on a topic stored ``partitionBy('partition')``,
+    row-group skipping on offset statistics)."""
+    terms = []
+    for p, start in sorted(starts.items()):
+        if start == LATEST:
+            continue
+        hit = F.col("partition") == F.lit(int(p))
+        terms.append(hit if start == EARLIEST else hit & (F.col("offset") >= F.lit(int(start))))
+    if default == EARLIEST:
+        listed = [int(p) for p in starts]
+        terms.append(~F.col("partition").isin(listed) if listed else F.lit(True))
+    if not terms:
+        return F.lit(False)
+    out = terms[0]
+    for t in terms[1:]:
+        out = out | t
+    return out
+
+
 def from_offsets(df: DataFrame, starts: dict[int, int], default: int = EARLIEST) -> DataFrame:
     """SRC2 (batch): rows at or after the start offset of their partition.
 
     ``starts`` maps partition -> offset, ``-1`` = latest (nothing that exists
-    now), ``-2`` = earliest; unlisted partitions use ``default``.  The map
-    becomes one CASE expression - a plain filter, no join.
-    """
-    def cond(start: int) -> Column:
-        if start == LATEST:
-            return F.lit(False)
-        if start == EARLIEST:
-            return F.lit(True)
-        return F.col("offset") >= F.lit(int(start))
-
-    expr = None
-    for p, s in sorted(starts.items()):
-        hit = F.col("partition") == F.lit(int(p))
-        expr = F.when(hit, cond(s)) if expr is None else expr.when(hit, cond(s))
-    expr = cond(default) if expr is None else expr.otherwise(cond(default))
-    return df.where(expr)
+    now), ``-2`` = earliest; unlisted partitions use ``default``.  A plain,
+    pushable filter - no join."""
+    return df.where(offsets_predicate(starts, default))
 
 
 def decode_values(df: DataFrame, value: str = "value", out: str = "value",

@@ -109,3 +109,20 @@ def test_auto_time_bucket_setting(spark):
         spark.conf.unset("rivulet.order.bucketSeconds")
         spark.conf.unset("rivulet.order.bucketRows")
     assert got == list(range(1, 301))
+
+
+def test_from_offsets_is_pushed_to_a_stored_topic(spark, tmp_path):
+    from rivulet.sources.envelope import read_topic
+    rows = [("k", str(i), p, i) for p in range(3) for i in range(50)]
+    path = str(tmp_path / "topic")
+    envelope(spark, rows).write.partitionBy("partition").parquet(path)
+    out = S.from_offsets(read_topic(spark, path), {0: 40, 1: S.LATEST}, default=S.LATEST)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "offset" in plan.split("PushedFilters")[1].split("]")[0]
+    assert sorted((r.partition, r.offset) for r in out.collect()) == [(0, i) for i in range(40, 50)]
+
+
+def test_delete_before_map_form(spark):
+    rows = [("k", str(i), p, i) for p in range(2) for i in range(5)]
+    out = O.delete_before(envelope(spark, rows), {0: 3})
+    assert sorted((r.partition, r.offset) for r in out.collect()) == [(0, 3), (0, 4)] + [(1, i) for i in range(5)]
