@@ -22,6 +22,7 @@ allows.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,25 +36,39 @@ _B = "__obkt"   # bucket id
 
 # ---------------------------------------------------------------- buckets
 
-def _epoch_micros(col, ntz: bool = True) -> Column:
-    """Microseconds since 1970-01-01 as a non-decreasing function of the column.
+_FIXED_ZONES = {"UTC", "GMT", "Z", "ETC/UTC", "ETC/GMT", "ETC/UCT", "UCT", "ETC/ZULU", "ZULU"}
 
-    ``timestamp`` is an instant: ``unix_micros``.  ``timestamp_ntz`` is a wall
-    clock: built from its own fields, because any conversion to an instant
-    goes through the session time zone, which is not monotone across a
-    daylight-saving gap."""
+
+def _fixed_offset_zone(tz: str | None) -> bool:
+    """True for session time zones without daylight saving (UTC and explicit
+    offsets), where casting timestamp_ntz to timestamp is monotone."""
+    if not tz:
+        return False
+    t = tz.strip().upper()
+    return t in _FIXED_ZONES or bool(re.fullmatch(r"(UTC|GMT)?[+-]\d{1,2}(:\d{2})?", t))
+
+
+def _epoch_seconds(col, ntz: bool = True, fixed_zone: bool = False) -> Column:
+    """Whole seconds since 1970-01-01 as a non-decreasing function of the
+    column (bucket widths are whole seconds, so the fraction is not needed).
+
+    ``timestamp`` is an instant: ``unix_seconds``.  ``timestamp_ntz`` is a
+    wall clock: built from its own integer fields, because any conversion to
+    an instant goes through the session time zone, which is not monotone
+    across a daylight-saving gap."""
     c = as_col(col)
     if not ntz:
-        return F.unix_micros(c)
-    day = F.unix_date(F.to_date(c)).cast("bigint") * F.lit(86_400_000_000)
-    clock = (F.hour(c).cast("bigint") * F.lit(3_600_000_000) + F.minute(c).cast("bigint") * F.lit(60_000_000)
-             + (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("bigint"))
-    return day + clock
+        return F.unix_seconds(c)
+    if fixed_zone:  # no daylight saving: the cheaper cast is monotone
+        return F.unix_seconds(c.cast("timestamp"))
+    return (F.unix_date(F.to_date(c)).cast("bigint") * F.lit(86_400)
+            + F.hour(c) * F.lit(3_600) + F.minute(c) * F.lit(60) + F.second(c))
 
 
-def time_bucket(col, seconds: int, ntz: bool = True) -> Column:
-    """Bucket id of a timestamp_ntz (``ntz``) or timestamp column, ``seconds`` wide."""
-    return F.floor(_epoch_micros(col, ntz) / F.lit(int(seconds) * 1_000_000))
+def time_bucket(col, seconds: int, ntz: bool = True, fixed_zone: bool = False) -> Column:
+    """Bucket id of a timestamp_ntz (``ntz``) or timestamp column, ``seconds`` wide;
+    ``fixed_zone``: the session time zone has no daylight saving."""
+    return F.floor(_epoch_seconds(col, ntz, fixed_zone) / F.lit(int(seconds)))
 
 
 def _is_ntz(df: DataFrame, col: str) -> bool:
@@ -72,7 +87,7 @@ def auto_time_seconds(df: DataFrame, col: str, target_rows: int = 1_000_000,
                       min_seconds: int = 1) -> int:
     """Bucket width so that a bucket of uniformly spread rows holds about
     ``target_rows`` rows.  One aggregate job; three scalars reach the driver."""
-    secs = F.floor(_epoch_micros(col, _is_ntz(df, col)) / F.lit(1_000_000))
+    secs = _epoch_seconds(col, _is_ntz(df, col))
     r = df.agg(F.min(secs).alias("lo"), F.max(secs).alias("hi"), F.count(F.lit(1)).alias("n")).first()
     if r is None or r["n"] == 0 or r["lo"] is None:
         return max(min_seconds, 3600)
@@ -137,7 +152,8 @@ class Order:
         if self.kind == "time":
             w = self.width or conf.get(CONF_SECONDS, None) or DEFAULT_SECONDS
             secs = auto_time_seconds(df, first, rows) if w == "auto" else int(w)
-            return time_bucket(first, secs, _is_ntz(df, first))
+            fixed = _fixed_offset_zone(conf.get("spark.sql.session.timeZone", None))
+            return time_bucket(first, secs, _is_ntz(df, first), fixed)
         w = self.width or conf.get(CONF_WIDTH, None) or DEFAULT_WIDTH
         return number_bucket(first, auto_number_width(df, first, rows) if w == "auto" else int(w))
 
