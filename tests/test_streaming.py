@@ -14,9 +14,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from rivulet.operators import live as L
+from rivulet.operators import records as R
 from rivulet.operators import tables as T
 from rivulet.operators.ordered import Order
 from rivulet.sinks import writers as W
+from rivulet.sources import readers as RD
 from rivulet.sources.envelope import ENVELOPE, read_lines, read_topic
 from rivulet.sources.tables import env_events
 from rivulet.streaming import keyed as K
@@ -412,3 +414,33 @@ def test_mirror_json_topic_keeps_microseconds(spark, topic_parts):
     jdst2 = tempfile.mkdtemp(prefix="rv-mirror-") + "/json2"
     RN.drain(RN.mirror(spark, jdst, jdst2, fmt="json"))
     assert sorted(RN.replay(spark, jdst2, fmt="json").collect()) == sorted(_batch(spark, topic_parts).collect())
+
+
+RECORD_OPS = {
+    "branch": lambda df: R.branch(df, lambda k, v: k.startswith("c"), lambda k, v: k.startswith("v"), F.lit(True)),
+    "filter": lambda df: R.filter_records(df, R.first_tab_field_is_not()),
+    "filter_numeric": lambda df: R.filter_records(df, R.first_tab_number_above()),
+    "filter_not": lambda df: R.filter_not(df, R.first_tab_number_above()),
+    "flat_map": lambda df: R.flat_map(df, R.hey_hi),
+    "flat_map_values": lambda df: R.flat_map_values_split(df, "\\W+", lower=True),
+    "flat_map_ws": lambda df: R.flat_map_values_split(df, "\\s+"),
+    "map": lambda df: R.map_records(df, R.lower_and_length),
+    "map_values": lambda df: R.map_values(df, F.upper),
+    "select_key": lambda df: R.select_key(df, R.first_word_key),
+    "format_line": lambda df: R.format_line(df),
+    "constant_key": lambda df: R.constant_key(df),
+    "route": lambda df: R.route(df, {"a": lambda d: d.where(F.col("key") == "click"),
+                                     "b": lambda d: R.filter_records(d, R.first_tab_field_is_not())}),
+    "json_envelope": lambda df: RD.unwrap_json(RD.wrap_json(df)),
+    "long_values": lambda df: W.long_values(df.withColumn("count", F.length("value").cast("bigint"))),
+}
+
+
+@pytest.mark.parametrize("op", sorted(RECORD_OPS))
+def test_record_operator_batch_stream_parity(spark, topic_parts, op):
+    d = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts, d)
+    got = RN.run_to_files(RECORD_OPS[op](_stream(spark, d)))
+    exp = RECORD_OPS[op](_batch(spark, topic_parts))
+    assert got.count() == exp.count()
+    assert sorted(got.select(*exp.columns).collect()) == sorted(exp.collect())
