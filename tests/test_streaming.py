@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from rivulet.operators import live as L
 from rivulet.operators import records as R
 from rivulet.operators import tables as T
+from rivulet.operators import topics as O
 from rivulet.operators.ordered import Order
 from rivulet.sinks import writers as W
 from rivulet.sources import readers as RD
@@ -444,3 +445,24 @@ def test_record_operator_batch_stream_parity(spark, topic_parts, op):
     exp = RECORD_OPS[op](_batch(spark, topic_parts))
     assert got.count() == exp.count()
     assert sorted(got.select(*exp.columns).collect()) == sorted(exp.collect())
+
+
+AGG_OPS = {
+    "count_by_upper": (lambda df: T.count_by(df, T.upper_value), ["key"]),
+    "compact": (lambda df: T.newest_record_by(df, ["partition", "key"], order_cols=("offset",)),
+                ["partition", "key"]),
+    "topic_summary": (lambda df: O.topic_summary(df),
+                      ["partition"]),
+    "throughput": (lambda df: O.throughput(df, bucket="day"),
+                   ["bucket"]),
+}
+
+
+@pytest.mark.parametrize("op", sorted(AGG_OPS))
+def test_aggregate_batch_stream_parity(spark, topic_parts, op):
+    fn, keys = AGG_OPS[op]
+    d = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts, d)
+    got = RN.run_to_files(fn(_stream(spark, d)), output_mode="update", keys=keys)
+    exp = fn(_batch(spark, topic_parts))
+    assert sorted(got.select(*exp.columns).collect()) == sorted(exp.collect())
