@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -151,20 +152,22 @@ def sequence_and_sliding(df: DataFrame, keys: Sequence[str], order_cols: Sequenc
         count, recent = state.get if state.exists else (0, [])
         recent = [int(v) for v in (recent if recent is not None else [])]
         pdf[seq] = range(count + 1, count + 1 + len(pdf))
-        cols = {"n": [], "lo": [], "hi": [], "total": []}
-        for v in pdf[y].tolist():
-            if v is None or pd.isna(v):
-                for c in cols:
-                    cols[c].append(None)
-                continue
-            buf = (recent + [int(v)])[-size:]
-            cols["n"].append(len(buf))
-            cols["lo"].append(min(buf))
-            cols["hi"].append(max(buf))
-            cols["total"].append(sum(buf))
-            recent = buf[-(size - 1):] if size > 1 else []
-        for c, vals in cols.items():
-            pdf[c] = pd.array(vals, dtype="Int64")
+        accepted = pdf[y].notna().to_numpy()
+        vals = np.concatenate([np.asarray(recent, dtype="int64"),
+                               pdf.loc[accepted, y].astype("int64").to_numpy()])
+        k = len(recent)
+        # frames over the carried values plus this batch's accepted values
+        idx = np.arange(k, len(vals))
+        lo_idx = np.maximum(idx - (size - 1), 0)
+        csum = np.concatenate([[0], np.cumsum(vals)])
+        roll = pd.Series(vals, dtype="float64").rolling(size, min_periods=1)
+        stats = {"n": (idx - lo_idx + 1), "total": csum[idx + 1] - csum[lo_idx],
+                 "lo": roll.min().to_numpy()[k:].astype("int64"), "hi": roll.max().to_numpy()[k:].astype("int64")}
+        for c, arr in stats.items():
+            col = pd.array([pd.NA] * len(pdf), dtype="Int64")
+            col[accepted] = arr
+            pdf[c] = col
+        recent = vals[-(size - 1):].tolist() if size > 1 else []
         state.update((int(pdf[seq].iloc[-1]), recent))
         yield pdf[names]
 
