@@ -117,13 +117,17 @@ def offset_gaps(df: DataFrame, key: str = "partition", col: str = "offset") -> D
         pdf = _concat(pdfs)
         if pdf.empty:
             return
-        offs = pdf[col].sort_values(kind="mergesort").astype("int64").tolist()
-        prev = [state.get[0] if state.exists else None] + offs[:-1]
-        rows = [(k[0], "duplicate" if o == p else "gap", p, o)
-                for p, o in zip(prev, offs) if p is not None and (o == p or o - p > 1)]
-        state.update((offs[-1],))
-        if rows:
-            yield pd.DataFrame(rows, columns=[key, "kind", "prev_offset", col])
+        offs = np.sort(pdf[col].astype("int64").to_numpy(), kind="mergesort")
+        if state.exists:
+            prev, cur = np.concatenate([[state.get[0]], offs[:-1]]), offs
+        else:
+            prev, cur = offs[:-1], offs[1:]
+        diff = cur - prev
+        hit = (diff == 0) | (diff > 1)
+        state.update((int(offs[-1]),))
+        if hit.any():
+            yield pd.DataFrame({key: k[0], "kind": np.where(diff[hit] == 0, "duplicate", "gap"),
+                                "prev_offset": prev[hit], col: cur[hit]})
 
     return df.groupBy(key).applyInPandasWithState(
         step, out_schema, T.StructType([T.StructField("last", T.LongType())]), "append",
