@@ -87,3 +87,18 @@ def test_unpivot_segments_range(spark):
     assert (seg.x0, seg.y0, seg.x1, seg.y1, seg.x2, seg.y2) == (0, "CPU", 10.0, "CPU", 10.0, "CPU")
     vals = spark.createDataFrame([(v,) for v in [2399, 2400, 4500, 4501]], "v int")
     assert [r.v for r in R.range_filter(vals, "v", 2400, 4500).collect()] == [2400, 4500]
+
+
+def test_pandas_udf_as_mapper_escape_hatch(spark):
+    """UDF2: a vectorised pandas UDF is accepted wherever a mapper returns a Column."""
+    import pandas as pd
+
+    @F.pandas_udf("string")
+    def reverse(s: pd.Series) -> pd.Series:
+        return s.str[::-1]
+
+    df = envelope(spark, [("k", "abc", 0, 0), ("k", "xy z", 0, 1)])
+    got = [r.value for r in R.map_values(df, reverse).orderBy("offset").collect()]
+    assert got == ["cba", "z yx"]
+    keyed = R.select_key(df, lambda k, v: reverse(v)).orderBy("offset").collect()
+    assert [r.key for r in keyed] == ["cba", "z yx"]
