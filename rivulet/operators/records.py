@@ -98,6 +98,19 @@ def flat_map(df: DataFrame, fn: Callable[[Column, Column], Sequence[tuple[Column
               .select(F.col("__kv.k").alias("key"), F.col("__kv.v").alias("value"), *rest))
 
 
+def flat_map_udtf(df: DataFrame, table_fn) -> DataFrame:
+    """``flatMap`` with a Python UDTF (``@udtf`` returning ``key, value``
+    rows) called per record through a lateral join - the escape hatch
+    for flat mappers that Column expressions cannot state.  Other envelope
+    columns are carried along."""
+    rest = [c for c in df.columns if c not in ("key", "value")]
+    src = df.alias("__t")
+    out = src.lateralJoin(table_fn(F.col("__t.key").outer(), F.col("__t.value").outer()).alias("__u"))
+    return out.select(F.col("__u.key").cast("string").alias("key"),
+                      F.col("__u.value").cast("string").alias("value"),
+                      *[F.col(f"__t.{c}").alias(c) for c in rest])
+
+
 def hey_hi(k: Column, v: Column):
     """The reference flat-mapper: ``[(v, "Hey"), (v, "Hi")]``."""
     return [(v, F.lit(word)) for word in HEY_HI]

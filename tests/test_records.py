@@ -102,3 +102,19 @@ def test_pandas_udf_as_mapper_escape_hatch(spark):
     assert got == ["cba", "z yx"]
     keyed = R.select_key(df, lambda k, v: reverse(v)).orderBy("offset").collect()
     assert [r.key for r in keyed] == ["cba", "z yx"]
+
+
+def test_python_udtf_as_flat_mapper(spark):
+    """UDF3: a Python UDTF used as the flat mapper equals the Column form."""
+    from pyspark.sql.functions import udtf
+
+    @udtf(returnType="key: string, value: string")
+    class HeyHi:
+        def eval(self, k, v):
+            for word in R.HEY_HI:
+                yield v, word
+
+    df = envelope(spark, [("k", "hello", 0, 0), (None, "x", 1, 5)])
+    got = sorted(tuple(r) for r in R.flat_map_udtf(df, HeyHi).collect())
+    exp = sorted(tuple(r) for r in R.flat_map(df, R.hey_hi).select(*R.flat_map_udtf(df, HeyHi).columns).collect())
+    assert got == exp and len(got) == 4
