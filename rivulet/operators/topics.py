@@ -108,7 +108,7 @@ def throughput(df: DataFrame, bucket: str = "hour", exact: bool = True,
     size = F.octet_length("value")
     pct = ((lambda p: F.percentile(size, p)) if exact
            else (lambda p: F.percentile_approx(size, p, accuracy).cast("double")))
-    out = df.groupBy(F.date_trunc(bucket, "timestamp").alias("bucket")).agg(
+    out = df.groupBy(truncate_time(df, "timestamp", bucket).alias("bucket")).agg(
         F.count(F.lit(1)).cast("bigint").alias("records"),
         F.sum(size).cast("bigint").alias("bytes"),
         F.avg(size).alias("avg_bytes"),
@@ -120,6 +120,22 @@ def throughput(df: DataFrame, bucket: str = "hour", exact: bool = True,
 BUCKET_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
+def truncate_time(df: DataFrame, col: str, unit: str) -> Column:
+    """``date_trunc(unit, col)`` keeping the column's type.
+
+    For ``timestamp_ntz`` the bucket is rebuilt from the wall-clock fields:
+    ``date_trunc`` would return a ``timestamp`` through the session time
+    zone and shift the buckets."""
+    c = F.col(col)
+    if df.schema[col].dataType.typeName() != "timestamp_ntz":
+        return F.date_trunc(unit, c)
+    zero = F.lit(0)
+    parts = {"day": (zero, zero, zero), "hour": (F.hour(c), zero, zero),
+             "minute": (F.hour(c), F.minute(c), zero), "second": (F.hour(c), F.minute(c), F.second(c))}
+    h, m, sec = parts[unit]
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), h, m, sec)
+
+
 def offset_gaps(df: DataFrame, width: int = 1 << 20) -> DataFrame:
     """OPS9: sequence verification - duplicates and gaps in each partition's
     offsets.  ``kind`` is ``duplicate`` (same offset again) or ``gap``

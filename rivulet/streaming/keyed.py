@@ -14,13 +14,21 @@ from __future__ import annotations
 
 from typing import Sequence
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+# The per-key step functions below run in Python workers; ship them (and
+# this module's helpers) by value, so executors need only pyspark, pandas
+# and numpy - not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _concat(pdfs) -> pd.DataFrame:
     frames = [p for p in pdfs if len(p)]

@@ -27,3 +27,34 @@ def test_queries_are_lazy_dataframes(spark, name):
     import __spark_entry__ as E
     df = E.queries()[name](spark, SF_SMALL)
     assert not df.isStreaming and len(df.columns) > 0
+
+
+def test_oracle_in_a_daylight_saving_time_zone(spark):
+    """Results must not depend on the session time zone (timestamps are
+    timestamp_ntz wall clocks in the test tables)."""
+    from tools.oracle_check import check
+    names = {"ops_throughput", "ops_retention", "agg_changelog", "live_running_total",
+             "live_history_padded", "stream_live_sequence"}
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        res = check(spark, SF_SMALL, names, verbose=False)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert {k: v for k, v in res.items() if v[0] != "ok"} == {}
+
+
+def test_keyed_stream_runs_from_another_working_directory(tmp_path):
+    """Python workers must not need this package on their path."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {repo!r})\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "import __spark_entry__ as E\n"
+            f"print('ROWS', E.queries()['stream_live_sequence'](s, {SF_SMALL!r}).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True,
+                         text=True, timeout=600)
+    assert "ROWS 1000" in out.stdout, out.stderr[-2000:]
