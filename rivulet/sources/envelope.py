@@ -37,7 +37,12 @@ TEXT_FORMAT_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 
 
 def from_kafka(df: DataFrame) -> DataFrame:
-    """Cast Spark's Kafka source schema to the string envelope."""
+    """Cast Spark's Kafka source schema to the string envelope.
+
+    The record timestamp (an instant) becomes a wall clock in the session
+    time zone; run with a UTC session (as ``session.CLUSTER_CONF`` does) so
+    that the repeated hour of a daylight-saving change cannot reorder
+    records."""
     return df.select(F.col("key").cast("string").alias("key"),
                      F.col("value").cast("string").alias("value"),
                      F.col("partition").cast("int").alias("partition"),
