@@ -15,6 +15,7 @@ from __future__ import annotations
 from typing import Sequence
 
 import sys
+import warnings
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _concat(pdfs) -> pd.DataFrame:
+    # pyspark's Arrow serializer concatenates our outputs and pandas warns
+    # about all-NA columns (e.g. sliding stats of rejected rows); harmless.
+    warnings.filterwarnings("ignore", category=FutureWarning, message=".*concatenation with empty or all-NA.*")
     frames = [p for p in pdfs if len(p)]
     return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
 
