@@ -137,3 +137,30 @@ def run_to_files(df: DataFrame, *, output_mode: str = "append", path: str | None
     if latest is None:
         raise RuntimeError("the stream produced no micro-batch")
     return latest
+
+
+def stop_when_idle(q: StreamingQuery, idle_batches: int = 100, poll_seconds: float = 1.0,
+                   timeout_seconds: float | None = None) -> int:
+    """SRC6: stop a continuously triggered query after more than
+    ``idle_batches`` empty polls - poll intervals in which no new records
+    arrived (Spark runs no micro-batch without data, so the polls are
+    counted here; like the reference, the count is not reset by data).
+    Returns the number of empty polls.  Only the query's own progress
+    reports are read."""
+    import time as _time
+    seen: set = set()
+    empty, started = 0, _time.time()
+    while q.isActive:
+        _time.sleep(poll_seconds)
+        new_rows = 0
+        for p in q.recentProgress:
+            bid = p.get("batchId")
+            if bid is not None and bid not in seen and p.get("numInputRows", 0) > 0:
+                seen.add(bid)
+                new_rows += p["numInputRows"]
+        if new_rows == 0:
+            empty += 1
+        if empty > idle_batches or (timeout_seconds and _time.time() - started > timeout_seconds):
+            q.stop()
+            break
+    return empty

@@ -466,3 +466,13 @@ def test_aggregate_batch_stream_parity(spark, topic_parts, op):
     got = RN.run_to_files(fn(_stream(spark, d)), output_mode="update", keys=keys)
     exp = fn(_batch(spark, topic_parts))
     assert sorted(got.select(*exp.columns).collect()) == sorted(exp.collect())
+
+
+def test_stop_when_idle(spark, topic_parts):
+    d = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts[:1], d)
+    out = tempfile.mkdtemp(prefix="rv-idle-") + "/out"
+    q = RN.start(_stream(spark, d), sink="parquet", path=out, trigger="100 milliseconds")
+    empty = RN.stop_when_idle(q, idle_batches=40, poll_seconds=0.25, timeout_seconds=120)
+    assert not q.isActive and empty > 40
+    assert spark.read.parquet(out).count() == len(topic_parts[0])
