@@ -8,7 +8,7 @@ under ``spark.checkpoint.dir`` (or ``--checkpoint``).  ``--trigger`` is
 
     python -m rivulet.apps wordcount --source DIR --sink DIR
     python -m rivulet.apps tour --flag groupby --source DIR --sink DIR
-    python -m rivulet.apps consumer --source DIR
+    python -m rivulet.apps consumer --source DIR --trigger "1 second" --idle 100
     python -m rivulet.apps livechart --source DIR --sink DIR
     python -m rivulet.apps timeseries --source DIR --sink DIR
     python -m rivulet.apps gauges --source DIR --sink DIR
@@ -123,6 +123,8 @@ def parse_args(argv=None):
     p.add_argument("--checkpoint", default=None)
     p.add_argument("--trigger", default="available-now")
     p.add_argument("--per-trigger", dest="per_trigger", type=int, default=None)
+    p.add_argument("--idle", type=int, default=None,
+                   help="with a cadence trigger: stop after more than N empty polls")
     return p.parse_args(argv)
 
 
@@ -134,7 +136,10 @@ def run(spark: SparkSession, argv=None):
 def main(argv=None) -> None:
     from rivulet.session import build_session
     spark = build_session()
-    q = run(spark, argv)
+    a = parse_args(argv)
+    q = APPS[a.app](spark, a)
+    if a.idle is not None and a.trigger != "available-now":
+        RN.stop_when_idle(q, idle_batches=a.idle)
     q.awaitTermination()
 
 
