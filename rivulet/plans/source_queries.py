@@ -66,8 +66,10 @@ def src_text_lines(spark, d):
 
 @register("src_json_envelope", "SRC10", sql=with_views(
     "SELECT \"partition\", \"offset\", CAST(json_object('schema', json_object('type', 'string', "
-    "'optional', false), 'payload', \"value\") AS VARCHAR) AS json, \"value\" AS payload "
+    "'optional', false), 'payload', \"value\") AS VARCHAR) AS json, \"value\" AS payload, "
+    "CAST(to_json(\"value\") AS VARCHAR) AS bare, \"value\" AS bare_payload "
     "FROM env_events", "env_events"))
 def src_json_envelope(spark, d):
-    wrapped = S.wrap_json(env_events(spark, d))
-    return S.unwrap_json(wrapped).select("partition", "offset", "json", "payload")
+    wrapped = S.wrap_json(S.wrap_json(env_events(spark, d)), schemas=False, out="bare")
+    unwrapped = S.unwrap_json(S.unwrap_json(wrapped), col="bare", schemas=False, out="bare_payload")
+    return unwrapped.select("partition", "offset", "json", "payload", "bare", "bare_payload")
