@@ -89,3 +89,35 @@ def test_parse_split_last_n_suffix_and_total(spark, texts_, n):
     if acc_rows:
         tot = L.running_total(acc, "y", order, "series", seed=3).orderBy(F.col("id").desc()).first()
         assert tot.total == 3 + sum(r.y for r in acc_rows)
+
+
+frames = st.lists(st.tuples(st.sampled_from(["a", "b", "hot"]), st.integers(-50, 50)), min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(frames, st.integers(1, 6), st.integers(1, 8))
+def test_sliding_frame_any_size_and_bucket(spark, rows, size, bucket_rows):
+    from pyspark.sql import Window
+    from rivulet.operators.ordered import sequence_number, sliding_frame
+    df = spark.createDataFrame([(k, i, v) for i, (k, v) in enumerate(rows)], "k string, id bigint, v bigint")
+    pos = sequence_number(df, Order.by_number("id", width=3), ["k"], out="pos")
+    got = sliding_frame(pos, "pos", size, {"s": F.sum("v"), "lo": F.min("v"), "n": F.count("v")}, ["k"],
+                        bucket_rows=bucket_rows).select("id", "s", "lo", "n")
+    w = Window.partitionBy("k").orderBy("id").rowsBetween(-(size - 1), 0)
+    exp = df.select("id", F.sum("v").over(w).alias("s"), F.min("v").over(w).alias("lo"),
+                    F.count("v").over(w).alias("n"))
+    assert sorted(got.collect()) == sorted(exp.collect())
+
+
+offsets = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 60)), min_size=1, max_size=50)
+
+
+@SETTINGS
+@given(offsets, st.integers(1, 16))
+def test_previous_in_order_any_width(spark, rows, width):
+    from pyspark.sql import Window
+    from rivulet.operators.ordered import previous_in_order
+    df = spark.createDataFrame(rows, "p int, o bigint")
+    got = previous_in_order(df, "o", ["p"], width=width, out="prev").select("p", "o", "prev")
+    exp = df.select("p", "o", F.lag("o").over(Window.partitionBy("p").orderBy("o")).alias("prev"))
+    assert sorted(got.collect(), key=str) == sorted(exp.collect(), key=str)
