@@ -121,3 +121,24 @@ def test_previous_in_order_any_width(spark, rows, width):
     got = previous_in_order(df, "o", ["p"], width=width, out="prev").select("p", "o", "prev")
     exp = df.select("p", "o", F.lag("o").over(Window.partitionBy("p").orderBy("o")).alias("prev"))
     assert sorted(got.collect(), key=str) == sorted(exp.collect(), key=str)
+
+
+sums = st.lists(st.tuples(st.sampled_from(["a", "hot", None]), st.integers(0, 40),
+                          st.one_of(st.none(), st.integers(-9, 9))), min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(sums, st.integers(1, 12), st.one_of(st.none(), st.integers(-5, 5)))
+def test_running_sums_any_width_nulls_and_seed(spark, rows, width, seed):
+    from pyspark.sql import Window
+    from rivulet.operators.ordered import running_sums
+    df = spark.createDataFrame([(k, t, i, v) for i, (k, t, v) in enumerate(rows)],
+                               "k string, t bigint, id bigint, v bigint")
+    got = running_sums(df, {"s": F.col("v"), "c": F.lit(1)}, Order.by_number("t", "id", width=width), ["k"],
+                       seeds={"s": seed}).select("id", "s", "c")
+    w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    s = F.sum("v").over(w)
+    if seed is not None:
+        s = F.lit(seed) + F.coalesce(s, F.lit(0))
+    exp = df.select("id", s.alias("s"), F.count(F.lit(1)).over(w).alias("c"))
+    assert sorted(got.collect()) == sorted(exp.collect())
