@@ -476,3 +476,25 @@ def test_stop_when_idle(spark, topic_parts):
     empty = RN.stop_when_idle(q, idle_batches=40, poll_seconds=0.25, timeout_seconds=120)
     assert not q.isActive and empty > 40
     assert spark.read.parquet(out).count() == len(topic_parts[0])
+
+
+@pytest.mark.parametrize("flag", ["branch", "filter", "flatMap", "selectKey", "foreach", "groupbyKey"])
+def test_tour_flags(spark, topic_parts, flag):
+    from rivulet import apps
+    src = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts, src)
+    base = tempfile.mkdtemp(prefix="rv-tour-")
+    RN.drain(apps.run(spark, ["tour", "--flag", flag, "--source", src, "--sink", f"{base}/out",
+                              "--checkpoint", f"{base}/ck"]))
+    b = _batch(spark, topic_parts)
+    if flag == "groupbyKey":
+        got = SN.read_changelog(spark, f"{base}/out", ["key"])
+        assert sorted(got.collect()) == sorted(T.count_by_key(b).collect())
+    elif flag == "foreach":
+        lines = spark.read.text(f"{base}/out")
+        assert sorted(r.value for r in lines.collect()) == sorted(
+            r.line for r in R.format_line(b).collect())
+    else:
+        got = spark.read.parquet(f"{base}/out")
+        exp = apps.TOUR[flag](b)
+        assert sorted(got.select("key", "value").collect()) == sorted(exp.select("key", "value").collect())
