@@ -498,3 +498,14 @@ def test_tour_flags(spark, topic_parts, flag):
         got = spark.read.parquet(f"{base}/out")
         exp = apps.TOUR[flag](b)
         assert sorted(got.select("key", "value").collect()) == sorted(exp.select("key", "value").collect())
+
+
+def test_consumer_app_drains_and_stops(spark, topic_parts):
+    # the console sink prints from the JVM (its own stdout); the lines
+    # themselves are checked in test_json_topic_raw_envelope_decode_and_console_lines
+    from rivulet import apps
+    src = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts[:1], src)
+    q = apps.run(spark, ["consumer", "--source", src, "--checkpoint", tempfile.mkdtemp(prefix="rv-ck-")])
+    RN.drain(q)
+    assert not q.isActive and q.lastProgress is not None
