@@ -37,6 +37,18 @@ def canon(cols, rows):
     return [cols[i] for i in order], sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "binary": "BLOB"}
+
+
+def type_mismatches(df, con, sql):
+    """Columns whose Spark type does not map to the oracle's DuckDB type."""
+    st = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    dt = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [(c, st.get(c), dt.get(c)) for c in sorted(set(st) | set(dt))
+            if SPARK_TO_DUCK.get(st.get(c), (st.get(c) or "").upper()) != dt.get(c)]
+
+
 def duck(sf_dir):
     import duckdb
     con = duckdb.connect()
@@ -81,11 +93,13 @@ def check(spark, sf_dir, names=None, verbose=True):
             continue
         sc, sr = canon(scols, srows)
         dc, dr = canon(dcols, drows)
-        ok = sc == dc and sr == dr
+        types = type_mismatches(df, con, q.sql)
+        ok = sc == dc and sr == dr and not types
         results[name] = ("ok" if ok else "MISMATCH", len(srows), len(drows))
         if verbose:
             print(f"{name:32s} rows={len(srows):8d}/{len(drows):8d} spark={ts:6.2f}s "
-                  f"{'ok' if ok else 'MISMATCH'}" + ("" if sc == dc else f" cols {sc} vs {dc}"))
+                  f"{'ok' if ok else 'MISMATCH'}" + ("" if sc == dc else f" cols {sc} vs {dc}")
+                  + (f" types {types}" if types else ""))
             if not ok and sc == dc:
                 a, b = set(sr), set(dr)
                 print("   spark-only:", list(a - b)[:3])
