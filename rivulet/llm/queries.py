@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import bpe, simhash
+from rivulet.llm import bpe, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,34 @@ def _ranks_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM docs),
+windows AS (
+  SELECT doc_id, s, array_to_string(w[s + 1:s + 20], ' ') AS seq
+  FROM (SELECT doc_id, w, unnest(range(len(w) - 19)) AS s FROM docs WHERE len(w) >= 20)),
+repeats AS (
+  SELECT doc_id, s FROM (
+    SELECT doc_id, s, row_number() OVER (PARTITION BY seq ORDER BY doc_id, s) AS nth FROM windows) WHERE nth > 1),
+marks AS (
+  SELECT w.doc_id, w.p, w.word,
+         max(r.s) OVER (PARTITION BY w.doc_id ORDER BY w.p ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS near
+  FROM words w LEFT JOIN repeats r ON r.doc_id = w.doc_id AND r.s = w.p)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(m.gone, 0) AS n_removed, sha256(coalesce(m.kept, '')) AS kept_sha256
+FROM docs d LEFT JOIN (
+  SELECT doc_id, CAST(count(near) AS BIGINT) AS gone,
+         string_agg(word, ' ' ORDER BY p) FILTER (WHERE near IS NULL) AS kept
+  FROM marks GROUP BY doc_id) m USING (doc_id)
+"""
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -32,7 +60,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_superkmer_dedup": op1_superkmer_dedup,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_byte_bpe": op7_byte_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_superkmer_dedup": OP1_SQL,
+}
