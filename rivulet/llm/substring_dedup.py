@@ -35,15 +35,20 @@ from pyspark.sql import DataFrame, functions as F
 from rivulet.llm.util import by_value, row_chunks, stage
 
 WINDOW = 20
-GRAM = 5
+#: Words of a gram.  Short grams make long super-k-mers, so less is sent twice.
+GRAM = 2
+#: Grams with fewer bytes per word than this are common words: they come last
+#: in the minimisers' order, so that no bucket gathers a common phrase.
+PLAIN_BYTES = 5
 #: Characters of text per chunk of the first step.
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 4_000_000
 #: Windows that one packed string holds at most (runs of one repeated word).
 RUN = 256
 #: Packed bytes of one bucket held in a task; a larger bucket goes on as rows.
 BUCKET_BYTES = 32_000_000
 
 _LEAST = -(1 << 63)  # stands for a null id
+_TWICE = 1 << 30
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -90,6 +95,9 @@ def superkmers(texts: list[str], k: int, m: int):
     gram = np.zeros(grams, np.uint64)
     for j in range(m):
         gram = _mix(gram * np.uint64(0xD6E8FEB86659FD93) + hashes[j:j + grams])
+    length = np.concatenate([[0], np.cumsum(sizes)])
+    plain = length[m:] - length[:-m] < PLAIN_BYTES * m
+    gram = gram >> np.uint64(1) | plain.astype(np.uint64) << np.uint64(63)
     least = sliding_min(gram, k - m + 1)  # of the window at each word
     stop = np.cumsum(counts)
     doc = np.repeat(np.arange(len(lists)), counts)[:len(least)]
@@ -179,8 +187,10 @@ def _ranges(ids, hs, lo, hi) -> pa.RecordBatch:
 
 
 def _split_texts(k: int, m: int, chunk_chars: int):
+    # start: with _TWICE where the minimiser occurs twice; null where packed
+    # holds ranges that are known already
     schema = pa.schema([("mini", pa.int64()), ("packed", pa.binary()), ("id", pa.int64()), ("h", pa.int64()),
-                        ("start", pa.int32()), ("ranges", pa.binary()), ("twice", pa.bool_())])
+                        ("start", pa.int32())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = (pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([b.column(0), b.column(1)], ["id", "h"]),
@@ -207,15 +217,12 @@ def _split_texts(k: int, m: int, chunk_chars: int):
                 p = keep[at:at + 50_000]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(mini[p]), packed.take(pa.array(p)), pa.array(ids[p]), pa.array(hs[p]),
-                     pa.array(start[p].astype(np.int32)), pa.nulls(len(p), pa.binary()), pa.array(twice[p])],
-                    schema=schema)
+                     pa.array((start[p] + twice[p] * _TWICE).astype(np.int32))], schema=schema)
             known = _ranges(ids[again], hs[again], start[again], start[again] + n[again] + k - 1)
             if known.num_rows:
-                nothing = known.num_rows
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(known.column(0).to_numpy() ^ known.column(1).to_numpy()), pa.nulls(nothing, pa.binary()),
-                     known.column(0), known.column(1), pa.nulls(nothing, pa.int32()), known.column(2),
-                     pa.nulls(nothing, pa.bool_())], schema=schema)
+                    [pa.array(known.column(0).to_numpy() ^ known.column(1).to_numpy()), known.column(2),
+                     known.column(0), known.column(1), pa.nulls(known.num_rows, pa.int32())], schema=schema)
 
     return run
 
@@ -224,7 +231,8 @@ def _judge_buckets(k: int, bucket_bytes: int):
     def judge(t: pa.Table) -> pa.RecordBatch:
         """Complete buckets, sorted by (mini, packed, id, start)."""
         mini = t["mini"].to_numpy()
-        ids, hs, start = t["id"].to_numpy(), t["h"].to_numpy(), t["start"].to_numpy().astype(np.int64)
+        ids, hs, marked = t["id"].to_numpy(), t["h"].to_numpy(), t["start"].to_numpy().astype(np.int64)
+        start = marked % _TWICE
         packed = t["packed"].combine_chunks()
         code = packed.dictionary_encode().indices.to_numpy()
         spaces = pc.count_substring(packed, b" ").to_numpy().astype(np.int64)
@@ -236,7 +244,7 @@ def _judge_buckets(k: int, bucket_bytes: int):
         out = [(ids[again], hs[again], start[again], start[again] + spaces[again] + 1)]
         new = np.append(True, mini[one][1:] != mini[one][:-1])
         group = np.cumsum(new) - 1
-        many = (np.bincount(group)[group] > 1) | t["twice"].to_numpy()[one]
+        many = (np.bincount(group)[group] > 1) | (marked[one] >= _TWICE)
         # equal strings of equal place (rows that repeat an id) stay together
         if many.any():
             part = one[many]
@@ -245,31 +253,32 @@ def _judge_buckets(k: int, bucket_bytes: int):
             out.append((ids[who], hs[who], start[who] + off, start[who] + off + k))
         return _ranges(*(np.concatenate(x) for x in zip(*out)))
 
-    def as_rows(t: pa.Table, last) -> Iterator[pa.RecordBatch]:
+    def as_rows(t: pa.Table) -> Iterator[pa.RecordBatch]:
         """Windows of a bucket too large to hold."""
         rows = t.select(["packed", "id", "h", "start"]).to_pylist()
         for at in range(0, len(rows), 2_000):
             got = []
             for r in rows[at:at + 2_000]:
                 words = r["packed"].split(b" ")
+                start = r["start"] % _TWICE
                 got += [{"id": r["id"], "h": r["h"], "ranges": None, "win": b" ".join(words[j:j + k]),
-                         "start": r["start"] + j} for j in range(len(words) - k + 1)]
+                         "start": start + j} for j in range(len(words) - k + 1)]
             yield pa.RecordBatch.from_pylist(got, schema=_OUT)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size, large = 0, None
         for b in batches:
-            done = b.filter(pc.is_null(b["packed"]))
-            if done.num_rows:  # ranges known already
+            done = b.filter(pc.is_null(b["start"]))
+            if done.num_rows:
                 yield pa.RecordBatch.from_arrays(
-                    [done["id"], done["h"], done["ranges"], pa.nulls(done.num_rows, pa.binary()),
+                    [done["id"], done["h"], done["packed"], pa.nulls(done.num_rows, pa.binary()),
                      pa.nulls(done.num_rows, pa.int32())], schema=_OUT)
-            b = b.filter(pc.is_valid(b["packed"]))
+            b = b.filter(pc.is_valid(b["start"]))
             if large is not None:
                 same = pc.equal(b["mini"], large)
                 rest = b.filter(same)
-                yield from as_rows(pa.Table.from_batches([rest]), None)
+                yield from as_rows(pa.Table.from_batches([rest]))
                 b = b.filter(pc.invert(same))
                 if not b.num_rows:
                     continue
@@ -288,7 +297,7 @@ def _judge_buckets(k: int, bucket_bytes: int):
             t = t.slice(cut)
             if t.nbytes > bucket_bytes:
                 large = t["mini"][0]
-                yield from as_rows(t, None)
+                yield from as_rows(t)
                 held, size = [], 0
             else:
                 held, size = t.to_batches(), t.nbytes if cut else size
@@ -329,7 +338,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id_type = docs.schema[id_col].dataType.simpleString()
 
     sent = src.mapInArrow(_split_texts(k, m, chunk_chars),
-                          "mini bigint, packed binary, id bigint, h bigint, start int, ranges binary, twice boolean")
+                          "mini bigint, packed binary, id bigint, h bigint, start int")
     buckets = sent.repartition("mini").sortWithinPartitions("mini", "packed", "id", "start")
     found = stage(buckets.mapInArrow(_judge_buckets(k, bucket_bytes), _OUT_DDL), "repeats")
     ranges = found.where("ranges is not null").select("id", "h", "ranges")
