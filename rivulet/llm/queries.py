@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import bpe, simhash, substring_dedup
+from rivulet.llm import bpe, decontaminate, host_quality, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,11 +47,58 @@ FROM docs d LEFT JOIN (
 """
 
 
+def op2_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = host_quality.judge(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                      "kept", "host_docs", "host_failed")
+
+
+OP2_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM (
+    SELECT doc_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] AS gram FROM (
+      SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM docs WHERE len(w) >= 3))),
+repeats AS (
+  SELECT doc_id, count(DISTINCT q) AS n_repeat_words FROM (
+    SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM grams WHERE n > 1) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines FROM (
+    SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM docs)
+  WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (
+  SELECT d.doc_id, d.source, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed
+  FROM docs d LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+hosts AS (
+  SELECT source, count(*) AS host_docs, CAST(count(*) FILTER (WHERE base_failed) AS BIGINT) AS host_failed
+  FROM base GROUP BY source),
+moments AS (
+  SELECT avg(host_failed / host_docs) AS m, var_pop(host_failed / host_docs) AS v, avg(1 / host_docs) AS inv FROM hosts),
+prior AS (
+  SELECT m, CASE WHEN v - m * (1 - m) * inv <= 0 THEN 1000.0
+                 ELSE least(1000.0, greatest(2.0, m * (1 - m) / (v - m * (1 - m) * inv) - 1)) END AS s FROM moments)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (host_failed + m * s) / (host_docs + s) <= 0.5 AS kept, host_docs, host_failed
+FROM base JOIN hosts ON base.source IS NOT DISTINCT FROM hosts.source CROSS JOIN prior
+"""
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", F.col("start").cast("bigint").alias("start_word"), "similarity")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _ranks_path()
     out = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
@@ -61,9 +108,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_superkmer_dedup": op1_superkmer_dedup,
+    "op2_host_quality": op2_host_quality,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_decontaminate": op6_decontaminate,
     "op7_byte_bpe": op7_byte_bpe,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_superkmer_dedup": OP1_SQL,
+    "op2_host_quality": OP2_SQL,
 }
