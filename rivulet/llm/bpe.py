@@ -26,13 +26,19 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from rivulet.llm.util import by_value, row_chunks
 
-#: Characters of text per chunk: bounds what one task holds at a time.
-CHUNK_CHARS = 4_000_000
+#: Characters of text per chunk: bounds what one task holds at a time.  A
+#: larger chunk sends fewer (word, chunk) pairs.
+CHUNK_CHARS = 32_000_000
+#: Characters cut at a time within a chunk.
+PIECE_CHARS = 1_000_000
+#: Pre-tokens put back by position at a time.
+PIECE_WORDS = 500_000
 #: Distinct words returned per packed row.
 PACK_WORDS = 200_000
 
@@ -97,50 +103,63 @@ def pretoken_starts(points: np.ndarray, doc_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(token)
 
 
-def _words(rows: list[tuple]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Distinct pre-tokens of a chunk (most frequent first), the rank of each
-    pre-token, and the number of pre-tokens of each text."""
-    texts = [t for _, t in rows]
-    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    doc = np.concatenate([[0], np.cumsum(lengths)])
+def _cut(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The pre-tokens of texts in order, and their number in each text."""
+    whole = "".join(texts)
+    points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+    doc = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
     starts = pretoken_starts(points, doc[:-1])
     counts = np.diff(np.searchsorted(starts, doc))
     wide = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
     offsets = np.concatenate([[0], np.cumsum(wide)])
     cuts = np.append(offsets[starts], offsets[-1]).astype(np.int64)
-    data = pa.py_buffer("".join(texts).encode())
-    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), data])
-    coded = words.dictionary_encode()
-    codes = coded.indices.to_numpy()
-    often = np.bincount(codes, minlength=len(coded.dictionary))
+    return pa.Array.from_buffers(pa.large_binary(), len(starts),
+                                 [None, pa.py_buffer(cuts), pa.py_buffer(whole.encode())]), counts
+
+
+def _words(rows: list[tuple]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct pre-tokens of a chunk (most frequent first), the rank of each
+    pre-token, and the number of pre-tokens of each text."""
+    pieces, counts, texts, size = [], [], [], 0
+    for k, (_, t) in enumerate(rows):
+        texts.append(t)
+        size += len(t)
+        if size >= PIECE_CHARS or k == len(rows) - 1:
+            words, n = _cut(texts)
+            pieces.append(words)
+            counts.append(n)
+            texts, size = [], 0
+    coded = pa.chunked_array(pieces, pa.large_binary()).dictionary_encode().unify_dictionaries()
+    words = coded.chunk(0).dictionary if coded.num_chunks else pa.array([], pa.large_binary())
+    codes = np.concatenate([c.indices.to_numpy() for c in coded.chunks] or [np.zeros(0, np.int32)])
+    often = np.bincount(codes, minlength=len(words))
     order = np.argsort(-often, kind="stable")
     rank = np.empty(len(order), np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
-    return coded.dictionary.take(pa.array(order)), rank[codes], counts
+    return words.take(pa.array(order)), rank[codes], np.concatenate(counts or [np.zeros(0, np.int64)])
 
 
-def _chunk_id(rows: list[tuple]) -> bytes:
+def _chunk_id(rows: list[tuple]) -> int:
     """Name of a chunk by its content, the same in every execution."""
-    h = hashlib.blake2b(digest_size=16)
+    h = hashlib.blake2b(digest_size=8)
     for i, t in rows:
         b = t.encode()
         h.update(f"{i!r}:{len(b)}:".encode())
         h.update(b)
-    return h.digest()
+    return int.from_bytes(h.digest(), "little", signed=True)
 
 
-def _pack(ranks: np.ndarray) -> bytes:
-    """Ranks as three compressed byte planes; small ranks are frequent."""
-    planes = np.ascontiguousarray(ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T)
-    if len(ranks) and int(ranks.max()) >> 24:
-        raise ValueError("a chunk has more than 2^24 distinct words")
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """Unsigned numbers as compressed byte planes."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].T)
+    if len(values) and int(values.max()) >> 8 * width:
+        raise ValueError(f"a number does not fit {width} bytes")
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(3, -1).astype(np.uint32)
-    return planes[0] | planes[1] << 8 | planes[2] << 16
+def _unplanes(data: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(width, -1)
+    return sum((planes[k].astype(np.uint32) << np.uint32(8 * k) for k in range(1, width)), planes[0].astype(np.uint32))
 
 
 def _encoder(ranks_path: str):
@@ -167,47 +186,50 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
         for rows in row_chunks(batches, chunk_chars):
             words, _, _ = _words(rows)
             chunk = _chunk_id(rows)
+            order = pc.sort_indices(words)  # neighbours compress well
             for at in range(0, len(words), PACK_WORDS):
-                part = words.slice(at, PACK_WORDS)
+                part = order.slice(at, PACK_WORDS)
                 yield pa.RecordBatch.from_arrays(
-                    [part.cast(pa.binary()), pa.array([chunk] * len(part), pa.binary()),
-                     pa.array(np.arange(at, at + len(part), dtype=np.int32))],
-                    ["word", "chunk", "rank"])
+                    [words.take(part).cast(pa.binary()), pa.array(np.full(len(part), chunk, np.int64)),
+                     part.cast(pa.int32())], ["word", "chunk", "rank"])
 
     def positions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in row_chunks(batches, chunk_chars):
             words, ranks, counts = _words(rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_chunk_id(rows)], pa.binary()),
+                [pa.array([_chunk_id(rows)], pa.int64()),
                  pa.array([[i for i, _ in rows]]),
                  pa.array([counts.astype(np.int32)]),
                  pa.array([len(words)], pa.int32()),
-                 pa.array([_pack(ranks)], pa.binary())],
+                 pa.array([_planes(ranks, 3)], pa.binary())],
                 ["chunk", "ids", "counts", "n_words", "seq"])
 
     def encode_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by word: each distinct word is encoded at its first
         row; what one chunk gets back travels as one row."""
         enc = _encoder(ranks_path)
-        last, coded, held = None, b"", {}
+        last, coded, held = None, (), {}
         n = 0
 
         def flush():
             keys = list(held)
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()),
-                 pa.array([np.array(held[k][0], "<i4").tobytes() for k in keys], pa.binary()),
-                 pa.array([np.array([len(x) >> 2 for x in held[k][1]], "<i4").tobytes() for k in keys], pa.binary()),
-                 pa.array([b"".join(held[k][1]) for k in keys], pa.binary())],
-                ["chunk", "ranks", "sizes", "coded"])
+            ranks, sizes, ids = [], [], []
+            for k in keys:
+                r, c = held[k]
+                order = sorted(range(len(r)), key=r.__getitem__)
+                r = np.array(r, np.int64)[order]
+                ranks.append(_planes(np.diff(r, prepend=0), 3))
+                sizes.append(_planes(np.array([len(c[j]) for j in order], np.int64), 3))
+                ids.append(_planes(np.array([x for j in order for x in c[j]], np.int64), 3))
             held.clear()
-            return out
+            return pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), *(pa.array(x, pa.binary()) for x in (ranks, sizes, ids))],
+                ["chunk", "ranks", "sizes", "coded"])
 
         for b in batches:
             for word, chunk, rank in zip(*(b.column(k).to_pylist() for k in range(3))):
                 if word != last:
-                    last = word
-                    coded = np.array(enc.encode_ordinary(word.decode()), "<u4").tobytes()
+                    last, coded = word, enc.encode_ordinary(word.decode())
                 got = held.get(chunk)
                 if got is None:
                     got = held[chunk] = ([], [])
@@ -228,31 +250,36 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
             where = np.full(n_words, -1, np.int64)
             sizes, coded, base = [], [], 0
             for r, s, c in zip(*(right.column(k).to_pylist() for k in ("ranks", "sizes", "coded"))):
-                r, s = np.frombuffer(r, "<i4"), np.frombuffer(s, "<i4")
+                r = np.cumsum(_unplanes(r, 3), dtype=np.int64)
                 where[r] = np.arange(base, base + len(r))
                 base += len(r)
-                sizes.append(s)
-                coded.append(np.frombuffer(c, "<u4"))
-            if n_words and (where < 0).any():
-                raise RuntimeError("words of a chunk are missing: the documents changed between two reads")
-            sizes = np.concatenate(sizes or [np.zeros(0, np.int32)]).astype(np.int64)
-            coded = np.concatenate(coded or [np.zeros(0, "<u4")])
+                sizes.append(_unplanes(s, 3))
+                coded.append(_unplanes(c, 3))
+            # chunks of equal content share a name, and each sent its words
+            if base != n_words * left.num_rows or n_words and (where < 0).any():
+                raise RuntimeError("the words of a chunk do not match: the documents changed between two reads")
+            sizes = np.concatenate(sizes or [np.zeros(0, np.uint32)]).astype(np.int64)
+            coded = np.concatenate(coded or [np.zeros(0, np.uint32)])
             begin = np.cumsum(sizes) - sizes
             for i, c, _, seq in zip(*(left.column(k).to_pylist() for k in ("ids", "counts", "n_words", "seq"))):
-                at = where[_unpack(seq)]
-                size = sizes[at]
-                stop = np.cumsum(size)
-                flat = coded[np.repeat(begin[at] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
-                cut = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(c)])]
                 ids += i
-                out += [flat[a:b].astype("<u4").tobytes() for a, b in zip(cut[:-1], cut[1:])]
+                seq, bound = _unplanes(seq, 3), np.concatenate([[0], np.cumsum(c)])
+                doc = 0
+                while doc < len(c):  # documents of about PIECE_WORDS together
+                    stop = max(doc + 1, int(np.searchsorted(bound, bound[doc] + PIECE_WORDS, "right")) - 1)
+                    at = where[seq[bound[doc]:bound[stop]]]
+                    end = np.cumsum(sizes[at])
+                    flat = coded[np.repeat(begin[at] - end + sizes[at], sizes[at]) + np.arange(end[-1] if len(end) else 0)]
+                    cut = np.concatenate([[0], end])[bound[doc:stop + 1] - bound[doc]]
+                    out += [flat[a:b].astype("<u4").tobytes() for a, b in zip(cut[:-1], cut[1:])]
+                    doc = stop
         kind = left.schema.field("ids").type.value_type
         return pa.table({"id": pa.array(ids, kind), "ids": pa.array(out, pa.binary())})
 
-    words = src.mapInArrow(vocabulary, "word binary, chunk binary, rank int")
+    words = src.mapInArrow(vocabulary, "word binary, chunk bigint, rank int")
     words = words.repartition("word").sortWithinPartitions("word")
-    coded = words.mapInArrow(encode_words, "chunk binary, ranks binary, sizes binary, coded binary")
-    seqs = src.mapInArrow(positions, f"chunk binary, ids array<{id_type}>, counts array<int>, n_words int, seq binary")
+    coded = words.mapInArrow(encode_words, "chunk bigint, ranks binary, sizes binary, coded binary")
+    seqs = src.mapInArrow(positions, f"chunk bigint, ids array<{id_type}>, counts array<int>, n_words int, seq binary")
     out = seqs.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(
         reassemble, f"id {id_type}, ids binary")
     return out.withColumnRenamed("id", id_col)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import bpe, decontaminate, host_quality, simhash, substring_dedup
+from rivulet.llm import bpe, decontaminate, host_quality, pii, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,12 +106,21 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op8_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = lambda k: F.size(F.filter("__base", lambda x: x["k"] == k)).cast("bigint")
+    return out.select("doc_id", *[n(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)],
+                      F.sha2(pii.written(F.col("__base")), 256).alias("base_sha256"),
+                      pii.written(F.col("__spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_superkmer_dedup": op1_superkmer_dedup,
     "op2_host_quality": op2_host_quality,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_weak_pii": op8_weak_pii,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_superkmer_dedup": OP1_SQL,

@@ -125,7 +125,7 @@ def superkmers(texts: list[str], k: int, m: int):
         inside = np.flatnonzero(j < runs + k - m)
         seen[inside] += gram[first[inside] + j] == mini[inside]
     owner = doc[first]
-    return owner, first - (stop - counts)[owner], runs, mini.view(np.int64), packed, (seen > 1) | (runs > k - m + 1)
+    return owner, first - (stop - counts)[owner], runs, (mini >> np.uint64(16)).view(np.int64), packed, (seen > 1) | (runs > k - m + 1)
 
 
 def window_ranks(codes: np.ndarray, k: int) -> np.ndarray:
@@ -334,7 +334,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text's words that no repeated window covers, joined by one space.
     ``id_col`` is an integer column."""
     src = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    src = src.select(F.coalesce("id", F.lit(_LEAST)).alias("id"), F.xxhash64("text").alias("h"), "text")
+    src = src.select(F.coalesce("id", F.lit(_LEAST)).alias("id"), F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)).alias("h"),
+                     "text")  # h tells apart rows that repeat an id
     id_type = docs.schema[id_col].dataType.simpleString()
 
     sent = src.mapInArrow(_split_texts(k, m, chunk_chars),
