@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import bpe, decontaminate, host_quality, pii, simhash, substring_dedup
+from rivulet.llm import bpe, decontaminate, host_quality, html_wrappers, pii, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,6 +114,11 @@ def op8_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       pii.written(F.col("__spans")).alias("spans"))
 
 
+def op9_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_wrappers.extract(_table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_superkmer_dedup": op1_superkmer_dedup,
     "op2_host_quality": op2_host_quality,
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_weak_pii": op8_weak_pii,
+    "op9_html_wrappers": op9_html_wrappers,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_superkmer_dedup": OP1_SQL,
