@@ -34,13 +34,13 @@ from rivulet.llm.util import by_value, row_chunks
 
 #: Characters of text per chunk: bounds what one task holds at a time.  A
 #: larger chunk sends fewer (word, chunk) pairs.
-CHUNK_CHARS = 32_000_000
+CHUNK_CHARS = 14_000_000
 #: Characters cut at a time within a chunk.
 PIECE_CHARS = 1_000_000
 #: Pre-tokens put back by position at a time.
-PIECE_WORDS = 500_000
+PIECE_WORDS = 200_000
 #: Distinct words returned per packed row.
-PACK_WORDS = 200_000
+PACK_WORDS = 100_000
 
 _OTHER, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
 # White_Space of Unicode (fixed values).

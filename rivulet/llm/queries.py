@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import bpe, decontaminate, host_quality, html_wrappers, pii, simhash, substring_dedup
+from rivulet.llm import bpe, chat_repair, decontaminate, host_quality, html_wrappers, licenses, pii, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +89,10 @@ FROM base JOIN hosts ON base.source IS NOT DISTINCT FROM hosts.source CROSS JOIN
 """
 
 
+def op4_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.format_chats(_table(spark, sf_dir, "conversations"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -119,16 +123,23 @@ def op9_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
+def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_superkmer_dedup": op1_superkmer_dedup,
     "op2_host_quality": op2_host_quality,
+    "op4_chat_repair": op4_chat_repair,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_weak_pii": op8_weak_pii,
     "op9_html_wrappers": op9_html_wrappers,
+    "op10_license_rules": op10_license_rules,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_superkmer_dedup": OP1_SQL,
     "op2_host_quality": OP2_SQL,
+    "op10_license_rules": licenses.oracle_sql(),
 }
