@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import bpe, chat_repair, decontaminate, host_quality, html_wrappers, licenses, pii, simhash, substring_dedup
+from rivulet.llm import bpe, chat_repair, decontaminate, host_quality, html_wrappers, licenses, pii, simhash, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +89,16 @@ FROM base JOIN hosts ON base.source IS NOT DISTINCT FROM hosts.source CROSS JOIN
 """
 
 
+def op3_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs, model)
+    where = F.array_join(F.transform("offending", lambda x: F.concat_ws(":", x["start"].cast("string"),
+                                                                        x["end"].cast("string"))), ",")
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"), where.alias("offending"))
+
+
 def op4_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.format_chats(_table(spark, sf_dir, "conversations"))
 
@@ -130,6 +140,7 @@ def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_superkmer_dedup": op1_superkmer_dedup,
     "op2_host_quality": op2_host_quality,
+    "op3_noisy_or_toxicity": op3_noisy_or_toxicity,
     "op4_chat_repair": op4_chat_repair,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_decontaminate": op6_decontaminate,

@@ -29,7 +29,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rivulet.llm.util import by_value, drop, stage, stage_at
 
@@ -280,4 +280,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fp.join(ids, "fp").select(id_col, "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+             radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest id (a
+    null id first; of rows that repeat an id, the least hash of the text, then
+    of the other columns)."""
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h"))
+    comp = near_duplicates(docs.select(key.alias("key"), F.col(text_col)), "key", text_col, shingle, radius, shard)
+    first = comp.where(F.col("key").eqNullSafe(F.col("component_id"))).select("key.*").distinct()
+    first = first.withColumnsRenamed({"id": "__id", "h": "__h"})
+    own = docs.join(first, docs[id_col].eqNullSafe(first["__id"]) & (F.xxhash64(docs[text_col]) == first["__h"]))
+    rest = [c for c in docs.columns if c != text_col]
+    order = Window.partitionBy("__id", "__h").orderBy(F.xxhash64(F.to_json(F.struct(*[docs[c] for c in rest]))))
+    return own.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*[docs[c] for c in docs.columns])
+
+
 by_value(__name__)
