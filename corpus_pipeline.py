@@ -52,8 +52,7 @@ def pii_redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, ids, decoded_sha256)``; ids are little-endian
     unsigned 32-bit integers."""
-    path = _ranks_path()
-    out = bpe.decode(bpe.encode(docs, path), path)
+    out = bpe.encode(docs, _ranks_path(), decoded=True)
     return out.select("doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), "ids",
                       F.sha2("bytes", 256).alias("decoded_sha256"))
 

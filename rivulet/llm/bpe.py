@@ -170,10 +170,29 @@ def _encoder(ranks_path: str):
     return tiktoken.Encoding("byte_bpe", pat_str="(?s:.+)", mergeable_ranks=ranks, special_tokens={})
 
 
+def _token_table(ranks_path: str) -> pa.Array:
+    """Bytes of each token, at the position of its id."""
+    with open(ranks_path, "rb") as f:
+        table = {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
+    return pa.array([table.get(i) for i in range(max(table) + 1)], pa.binary())
+
+
+def _bytes_of(ids: bytes, tokens: pa.Array) -> bytes:
+    """Ids joined with the token-byte table."""
+    got = tokens.take(pa.array(np.frombuffer(ids, "<u4")))
+    if got.null_count:
+        raise ValueError("an id is not in the vocabulary")
+    if not len(got):
+        return b""
+    ends = np.frombuffer(got.buffers()[1], np.int32)[: len(got) + 1]
+    return bytes(memoryview(got.buffers()[2])[ends[0]:ends[-1]])
+
+
 def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text",
-           chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+           chunk_chars: int = CHUNK_CHARS, decoded: bool = False) -> DataFrame:
     """``(id_col, ids binary)``: one row per input row, ids as little-endian
-    unsigned 32-bit integers.
+    unsigned 32-bit integers.  ``decoded`` adds ``bytes``, the ids decoded as
+    by :func:`decode`, without another pass through Python.
 
     ``docs`` is read by two branches, so it should be a stored table (or
     staged first); should they ever cut different chunks, the job fails
@@ -244,6 +263,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
 
     def reassemble(key, left, right):
         """Ids of one chunk's documents, by position."""
+        tokens = _token_table(ranks_path) if decoded else None
         ids, out = [], []
         if left.num_rows:
             n_words = left.column("n_words")[0].as_py()
@@ -274,14 +294,17 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
                     out += [flat[a:b].astype("<u4").tobytes() for a, b in zip(cut[:-1], cut[1:])]
                     doc = stop
         kind = left.schema.field("ids").type.value_type
-        return pa.table({"id": pa.array(ids, kind), "ids": pa.array(out, pa.binary())})
+        cols = {"id": pa.array(ids, kind), "ids": pa.array(out, pa.binary())}
+        if decoded:
+            cols["bytes"] = pa.array((_bytes_of(x, tokens) for x in out), pa.binary())
+        return pa.table(cols)
 
     words = src.mapInArrow(vocabulary, "word binary, chunk bigint, rank int")
     words = words.repartition("word").sortWithinPartitions("word")
     coded = words.mapInArrow(encode_words, "chunk bigint, ranks binary, sizes binary, coded binary")
     seqs = src.mapInArrow(positions, f"chunk bigint, ids array<{id_type}>, counts array<int>, n_words int, seq binary")
     out = seqs.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(
-        reassemble, f"id {id_type}, ids binary")
+        reassemble, f"id {id_type}, ids binary" + ", bytes binary" * decoded)
     return out.withColumnRenamed("id", id_col)
 
 
@@ -291,19 +314,11 @@ def decode(encoded: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
     id_type = encoded.schema[id_col].dataType.simpleString()
 
     def join_bytes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with open(ranks_path, "rb") as f:
-            table = {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
-        tokens = pa.array([table.get(i) for i in range(max(table) + 1)], pa.binary())
+        tokens = _token_table(ranks_path)
         for b in batches:
             for at in range(0, b.num_rows, 64):  # bounded pieces of possibly long texts
                 part = b.slice(at, 64)
-                whole = []
-                for ids in part.column(1).to_pylist():
-                    got = tokens.take(pa.array(np.frombuffer(ids or b"", "<u4")))
-                    if got.null_count:
-                        raise ValueError("an id is not in the vocabulary")
-                    ends = np.frombuffer(got.buffers()[1], np.int32)[: len(got) + 1]
-                    whole.append(bytes(memoryview(got.buffers()[2])[ends[0]:ends[-1]]) if len(got) else b"")
+                whole = [_bytes_of(ids or b"", tokens) for ids in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(whole, pa.binary())],
                                                  [id_col, ids_col, "bytes"])
 

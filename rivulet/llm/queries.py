@@ -114,8 +114,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _ranks_path()
-    out = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
+    out = bpe.encode(_table(spark, sf_dir, "documents"), _ranks_path(), decoded=True)
     return out.select("doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 

@@ -42,6 +42,8 @@ def test_encode_and_decode(spark, monkeypatch, chunk):
     key = lambda r: (r[0] is not None, r[0] or 0, r[1], r[2])
     want = [(i, np.array(enc.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for i, t in rows]
     assert sorted(((r.doc_id, bytes(r.ids), bytes(r.bytes)) for r in got), key=key) == sorted(want, key=key)
+    got = bpe.encode(df, PATH, chunk_chars=chunk, decoded=True).collect()
+    assert sorted(((r.doc_id, bytes(r.ids), bytes(r.bytes)) for r in got), key=key) == sorted(want, key=key)
 
 
 def test_empty_table(spark):
