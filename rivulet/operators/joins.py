@@ -1,28 +1,30 @@
-"""Joins against a side that should be small, with its size checked.
+"""Joins of a topic with a table of one row per topic partition.
 
-Joining a topic to a per-partition table (first sentinel, committed
-offsets, low watermarks) on ``partition`` must not shuffle the topic: with
-few partitions a hash exchange on that key would put whole partitions in
-a few tasks.  Such a side is materialised once (cached, so the check
-does not recompute it), its row count is checked against a bound, and
-only then broadcast; beyond the bound the join falls back to a shuffle
-join, where adaptive execution's skew handling applies.
+A hash exchange on ``partition`` alone would put whole topic partitions in a
+few tasks.  The small side is copied to ``SALTS`` salts, the topic's records
+are salted by their own columns, and the join is an equi-join on
+``(partition, salt)``: one lazy plan at every size, evenly spread; adaptive
+execution broadcasts the small side where it measures it small.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 100_000
+SALTS = 64
 
 
-def join_small(big: DataFrame, small: DataFrame, cond: Column, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``big JOIN small`` broadcasting ``small`` only if it has at most
-    ``max_rows`` rows (one bounded counting job on the cached small side)."""
-    small = small.persist()
-    rows = small.limit(max_rows + 1).count()
-    if rows <= max_rows:
-        return big.join(F.broadcast(small), cond, how)
-    return big.join(small, cond, how)
+def join_small(big: DataFrame, small: DataFrame, key: str, small_key: str, salt_by: Sequence[Column | str],
+               how: str = "left", salts: int = SALTS) -> DataFrame:
+    """``big JOIN small ON key = small_key``; ``salt_by``: columns of ``big``
+    that tell its records apart.  ``how``: inner or left (a copied row must
+    not come out unmatched)."""
+    if how not in ("inner", "left"):
+        raise ValueError(f"a salted join cannot be {how}")
+    s = small.withColumn("__salt_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    b = big.withColumn("__salt_b", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
+    on = (F.col(key) == F.col(small_key)) & (F.col("__salt_b") == F.col("__salt_s"))
+    return b.join(s, on, how).drop("__salt_b", "__salt_s")

@@ -113,9 +113,27 @@ def running_total(df: DataFrame, inc: str, order: Order, series=None, seed=0,
 
 def history(df: DataFrame, inc: str, order: Order, n: int, series=None, seed=0,
             out: str = "total") -> DataFrame:
-    """Bounded history: the running total over *all* rows, then the newest n."""
-    totals = running_total(df, inc, order, series, seed, out)
-    return last_n(totals, n, list(order.by), series)
+    """Bounded history: the running total over *all* rows, of the newest n.
+
+    The newest n rows are taken first and the grand total is one aggregate;
+    the total at a kept row is the grand total less what came after it, so
+    no other row moves."""
+    keys = _keys(series)
+    kept = last_n(df, n, list(order.by), series)
+    grand = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
+        F.sum(inc).alias("__grand"))
+    newer = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order.by]).rowsBetween(
+        Window.unboundedPreceding, -1)
+    kept = kept.withColumn("__after", F.coalesce(F.sum(inc).over(newer), F.lit(0)))
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    if keys:
+        kept = kept.join(grand, on)
+    else:  # one value
+        kept = kept.withColumn("__grand", grand.scalar())
+    total = F.lit(seed) + F.coalesce("__grand", F.lit(0)) - F.col("__after")
+    return kept.withColumn(out, total).drop("__after", "__grand", *[f"__k{i}" for i in range(len(keys))])
 
 
 def padded_history(df: DataFrame, inc: str, order: Order, time_col: str, n: int, series=None,
@@ -172,14 +190,16 @@ def category_domain(values: DataFrame, domain: Sequence[str], category: str = "c
     a category without readings keeps the start value.
 
     The domain is a literal list - a proven size bound: the value table is
-    first cut to it with an ``isin`` filter (no join, no shuffle of the
-    values), and only those at most ``len(domain)`` rows meet the domain.
+    first cut to it with an ``isin`` filter, then reduced to one row per
+    category (of several values the largest), and only those at most
+    ``len(domain)`` rows meet the domain.
     """
     spark = values.sparkSession
     entries = [F.struct(F.lit(i).cast("bigint").alias(ord_col), F.lit(c).alias("__cat"))
                for i, c in enumerate(domain)]
     dom = spark.range(1).select(F.inline(F.array(*entries)))
-    shown = values.where(F.col(category).isin(list(domain)))
+    shown = (values.where(F.col(category).isin(list(domain))).groupBy(category)
+             .agg(F.max(value).alias(value)))
     joined = F.broadcast(dom).join(F.broadcast(shown), F.col("__cat") == F.col(category), "left")
     return joined.select(F.col(ord_col), F.col("__cat").alias(category),
                          F.coalesce(F.col(value), F.lit(start).cast(values.schema[value].dataType)).alias(value))

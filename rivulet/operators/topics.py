@@ -3,7 +3,7 @@
 All work on the envelope ``(key, value, partition, offset, timestamp)``.
 Per-partition quantities are declarative aggregates (partial + final), and
 the only joins are against tables with one row per topic partition
-(broadcast after a size check, :mod:`rivulet.operators.joins`) or
+(salted, :mod:`rivulet.operators.joins`) or
 equi-joins on ``(partition, offset)``, whose keys are spread evenly however
 skewed the record keys are.
 """
@@ -43,12 +43,12 @@ def delete_before(df: DataFrame, low_watermarks, col: str = "committed") -> Data
 
     ``low_watermarks``: a ``{partition: offset}`` map (as the delete-records
     tool takes it) becomes a pushable filter; a DataFrame
-    ``(partition, committed)`` is joined after a size check."""
+    ``(partition, committed)`` is joined with salts."""
     if isinstance(low_watermarks, dict):
         from rivulet.sources.readers import EARLIEST, offsets_predicate
         return df.where(offsets_predicate(low_watermarks, default=EARLIEST))
     lw = low_watermarks.select(F.col("partition").alias("__p"), F.col(col).alias("__low"))
-    j = join_small(df, lw, F.col("partition") == F.col("__p"), "left")
+    j = join_small(df, lw, "partition", "__p", ["offset"])
     return j.where(F.col("__low").isNull() | (F.col("offset") >= F.col("__low"))).drop("__p", "__low")
 
 
@@ -72,7 +72,7 @@ def lag(df: DataFrame, committed: DataFrame) -> DataFrame:
     ends = df.groupBy("partition").agg((F.max("offset") + 1).cast("bigint").alias("end_offset"),
                                        F.count(F.lit(1)).cast("bigint").alias("__n"))
     c = committed.select(F.col("partition").alias("__p"), F.col("committed"))
-    j = join_small(ends, c, F.col("partition") == F.col("__p"), "left")
+    j = ends.join(c, F.col("partition") == F.col("__p"), "left")  # one row per partition on both sides
     return j.select("partition", "end_offset", "committed",
                     F.coalesce(F.col("end_offset") - F.col("committed"), F.col("__n")).alias("lag"))
 

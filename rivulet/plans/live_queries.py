@@ -207,8 +207,9 @@ def dashboard_panels(spark, d):
                                  start=GAUGE_START)
     stock = L.category_domain(L.category_total(gauge, start=GAUGE_START), STOCK_DOMAIN, start=GAUGE_START)
     readings = R.unpivot_readings(wide_input(spark, d), ["time", "event_id"], FACTORS)
-    resources = L.category_latest(readings, ["time", "event_id"], category="factor", value="x") \
-        .withColumn("x", F.floor("x"))
+    newest = L.category_latest(readings, ["time", "event_id"], category="factor", value="x")
+    resources = L.category_domain(newest.withColumn("x", F.floor("x")), FACTORS, category="factor", value="x",
+                                  start=GAUGE_START)
     calls = L.history(gauge, "value", _order(), LAYOUT_HISTORY_N, None, seed=SEED)
     return [L.panel(currency, "currency", "value1", "value", x_cat="category"),
             L.panel(stock, "stock", "value2", "value", x_cat="category"),

@@ -20,7 +20,6 @@ from rivulet.plans.registry import register
 from rivulet.plans.views_sql import with_views
 from rivulet.session import scratch_path
 from rivulet.sources.tables import events_topic_stream, stream_table
-from rivulet.streaming import keyed as K
 from rivulet.streaming import runner as RN
 from rivulet.streaming import snapshot as SN
 
@@ -54,23 +53,27 @@ def stream_latest_by_key(spark, d):
                            output_mode="update", keys=["key"]).where(F.col("value").isNotNull())
 
 
-@register("stream_changelog", "AGG4 streaming (keyed state)", sql=(
+@register("stream_changelog", "AGG4 streaming (distributed foreachBatch)", sql=(
     'SELECT event_type AS "key", event_id, CAST(count(*) OVER (PARTITION BY event_type '
     'ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS count FROM events'))
 def stream_changelog(spark, d):
-    out = RN.run_to_files(K.changelog(events_topic_stream(spark, d), STREAM_ORDER))
-    return out.select("key", "event_id", "count")
+    base = scratch_path(spark, "changelog")
+    RN.drain(RN.start(events_topic_stream(spark, d).where("key IS NOT NULL AND value IS NOT NULL"),
+                      foreach_batch=SN.running_totals(f"{base}/out", f"{base}/carry", None, Order.by_time(*STREAM_ORDER),
+                                                      series="key", seq="count")))
+    return SN.read_batches(spark, f"{base}/out").select("key", "event_id", "count")
 
 
-@register("stream_take_until", "SRC7 streaming (keyed state)", sql=(
+@register("stream_take_until", "SRC7 streaming (distributed foreachBatch)", sql=(
     'SELECT "key", "partition", event_id FROM (SELECT event_type AS "key", CAST(user_id % 4 AS INTEGER) '
     f"AS \"partition\", event_id, sum(CASE WHEN event_type = '{SENTINEL_KEY}' THEN 1 ELSE 0 END) "
     "OVER (PARTITION BY user_id % 4 ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS seen "
     "FROM events) WHERE seen = 0"))
 def stream_take_until(spark, d):
-    flagged = events_topic_stream(spark, d).withColumn("__stop", F.col("key") == SENTINEL_KEY)
-    out = RN.run_to_files(K.take_until(flagged, "__stop", order_col="timestamp"))
-    return out.select("key", "partition", "event_id")
+    base = scratch_path(spark, "take-until")
+    RN.drain(RN.start(events_topic_stream(spark, d), foreach_batch=SN.take_until_batches(
+        f"{base}/out", f"{base}/carry", F.col("key") == SENTINEL_KEY, order_cols=STREAM_ORDER)))
+    return SN.read_batches(spark, f"{base}/out").select("key", "partition", "event_id")
 
 
 def _live_stream(spark, d):
@@ -83,22 +86,26 @@ def _live_stream(spark, d):
     return ev.select(F.col("event_type").alias("series"), "ts", "event_id", text.alias("text"))
 
 
-@register("stream_live_sequence", "LIVE1 streaming (keyed state)",
+@register("stream_live_sequence", "LIVE1 streaming (distributed foreachBatch)",
           sql=with_views(f"SELECT series, event_id, text, {LQ.SEQ_SQL} AS seq FROM live_input", "live_input"))
 def stream_live_sequence(spark, d):
-    out = RN.run_to_files(K.running_count_and_total(_live_stream(spark, d), ["series"], ["ts", "event_id"]))
-    return out.select("series", "event_id", "text", "seq")
+    base = scratch_path(spark, "sequence")
+    RN.drain(RN.start(_live_stream(spark, d), foreach_batch=SN.running_totals(
+        f"{base}/out", f"{base}/carry", None, Order.by_time("ts", "event_id"), series="series")))
+    return SN.read_batches(spark, f"{base}/out").select("series", "event_id", "text", "seq")
 
 
-@register("stream_running_total", "LIVE6 streaming (keyed state)", sql=(
+@register("stream_running_total", "LIVE6 streaming (distributed foreachBatch, per series)", sql=(
     "SELECT series, event_id, CAST(sum(inc) OVER (PARTITION BY series ORDER BY ts, event_id "
     f"ROWS UNBOUNDED PRECEDING) AS DECIMAL(28,2)) AS total FROM ({LQ.INC_SQL})"))
 def stream_running_total(spark, d):
     ev = stream_table(spark, d, "events").select(
         F.col("event_type").alias("series"), "ts", "event_id", F.col("value").cast("decimal(18,2)").alias("inc"))
-    out = RN.run_to_files(K.running_count_and_total(ev, ["series"], ["ts", "event_id"], inc="inc",
-                                                    seed=LQ.SEED))
-    return out.select("series", "event_id", F.col("total").cast("decimal(28,2)").alias("total"))
+    base = scratch_path(spark, "running-total")
+    RN.drain(RN.start(ev, foreach_batch=SN.running_totals(
+        f"{base}/out", f"{base}/carry", "inc", Order.by_time("ts", "event_id"), series="series", seed=LQ.SEED)))
+    return SN.read_batches(spark, f"{base}/out").select(
+        "series", "event_id", F.col("total").cast("decimal(28,2)").alias("total"))
 
 
 @register("stream_running_total_global", "LIVE6 streaming (distributed foreachBatch)", sql=(
@@ -111,19 +118,18 @@ def stream_running_total_global(spark, d):
     order = Order.by_time("ts", "event_id")
     RN.drain(RN.start(ev, foreach_batch=SN.running_totals(f"{base}/out", f"{base}/carry", "inc", order,
                                                          seed=LQ.SEED)))
-    out = spark.read.parquet(f"{base}/out")
+    out = SN.read_batches(spark, f"{base}/out")
     return out.select("event_id", F.col("total").cast("decimal(28,2)").alias("total"))
 
 
-@register("stream_last_n_by_series", "LIVE4 streaming (keyed state + foreachBatch snapshot)",
+@register("stream_last_n_by_series", "LIVE4 streaming (distributed foreachBatch snapshot)",
           sql=LQ.LAST_N_BY_SERIES_SQL)
 def stream_last_n_by_series(spark, d):
-    numbered = K.running_count_and_total(_live_stream(spark, d), ["series"], ["ts", "event_id"])
-    points = L.accepted(L.parse_points(numbered))
-    path = scratch_path(spark, "last-n")
-    RN.drain(RN.start(points, foreach_batch=SN.maintain(
-        path, SN.last_n_update(LQ.LAST_N, ["ts", "event_id"], "series"))))
-    return SN.read_latest(spark, path).select("series", "event_id", F.col("seq").alias("x"), "y")
+    base = scratch_path(spark, "last-n")
+    RN.drain(RN.start(L.parse_points(_live_stream(spark, d)), foreach_batch=SN.running_totals(
+        None, f"{base}/carry", None, Order.by_time("ts", "event_id"), series="series",
+        history_path=f"{base}/points", history_n=LQ.LAST_N, history_where=F.col("y").isNotNull())))
+    return SN.read_latest(spark, f"{base}/points").select("series", "event_id", F.col("seq").alias("x"), "y")
 
 
 @register("stream_category_total", "LIVE9 streaming (update mode changelog)", sql=with_views(
@@ -166,12 +172,14 @@ def stream_dashboard(spark, d):
     return visible(SN.read_latest(spark, path))
 
 
-@register("stream_sliding_frame", "LIVE1, LIVE5 streaming (keyed state)", sql=LQ.SLIDING_SQL)
+@register("stream_sliding_frame", "LIVE1, LIVE5 streaming (distributed foreachBatch)", sql=LQ.SLIDING_SQL)
 def stream_sliding_frame(spark, d):
     parsed = L.parse_points(_live_stream(spark, d))
-    out = RN.run_to_files(K.sequence_and_sliding(parsed, ["series"], ["ts", "event_id"], "y", LQ.LAST_N))
-    return out.where(F.col("y").isNotNull()).select("series", "event_id", F.col("seq").alias("x"),
-                                                    "n", "lo", "hi", "total")
+    base = scratch_path(spark, "sliding")
+    RN.drain(RN.start(parsed, foreach_batch=SN.sliding_batches(
+        f"{base}/out", f"{base}/carry", f"{base}/tail", Order.by_time("ts", "event_id"), LQ.LAST_N, "y", "series")))
+    return SN.read_batches(spark, f"{base}/out").select(
+        "series", "event_id", F.col("seq").alias("x"), "n", "lo", "hi", F.col("total").cast("bigint").alias("total"))
 
 
 @register("stream_history", "LIVE6, LIVE7 streaming (distributed foreachBatch + snapshot)",
@@ -182,7 +190,7 @@ def stream_history(spark, d):
     base = scratch_path(spark, "history")
     order = Order.by_time("ts", "event_id")
     RN.drain(RN.start(ev, foreach_batch=SN.running_totals(
-        f"{base}/out", f"{base}/carry", "inc", order, seed=LQ.SEED,
+        None, f"{base}/carry", "inc", order, seed=LQ.SEED,
         history_path=f"{base}/history", history_n=LQ.HISTORY_N)))
     hist = SN.read_latest(spark, f"{base}/history")
     return hist.select("ts", "event_id", F.col("total").cast("decimal(28,2)").alias("total"))
@@ -209,7 +217,7 @@ def stream_history_padded(spark, d):
     base = scratch_path(spark, "padded")
     order = Order.by_time("time", "event_id")
     RN.drain(RN.start(g, foreach_batch=SN.running_totals(
-        f"{base}/out", f"{base}/carry", "value", order, series="series", seed=LQ.SEED,
+        None, f"{base}/carry", "value", order, series="series", seed=LQ.SEED,
         history_path=f"{base}/history", history_n=LQ.HISTORY_N)))
     hist = SN.read_latest(spark, f"{base}/history")
     out = L.pad_history(hist, LQ.HISTORY_N, "time", ["time", "event_id"], "series", LQ.SEED)

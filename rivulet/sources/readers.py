@@ -31,7 +31,8 @@ def offsets_predicate(starts: dict[int, int], default: int = EARLIEST) -> Column
         terms.append(hit if start == EARLIEST else hit & (F.col("offset") >= F.lit(int(start))))
     if default == EARLIEST:
         listed = [int(p) for p in starts]
-        terms.append(~F.col("partition").isin(listed) if listed else F.lit(True))
+        # a record without a partition is unlisted
+        terms.append(F.col("partition").isNull() | ~F.col("partition").isin(listed) if listed else F.lit(True))
     if not terms:
         return F.lit(False)
     out = terms[0]
@@ -62,14 +63,14 @@ def take_until(df: DataFrame, sentinel: Union[Column, Callable[[Column, Column],
     """SRC7: per partition, the records before the first sentinel record.
 
     The sentinel itself is not output; a partition without one is kept
-    whole.  One aggregate gives the first sentinel offset per partition -
-    one row per topic partition - which, its size checked, is broadcast to
-    the scan, so the records themselves never shuffle.
+    whole.  One aggregate gives the first sentinel offset per partition - one
+    row per topic partition - which meets the records in a salted join
+    (:mod:`rivulet.operators.joins`).
     """
     is_stop = sentinel(F.col("key"), F.col("value")) if callable(sentinel) else sentinel
     stops = (df.where(F.coalesce(is_stop, F.lit(False))).groupBy("partition")
              .agg(F.min("offset").alias("__stop")).withColumnRenamed("partition", "__p"))
-    joined = join_small(df, stops, F.col("partition") == F.col("__p"), "left")
+    joined = join_small(df, stops, "partition", "__p", ["offset"])
     return joined.where(F.col("__stop").isNull() | (F.col("offset") < F.col("__stop"))).drop("__p", "__stop")
 
 

@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 
 from rivulet.operators.live import last_n
 from rivulet.operators.ordered import Order, running_sum
-from rivulet.sources.envelope import TEXT_FORMAT_OPTIONS
-from rivulet.streaming.snapshot import _prune, read_latest
+from rivulet.streaming.snapshot import _prune, publish_json, read_latest, read_version, run_folder
+
+# Series of the row that carries a history panel's total between batches,
+# whatever the order of its readings.
+CARRY = "__carry"
 
 STATE_COLUMNS = ("panel", "series", "x_time", "x_cat", "y", "__ots", "__oid")
 
@@ -90,13 +93,15 @@ def _refresh(spec: PanelSpec, prev: DataFrame | None, batch: DataFrame) -> DataF
     if spec.kind == "history":
         carry = 0
         if old is not None:
-            top = old.orderBy(F.col("__ots").desc(), F.col("__oid").desc()).select("y").first()
+            top = old.where(F.col("series") == CARRY).select("y").first()
             carry = int(top["y"]) if top is not None else 0
         totals = running_sum(r, F.col("value"), Order.by_time("ts", "event_id"), out="total", seed=carry)
         cur = _state(totals, spec, x_time=F.col("ts"), y="total", ots=F.col("ts"), oid=F.col("event_id"))
         if old is not None:
-            cur = cur.unionByName(old)
-        return last_n(cur, spec.n, ["__ots", "__oid"])
+            cur = cur.unionByName(old.where(F.col("series") != CARRY))
+        done = r.agg((F.coalesce(F.sum("value"), F.lit(0)) + F.lit(carry)).alias("y"))
+        return last_n(cur, spec.n, ["__ots", "__oid"]).unionByName(
+            _state(done, spec).withColumn("series", F.lit(CARRY)))
     raise ValueError(f"unknown panel kind {spec.kind}")
 
 
@@ -106,23 +111,23 @@ def dashboard_sink(path: str, panels: Sequence[PanelSpec], json_path: str | None
     (and, if given, its visible columns as one JSON document at ``json_path``)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = read_latest(spark, path, before=batch_id)
+        folder = run_folder(spark, path)
+        prev = read_version(spark, folder, before=batch_id)
         batch = batch.persist()
         try:
             parts = [_refresh(p, prev, batch).select(*STATE_COLUMNS) for p in panels]
             table = parts[0]
             for p in parts[1:]:
                 table = table.unionByName(p)
-            table.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+            table.write.mode("overwrite").parquet(f"{folder}/v={batch_id}")
         finally:
             batch.unpersist()
-        _prune(spark, path, keep_versions)
+        _prune(spark, folder, keep_versions)
         if json_path:
             # the panel table is bounded (domains and n points), one JSON file
-            read_latest(spark, path).select("panel", "series", "x_time", "x_cat", "y") \
-                .coalesce(1).write.mode("overwrite").options(**TEXT_FORMAT_OPTIONS).json(json_path)
+            publish_json(visible(read_latest(spark, path)), json_path, batch_id, keep_versions)
     return run
 
 
 def visible(table: DataFrame) -> DataFrame:
-    return table.select("panel", "series", "x_time", "x_cat", "y")
+    return table.where(F.col("series") != CARRY).select("panel", "series", "x_time", "x_cat", "y")

@@ -9,7 +9,6 @@ on the same checkpoint resumes where the last committed micro-batch ended
 
 from __future__ import annotations
 
-import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,19 +53,6 @@ def start(df: DataFrame, *, sink: str = "memory", output_mode: str = "append",
     return w.start(path) if path else w.start()
 
 
-def run_to_table(df: DataFrame, *, output_mode: str = "append", checkpoint: str | None = None,
-                 name: str | None = None) -> DataFrame:
-    """Drain a streaming DataFrame (available-now) into a memory table and
-    return it as a batch DataFrame."""
-    spark = df.sparkSession
-    name = name or f"rivulet_{uuid.uuid4().hex[:10]}"
-    q = start(df, sink="memory", output_mode=output_mode, checkpoint=checkpoint, query_name=name)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return spark.table(name)
-
-
 def drain(q: StreamingQuery) -> None:
     """Wait for an available-now / once query and surface its failure."""
     q.awaitTermination()
@@ -142,23 +128,25 @@ def run_to_files(df: DataFrame, *, output_mode: str = "append", path: str | None
 def stop_when_idle(q: StreamingQuery, idle_batches: int = 100, poll_seconds: float = 1.0,
                    timeout_seconds: float | None = None) -> int:
     """SRC6: stop a continuously triggered query after more than
-    ``idle_batches`` empty polls - poll intervals in which no new records
-    arrived (Spark runs no micro-batch without data, so the polls are
-    counted here; like the reference, the count is not reset by data).
-    Returns the number of empty polls.  Only the query's own progress
-    reports are read."""
+    ``idle_batches`` empty polls - polls that find no micro-batch running, no
+    data waiting and no batch with records ended since the poll before (Spark
+    runs no micro-batch without data, so the polls are counted here; like the
+    reference, the count is not reset by data).  Returns the number of empty
+    polls.  Only the query's own status and progress reports are read."""
     import time as _time
     seen: set = set()
     empty, started = 0, _time.time()
     while q.isActive:
         _time.sleep(poll_seconds)
-        new_rows = 0
+        status = q.status
+        # a micro-batch reports its rows only when it ends
+        new = bool(status["isTriggerActive"] or status["isDataAvailable"])
         for p in q.recentProgress:
             bid = p.get("batchId")
             if bid is not None and bid not in seen and p.get("numInputRows", 0) > 0:
                 seen.add(bid)
-                new_rows += p["numInputRows"]
-        if new_rows == 0:
+                new = True
+        if not new:
             empty += 1
         if empty > idle_batches or (timeout_seconds and _time.time() - started > timeout_seconds):
             q.stop()

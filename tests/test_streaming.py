@@ -7,6 +7,7 @@ stream reads one file per micro-batch (maxFilesPerTrigger=1).
 import os
 import tempfile
 import time
+import uuid
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -56,6 +57,13 @@ def _stream(spark, directory):
     return read_topic(spark, directory, stream=True, options={"maxFilesPerTrigger": "1"})
 
 
+def run_to_table(df, output_mode="append", checkpoint=None):
+    """Drain a stream into a memory table (small test data only)."""
+    name = f"rivulet_{uuid.uuid4().hex[:10]}"
+    RN.drain(RN.start(df, sink="memory", output_mode=output_mode, checkpoint=checkpoint, query_name=name))
+    return df.sparkSession.table(name)
+
+
 def _batch(spark, parts):
     import pandas as pd
     return spark.createDataFrame(pd.concat(parts, ignore_index=True), ENVELOPE)
@@ -64,7 +72,7 @@ def _batch(spark, parts):
 def test_word_count_complete_mode_parity(spark, topic_parts):
     d = tempfile.mkdtemp(prefix="rv-topic-")
     _write_parts(topic_parts, d)
-    got = RN.run_to_table(T.word_count(_stream(spark, d)), output_mode="complete")
+    got = run_to_table(T.word_count(_stream(spark, d)), output_mode="complete")
     exp = T.word_count(_batch(spark, topic_parts))
     assert sorted(got.collect()) == sorted(exp.collect())
 
@@ -97,7 +105,7 @@ def test_keyed_sequence_and_total_parity(spark, topic_parts):
     d = tempfile.mkdtemp(prefix="rv-topic-")
     _write_parts(topic_parts, d)
     s = _stream(spark, d).withColumn("inc", F.length("value").cast("bigint"))
-    got = RN.run_to_table(K.running_count_and_total(s, ["key"], ORDER_COLS, inc="inc", seed=0))
+    got = run_to_table(K.running_count_and_total(s, ["key"], ORDER_COLS, inc="inc", seed=0))
     b = _batch(spark, topic_parts).withColumn("inc", F.length("value").cast("bigint"))
     exp = L.running_total(L.sequence(b, _order(), "key"), "inc", _order(), "key", seed=0)
     cols = ["partition", "offset", "seq", "total"]
@@ -107,7 +115,7 @@ def test_keyed_sequence_and_total_parity(spark, topic_parts):
 def test_changelog_stream_parity(spark, topic_parts):
     d = tempfile.mkdtemp(prefix="rv-topic-")
     _write_parts(topic_parts, d)
-    got = RN.run_to_table(K.changelog(_stream(spark, d), ORDER_COLS))
+    got = run_to_table(K.changelog(_stream(spark, d), ORDER_COLS))
     exp = T.changelog(_batch(spark, topic_parts), _order())
     cols = ["key", "partition", "offset", "count"]
     assert sorted(got.select(*cols).collect()) == sorted(exp.select(*cols).collect())
@@ -118,7 +126,7 @@ def test_take_until_stream_parity(spark, topic_parts):
     d = tempfile.mkdtemp(prefix="rv-topic-")
     _write_parts(topic_parts, d)
     flagged = _stream(spark, d).withColumn("stop", F.col("key") == "error")
-    got = RN.run_to_table(K.take_until(flagged, "stop"))
+    got = run_to_table(K.take_until(flagged, "stop"))
     exp = take_until(_batch(spark, topic_parts), F.col("key") == "error")
     assert sorted(got.collect()) == sorted(exp.collect())
 
@@ -137,7 +145,7 @@ def test_last_n_snapshot_parity(spark, topic_parts):
 def test_latest_and_gauges_streaming_aggregates(spark, topic_parts):
     d = tempfile.mkdtemp(prefix="rv-topic-")
     _write_parts(topic_parts, d)
-    got = RN.run_to_table(T.latest_by_key(_stream(spark, d)), output_mode="complete")
+    got = run_to_table(T.latest_by_key(_stream(spark, d)), output_mode="complete")
     exp = T.latest_by_key(_batch(spark, topic_parts))
     assert sorted(got.collect()) == sorted(exp.collect())
 
@@ -170,7 +178,7 @@ def test_offset_gaps_stream_parity(spark, topic_parts):
     d = tempfile.mkdtemp(prefix="rv-topic-")
     thinned = [p[p["key"] != "error"] for p in topic_parts]
     _write_parts(thinned, d)
-    got = RN.run_to_table(K.offset_gaps(_stream(spark, d)))
+    got = run_to_table(K.offset_gaps(_stream(spark, d)))
     exp = offset_gaps(_batch(spark, thinned))
     assert sorted(got.collect()) == sorted(exp.collect())
 
@@ -202,7 +210,7 @@ def test_cadence_trigger_stamp_and_json_panel(spark, topic_parts):
     q = RN.start(stamped, trigger="200 milliseconds", foreach_batch=SN.json_snapshot(out, build))
     q.processAllAvailable()
     q.stop()
-    panel = spark.read.json(out)
+    panel = spark.read.json(SN.json_page(spark, out))
     assert sorted(r.category for r in panel.collect()) == ["click", "refund", "view"]
     assert RN.trigger_args("1 second") == {"processingTime": "1 second"}
     assert "time" in stamped.columns
@@ -217,7 +225,7 @@ def test_distributed_running_totals_parity(spark, topic_parts, series):
     q = RN.start(s, foreach_batch=SN.running_totals(f"{base}/out", f"{base}/carry", "inc", _order(),
                                                    series=series, seed=5))
     RN.drain(q)
-    got = spark.read.parquet(f"{base}/out").select("partition", "offset", "seq", "total")
+    got = SN.read_batches(spark, f"{base}/out").select("partition", "offset", "seq", "total")
     b = _batch(spark, topic_parts).withColumn("inc", F.length("value").cast("bigint"))
     exp = L.running_total(L.sequence(b, _order(), series), "inc", _order(), series, seed=5)
     cols = ["partition", "offset", "seq", "total"]
@@ -245,7 +253,7 @@ def test_dashboard_stream_equals_batch_over_four_batches(spark):
     got = sorted(visible(SN.read_latest(spark, out)).collect(), key=str)
     exp = sorted(LQ.live_dashboard(spark, SF_SMALL).collect(), key=str)
     assert got == exp
-    assert spark.read.json(page).count() == len(exp)
+    assert spark.read.json(SN.json_page(spark, page)).count() == len(exp)
 
 
 def test_keyed_state_restart_on_same_checkpoint(spark, topic_parts):
@@ -275,9 +283,9 @@ def test_foreach_batch_writers_are_idempotent_on_retry(spark, topic_parts):
     fn = SN.running_totals(f"{base}/out", f"{base}/carry", "inc", _order(), series="key")
     fn(batch0, 0)
     fn(batch1, 1)
-    first = sorted(spark.read.parquet(f"{base}/out").collect())
+    first = sorted(SN.read_batches(spark, f"{base}/out").collect())
     fn(batch1, 1)  # a retried batch rewrites its own output and carry
-    assert sorted(spark.read.parquet(f"{base}/out").collect()) == first
+    assert sorted(SN.read_batches(spark, f"{base}/out").collect()) == first
 
     snap = f"{base}/lastn"
     upd = SN.maintain(snap, SN.last_n_update(5, ORDER_COLS, "key"))
@@ -373,7 +381,7 @@ def test_distributed_take_until_and_gaps_parity(spark, topic_parts):
     base = tempfile.mkdtemp(prefix="rv-tu-")
     RN.drain(RN.start(_stream(spark, d), foreach_batch=SN.take_until_batches(
         f"{base}/out", f"{base}/carry", F.col("key") == "error")))
-    got = spark.read.parquet(f"{base}/out").drop("batch")
+    got = SN.read_batches(spark, f"{base}/out").drop("batch")
     exp = take_until(_batch(spark, topic_parts), F.col("key") == "error")
     assert sorted(got.collect()) == sorted(exp.collect())
 
@@ -382,7 +390,7 @@ def test_distributed_take_until_and_gaps_parity(spark, topic_parts):
     _write_parts(thinned, d2)
     base2 = tempfile.mkdtemp(prefix="rv-gaps-")
     RN.drain(RN.start(_stream(spark, d2), foreach_batch=SN.offset_gaps_batches(f"{base2}/out", f"{base2}/carry")))
-    got = spark.read.parquet(f"{base2}/out").drop("batch")
+    got = SN.read_batches(spark, f"{base2}/out").drop("batch")
     assert sorted(got.collect()) == sorted(offset_gaps(_batch(spark, thinned)).collect())
 
 
@@ -509,3 +517,100 @@ def test_consumer_app_drains_and_stops(spark, topic_parts):
     q = apps.run(spark, ["consumer", "--source", src, "--checkpoint", tempfile.mkdtemp(prefix="rv-ck-")])
     RN.drain(q)
     assert not q.isActive and q.lastProgress is not None
+
+
+class _Query:
+    """A query that is always busy with one micro-batch, then done."""
+
+    def __init__(self, busy, polls):
+        self.busy, self.left, self.recentProgress = busy, polls, []
+
+    @property
+    def isActive(self):
+        self.left -= 1
+        return self.left > 0
+
+    @property
+    def status(self):
+        return {"isTriggerActive": self.busy, "isDataAvailable": self.busy}
+
+    def stop(self):
+        self.left = 0
+
+
+def test_a_running_micro_batch_is_not_idle():
+    assert RN.stop_when_idle(_Query(True, 50), idle_batches=5, poll_seconds=0.001) == 0
+    assert RN.stop_when_idle(_Query(False, 50), idle_batches=5, poll_seconds=0.001) == 6
+
+
+def test_reset_and_reprocess_into_the_same_sinks(spark, topic_parts):
+    """A fresh checkpoint starts from nothing and its result replaces the old."""
+    d = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts, d)
+    base = tempfile.mkdtemp(prefix="rv-reset-")
+
+    def run(read):
+        s = read.withColumn("inc", F.lit(1).cast("bigint")).withColumn("y", F.length("value").cast("bigint"))
+        sinks = [SN.running_totals(f"{base}/out", f"{base}/carry", "inc", _order(), series="key",
+                                   history_path=f"{base}/hist", history_n=3),
+                 SN.maintain(f"{base}/snap", SN.last_n_update(5, ORDER_COLS, "key")),
+                 SN.take_until_batches(f"{base}/t", f"{base}/tc", F.col("key") == "error"),
+                 SN.offset_gaps_batches(f"{base}/g", f"{base}/gc"),
+                 SN.sliding_batches(f"{base}/s", f"{base}/sc", f"{base}/st", _order(), 4, "y", "key")]
+        for f in sinks:
+            RN.drain(RN.start(s, foreach_batch=f))
+        RN.drain(RN.start(T.count_by_key(read), output_mode="update", foreach_batch=SN.changelog_writer(f"{base}/log")))
+        got = [SN.read_batches(spark, f"{base}/{x}").drop("batch") for x in ("out", "t", "g", "s")]
+        got += [SN.read_latest(spark, f"{base}/{x}") for x in ("hist", "snap", "carry")]
+        return [sorted(g.select(sorted(g.columns)).collect(), key=str) for g in got] + \
+            [sorted(SN.read_changelog(spark, f"{base}/log", ["key"]).collect())]
+
+    first = run(_stream(spark, d))
+    assert run(_stream(spark, d)) == first  # drained again: the same tables, not the old state continued
+    half = run(_stream(spark, d).where("partition < 2"))
+    assert half != first
+    want = _batch(spark, topic_parts).where("partition < 2")
+    assert half[-1] == sorted(T.count_by_key(want).collect())
+    assert len(half[0]) == want.count()
+
+
+def test_sliding_batches_parity(spark, topic_parts):
+    d = tempfile.mkdtemp(prefix="rv-topic-")
+    _write_parts(topic_parts, d)
+    base = tempfile.mkdtemp(prefix="rv-slide-")
+    big = F.lit((1 << 53) + 1).cast("bigint") + F.col("offset")
+    y = F.when(F.col("offset") % 3 != 0, big)
+    RN.drain(RN.start(_stream(spark, d).withColumn("y", y), foreach_batch=SN.sliding_batches(
+        f"{base}/s", f"{base}/c", f"{base}/t", _order(), 20, "y", "key")))
+    got = SN.read_batches(spark, f"{base}/s")
+    b = L.sequence_with_accepted(_batch(spark, topic_parts).withColumn("y", y), _order(), "key")
+    exp = L.sliding(L.accepted(b), _order(), 20, "y", "key", position="apos")
+    cols = ["key", "partition", "offset", "y", "seq", "n", "lo", "hi", "total"]
+    assert sorted(got.select(*cols).collect()) == sorted(exp.select(*cols).collect())
+
+
+def test_take_until_batches_with_tied_times(spark):
+    base = tempfile.mkdtemp(prefix="rv-tie-")
+    rows = [(0, 5, 1, "stop"), (0, 5, 2, "after"), (0, 5, 0, "before"), (1, 5, 3, "other")]
+    df = spark.createDataFrame(rows, "partition int, timestamp long, event_id long, key string")
+    SN.take_until_batches(f"{base}/o", f"{base}/c", F.col("key") == "stop", ("timestamp", "event_id"))(df, 0)
+    assert sorted(r.key for r in SN.read_batches(spark, f"{base}/o").collect()) == ["before", "other"]
+
+
+def test_dashboard_total_survives_a_late_batch(spark):
+    import datetime as dt
+    from rivulet.streaming.dashboard import PanelSpec, dashboard_sink, visible
+    path = tempfile.mkdtemp(prefix="rv-late-") + "/t"
+    sink = dashboard_sink(path, [PanelSpec("calls", "v", "history", lambda b: b, n=10)])
+    t0 = dt.datetime(2024, 1, 1)
+    for k, (t, v) in enumerate([(10, 5), (3, 7), (20, 1)]):
+        sink(spark.createDataFrame([("a", t0 + dt.timedelta(seconds=t), k, v)],
+                                   "category string, ts timestamp_ntz, event_id long, value long"), k)
+    got = {r.x_time: r.y for r in visible(SN.read_latest(spark, path)).collect()}
+    assert got[t0 + dt.timedelta(seconds=20)] == 13 and len(got) == 3
+
+
+def test_category_domain_of_raw_readings(spark):
+    df = spark.createDataFrame([("USD", 4), ("USD", 9), ("EUR", 1)], "category string, value long")
+    got = L.category_domain(df, ["INR", "USD"], start=10).orderBy("ord").collect()
+    assert [(r.category, r.value) for r in got] == [("INR", 10), ("USD", 9)]

@@ -59,14 +59,23 @@ def test_retention_keeps_last_week(spark):
     assert sorted(r.offset for r in O.delete_before(envelope(spark, rows), low).collect()) == [2, 3]
 
 
-def test_join_small_falls_back_beyond_bound(spark):
+def test_join_small_is_one_lazy_plan(spark):
     from rivulet.operators.joins import join_small
     big = spark.range(50).withColumn("p", F.col("id") % 3)
-    small = spark.createDataFrame([(0, "a"), (1, "b")], "q long, tag string")
-    cond = F.col("p") == F.col("q")
-    a = sorted(join_small(big, small, cond, "left").collect())
-    b = sorted(join_small(big, small, cond, "left", max_rows=1).collect())
-    assert a == b and len(a) == 50
+    small = spark.createDataFrame([(0, "a"), (1, "b"), (None, "c")], "q long, tag string")
+    for salts in (1, 64):
+        got = sorted((r.id, r.p, r.tag) for r in join_small(big, small, "p", "q", ["id"], salts=salts).collect())
+        assert got == [(i, i % 3, {0: "a", 1: "b"}.get(i % 3)) for i in range(50)]
+    assert sorted(r.id for r in join_small(big, small, "p", "q", ["id"], "inner").collect()) == \
+        [i for i in range(50) if i % 3 < 2]
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_null_partitions_are_unlisted(spark):
+    from rivulet.sources.readers import from_offsets
+    df = spark.createDataFrame([("a", None, 0), ("b", 0, 0), ("c", 0, 7), ("d", 1, 0)], "key string, partition int, offset long")
+    assert sorted(r.key for r in from_offsets(df, {0: 5}).collect()) == ["a", "c", "d"]
+    assert sorted(r.key for r in from_offsets(df, {0: 5}, default=-1).collect()) == ["c"]
 
 
 def test_auto_bucket_width_setting(spark):
