@@ -614,3 +614,44 @@ def test_category_domain_of_raw_readings(spark):
     df = spark.createDataFrame([("USD", 4), ("USD", 9), ("EUR", 1)], "category string, value long")
     got = L.category_domain(df, ["INR", "USD"], start=10).orderBy("ord").collect()
     assert [(r.category, r.value) for r in got] == [("INR", 10), ("USD", 9)]
+
+
+def test_kafka_options_reach_reader_and_writer(monkeypatch):
+    """No broker here: only what the apps hand to Spark is looked at."""
+    from rivulet import apps
+    seen = {}
+    monkeypatch.setattr(apps, "read_topic", lambda spark, topic, **kw: seen.update(read=(topic, kw)))
+    monkeypatch.setattr(apps.W, "to_topic", lambda df, topic, **kw: seen.update(write=(topic, kw)))
+    argv = ["mirror", "--source", "in", "--sink", "out", "--fmt", "kafka", "--sink-fmt", "kafka", "--starting", "latest",
+            "--option", "kafka.bootstrap.servers=h:9092", "--checkpoint", "c"]
+    apps.run(None, argv)
+    opts = {"kafka.bootstrap.servers": "h:9092"}
+    assert seen["read"] == ("in", dict(fmt="kafka", stream=True, starting="latest", options=opts, per_trigger=10_000_000))
+    assert seen["write"] == ("out", dict(fmt="kafka", checkpoint="c", trigger="available-now", options=opts))
+    for bad in (["wordcount", "--source", "x"], ["consumer", "--source", "x", "--starting", "latest"],
+                ["dashboard", "--source", "x", "--sink", "y"]):
+        with pytest.raises(SystemExit):
+            apps.parse_args(bad)
+
+
+def test_viewer_dashboard_produce_and_mirror(spark):
+    from rivulet import apps
+    base = tempfile.mkdtemp(prefix="rv-more-")
+    os.makedirs(f"{base}/lines")
+    with open(f"{base}/lines/a.txt", "w") as f:
+        f.write("1\n2\nexit\n3\n")
+    run = lambda *a: RN.drain(apps.run(spark, list(a)))
+    run("produce", "--source", f"{base}/lines", "--sink", f"{base}/topic", "--key", "k")
+    rows = [r.value for r in read_topic(spark, f"{base}/topic").collect()]
+    assert sorted(rows) == ["1", "2", "3", "exit"]
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    spark.createDataFrame([("a" if i % 2 else "b", v, 0, i, t0 + dt.timedelta(seconds=i)) for i, v in
+                           enumerate(["1", "2", "exit", "3"])], ENVELOPE).write.parquet(f"{base}/numbered")
+    run("mirror", "--source", f"{base}/numbered", "--sink", f"{base}/copy")
+    assert sorted(read_topic(spark, f"{base}/copy").collect()) == sorted(read_topic(spark, f"{base}/numbered").collect())
+    run("viewer", "--source", f"{base}/copy", "--sink", f"{base}/view")
+    assert sorted(r.value for r in SN.read_batches(spark, f"{base}/view/records").collect()) == ["1", "2"]
+    run("dashboard", "--source", f"{base}/copy", "--sink", f"{base}/dash", "--domain", "a", "--domain", "c")
+    page = {(r.panel, r.x_cat): r.y for r in spark.read.json(SN.json_page(spark, f"{base}/dash/page")).collect() if r.panel != "history"}
+    assert page == {("latest", "a"): 3, ("latest", "c"): 10, ("total", "a"): 15, ("total", "c"): 10}
