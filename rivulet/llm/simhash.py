@@ -276,7 +276,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # one row per linked fingerprint with the least id of its component
     least = linked.join(nodes, "fp").groupBy("root").agg(F.min("rep").alias("low"))
     low = linked.join(least, "root").select("fp", "low")
-    ids = nodes.join(low, "fp", "left").select("fp", F.coalesce("low", "rep").alias("component_id"))
+    # stored: the last join then has nothing else in its stage, and its skewed side can be split
+    ids = stage(nodes.join(low, "fp", "left").select("fp", F.coalesce("low", "rep").alias("component_id")), "simhash-ids")
     return fp.join(ids, "fp").select(id_col, "fp", "component_id")
 
 
