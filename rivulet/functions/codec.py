@@ -39,5 +39,7 @@ def from_json_envelope(col, schemas: bool = True) -> Column:
     """Payload of a JSON envelope; NULL when the text is not one."""
     v = as_col(col)
     if not schemas:
-        return F.from_json(F.concat(F.lit('{"p":'), v, F.lit("}")), "p string")["p"]
+        # one value: as the only element of an array
+        one = F.from_json(F.concat(F.lit("["), v, F.lit("]")), "array<string>")
+        return F.when(F.size(one) == 1, F.get(one, F.lit(0)))
     return F.from_json(v, "schema struct<type: string, optional: boolean>, payload string")["payload"]

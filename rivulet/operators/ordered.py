@@ -146,6 +146,30 @@ class Order:
     def bucket_for(self, df: DataFrame) -> Column:
         if self.bucket is not None:
             return self.bucket
+        return F.coalesce(self._bucket_of_first(df).cast("bigint"), self._bucket_of_rest(df))
+
+    def _bucket_of_rest(self, df: DataFrame) -> Column:
+        """Bucket of rows whose first order column is NULL: they sort first, so
+        it lies below every real one; among themselves they are in the order
+        of the next columns (a topic without timestamps: partition, offset)."""
+        types = {f.name: f.dataType.typeName() for f in df.schema.fields}
+        rest = []
+        for c in self.by[1:]:
+            if types.get(c) not in ("integer", "long", "short", "byte"):
+                break
+            rest.append(c)
+        w = self.width if self.kind == "number" else None
+        w = w or df.sparkSession.conf.get(CONF_WIDTH, None) or DEFAULT_WIDTH
+        width = DEFAULT_WIDTH if w == "auto" else int(w)
+        sub = F.lit(None).cast("bigint")
+        if rest and types[rest[0]] != "long" and len(rest) > 1:  # a topic partition, then its offset
+            high, low = F.col(rest[0]).cast("bigint"), number_bucket(rest[1], width)
+            sub = high * F.lit(1 << 40) + F.coalesce(low, F.lit(-1))
+        elif rest:
+            sub = number_bucket(rest[0], width)
+        return F.coalesce(F.lit(_NULL_BUCKET) + sub, F.lit(_NULL_BUCKET - (1 << 61)))
+
+    def _bucket_of_first(self, df: DataFrame) -> Column:
         conf = df.sparkSession.conf
         first = self.by[0]
         rows = int(conf.get(CONF_ROWS, None) or DEFAULT_BUCKET_ROWS)
@@ -158,8 +182,9 @@ class Order:
         return number_bucket(first, auto_number_width(df, first, rows) if w == "auto" else int(w))
 
 
-# Bucket of rows whose order value is NULL: they sort first (ASC NULLS FIRST),
-# so they go to a bucket below every real one instead of being lost in the join.
+# Middle of the buckets of rows whose first order column is NULL: they sort
+# first (ASC NULLS FIRST), so they go below every real bucket instead of being
+# lost in the join.
 _NULL_BUCKET = -(1 << 62)
 
 

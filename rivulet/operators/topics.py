@@ -54,8 +54,10 @@ def delete_before(df: DataFrame, low_watermarks, col: str = "committed") -> Data
 
 def compact(df: DataFrame) -> DataFrame:
     """OPS4: log compaction - the newest record per key within each partition
-    (a partition is one log), tombstones included."""
-    return newest_record_by(df, ["partition", "key"], order_cols=("offset",))
+    (a partition is one log), tombstones included.  Records without a key
+    have nothing to be compacted by: all are kept."""
+    keyed = newest_record_by(df.where(F.col("key").isNotNull()), ["partition", "key"], order_cols=("offset",))
+    return keyed.unionByName(df.where(F.col("key").isNull()))
 
 
 def topic_summary(df: DataFrame) -> DataFrame:

@@ -119,3 +119,25 @@ def test_time_buckets_are_monotone_across_a_dst_gap(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert [r.s for r in got] == list(range(1, 31))
+
+
+def test_null_first_order_column_spreads_by_the_next(spark):
+    """A topic without timestamps is bucketed by partition and offset."""
+    from pyspark.sql import Window
+    from rivulet.operators import ordered as O
+    df = (spark.range(4000).select((F.col("id") % 3).cast("int").alias("partition"), F.col("id").alias("offset"),
+                                   F.when(F.col("id") % 10 == 0, F.lit("2024-01-01").cast("timestamp_ntz")).alias("timestamp"),
+                                   (F.col("id") % 7).alias("v")))
+    spark.conf.set(O.CONF_WIDTH, "100")
+    try:
+        order = O.Order.by_time("timestamp", "partition", "offset")
+        got = O.running_sum(df, "v", order)
+        w = Window.orderBy("timestamp", "partition", "offset").rowsBetween(Window.unboundedPreceding, 0)
+        assert sorted(got.collect()) == sorted(df.withColumn("running", F.sum("v").over(w)).collect())
+        buckets = O._keyed(df, (), order).groupBy(O._B).count().collect()
+        assert len(buckets) > 100
+        by_id = O.sequence_number(df, O.Order.by_time("timestamp", "offset"))
+        w = Window.orderBy("timestamp", "offset")
+        assert sorted(by_id.collect()) == sorted(df.withColumn("seq", F.row_number().over(w).cast("bigint")).collect())
+    finally:
+        spark.conf.unset(O.CONF_WIDTH)

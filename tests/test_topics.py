@@ -135,3 +135,16 @@ def test_delete_before_map_form(spark):
     rows = [("k", str(i), p, i) for p in range(2) for i in range(5)]
     out = O.delete_before(envelope(spark, rows), {0: 3})
     assert sorted((r.partition, r.offset) for r in out.collect()) == [(0, 3), (0, 4)] + [(1, i) for i in range(5)]
+
+
+def test_compaction_keeps_records_without_a_key(spark):
+    df = spark.createDataFrame([("a", "1", 0, 0), ("a", "2", 0, 1), (None, "3", 0, 2), (None, "4", 0, 3)],
+                               "key string, value string, partition int, offset long")
+    assert sorted(r.value for r in O.compact(df).collect()) == ["2", "3", "4"]
+
+
+def test_bare_json_is_one_value(spark):
+    from rivulet.functions.codec import from_json_envelope
+    df = spark.createDataFrame([('"x"',), ('"x","q":1',), ('"x","y"',), ("5",), (None,), ("",)], "j string")
+    got = [r[0] for r in df.select(from_json_envelope("j", schemas=False)).collect()]
+    assert got == ["x", None, None, "5", None, None]
