@@ -9,8 +9,9 @@ votes of all documents, base spans included, are counted by vote pattern;
 expectation-maximisation over those counts (at most 4 x 3^4 rows, whatever the
 corpus size) estimates each labeler's reliability per kind, and a logistic
 span classifier is trained on the posteriors.  A candidate that overlaps no
-base span is added if the classifier gives 0.5 or more and two labelers at
-least are for it.
+base span is added if the classifier gives 0.5 or more and at least
+``AYES`` labelers are for it (for a loose form: all but *pattern*), so that
+numbers without any context are left alone.
 
 Positions count code points.  All patterns are possessive or start at a run's
 first character, so long texts cost linear time and no deep recursion.
@@ -67,6 +68,7 @@ GAZETTEER = {
 }
 LABELERS = ("pattern", "gazetteer", "context", "edges")
 CONTEXT_CHARS = 40
+AYES = 3
 
 
 def _placed(text: Column, pattern: str, keep: Callable[[Column], Column], kind: int) -> Column:
@@ -242,7 +244,7 @@ def _accepted(weights: dict[int, list[float]]) -> Callable[[Column], Column]:
                 score = score + F.when(x[name] == 1, a).when(x[name] == 0, -a).otherwise(0.0)
             z = F.when(x["k"] == k, score).otherwise(z)
         ayes = sum((F.when(x[name] == 1, 1).otherwise(0) for name in LABELERS), F.lit(0))
-        return (z >= 0) & (ayes >= 2)
+        return (z >= 0) & (ayes >= AYES)
     return ok
 
 

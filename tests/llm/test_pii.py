@@ -55,10 +55,11 @@ def test_candidates_are_added_by_agreement(spark):
     rows = [(i, f"please call 0{i % 9}1 555 {1000 + i} now") for i in range(60)]
     rows += [(100 + i, f"phone +1 (617) 555-{1000 + i}") for i in range(60)]
     rows += [(300 + i, f"order id x117 555 {1000 + i}y") for i in range(60)]
+    rows += [(500 + i, f"the value 345 555 {1000 + i} here") for i in range(20)]
     rows += [(400, "write to jane.doe (at) mail (dot) example (dot) org"), (401, "write to a@b.com")]
     got = {i: s for i, _, _, s in spans(spark, rows)}
     assert all(len(got[i]) == 1 for i in range(60))
-    assert not any(got[300 + i] for i in range(60))
+    assert not any(got[300 + i] for i in range(60)) and not any(got[500 + i] for i in range(20))
     assert len(got[400]) == 1
 
 
