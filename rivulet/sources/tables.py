@@ -27,20 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1,
-                 spread_by: tuple = ()) -> DataFrame:
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1) -> DataFrame:
     """A test table as a file stream (the file source needs a directory, so
-    the table's file is selected with a glob filter).
-
-    ``spread_by``: unique id columns; if a batch read of the same file has
-    fewer splits than cores, each micro-batch is hash-spread on them (the
-    rule of :func:`spread`, decided on the static file layout)."""
+    the table's file is selected with a glob filter)."""
     static = table(spark, sf_dir, name)
-    stream = (spark.readStream.schema(static.schema).option("pathGlobFilter", f"{name}.parquet")
-              .option("maxFilesPerTrigger", files_per_trigger).parquet(sf_dir.rstrip("/")))
-    if spread_by and spread(static, *spread_by) is not static:
-        return stream.repartition(spark.sparkContext.defaultParallelism * 2, *spread_by)
-    return stream
+    return (spark.readStream.schema(static.schema).option("pathGlobFilter", f"{name}.parquet")
+            .option("maxFilesPerTrigger", files_per_trigger).parquet(sf_dir.rstrip("/")))
 
 
 def events_topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,25 +46,6 @@ def events_topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("timestamp"), "event_id")
 
 
-def spread(df: DataFrame, *ids: str) -> DataFrame:
-    """Spread a source that yields fewer splits than the cluster has cores
-    (e.g. one large row group) before CPU-heavy per-row text work.
-
-    A no-op for a big input, whose scan already has at least as many
-    splits as cores; otherwise one hash exchange on the row's unique id -
-    balanced, and deterministic on retry without the sort a round-robin
-    repartition needs.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave as is
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(cores * 2, *ids) if ids else df.repartition(cores * 2)
-
-
 def _number(df: DataFrame, order: Order) -> DataFrame:
     numbered = sequence_number(df, order, partition_by=["partition"], out="__seq")
     return numbered.withColumn("offset", (F.col("__seq") - 1).cast("bigint")).drop("__seq")
@@ -104,7 +77,7 @@ def env_docs(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFram
     if offsets:
         df = _number(df, Order.by_number("doc_id", width=ID_BUCKET_WIDTH))
         return df.select("key", "value", "partition", "offset", "timestamp")
-    return spread(df, "doc_id").select("key", "value", "partition", "timestamp")
+    return df.select("key", "value", "partition", "timestamp")
 
 
 def env_turns(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFrame:
@@ -117,7 +90,7 @@ def env_turns(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFra
     if offsets:
         df = _number(df, Order.by_number("conv_id", "turn", width=ID_BUCKET_WIDTH))
         return df.select("key", "value", "partition", "offset", "timestamp")
-    return spread(df, "conv_id", "turn").select("key", "value", "partition", "timestamp")
+    return df.select("key", "value", "partition", "timestamp")
 
 
 def live_input(spark: SparkSession, sf_dir: str) -> DataFrame:
