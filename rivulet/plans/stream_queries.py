@@ -19,7 +19,9 @@ from rivulet.plans import table_queries as TQ
 from rivulet.plans.registry import register
 from rivulet.plans.views_sql import with_views
 from rivulet.session import scratch_path
-from rivulet.sources.tables import events_topic_stream, stream_table
+from rivulet.sinks import writers as W
+from rivulet.sources.envelope import read_lines, read_topic
+from rivulet.sources.tables import env_events, events_topic_stream, stream_table
 from rivulet.streaming import runner as RN
 from rivulet.streaming import snapshot as SN
 
@@ -222,3 +224,66 @@ def stream_history_padded(spark, d):
     hist = SN.read_latest(spark, f"{base}/history")
     out = L.pad_history(hist, LQ.HISTORY_N, "time", ["time", "event_id"], "series", LQ.SEED)
     return out.select("series", "slot", "time", F.col("total").cast("bigint").alias("total"))
+
+
+# Stored topics: written through the sink, read through the topic reader --------
+
+TOPIC_SQL = with_views('SELECT "key", "value", "partition", "offset", "timestamp" FROM env_events', "env_events")
+RUNNING_COUNT_SQL = with_views(
+    'SELECT "key", "partition", "offset", CAST(count(*) OVER (PARTITION BY "key" ORDER BY "timestamp", "partition", '
+    '"offset" ROWS UNBOUNDED PRECEDING) AS BIGINT) AS count FROM env_events', "env_events")
+# Fixed value: where the event times of the test tables are cut into two arrivals.
+HALF_TIME = "2024-01-15 00:00:00"
+
+
+def _half(df, first: bool):
+    early = F.col("timestamp") < F.lit(HALF_TIME).cast("timestamp_ntz")
+    return df.where(early if first else ~early)
+
+
+def _count_stream(spark, topic: str, sink: str, checkpoint: str) -> None:
+    order = Order.by_time("timestamp", "partition", "offset")
+    RN.drain(RN.start(read_topic(spark, topic, stream=True, per_trigger=2), checkpoint=checkpoint,
+                      foreach_batch=SN.running_totals(f"{sink}/out", f"{sink}/carry", None, order, series="key", seq="count")))
+
+
+@register("src_topic_roundtrip", "SRC1, SNK1, SNK3", sql=TOPIC_SQL)
+def src_topic_roundtrip(spark, d):
+    topic = scratch_path(spark, "topic")
+    W.to_topic(env_events(spark, d), topic)
+    return read_topic(spark, topic)
+
+
+@register("snk_text_roundtrip", "SNK5, SRC9", sql=with_views('SELECT "value" FROM env_events', "env_events"))
+def snk_text_roundtrip(spark, d):
+    path = scratch_path(spark, "lines")
+    W.to_text(env_events(spark, d, offsets=False), path)
+    return read_lines(spark, path).select("value")
+
+
+@register("ops_mirror", "OPS1", sql=TOPIC_SQL)
+def ops_mirror(spark, d):
+    base = scratch_path(spark, "mirror")
+    W.to_topic(env_events(spark, d), f"{base}/topic")
+    RN.drain(RN.mirror(spark, f"{base}/topic", f"{base}/copy"))
+    return read_topic(spark, f"{base}/copy")
+
+
+@register("stream_resume", "SRC5, AGG6 (drain, restart on the same checkpoint, drain)", sql=RUNNING_COUNT_SQL)
+def stream_resume(spark, d):
+    base = scratch_path(spark, "resume")
+    for first in (True, False):
+        W.to_topic(_half(env_events(spark, d), first), f"{base}/topic")
+        _count_stream(spark, f"{base}/topic", base, f"{base}/checkpoint")
+    return SN.read_batches(spark, f"{base}/out").select("key", "partition", "offset", "count")
+
+
+@register("ops_replay", "OPS2 (drain, reset, drain again into the same sink)", sql=RUNNING_COUNT_SQL)
+def ops_replay(spark, d):
+    base = scratch_path(spark, "replay")
+    ev = env_events(spark, d)
+    for first in (True, False):
+        W.to_topic(_half(ev, first), f"{base}/topic")
+        # a fresh checkpoint each time: the second run starts over from the beginning
+        _count_stream(spark, f"{base}/topic", base, f"{base}/checkpoint-{int(first)}")
+    return SN.read_batches(spark, f"{base}/out").select("key", "partition", "offset", "count")
