@@ -8,7 +8,7 @@ from rivulet.functions.text import NON_WORD, WHITESPACE
 from rivulet.operators import records as R
 from rivulet.plans.registry import register
 from rivulet.plans.views_sql import with_views
-from rivulet.sources.tables import env_events, env_turns, wide_input
+from rivulet.sources.tables import env_dirty, env_events, env_turns, wide_input
 
 ENV = '"key", "value", "partition", "offset", "timestamp"'
 TAB = "chr(9)"
@@ -46,9 +46,9 @@ def rec_branch(spark, d):
 
 
 @register("rec_filter", "REC2, SC2, SC8", sql=with_views(
-    f"SELECT {ENV} FROM env_events WHERE split_part(\"value\", {TAB}, 1) <> 'NULL'", "env_events"))
+    f"SELECT {ENV} FROM env_dirty WHERE split_part(\"value\", {TAB}, 1) <> 'NULL'", "env_events", "env_dirty"))
 def rec_filter(spark, d):
-    return R.filter_records(env_events(spark, d), R.first_tab_field_is_not())
+    return R.filter_records(env_dirty(spark, d), R.first_tab_field_is_not())
 
 
 @register("rec_filter_numeric", "REC3, SC9", sql=with_views(
@@ -108,17 +108,17 @@ def rec_select_key(spark, d):
 
 @register("rec_format_line", "REC11, SC12", sql=with_views(
     "SELECT \"partition\", \"offset\", coalesce(\"key\", 'null') || '===>' || coalesce(\"value\", 'null') "
-    "AS line FROM env_events", "env_events"))
+    "AS line FROM env_dirty", "env_events", "env_dirty"))
 def rec_format_line(spark, d):
-    return R.format_line(env_events(spark, d), R.FOREACH_FORMAT).select("partition", "offset", "line")
+    return R.format_line(env_dirty(spark, d), R.FOREACH_FORMAT).select("partition", "offset", "line")
 
 
 @register("snk_record_line", "SNK4", sql=with_views(
     "SELECT \"partition\", \"offset\", 'Consumer Record:(' || coalesce(\"key\", 'null') || ', ' || "
     "coalesce(\"value\", 'null') || ', ' || CAST(\"partition\" AS VARCHAR) || ', ' || "
-    "CAST(\"offset\" AS VARCHAR) || ')' AS line FROM env_events", "env_events"))
+    "CAST(\"offset\" AS VARCHAR) || ')' AS line FROM env_dirty", "env_events", "env_dirty"))
 def snk_record_line(spark, d):
-    return R.format_line(env_events(spark, d), R.RECORD_FORMAT,
+    return R.format_line(env_dirty(spark, d), R.RECORD_FORMAT,
                          cols=("key", "value", "partition", "offset")).select("partition", "offset", "line")
 
 

@@ -9,7 +9,7 @@ from rivulet.operators import tables as T
 from rivulet.operators.ordered import Order
 from rivulet.plans.registry import register
 from rivulet.plans.views_sql import with_views
-from rivulet.sources.tables import TIME_BUCKET_SECONDS, env_docs, env_events
+from rivulet.sources.tables import env_dirty, TIME_BUCKET_SECONDS, env_docs, env_events
 
 EVENT_ORDER = ("timestamp", "partition", "offset")
 
@@ -38,10 +38,10 @@ def agg_word_count(spark, d):
 
 
 @register("agg_count_by_key", "AGG1", sql=with_views(
-    'SELECT "key", CAST(count(*) AS BIGINT) AS count FROM env_events '
-    'WHERE "key" IS NOT NULL AND "value" IS NOT NULL GROUP BY "key"', "env_events"))
+    'SELECT "key", CAST(count(*) AS BIGINT) AS count FROM env_dirty '
+    'WHERE "key" IS NOT NULL AND "value" IS NOT NULL GROUP BY "key"', "env_events", "env_dirty"))
 def agg_count_by_key(spark, d):
-    return T.count_by_key(env_events(spark, d, offsets=False))
+    return T.count_by_key(env_dirty(spark, d))
 
 
 @register("agg_count_by_expr", "AGG2, AGG7, SC5", sql=with_views(
@@ -62,10 +62,11 @@ def agg_changelog(spark, d):
 
 
 @register("agg_latest_by_key", "AGG5", sql=with_views(
-    'SELECT "key", arg_max("value", ("timestamp", "partition", "offset")) AS "value" '
-    'FROM env_events WHERE "key" IS NOT NULL GROUP BY "key"', "env_events"))
+    'SELECT "key", "value" FROM (SELECT "key", "value", row_number() OVER (PARTITION BY "key" ORDER BY "timestamp" DESC, '
+    '"partition" DESC, "offset" DESC) AS r FROM env_dirty WHERE "key" IS NOT NULL) WHERE r = 1 AND "value" IS NOT NULL',
+    "env_events", "env_dirty"))
 def agg_latest_by_key(spark, d):
-    return T.latest_by_key(env_events(spark, d), EVENT_ORDER)
+    return T.latest_by_key(env_dirty(spark, d), EVENT_ORDER)
 
 
 @register("snk_long_serde", "SNK2", sql=with_views(

@@ -12,6 +12,13 @@ VIEWS = {
          CAST(row_number() OVER (PARTITION BY user_id % 4 ORDER BY ts, event_id) - 1 AS BIGINT) AS "offset",
          ts AS "timestamp"
   FROM events)""",
+    # needs env_events
+    "env_dirty": """env_dirty AS (
+  SELECT CASE WHEN "offset" % 11 <> 3 THEN "key" END AS "key",
+         CASE WHEN "offset" % 13 = 5 OR ("key" = 'signup' AND "timestamp" >= TIMESTAMP '2024-01-20') THEN NULL
+              WHEN "offset" % 7 = 2 THEN 'NULL' || chr(9) || "value" ELSE "value" END AS "value",
+         "partition", "offset", "timestamp"
+  FROM env_events)""",
     "env_docs": """env_docs AS (
   SELECT lang AS "key", text AS "value", CAST(doc_id % 4 AS INTEGER) AS "partition",
          CAST(row_number() OVER (PARTITION BY doc_id % 4 ORDER BY doc_id) - 1 AS BIGINT) AS "offset",

@@ -67,6 +67,16 @@ def env_events(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFr
     return df.select("key", "value", "partition", "timestamp")
 
 
+def env_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``env_events`` with what a real topic has: records without a key,
+    tombstones, ``NULL`` first fields, and a key whose newest records are deletes."""
+    ev = env_events(spark, sf_dir)
+    o, late = F.col("offset"), F.col("timestamp") >= F.lit("2024-01-20").cast("timestamp_ntz")
+    value = (F.when((o % 13 == 5) | ((F.col("key") == "signup") & late), F.lit(None))
+             .when(o % 7 == 2, F.concat(F.lit("NULL\t"), F.col("value"))).otherwise(F.col("value")))
+    return ev.withColumns({"key": F.when(o % 11 != 3, F.col("key")), "value": value})
+
+
 def env_docs(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFrame:
     """``documents`` as a topic: key = lang, value = text, partition = doc_id % 4,
     offsets in doc_id order, no timestamp."""
