@@ -37,8 +37,10 @@ RADIUS = 3
 SHINGLE = 3
 #: Fingerprints of one shard chunk; a task holds two chunks at most.
 SHARD = 32_768
-#: Fingerprints that the upper tree is built from, at most (in expectation).
-SAMPLE = 65_536
+#: Fingerprints that the upper tree is built from, at most (in expectation),
+#: and never more than one in SAMPLE_EVERY.
+SAMPLE = 262_144
+SAMPLE_EVERY = 16
 #: Below this many, a task compares all with all.
 BLOCK = 512
 
@@ -199,9 +201,11 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD, sample:
     """Edges ``(a, b)`` between fingerprints of one component, enough to span
     it.  ``distinct``: one row per fingerprint, column ``fp``, stored."""
     n = distinct.count()
-    every = max(1, n // sample)
-    picked = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).select("fp").toArrow()["fp"].to_numpy()
-    nodes = build_tree(np.sort(picked.view(np.uint64)), n, shard, radius)
+    nodes = []
+    if n > shard:
+        every = max(SAMPLE_EVERY, n // sample)
+        picked = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).select("fp").toArrow()["fp"].to_numpy()
+        nodes = build_tree(np.sort(picked.view(np.uint64)), n, shard, radius)
 
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
