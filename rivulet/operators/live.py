@@ -75,6 +75,47 @@ def last_n(df: DataFrame, n: int, order_cols: Sequence[str], series=None,
     return ranked.withColumnRenamed("__rank", out) if out else ranked.drop("__rank")
 
 
+def last_n_numbered(df: DataFrame, n: int, order_cols: Sequence[str], y: str = "y", series=None,
+                    seq: str = "seq") -> DataFrame:
+    """The newest ``n`` accepted points (``y`` not null) with the message
+    numbers that :func:`sequence` gives them, without numbering every message.
+
+    A kept point's number is the count of all messages less those after it:
+    the kept points after it, and the rejects, which one filtered aggregate
+    counts between the kept points (at most ``n`` numbers per series)."""
+    keys = _keys(series)
+    named = [F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]
+
+    def meet(left: DataFrame, right: DataFrame, how: str = "left") -> DataFrame:
+        on = F.lit(True)
+        for i, k in enumerate(keys):
+            on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+        return left.join(right, on, how).drop(*[f"__k{i}" for i in range(len(keys))])
+
+    at = F.struct(*[F.col(c) for c in order_cols])
+    kept = last_n(accepted(df, y), n, order_cols, series)
+    points = kept.groupBy(*named).agg(F.sort_array(F.collect_list(at)).alias("__points"))
+    rest = df.where(F.col(y).isNull()).select(*keys, at.alias("__at"))
+    rest = meet(rest, points, "inner") if keys else rest.withColumn("__points", points.scalar())
+    rest = rest.withColumn("__older", F.size(F.filter("__points", lambda p: p < F.col("__at")))).where("__older > 0")
+    between = rest.groupBy(*keys, "__older").agg(F.count(F.lit(1)).alias("__c"))
+    between = between.groupBy(*named).agg(F.collect_list(F.struct("__older", "__c")).alias("__between"))
+    total = df.groupBy(*named).agg(F.count(F.lit(1)).alias("__total"))
+
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order_cols])
+    kept = kept.withColumn("__r", F.row_number().over(newest)).withColumn(
+        "__n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    if keys:
+        kept = meet(meet(kept, total), between)
+    else:
+        kept = kept.withColumns({"__total": total.scalar(), "__between": between.scalar()})
+    nth = F.col("__n") - F.col("__r") + 1  # 1: the oldest kept
+    later = F.aggregate(F.filter("__between", lambda x: x["__older"] >= nth), F.lit(0).cast("bigint"),
+                        lambda acc, x: acc + x["__c"])
+    number = F.col("__total") - (F.col("__r") - 1) - F.coalesce(later, F.lit(0))
+    return kept.withColumn(seq, number).drop("__r", "__n", "__total", "__between")
+
+
 # LIVE5 -----------------------------------------------------------------------
 
 def sliding(df: DataFrame, order: Order, size: int, y: str = "y", series=None,

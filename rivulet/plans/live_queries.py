@@ -64,9 +64,8 @@ def live_parse_rejects(spark, d):
     f"SELECT event_id, x, y FROM (SELECT ts, event_id, {GSEQ_SQL} AS x, {PARSE_SQL} AS y FROM live_input) "
     f"WHERE y IS NOT NULL ORDER BY ts DESC, event_id DESC LIMIT {LAST_N}", "live_input"))
 def live_last_n(spark, d):
-    points = L.accepted(_parsed(spark, d, series=False))
-    return L.last_n(points, LAST_N, ["ts", "event_id"]).select(
-        "event_id", F.col("seq").alias("x"), "y")
+    out = L.last_n_numbered(L.parse_points(live_input(spark, d)), LAST_N, ["ts", "event_id"])
+    return out.select("event_id", F.col("seq").alias("x"), "y")
 
 
 LAST_N_BY_SERIES_SQL = with_views(
@@ -77,9 +76,8 @@ LAST_N_BY_SERIES_SQL = with_views(
 
 @register("live_last_n_by_series", "LIVE4", sql=LAST_N_BY_SERIES_SQL)
 def live_last_n_by_series(spark, d):
-    points = L.accepted(_parsed(spark, d))
-    return L.last_n(points, LAST_N, ["ts", "event_id"], "series").select(
-        "series", "event_id", F.col("seq").alias("x"), "y")
+    out = L.last_n_numbered(L.parse_points(live_input(spark, d)), LAST_N, ["ts", "event_id"], series="series")
+    return out.select("series", "event_id", F.col("seq").alias("x"), "y")
 
 
 SLIDING_SQL = with_views(

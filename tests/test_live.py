@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from rivulet.operators import live as L
 from rivulet.operators.ordered import Order
@@ -85,3 +85,20 @@ def test_dashboard_union(spark):
     assert tuple(d.columns) == L.DASHBOARD_COLUMNS
     assert d.count() == 2
     assert d.where(F.col("panel") == "calls").first().x_time == T0
+
+
+def test_last_n_numbered_equals_numbering_everything(spark):
+    import random
+    rng = random.Random(7)
+    rows = [(rng.choice(["a", "b", None]), i * 3 % 101, i, rng.choice([None, 1, 2])) for i in range(200)]
+    rows += [("rejects", 1, 1000, None)]
+    df = spark.createDataFrame(rows, "series string, t int, id long, y long")
+    for series in (None, "series"):
+        for n in (1, 5, 500):
+            w = Window.partitionBy(*([series] if series else [])).orderBy("t", "id")
+            every = df.withColumn("seq", F.row_number().over(w).cast("bigint"))
+            want = L.last_n(L.accepted(every), n, ["t", "id"], series)
+            got = L.last_n_numbered(df, n, ["t", "id"], series=series)
+            cols = ["series", "t", "id", "y", "seq"]
+            assert sorted(got.select(*cols).collect(), key=str) == sorted(want.select(*cols).collect(), key=str)
+    assert L.last_n_numbered(df.limit(0), 3, ["t", "id"]).collect() == []
