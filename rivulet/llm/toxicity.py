@@ -8,7 +8,7 @@ that caused it.
 
 Training uses a bounded sample: about ``TRAIN_ROWS`` labelled documents,
 chosen by a hash of the id.  Their features are counted by label in a partial
-aggregate and the ``FEATURES`` that tell the labels apart best are kept; only
+aggregate and at most ``FEATURES`` that tell the labels apart are kept; only
 those leave the executors.  Scoring covers every document; the model is a
 table of at most ``FEATURES`` weights.
 
@@ -35,24 +35,49 @@ from rivulet.llm.util import by_value, stage
 TRAIN_ROWS = 20_000
 #: Features of the model, at most.
 FEATURES = 8192
-#: Documents that a feature must be in.
+#: Documents that a feature must be in, and the standard deviations by which
+#: its share must differ between the labels.
 MIN_DOCS = 3
+MIN_Z = 3.0
 #: Lengths of word beginnings.
 BEGINNINGS = (4, 5)
 #: Words remembered per task while scoring.
 MEMO = 500_000
 
-_WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
+# Byte tables: other ASCII than letters parts words; sentence ends to ".",
+# letters to "a" (other bytes are deleted).
+_LETTERS = bytes([*range(65, 91), *range(97, 123), *range(128, 256)])
+_PARTED = bytes(b if b in _LETTERS else 32 for b in range(256))
+_OUTLINE = bytes(46 if b in b".!?\n" else 97 for b in range(256))
+_NEITHER = bytes(b for b in range(256) if b not in _LETTERS and b not in b".!?\n")
 
 
-def features(word: str) -> list[str]:
-    return [word, *(word[:n] + "-" for n in BEGINNINGS if len(word) > n)]
+def lower(text: str) -> str:
+    """Lower case of equal length (some capitals lower to two characters)."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def words(text: str) -> list[bytes]:
+    """Runs of letters of a lower-case text (any character beyond ASCII counts
+    as one), in UTF-8."""
+    return text.encode().translate(_PARTED).split()
+
+
+def features(word: bytes) -> list[str]:
+    w = word.decode()
+    return [w, *(w[:n] + "-" for n in BEGINNINGS if len(w) > n)]
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """Start and end of each sentence with a word."""
-    return [m.span() for m in _SENTENCE.finditer(text) if _WORD.search(text, *m.span())]
+    return [m.span() for m in _SENTENCE.finditer(text) if words(m.group())]
+
+
+def count_sentences(text: str) -> int:
+    """The number of :func:`sentences`, without finding them."""
+    return sum(map(bool, text.encode().translate(_OUTLINE, _NEITHER).split(b".")))
 
 
 def held_out(id_: Column) -> Column:
@@ -72,7 +97,7 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for b in batches:
         for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            for f in {f for w in set(_WORD.findall((text or "").lower())) for f in features(w)}:
+            for f in {f for w in set(words(lower(text or ""))) for f in features(w)}:
                 count.setdefault(f, [0, 0])[y] += 1
             if len(count) > 300_000:
                 yield flush()
@@ -87,11 +112,11 @@ def _bags(index: dict[str, int]):
         for b in batches:
             rows = []
             for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                text = (text or "").lower()
+                text = lower(text or "")
                 where, what = [], []
                 spans = sentences(text)
                 for k, (s, e) in enumerate(spans):
-                    known = {index[f] for w in set(_WORD.findall(text, s, e)) for f in features(w) if f in index}
+                    known = {index[f] for w in set(words(text[s:e])) for f in features(w) if f in index}
                     where += [k] * len(known)
                     what += sorted(known)
                 rows.append((y, len(spans), where, what))
@@ -154,8 +179,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     odds = F.log(a / (pos - F.col("pos") + 0.5)) - F.log(c / (neg - F.col("neg") + 0.5))
     best = (sample.mapInArrow(_counts, "feature string, neg bigint, pos bigint").groupBy("feature")
             .agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).where(F.col("neg") + F.col("pos") >= MIN_DOCS)
-            .withColumn("z", F.abs(odds) / F.sqrt(1 / a + 1 / c)).orderBy(F.desc("z"), "feature").limit(size))
+            .withColumn("z", F.abs(odds) / F.sqrt(1 / a + 1 / c)).where(F.col("z") >= MIN_Z)
+            .orderBy(F.desc("z"), "feature").limit(size))
     names = [r["feature"] for r in best.select("feature").collect()]
+    if not names:  # nothing tells the labels apart
+        share = (pos + 1) / (neg + pos + 2)
+        return {}, float(np.log(share / (1 - share)))
     index = {f: k for k, f in enumerate(names)}
     bags = sample.mapInArrow(_bags(index), "y int, n int, at array<int>, f array<int>").toArrow()
     w, b = fit_noisy_or(bags["y"].to_numpy(), bags["n"].to_numpy().astype(np.int64), bags["at"].to_pylist(),
@@ -171,34 +200,29 @@ def score(docs: DataFrame, model: tuple[dict[str, float], float], id_col: str =
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, bool] = {}
+        seen: set[bytes] = set()  # words looked at, and those with a feature of the model
+        known: set[bytes] = set()
         p0 = 1 / (1 + np.exp(-bias))
 
-        def known(word: str) -> bool:
-            got = memo.get(word)
-            if got is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                got = memo[word] = any(f in weights for f in features(word))
-            return got
-
         def one(text: str) -> tuple[float, list]:
             if not weights:
                 return (float(p0), []) if text else (0.0, [])
-            low = text.lower()
-            if len(low) != len(text):  # some capitals lower to two characters
-                low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-            spans = sentences(low)
+            low = lower(text)
+            own = set(words(low))
+            new = own - seen
+            if len(seen) > MEMO:
+                seen.clear()
+            seen.update(new)
+            known.update(w for w in new if any(f in weights for f in features(w)))
+            if own.isdisjoint(known):
+                return float(1 - np.exp(-count_sentences(low) * np.logaddexp(0, bias))), []
             none, found = 0.0, []
-            if not any(map(known, set(_WORD.findall(low)))):
-                none = -len(spans) * np.logaddexp(0, bias)
-            else:
-                for s, e in spans:
-                    words = {w for w in _WORD.findall(low, s, e) if known(w)}
-                    z = bias + sum(weights.get(f, 0.0) for f in {f for w in words for f in features(w)})
-                    none -= np.logaddexp(0, z)
-                    if z >= 0:
-                        found.append({"start": s, "end": e, "p": float(1 / (1 + np.exp(-z)))})
+            for s, e in sentences(low):
+                f = {f for w in known.intersection(words(low[s:e])) for f in features(w)}
+                z = bias + sum(weights.get(x, 0.0) for x in sorted(f))
+                none -= np.logaddexp(0, z)
+                if z >= 0:
+                    found.append({"start": s, "end": e, "p": float(1 / (1 + np.exp(-z)))})
             return float(1 - np.exp(none)), found
 
         for b in batches:
