@@ -8,7 +8,7 @@ that caused it.
 
 Training uses a bounded sample: about ``TRAIN_ROWS`` labelled documents,
 chosen by a hash of the id.  Their features are counted by label in a partial
-aggregate and at most ``FEATURES`` that tell the labels apart are kept; only
+aggregate and the ``FEATURES`` that tell the labels apart best are kept; only
 those leave the executors.  Scoring covers every document; the model is a
 table of at most ``FEATURES`` weights.
 
@@ -22,7 +22,9 @@ empty result.
 
 from __future__ import annotations
 
+import math
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,22 +37,20 @@ from rivulet.llm.util import by_value, stage
 TRAIN_ROWS = 20_000
 #: Features of the model, at most.
 FEATURES = 8192
-#: Documents that a feature must be in, and the standard deviations by which
-#: its share must differ between the labels.
+#: Documents that a feature must be in.
 MIN_DOCS = 3
-MIN_Z = 3.0
 #: Lengths of word beginnings.
 BEGINNINGS = (4, 5)
 #: Words remembered per task while scoring.
 MEMO = 500_000
+#: Features of sentences that a step of the fit handles at a time.
+CHUNK = 1 << 20
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
-# Byte tables: other ASCII than letters parts words; sentence ends to ".",
-# letters to "a" (other bytes are deleted).
+_BEYOND = re.compile(r"[^\x00-\x7f]")
+# Byte table: sentence ends to ".", other ASCII than letters to a space.
 _LETTERS = bytes([*range(65, 91), *range(97, 123), *range(128, 256)])
-_PARTED = bytes(b if b in _LETTERS else 32 for b in range(256))
-_OUTLINE = bytes(46 if b in b".!?\n" else 97 for b in range(256))
-_NEITHER = bytes(b for b in range(256) if b not in _LETTERS and b not in b".!?\n")
+_PARTED = bytes(b if b in _LETTERS else 46 if b in b".!?\n" else 32 for b in range(256))
 
 
 def lower(text: str) -> str:
@@ -59,10 +59,24 @@ def lower(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
-def words(text: str) -> list[bytes]:
-    """Runs of letters of a lower-case text (any character beyond ASCII counts
-    as one), in UTF-8."""
-    return text.encode().translate(_PARTED).split()
+def plain(text: str) -> str:
+    """``text`` in lower case, with a space for each character beyond ASCII
+    that is neither a letter nor a mark on one (quotes, dashes, digits ...);
+    of equal length."""
+    low = lower(text)
+    if low.isascii():
+        return low
+    odd = [c for c in set(_BEYOND.findall(low)) if unicodedata.category(c)[0] not in "LM"]
+    if len(odd) > 8:
+        return low.translate({ord(c): " " for c in odd})
+    for c in odd:
+        low = low.replace(c, " ")
+    return low
+
+
+def bags(text: str) -> list[set[bytes]]:
+    """The words, in UTF-8, of each sentence of a :func:`plain` text that has any."""
+    return [set(w) for w in map(bytes.split, text.encode().translate(_PARTED).split(b".")) if w]
 
 
 def features(word: bytes) -> list[str]:
@@ -71,13 +85,27 @@ def features(word: bytes) -> list[str]:
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """Start and end of each sentence with a word."""
-    return [m.span() for m in _SENTENCE.finditer(text) if words(m.group())]
-
-
-def count_sentences(text: str) -> int:
-    """The number of :func:`sentences`, without finding them."""
-    return sum(map(bool, text.encode().translate(_OUTLINE, _NEITHER).split(b".")))
+    """Start and end of each of :func:`bags`."""
+    return [m.span() for m in _SENTENCE.finditer(text) if bags(m.group())]
+
+
+class Known:
+    """Numbers of a word's features, by word; remembers ``MEMO`` words."""
+
+    def __init__(self, index: dict[str, int]):
+        self.index, self.memo = index, {}
+
+    def __call__(self, bag: set[bytes]) -> set[int]:
+        memo, out = self.memo, set()
+        for w in bag:
+            got = memo.get(w)
+            if got is None:
+                if len(memo) >= MEMO:
+                    memo.clear()
+                got = memo[w] = tuple(self.index[f] for f in features(w) if f in self.index)
+            if got:
+                out.update(got)
+        return out
 
 
 def held_out(id_: Column) -> Column:
@@ -97,7 +125,7 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for b in batches:
         for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            for f in {f for w in set(words(lower(text or ""))) for f in features(w)}:
+            for f in {f for w in set().union(*bags(plain(text or ""))) for f in features(w)}:
                 count.setdefault(f, [0, 0])[y] += 1
             if len(count) > 300_000:
                 yield flush()
@@ -106,50 +134,50 @@ def _counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bags(index: dict[str, int]):
-    """Label, number of sentences, and the known features of each sentence
-    that has any, as two arrays."""
+    """Label, number of sentences, and the known features of the sentences
+    that have any: how many in each, and all of them in one array."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Known(index)
         for b in batches:
             rows = []
             for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                text = lower(text or "")
-                where, what = [], []
-                spans = sentences(text)
-                for k, (s, e) in enumerate(spans):
-                    known = {index[f] for w in set(words(text[s:e])) for f in features(w) if f in index}
-                    where += [k] * len(known)
-                    what += sorted(known)
-                rows.append((y, len(spans), where, what))
+                found = bags(plain(text or ""))
+                some = [f for f in map(known, found) if f]
+                rows.append((y, len(found), [len(f) for f in some], [x for f in some for x in sorted(f)]))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
                                               pa.array([r[2] for r in rows], pa.list_(pa.int32())),
-                                              pa.array([r[3] for r in rows], pa.list_(pa.int32()))], ["y", "n", "at", "f"])
+                                              pa.array([r[3] for r in rows], pa.list_(pa.int32()))], ["y", "n", "many", "f"])
     return run
 
 
-def fit_noisy_or(y: np.ndarray, n: np.ndarray, at: list, f: list, size: int, steps: int = 400,
-                 ridge: float = 1e-5) -> tuple[np.ndarray, float]:
+def fit_noisy_or(y: np.ndarray, n: np.ndarray, some: np.ndarray, many: np.ndarray, feat: np.ndarray, size: int,
+                 steps: int = 400, ridge: float = 1e-5) -> tuple[np.ndarray, float]:
     """Weights and bias that maximise the likelihood of document labels; Adam
-    over all rows.  ``at``/``f``: per document, sentence numbers and features."""
-    doc = np.repeat(np.arange(len(y)), [len(x) for x in at])
-    place = np.concatenate([np.asarray(x, np.int64) for x in at]) if len(doc) else np.zeros(0, np.int64)
-    feat = np.concatenate([np.asarray(x, np.int64) for x in f]) if len(doc) else np.zeros(0, np.int64)
-    base = np.cumsum(n) - n
-    _, sent = np.unique(base[doc] + place, return_inverse=True)
-    n_sent = int(sent.max()) + 1 if len(sent) else 0
-    owner = np.zeros(n_sent, np.int64)
-    owner[sent] = doc
-    plain = n - np.bincount(owner, minlength=len(y))  # sentences without a known feature
+    over all rows.  ``n``, ``some``: sentences of each document, and those with
+    a known feature; ``many``: features of each of the latter; ``feat``: the
+    features, one sentence after the other."""
+    owner = np.repeat(np.arange(len(y)), some)
+    rest = n - some  # sentences without a known feature
+    start = np.cumsum(many, dtype=np.int64) - many
+    cuts = np.unique(np.searchsorted(start, np.arange(0, len(feat), CHUNK))) if len(many) else np.zeros(0, np.int64)
+    parts = [(k, m, start[k], start[m] if m < len(many) else len(feat)) for k, m in zip(cuts, [*cuts[1:], len(many)])]
     w, b = np.zeros(size), -4.0
     m1, m2 = np.zeros(size + 1), np.zeros(size + 1)
+    z = np.zeros(len(many))
     for t in range(1, steps + 1):
-        z = b + np.bincount(sent, w[feat], n_sent)
+        for k, m, i, j in parts:
+            z[k:m] = b + np.add.reduceat(w[feat[i:j]], start[k:m] - i)
         p = 1 / (1 + np.exp(-z))
         p0 = 1 / (1 + np.exp(-b))
-        none = np.bincount(owner, -np.logaddexp(0, z), len(y)) - plain * np.logaddexp(0, b)  # log prod(1 - p)
+        none = np.bincount(owner, -np.logaddexp(0, z), len(y)) - rest * np.logaddexp(0, b)  # log prod(1 - p)
         clean = np.exp(none)
         up = np.where(y == 1, clean / np.maximum(1 - clean, 1e-9), -1.0)  # d log-likelihood / d z_s = up * p_s
         g = up[owner] * p
-        grad = np.append(np.bincount(feat, g[sent], size), g.sum() + (up * plain).sum() * p0) / len(y)
+        grad = np.zeros(size + 1)
+        for k, m, i, j in parts:
+            grad[:-1] += np.bincount(feat[i:j], np.repeat(g[k:m], many[k:m]), size)
+        grad[-1] = g.sum() + (up * rest).sum() * p0
+        grad /= len(y)
         grad[:-1] -= ridge * w
         m1 = 0.9 * m1 + 0.1 * grad
         m2 = 0.999 * m2 + 0.001 * grad * grad
@@ -179,16 +207,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     odds = F.log(a / (pos - F.col("pos") + 0.5)) - F.log(c / (neg - F.col("neg") + 0.5))
     best = (sample.mapInArrow(_counts, "feature string, neg bigint, pos bigint").groupBy("feature")
             .agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).where(F.col("neg") + F.col("pos") >= MIN_DOCS)
-            .withColumn("z", F.abs(odds) / F.sqrt(1 / a + 1 / c)).where(F.col("z") >= MIN_Z)
-            .orderBy(F.desc("z"), "feature").limit(size))
+            .withColumn("z", F.abs(odds) / F.sqrt(1 / a + 1 / c)).orderBy(F.desc("z"), "feature").limit(size))
     names = [r["feature"] for r in best.select("feature").collect()]
-    if not names:  # nothing tells the labels apart
+    if not names:  # no feature is in enough documents
         share = (pos + 1) / (neg + pos + 2)
         return {}, float(np.log(share / (1 - share)))
     index = {f: k for k, f in enumerate(names)}
-    bags = sample.mapInArrow(_bags(index), "y int, n int, at array<int>, f array<int>").toArrow()
-    w, b = fit_noisy_or(bags["y"].to_numpy(), bags["n"].to_numpy().astype(np.int64), bags["at"].to_pylist(),
-                        bags["f"].to_pylist(), len(names))
+    t = sample.mapInArrow(_bags(index), "y int, n int, many array<int>, f array<int>").toArrow()
+    flat = {c: np.concatenate([x.flatten().to_numpy() for x in t[c].chunks]) for c in ("many", "f")}
+    some = np.concatenate([x.value_lengths().to_numpy(zero_copy_only=False) for x in t["many"].chunks]).astype(np.int64)
+    y, n = t["y"].to_numpy(), t["n"].to_numpy().astype(np.int64)
+    del t
+    w, b = fit_noisy_or(y, n, some, flat["many"], flat["f"], len(names))
     return {f: float(x) for f, x in zip(names, w) if x}, b
 
 
@@ -200,30 +230,29 @@ def score(docs: DataFrame, model: tuple[dict[str, float], float], id_col: str =
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()  # words looked at, and those with a feature of the model
-        known: set[bytes] = set()
+        known = Known({f: k for k, f in enumerate(weights)})
+        weight = list(weights.values()).__getitem__
         p0 = 1 / (1 + np.exp(-bias))
+        rest = float(np.logaddexp(0, bias))
 
         def one(text: str) -> tuple[float, list]:
             if not weights:
                 return (float(p0), []) if text else (0.0, [])
-            low = lower(text)
-            own = set(words(low))
-            new = own - seen
-            if len(seen) > MEMO:
-                seen.clear()
-            seen.update(new)
-            known.update(w for w in new if any(f in weights for f in features(w)))
-            if own.isdisjoint(known):
-                return float(1 - np.exp(-count_sentences(low) * np.logaddexp(0, bias))), []
+            low = plain(text)
             none, found = 0.0, []
-            for s, e in sentences(low):
-                f = {f for w in known.intersection(words(low[s:e])) for f in features(w)}
-                z = bias + sum(weights.get(x, 0.0) for x in sorted(f))
-                none -= np.logaddexp(0, z)
+            for k, bag in enumerate(bags(low)):
+                f = known(bag)
+                if not f:
+                    none -= rest
+                    continue
+                z = bias + math.fsum(map(weight, f))  # the same in any order
+                none -= max(z, 0.0) + math.log1p(math.exp(-abs(z)))
                 if z >= 0:
-                    found.append({"start": s, "end": e, "p": float(1 / (1 + np.exp(-z)))})
-            return float(1 - np.exp(none)), found
+                    found.append((k, z))
+            if found:
+                spans = sentences(low)
+                found = [{"start": spans[k][0], "end": spans[k][1], "p": 1 / (1 + math.exp(-z))} for k, z in found]
+            return 1 - math.exp(none), found
 
         for b in batches:
             got = [one(t or "") for t in b.column(1).to_pylist()]

@@ -77,3 +77,30 @@ def test_whole_table(spark):
     false = [got[i].predicted for i in out if not y[i]]
     print("held out", len(hit), np.mean(hit), len(false), np.mean(false))
     assert np.mean(hit) > 0.8 and np.mean(false) < 0.02
+
+
+def test_words_end_at_any_non_letter(spark):
+    docs, labels, _ = planted(300)
+    model = T.train(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id bigint, toxic bigint"))
+    around = [("", ""), ("¡", "!"), ("«", "»"), ("“", "”"), ("belo—", "—belo"), (" ", " "), ("¿", "?"), ("’", "…"),
+              ("‹belo ", "²"), ("٣", "𝟗")]
+    d = spark.createDataFrame([(i, f"bamine bemilo. {a}vilest{b} belo", "x", 0) for i, (a, b) in enumerate(around)], SCHEMA)
+    got = sorted(T.score(d, model).collect())
+    assert all(r.score >= 0.5 and len(r.offending) == 1 for r in got), got
+    where = [docs_text[r.offending[0].start:r.offending[0].end] for r, docs_text in
+             zip(got, [r.text for r in sorted(d.collect())])]
+    assert all("vilest" in x and "bamine" not in x for x in where)
+
+
+def test_letters_and_their_marks_stay_together():
+    assert T.bags(T.plain("Déjà «été» été हिन्दी. --- 12! Œuvre")) == [
+        {w.encode() for w in ("déjà", "été", "été", "हिन्दी")}, {"œuvre".encode()}]
+
+
+def test_weak_features_are_kept_while_there_is_room(spark):
+    # "graw" is in 4 of 80 toxic documents and in 1 of 80 others: far from three deviations
+    docs = [(i, "belo " + ("graw" if i < 4 or i == 100 else "milo"), "x", 0) for i in range(160)]
+    every = [i for i in range(160) if zlib.crc32(str(i).encode()) % 5]
+    labels = [(i, int(i < 80)) for i in every]
+    model, _ = T.train(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id bigint, toxic bigint"))
+    assert model.get("graw", 0) > 0
