@@ -3,15 +3,16 @@
 Base spans come from strict patterns (leftmost, not overlapping, per kind) and
 always stay.  Looser candidates (numbers without a plus sign, addresses
 spelled out, eight-group IP addresses, card-like numbers) are voted on by four
-labelers: *pattern* (strict form), *gazetteer* (known endings, prefixes and
+labelers: *pattern* (for a strict form, against a bare number), *gazetteer* (known endings, prefixes and
 codes), *context* (words before the span) and *edges* (what touches it).  The
 votes of all documents, base spans included, are counted by vote pattern;
 expectation-maximisation over those counts (at most 4 x 3^4 rows, whatever the
 corpus size) estimates each labeler's reliability per kind, and a logistic
 span classifier is trained on the posteriors.  A candidate that overlaps no
-base span is added if the classifier gives 0.5 or more and at least
-``AYES`` labelers are for it (for a loose form: all but *pattern*), so that
-numbers without any context are left alone.
+base span is added if the classifier gives 0.5 or more.  One hard rule
+remains: a bare number, which nothing but digits, spaces and hyphens between
+the digits of a card marks as its kind (see ``OWN``), also needs a word of the
+kind before it.
 
 Positions count code points.  All patterns are possessive or start at a run's
 first character, so long texts cost linear time and no deep recursion.
@@ -42,14 +43,21 @@ STRICT = {
     "card": r"[0-9](?<![0-9][0-9])(?<![0-9][\x20-][0-9])(?:[\x20-]?+[0-9]){13,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# Looser candidates, and a text that must contain one of the marks to have any.
+# Looser candidates, and patterns one of which must be in a text that has any.
 LOOSE = {
     "email": (rf"(?i)(?<!{_NAME}){_NAME}++ ?[\[(]at[\])] ?[a-z0-9-]++(?: ?(?:[\[(]dot[\])]|\.) ?[a-z0-9-]++)++",
-              ("(at)", "[at]", "(AT)", "[AT]")),
+              (r"(?i)[\[(]at[\])]",)),
     "ip": (r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}+[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])", (":",)),
     "card": (STRICT["card"], ()),
     "phone": (r"(?<![0-9+.(-])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{4}(?![0-9])", ()),
 }
+# What marks a looser candidate as one of its kind; others are bare numbers.
+OWN = {
+    "email": r"@|(?i)\bat\b",
+    "ip": r"[A-Fa-f]|[0-9]{3}",
+    "card": r"(?!)",  # its check digit is wrong, or it were a base span
+    "phone": r"^[(0]|[.-]",
+}
 # Words before a span that speak for its kind, and those against all kinds
 # (English, German, French, Spanish).
 FOR = {
@@ -68,7 +76,6 @@ GAZETTEER = {
 }
 LABELERS = ("pattern", "gazetteer", "context", "edges")
 CONTEXT_CHARS = 40
-AYES = 3
 
 
 def _placed(text: Column, pattern: str, keep: Callable[[Column], Column], kind: int) -> Column:
@@ -130,13 +137,13 @@ def _gate(text: Column, marks: tuple[str, ...], value: Column) -> Column:
         return value
     has = F.lit(False)
     for m in marks:
-        has = has | F.contains(text, F.lit(m))
+        has = has | F.rlike(text, F.lit(m))
     return F.when(has, value).otherwise(F.array().cast("array<struct<s:int,k:int,e:int,v:string>>"))
 
 
 def base_spans(text: Column) -> Column:
     """Array of (s, k, e, v) by start, then kind."""
-    mark = {"email": ("@",), "phone": ("+",)}
+    mark = {"email": ("@",), "phone": (r"\+",)}
     return F.sort_array(F.concat(*[_gate(text, mark.get(kind, ()), _placed(text, STRICT[kind], _valid(kind), k))
                                    for k, kind in enumerate(KINDS)]))
 
@@ -155,7 +162,8 @@ def _voted(text: Column, spans: Column, strict: bool) -> Column:
         edge = F.concat(F.substring(text, x["s"], F.when(x["s"] > 0, 1).otherwise(0)), F.substring(text, x["e"] + 1, F.lit(1)))
         return F.struct(
             x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"),
-            F.lit(1 if strict else -1).alias("pattern"),
+            (F.lit(1) if strict else F.when(by_kind(lambda kind: F.rlike(x["v"], F.lit(OWN[kind]))), -1).otherwise(0))
+            .alias("pattern"),
             F.when(by_kind(lambda kind: F.rlike(x["v"], F.lit(GAZETTEER[kind]))), 1).otherwise(0).alias("gazetteer"),
             F.when(by_kind(lambda kind: F.rlike(before, F.lit(FOR[kind]))), 1)
             .when(F.rlike(before, F.lit(AGAINST)), 0).otherwise(-1).alias("context"),
@@ -243,8 +251,7 @@ def _accepted(weights: dict[int, list[float]]) -> Callable[[Column], Column]:
             for name, a in zip(LABELERS, w[1:]):
                 score = score + F.when(x[name] == 1, a).when(x[name] == 0, -a).otherwise(0.0)
             z = F.when(x["k"] == k, score).otherwise(z)
-        ayes = sum((F.when(x[name] == 1, 1).otherwise(0) for name in LABELERS), F.lit(0))
-        return (z >= 0) & (ayes >= AYES)
+        return (z >= 0) & ((x["pattern"] != 0) | (x["context"] == 1))
     return ok
 
 

@@ -63,6 +63,22 @@ def test_candidates_are_added_by_agreement(spark):
     assert len(got[400]) == 1
 
 
+def test_candidates_without_a_keyword(spark):
+    rows = [(i, f"please call 0{i % 9}1 555 {1000 + i} now") for i in range(60)]
+    rows += [(100 + i, f"phone +1 (617) 555-{1000 + i}") for i in range(60)]
+    rows += [(300 + i, f"order id x117-555-{1000 + i}y") for i in range(60)]
+    rows += [(500, "J. Smith, (212) 555-0143"), (501, "J. Smith, 212.555.0143"), (502, "J. Smith, 030 555 0143"),
+             (503, "seen 2001:db8:0:0:0:ff00:42:8329 twice"), (504, "jane.doe [at] mail [dot] example [dot] org"),
+             (505, "jane.doe (At) example.org"), (506, "jane.doe [aT] example.org"),
+             # bare numbers: a keyword is needed
+             (600, "the value 345 555 1000 here"), (601, "a ratio of 1:2:3:4:5:6:7:8"), (602, "the sum 4111 1111 1111 1112")]
+    got = {i: s for i, _, _, s in spans(spark, rows)}
+    kinds = {i: [pii.KINDS[k] for _, k, _ in s] for i, s in got.items() if i >= 500}
+    assert kinds == {500: ["phone"], 501: ["phone"], 502: ["phone"], 503: ["ip"], 504: ["email"], 505: ["email"],
+                     506: ["email"], 600: [], 601: [], 602: []}
+    assert not any(got[300 + i] for i in range(60))  # the classifier's no
+
+
 def test_redaction(spark):
     rows = [(1, "mail a@b.co, é +1 (017) 555-7713!", 33), (2, "nothing", 7), (3, None, None), (4, "", 0)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint")
