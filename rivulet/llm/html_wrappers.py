@@ -1,25 +1,28 @@
-"""Main-text extraction with wrappers inferred per host.
+"""Main-text extraction with wrappers inferred per template of a host.
 
-A bounded sample of a host's pages is aligned, page by page, into a wrapper: a
-union-free regular expression over the token stream, nested by element.
+The templates of a host are told apart by the containers of its pages outside
+furniture (:func:`signature`).  All distinct pages of a template are aligned,
+pair by pair, into a wrapper: a union-free regular expression over the token stream, nested by element.
 Aligning starts with one page; texts that differ become slots, tokens that one
 side lacks become optional, and repeated neighbours become repeated groups.
-The wrapper shows where the host keeps its article: a marked element
+The wrapper shows where the template keeps its article: a marked element
 (``article``, ``main`` ...) or else the deepest element that holds most of the
-text outside furniture.  Every page is then read against its host's wrapper;
-a page without that place is its own wrapper.
+text outside furniture.  Every page is then read against its template's
+wrapper; a page without that place, or with less than ``LITTLE`` there of the
+text that it gives as its own wrapper, is its own wrapper.
 
 Furniture is told by element (``nav``, ``footer``, ``form`` ...) or by a word
 of its class, id or role (``menu``, ``sidebar``, ``comments`` ...).  Texts
-that are equal on all sampled pages stay if they are in the article: copies
+that are equal on all pages stay if they are in the article: copies
 are articles too.
 
 Blocks are the block-level elements; white space inside a block (``br``
 included) becomes one space; character references are decoded.
 
-Pages are sampled by a per-host top-k that is cut down before the shuffle, so
-a hot host sends a few pages per task; wrappers are joined to pages by host
-(an equi-join whose skewed side adaptive execution splits, or a broadcast
+Pages travel as skeletons without long texts, and equal ones are dropped
+before the shuffle; at most about ``FAN`` of a template meet in a group, level
+by level, so a hot host is many groups; wrappers are joined to pages by host
+and template (an equi-join whose skewed side adaptive execution splits, or a broadcast
 where the stored wrapper table is within Spark's own limit).
 
 Defined cases: null or empty html gives an empty text; a null or odd url is a
@@ -31,18 +34,24 @@ are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import difflib
+import hashlib
 import html as _html
 import json
 import re
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet.llm.util import by_value, stage
 
-#: Pages per host that a wrapper is inferred from.
-SAMPLE_PAGES = 6
+#: Pages or partial wrappers of a template that are aligned in one group.
+FAN = 64
+#: Share of a page's own text below which the wrapper has not found its article.
+LITTLE = 0.25
+#: Longer texts are slots from the start.
+MAX_LITERAL = 40
 #: Elements below this depth are read as part of their ancestor.
 MAX_DEPTH = 64
 #: Children of one element that are aligned, beyond which they are one slot.
@@ -73,6 +82,7 @@ _MARKED = re.compile(r"(?:^|[\s_-])(?:article-?body|post-?body|entry-?content|ar
                      r"story-?body|content-?body)(?:$|[\s_-])", re.I)
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}}
+_CONTAINERS = set("html body main article section div".split())
 _SCOPE = set("table ul ol dl div article section main body html td th".split())
 
 
@@ -149,7 +159,7 @@ def page_items(page: str) -> list:
         else:
             s = " ".join(e[1].split())
             if s:
-                stack[-1].append(["#text", "", 0, None, s, len(s)])
+                stack[-1].append(["#text", "", 0, None, s if len(s) <= MAX_LITERAL else None, len(s)])
     return fold(top)
 
 
@@ -206,7 +216,10 @@ def align(a: list, b: list) -> list:
     """Union-free alignment of two sequences: common items are merged, items
     of one side only are optional."""
     out: list = []
-    match = difflib.SequenceMatcher(None, [x[0] for x in a], [x[0] for x in b], autojunk=False)
+    left, right = [x[0] for x in a], [x[0] for x in b]
+    if left == right:
+        return [merge_item(x, y) for x, y in zip(a, b)]
+    match = difflib.SequenceMatcher(None, left, right, autojunk=False)
     for op, i, j, k, m in match.get_opcodes():
         if op == "equal":
             out += [merge_item(x, y) for x, y in zip(a[i:j], b[k:m])]
@@ -257,14 +270,32 @@ def article_path(items: list) -> list[str]:
 
 
 def infer(pages: list[str]) -> tuple[str, list[str]]:
-    """Wrapper expression and article path of same-host pages."""
-    items: list = []
-    for k, p in enumerate(pages):
-        own = page_items(p)
-        items = own if not k else align(items, own)
+    """Wrapper expression and article path of pages of one template."""
+    items = reduce(align, map(page_items, pages))
     return written(items), article_path(items)
 
 
+def signature(items: list) -> str:
+    """Template of a page: a digest of the paths of its containers, without
+    furniture and without the inside of marked articles."""
+    paths: set[str] = set()
+
+    def walk(items: list, path: str):
+        for x in items:
+            if x[3] is None or x[2] == 1:
+                continue
+            if x[0].startswith("("):
+                walk(x[3], path)
+            elif x[0].split(".")[0] in _CONTAINERS or x[2] == 2:
+                here = f"{path}/{x[0]}"
+                paths.add(here)
+                if x[2] != 2:
+                    walk(x[3], here)
+
+    walk(items, "")
+    return hashlib.md5("\n".join(sorted(paths)).encode()).hexdigest()
+
+
 def read(page: str, path: list[str]) -> str | None:
     """Text blocks under ``path``, or None if the page has no such place."""
     blocks: list[str] = []
@@ -316,45 +347,88 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
-def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html",
-                   sample: int = SAMPLE_PAGES) -> DataFrame:
-    """``(host, wrapper, path)`` from at most ``sample`` pages per host."""
-    p = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
-    p = p.where(F.length("html") > 0)
-    w = Window.partitionBy("host").orderBy(F.xxhash64("html"), "html")
-    picked = p.withColumn("n", F.row_number().over(w)).where(F.col("n") <= sample)
+def skeletons(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``(host, sign, h, items)``: the distinct pages, h a hash of the html."""
+    p = pages.select(host_of(F.col(url_col)).alias("host"), F.xxhash64(html_col).alias("h"), F.col(html_col).alias("html"))
 
-    def run(key, t):
-        wrapper, path = infer(t["html"].to_pylist())
-        return pa.table({"host": [key[0].as_py()], "wrapper": [wrapper], "path": pa.array([path], pa.list_(pa.string()))})
-
-    return picked.select("host", "html").groupBy("host").applyInArrow(run, "host string, wrapper string, path array<string>")
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
+        for b in batches:
+            rows = []
+            for host, h, page in zip(*(b.column(k).to_pylist() for k in range(3))):
+                if (host, h) in seen:
+                    continue
+                if len(seen) >= 100_000:
+                    seen.clear()
+                seen.add((host, h))
+                items = page_items(page)
+                rows.append((host, signature(items), h, json.dumps(items, ensure_ascii=False, separators=(",", ":"))))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64() if k == 2 else pa.string())
+                                              for k in range(4)], ["host", "sign", "h", "items"])
+
+    return p.where(F.length("html") > 0).mapInArrow(run, "host string, sign string, h bigint, items string").distinct()
+
+
+def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html", fan: int = FAN) -> DataFrame:
+    """``(host, sign, wrapper, path)`` from all distinct pages of each template."""
+    def merged(t) -> list:
+        return reduce(align, map(json.loads, sorted(t["items"].to_pylist())))
+
+    def some(key, t):
+        items = json.dumps(merged(t), ensure_ascii=False, separators=(",", ":"))
+        return pa.table({"host": [key[0].as_py()], "sign": [key[1].as_py()], "items": [items]})
+
+    def whole(key, t):
+        items = merged(t)
+        return pa.table({"host": [key[0].as_py()], "sign": [key[1].as_py()], "wrapper": [written(items)],
+                         "path": pa.array([article_path(items)], pa.list_(pa.string()))})
+
+    level = stage(skeletons(pages, url_col, html_col).select("host", "sign", "items"), "skeletons")
+    while (most := level.groupBy("host", "sign").count().agg(F.max("count")).first()[0] or 0) > fan:
+        salt = F.pmod(F.xxhash64("items"), F.lit(-(-2 * most // fan)))  # half full on average; the same in any layout
+        level = stage(level.groupBy("host", "sign", salt.alias("salt")).applyInArrow(
+            some, "host string, sign string, items string"), "skeletons")
+    return level.groupBy("host", "sign").applyInArrow(whole, "host string, sign string, wrapper string, path array<string>")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-            sample: int = SAMPLE_PAGES) -> DataFrame:
+            fan: int = FAN) -> DataFrame:
     """``(id_col, url_col, text)``: the main text of every page."""
-    wrappers = stage(infer_wrappers(pages, url_col, html_col, sample), "wrappers").select("host", "path")
+    wrappers = stage(infer_wrappers(pages, url_col, html_col, fan), "wrappers").select("host", "sign", "path")
     src = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
                        host_of(F.col(url_col)).alias("host"))
     id_type = src.schema["id"].dataType.simpleString()
 
+    def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                signs, own = [], []
+                for page in part.column(2).to_pylist():
+                    items = page_items(page) if page else []
+                    signs.append(signature(items))
+                    own.append(article_path(items))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(signs, pa.string()), pa.array(own, pa.list_(pa.string()))],
+                                                 ["id", "url", "html", "host", "sign", "own"])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
                 texts = []
-                for page, path in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
+                for page, own, path in zip(*(part.column(k).to_pylist() for k in (2, 3, 4))):
                     text = ""
                     if page:
-                        text = read(page, path or [])
-                        if text is None or not path:
-                            text = read(page, infer([page])[1])
-                    texts.append(text)
+                        text = read(page, path or own)
+                        if path and path != own:
+                            alone = read(page, own) or ""
+                            text = text if text and len(text) >= LITTLE * len(alone) else alone
+                    texts.append(text or "")
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())],
                                                  ["id", "url", "text"])
 
-    out = src.join(wrappers, "host", "left").select("id", "url", "html", "path").mapInArrow(
+    marked = src.mapInArrow(mark, f"id {id_type}, url string, html string, host string, sign string, own array<string>")
+    out = marked.join(wrappers, ["host", "sign"], "left").select("id", "url", "html", "own", "path").mapInArrow(
         run, f"id {id_type}, url string, text string")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text")
 

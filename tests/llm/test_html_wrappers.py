@@ -56,6 +56,33 @@ def test_repeated_rows_and_empty_table(spark):
     assert H.extract(df.limit(0)).collect() == []
 
 
+def test_templates_of_one_host(spark):
+    """Copies of one page, and a rare template whose place of the article holds a teaser."""
+    def usual(k):
+        return f"<html><body><div class='content'>{f'<p>usual text number {k} of many words</p>' * 8}</div></body></html>"
+
+    def rare(k, teaser):
+        return (f"<html><body><div class='content'>{teaser}</div><div class='long'>"
+                f"{f'<p>rare article {k} with quite a lot of words</p>' * 9}</div></body></html>")
+
+    rows = [(i, "http://one.org/x", usual(0 if i < 40 else i)) for i in range(200)]
+    rows += [(1000 + i, "http://one.org/y", rare(i, "<p>read on</p>" if i % 2 else "")) for i in range(5)]
+    # the same containers, but this page has its text elsewhere
+    rows += [(2000 + i, "http://two.org/y", "<body><div class='content'>" + "<p>text here</p>" * 40 + "</div><div class='b'>x</div></body>")
+             for i in range(70)]
+    rows += [(3000, "http://two.org/z", "<body><div class='content'>teaser</div><div class='b'>" + "<p>all is here</p>" * 9 + "</div></body>")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for fan in (64, 4):
+        got = {r.page_id: r.text for r in H.extract(df, fan=fan).collect()}
+        assert len(got) == len(rows)
+        assert all(got[i] == "\n".join([f"usual text number {0 if i < 40 else i} of many words"] * 8) for i in range(200))
+        assert all(got[1000 + i] == "\n".join([f"rare article {i} with quite a lot of words"] * 9) for i in range(5))
+        assert got[3000] == "\n".join(["all is here"] * 9)
+    signs = {H.signature(H.page_items(h)) for _, u, h in rows if "one.org" in u}
+    assert len(signs) == 2
+    assert H.skeletons(df).where("host = 'one.org'").count() == 1 + 160 + 5
+
+
 def test_wrapper_is_a_union_free_expression():
     pages = ["<html><body><ul><li>a</li><li>b</li></ul><article><h1>A</h1><p>x</p></article><footer>f</footer></body></html>",
              "<html><body><ul><li>a</li></ul><article><h1>B</h1><p>y</p><p>z</p><hr></article><footer>f</footer></body></html>"]
