@@ -54,7 +54,8 @@ LITTLE = 0.25
 MAX_LITERAL = 40
 #: Elements below this depth are read as part of their ancestor.
 MAX_DEPTH = 64
-#: Children of one element that are aligned, beyond which they are one slot.
+#: Children of one element that are aligned (after folding); beyond them, runs
+#: of children that cannot hold the article are slots.
 MAX_CHILDREN = 400
 
 _TOKEN = re.compile(
@@ -165,9 +166,6 @@ def page_items(page: str) -> list:
 
 def fold(items: list) -> list:
     """Repeated neighbours as one repeated group."""
-    if len(items) > MAX_CHILDREN:
-        size = sum(x[5] if x[3] is None else _size(x) for x in items)
-        return [["#text", "*", 0, None, None, size]]
     for n in (1, 2, 3):
         out: list = []
         k = 0
@@ -192,11 +190,37 @@ def fold(items: list) -> list:
                 out += head if n == 1 else [["(" + " ".join(signs) + ")", "+", 0, head, None, 0]]
                 k = more
         items = out
-    return items
+    return bounded(items)
+
+
+def bounded(items: list) -> list:
+    """Of too many children those that are marked, hold marked ones or hold
+    most of the text; slots for the runs of others."""
+    if len(items) <= MAX_CHILDREN:
+        return items
+    sizes = [_size(x) for x in items]
+    total = sum(sizes)
+    out: list = []
+    run = False  # the last one is a slot of this list
+    for x, size in zip(items, sizes):
+        if x[3] is not None and (_holds_marked(x) or 2 * size > total):
+            out.append(x)
+            run = False
+        elif run:
+            out[-1][5] += size
+        else:
+            out.append(["#text", "*", 0, None, None, size])
+            run = True
+    return out
+
+
+def _holds_marked(item: list) -> bool:
+    return item[2] != 1 and (item[2] == 2 or any(_holds_marked(x) for x in item[3] or ()))
 
 
 def _size(item: list) -> int:
-    return item[5] if item[3] is None else sum(_size(x) for x in item[3])
+    """Characters outside furniture."""
+    return 0 if item[2] == 1 else item[5] if item[3] is None else sum(map(_size, item[3]))
 
 
 def _quantifier(a: str, b: str) -> str:
@@ -225,7 +249,7 @@ def align(a: list, b: list) -> list:
             out += [merge_item(x, y) for x, y in zip(a[i:j], b[k:m])]
         else:
             out += [[x[0], _quantifier(x[1], "?"), *x[2:]] for x in a[i:j] + b[k:m]]
-    return out
+    return bounded(out)
 
 
 def written(items: list) -> str:

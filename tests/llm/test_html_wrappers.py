@@ -83,6 +83,21 @@ def test_templates_of_one_host(spark):
     assert H.skeletons(df).where("host = 'one.org'").count() == 1 + 160 + 5
 
 
+def test_article_among_very_many_children(spark):
+    tags = ("p", "div", "h2", "section", "ul", "pre", "h3")
+
+    def wide(k, article):  # siblings that do not fold, unlabelled
+        junk = [f"<{t}>remark {k} {i}</{t}>" for i in range(700) for t in (tags[i * i % 7 - (i % 3)],)]
+        return f"<body>{''.join(junk[:350])}{article}{''.join(junk[350:])}</body>"
+
+    rows = [(i, f"http://h{i % 3}.org/", wide(i, f"<article><p>it is {i}</p></article>")) for i in range(7)]  # the third host: two
+    rows += [(10, "http://lone.org/", wide(10, "<div><div class='entry-content'><p>it is 10</p></div></div>")),
+             (11, "http://rows.org/", "<body>" + "<p>row</p>" * 3000 + "<main>it is 11</main></body>")]
+    assert len(H.page_items(wide(0, ""))[0][3]) < 10
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r.page_id: r.text for r in H.extract(df).collect()} == {i: f"it is {i}" for i, _, _ in rows}
+
+
 def test_wrapper_is_a_union_free_expression():
     pages = ["<html><body><ul><li>a</li><li>b</li></ul><article><h1>A</h1><p>x</p></article><footer>f</footer></body></html>",
              "<html><body><ul><li>a</li></ul><article><h1>B</h1><p>y</p><p>z</p><hr></article><footer>f</footer></body></html>"]
