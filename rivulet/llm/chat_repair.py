@@ -6,8 +6,10 @@ first, assistant last.  Each message is kept, merged into the turn before it
 programming over the automaton's states finds the cheapest sequence, which is
 rendered with one marked segment per turn.
 
-A conversation of any length: its messages are cut into blocks of ``BLOCK``
-turn numbers.  A block's costs from each entry state to each exit state form a
+A conversation of any length: its messages are numbered in order, whatever
+their turns (rows are dealt by range of the whole order and numbered within a
+task; a conversation that goes on from one task to the next carries its count
+over), and cut into blocks of ``BLOCK`` messages.  A block's costs from each entry state to each exit state form a
 small matrix, and matrices combine (minimum of sums), level by level, up to
 the conversation; the states chosen at the top go down to the blocks, which
 are then repaired on their own.  So no task holds more than one block, and a
@@ -24,10 +26,12 @@ gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rivulet.llm.util import by_value, stage
 
@@ -173,6 +177,34 @@ def _square(flat):
     return [list(flat[i:i + 4]) for i in (0, 4, 8, 12)]
 
 
+def _numbered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order with their task and their number in the conversation within it."""
+    task, last, n = TaskContext.get().partitionId(), None, -1
+    for b in batches:
+        numbers = []
+        for conv in b.column(0).to_pylist():
+            n = n + 1 if conv == last else 0
+            last = conv
+            numbers.append(n)
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array([task] * b.num_rows, pa.int32()), pa.array(numbers, pa.int64())],
+                                         [*b.schema.names, "task", "n"])
+
+
+def positions(rows: DataFrame) -> DataFrame:
+    """Distinct ``rows`` (conv, turn, role, text) with their position ``n`` in
+    the conversation, from 0.  No task holds a whole conversation."""
+    order = ("conv", "turn", "role", "text")
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in order)
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = stage(rows.mapInArrow(_numbered, f"{kinds}, task int, n bigint"), "chat-rows")
+    # a conversation's count before each task: beyond 0 for a task's first conversation alone
+    w = Window.partitionBy("conv").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("conv", "task").count().withColumn("before", F.sum("count").over(w)).where("before > 0")
+    before = F.broadcast(before.select(F.col("conv").alias("c2"), F.col("task").alias("t2"), "before"))  # a row a task at most
+    out = rows.join(before, (rows["task"] == F.col("t2")) & rows["conv"].eqNullSafe(F.col("c2")), "left")
+    return out.select(*order, (F.col("n") + F.coalesce("before", F.lit(0))).alias("n"))
+
+
 def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                  text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """``(conv_col, part, messages, turns, merged, relabelled, inserted, cost,
@@ -180,8 +212,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     conv_type = turns.schema[conv_col].dataType.simpleString()
     rows = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).cast("bigint").alias("turn"),
                         F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text")).distinct()
-    rows = rows.withColumn("b", F.coalesce(F.floor(F.col("turn") / block), F.lit(-(1 << 62))).cast("bigint"))
-    rows = stage(rows, "chat-rows")
+    rows = positions(rows).select("conv", "turn", "role", "text", F.floor(F.col("n") / block).cast("bigint").alias("b"))
 
     def order(t):
         got = zip(*(t[c].to_pylist() for c in ("turn", "role", "text")))
@@ -204,7 +235,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     many = rows.groupBy("conv").agg(F.count_distinct("b").alias("n")).agg(F.max("n")).first()[0] or 0
     if many <= 1:
         states = rows.select("conv", "b").distinct().select(
-            "conv", "b", F.lit(0).alias("s"), F.lit(-1).alias("t"), F.lit(0).cast("bigint").alias("part"), F.lit(True).alias("last"))
+            F.col("conv").alias("conv"), F.col("b").alias("b"), F.lit(0).alias("s"), F.lit(-1).alias("t"), F.lit(0).cast("bigint").alias("part"), F.lit(True).alias("last"))
     else:
         levels = [stage(rows.groupBy("conv", "b").applyInArrow(leaf, ddl), "chat-costs")]
         while (levels[-1].groupBy("conv").count().agg(F.max("count")).first()[0] or 0) > block:

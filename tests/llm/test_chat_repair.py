@@ -85,3 +85,19 @@ def test_whole_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
             .select("conv_id", "turn", "role", "text").collect()]
     check(rows, QUERIES["op4_chat_repair"](spark, SF_SMALL).collect())
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_blocks_are_bounded_whatever_the_turns(spark, block):
+    rng = random.Random(5)
+    roles = ["user", "assistant", "system", "tool", None]
+    rows = [(1, None, rng.choice(roles), f"a{i}") for i in range(1500)]  # no turn numbers
+    rows += [(2, 7, rng.choice(roles), f"b{i}") for i in range(1500)]  # one turn number
+    rows += [(None, i % 4, rng.choice(roles), f"c{i}") for i in range(1500)]  # no conversation
+    rows += [(3, 1 << 40, "user", "far"), (3, 1, "user", "near")]
+    rows += rows[:700]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    got = C.format_chats(df, block=block).collect()
+    check(rows, got)
+    assert max(g.messages for g in got) == block
+    assert sum(g.conv_id == 3 for g in got) == 1
