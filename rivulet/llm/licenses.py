@@ -2,7 +2,10 @@
 
 A text is cut into sentences (at line ends, and after ``. ! ? ;`` before white
 space); a sentence is normalised to lower-case words and looked up in a fixed
-table of licence sentences.  A document's identifiers, in order and with the
+table of licence sentences.  A sentence may be wrapped: up to ``WRAP`` lines
+without a blank one between them, or parts ended by ``;``, are looked up as
+one as well, and the longest known one counts from its first line to its
+last.  A document's identifiers, in order and with the
 number of unknown sentences between them, are matched against ordered rules:
 sequences of identifiers with at most ``GAP`` unknown sentences between two.
 The longest rule wins at each place; matches do not overlap.
@@ -22,10 +25,16 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rivulet.llm.host_quality import let
+
 #: Unknown sentences allowed between two of a rule.
 GAP = 2
+#: Lines of a wrapped sentence, at most (the longest known one has 89 words).
+WRAP = 48
 
 _CUT = r"[.!?;]+(?:[\x20\x09-\x0D]+|$)|\n+"
+#: A cut that a wrapped sentence goes on over.
+WRAPPED = r"^(?:;[\x20\x09\x0D]*\n?[\x20\x09]*|\n)\z"
 
 # Names by which a sentence refers to a licence.
 NAMES = {
@@ -55,6 +64,9 @@ SUBJECTS = ["", "this work is ", "this file is ", "this software is ", "this pro
 VERBS = ["licensed under ", "released under ", "distributed under ", "available under ", "provided under ", "published under ",
          "made available under ", "licensed under the terms of ", "distributed under the terms of ", "covered by ", "subject to "]
 ARTICLES = ["", "the ", "a "]
+# Notices of headers, which name the text "the License".
+HEADERS = {"Apache-2.0": ["apache license version 2 0 the license"],
+           "MPL-2.0": ["mozilla public license version 2 0 the license", "mozilla public license v 2 0 the license"]}
 # Sentences of licence texts.
 TEXTS = {
     "mit_grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
@@ -100,7 +112,7 @@ def _notice(name: str) -> str:
 
 def sentence_table() -> dict[str, str]:
     """Normalised sentence -> identifier."""
-    table = {s + v + a + n: _notice(name) for name, ns in NAMES.items() for n in ns
+    table = {s + v + a + n: _notice(name) for names in (NAMES, HEADERS) for name, ns in names.items() for n in ns
              for s in SUBJECTS for v in VERBS for a in ARTICLES}
     table.update({f"spdx license identifier {re.sub('[^a-z0-9]+', ' ', name.lower())}": _notice(name) for name in NAMES})
     table.update({text: sid for sid, text in TEXTS.items()})
@@ -124,18 +136,67 @@ def _normalised(s: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
 
 
+def _openers() -> str:
+    """Pattern of the beginnings of known sentences: two words, or the first
+    alone on its line."""
+    first: dict[str, set[str]] = {}
+    for t in sentence_table():
+        a, b = t.split()[:2]
+        first.setdefault(a, set()).add(b)
+    return "^(?:" + "|".join(f"{a}(?:$| (?:{'|'.join(sorted(b))})(?:$| ))" for a, b in sorted(first.items())) + ")"
+
+
+def _lookups(text: Column) -> Column:
+    """Array of (pos, last, sentence): each piece, and the runs of pieces that
+    a wrapped sentence may be, from where one can begin."""
+    none = F.array().cast("array<struct<pos:int,last:int,sentence:string>>")
+
+    def pieces(both: Column) -> Column:
+        norm, cut = both["norm"], both["cut"]
+
+        def at(s: Column, i: Column) -> Column:
+            own = F.struct(i.alias("pos"), i.alias("last"), s.alias("sentence"))
+
+            def step(acc: Column, k: Column) -> Column:
+                # a run goes on over one line end or ";", not over a blank line or the end of a sentence
+                on = acc["on"] & F.rlike(F.get(cut, k - 1), F.lit(WRAPPED)) & (F.length(F.get(norm, k)) > 0)
+                joined = F.concat_ws(" ", acc["s"], F.get(norm, k))
+                one = F.struct(i.alias("pos"), k.alias("last"), joined.alias("sentence"))
+                return F.when(on, F.struct(on.alias("on"), joined.alias("s"), F.concat(acc["all"], F.array(one)).alias("all"))) \
+                    .otherwise(F.struct(F.lit(False).alias("on"), acc["s"].alias("s"), acc["all"].alias("all")))
+
+            zero = F.struct(F.lit(True).alias("on"), s.alias("s"), none.alias("all"))
+            last = F.least(F.size(norm) - 1, i + (WRAP - 1))
+            runs = F.aggregate(F.sequence(i + 1, last), zero, step, lambda acc: acc["all"])
+            more = F.when((last > i) & F.rlike(F.get(cut, i), F.lit(WRAPPED)) & F.rlike(s, F.lit(_openers())), runs).otherwise(none)
+            return F.when(F.length(s) == 0, none).otherwise(F.concat(F.array(own), more))
+
+        return F.flatten(F.transform(norm, at))
+
+    norm = F.transform(F.split(text, _CUT, -1), _normalised)
+    return let(F.struct(norm.alias("norm"), F.regexp_extract_all(text, F.lit(_CUT), F.lit(0)).alias("cut")), pieces)
+
+
+def _apart(found: Column) -> Column:
+    """Of (pos, last, sid) the longest at each place, from the first on,
+    without overlaps."""
+    blank = F.array().cast("array<struct<pos:int,last:int,sid:string>>")
+    order = F.array_sort(found, lambda a, b: F.when(a["pos"] != b["pos"], a["pos"] - b["pos"]).otherwise(b["last"] - a["last"]))
+    return F.aggregate(order, blank, lambda acc, x: F.when(
+        (F.size(acc) > 0) & (x["pos"] <= F.get(acc, F.size(acc) - 1)["last"]), acc).otherwise(F.concat(acc, F.array(x))))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, match_no, rule, license, n_sentences)``: one row per match,
     numbered from 1 in the text's order."""
     table = docs.sparkSession.createDataFrame(sorted(sentence_table().items()), "sentence string, sid string")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    s = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, _CUT, -1)))
-    s = s.select("id", "h", "pos", _normalised(F.col("col")).alias("sentence")).where(F.length("sentence") > 0)
-    known = s.join(F.broadcast(table), "sentence").select("id", "h", "pos", "sid")
-    seq = known.groupBy("id", "h").agg(F.sort_array(F.collect_set(F.struct("pos", "sid"))).alias("seq"))
+    s = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"), F.inline(_lookups(text)))
+    known = s.join(F.broadcast(table), "sentence").select("id", "h", "pos", "last", "sid")
+    seq = known.groupBy("id", "h").agg(_apart(F.collect_set(F.struct("pos", "last", "sid"))).alias("seq"))
 
     def token(x: Column, j: Column) -> Column:
-        gap = F.when(j == 0, 0).otherwise(x["pos"] - F.get("seq", j - 1)["pos"] - 1)
+        gap = F.when(j == 0, 0).otherwise(x["pos"] - F.get("seq", j - 1)["last"] - 1)
         return F.concat(F.repeat(F.lit("~"), F.least(gap, F.lit(GAP + 1))), F.lit("<"), x["sid"], F.lit(">"))
 
     line = F.array_join(F.transform("seq", token), "")

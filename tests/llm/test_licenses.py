@@ -44,3 +44,45 @@ def test_tables():
     assert len(table) < 30_000 and all(s == " ".join(s.split()) and s for s in table)
     ids = set(table.values())
     assert all(i in ids for _, seq in L.RULES.values() for i in seq)
+
+
+APACHE = """ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+"""
+GPL = """# This program is free software{0} you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation{1} either version {2} of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+
+
+def test_wrapped_texts(spark):
+    import textwrap
+    rows = [(k, "\n\n".join(textwrap.fill(x, width) for x in MIT.split("\n\n"))) for k, width in ((1, 78), (2, 40), (3, 20))]
+    rows += [(4, APACHE), (5, GPL.format(":", ",", 3)), (6, GPL.format(";", ";", 2)), (7, BSD),
+             (8, "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby "
+                 "granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n"),
+             (9, "This work is\nlicensed under the\nMIT License.\nReleased under the ISC License\nReleased under the Zlib License\n"),
+             (10, "This work is licensed under the\n\nMIT License.")]  # two paragraphs
+    assert scan(spark, rows) == [
+        (1, 1, "mit-text", "MIT", 3), (2, 1, "mit-text", "MIT", 3), (3, 1, "mit-text", "MIT", 3),
+        (4, 1, "apache-header", "Apache-2.0", 3), (5, 1, "gpl-3-later-text", "GPL-3.0-or-later", 2),
+        (6, 1, "gpl-2-later-text", "GPL-2.0-or-later", 2), (7, 1, "bsd-2-text", "BSD-2-Clause", 3), (8, 1, "isc-grant", "ISC", 1),
+        (9, 1, "notice-mit", "MIT", 1), (9, 2, "notice-isc", "ISC", 1), (9, 3, "notice-zlib", "Zlib", 1)]
