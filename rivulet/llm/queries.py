@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import bpe, chat_repair, decontaminate, host_quality, html_wrappers, licenses, pii, simhash, substring_dedup, toxicity
+from rivulet.llm import (bpe, chat_repair, decontaminate, hard_negatives, host_quality, html_wrappers, licenses, packing,
+                         pii, simhash, substring_dedup, toxicity, whitening)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -136,6 +137,53 @@ def op10_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def _tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op11_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer_path())
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, c -> CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.x, r.x), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM rows a, rows r WHERE a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score, positive_rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS positive_rank
+    FROM scores WHERE same)
+  WHERE positive_rank <= 5)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score,
+       CAST(positive_rank AS INTEGER) AS positive_rank
+FROM (
+  SELECT p.*, s.other_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS rank
+  FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score)
+WHERE rank <= 5
+"""
+
+
+def op13_multiplicity_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_superkmer_dedup": op1_superkmer_dedup,
     "op2_host_quality": op2_host_quality,
@@ -147,9 +195,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_weak_pii": op8_weak_pii,
     "op9_html_wrappers": op9_html_wrappers,
     "op10_license_rules": op10_license_rules,
+    "op11_nnls_packing": op11_nnls_packing,
+    "op12_bond_negatives": op12_bond_negatives,
+    "op13_multiplicity_whitening": op13_multiplicity_whitening,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_superkmer_dedup": OP1_SQL,
     "op2_host_quality": OP2_SQL,
     "op10_license_rules": licenses.oracle_sql(),
+    "op12_bond_negatives": OP12_SQL,
 }
