@@ -32,20 +32,25 @@ columns are ignored (join them back on the id).
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from rivulet.llm.bpe import _words
 from rivulet.llm.util import by_value, row_chunks, stage
 
 #: Remainders in a combination that least squares plans, at most.
 DEPTH = 3
 #: Multiplicative updates.
 UPDATES = 150
-#: Characters encoded at a time.
-CHUNK_CHARS = 1_000_000
+#: Characters encoded at a time, and distinct pre-tokens whose ids a task keeps.
+CHUNK_CHARS = 4_000_000
+KNOWN = 200_000
 
 #: A plan: for ranks ``[start, stop)`` of a length, the first sequence, the
 #: offset there, the tokens taken, and the length (0: none) and first rank of
@@ -193,27 +198,73 @@ class Places:
             rank += nth
 
 
+class Coder:
+    """Ids of texts by the tokenizers library: each distinct pre-token of a
+    chunk is encoded once, and the last ``KNOWN`` ones are kept.  A text with a
+    code point that this Python's Unicode tables do not have (which may be cut
+    otherwise by the library's) is encoded whole."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.known: dict[bytes, list[int]] = {}
+
+    def _batch(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        odd = _unassigned(texts)
+        whole = {k: np.array(x, np.uint32) for k, x in zip(odd, self._batch([texts[k] for k in odd]))}
+        rows = [(k, "" if k in whole else t) for k, t in enumerate(texts)]
+        words, ranks, counts = _words(rows)
+        words = words.to_pylist()
+        if len(self.known) > KNOWN:
+            self.known.clear()
+        new = [w for w in words if w not in self.known]
+        self.known.update(zip(new, self._batch([w.decode() for w in new])))
+        coded = [self.known[w] for w in words]
+        size = np.fromiter(map(len, coded), np.int64, len(coded))
+        flat = np.fromiter(chain.from_iterable(coded), np.uint32, int(size.sum()))
+        begin = np.cumsum(size) - size
+        out, bound = [], np.concatenate([[0], np.cumsum(counts)])
+        for k in range(len(texts)):
+            r = ranks[bound[k]:bound[k + 1]]
+            n = size[r]
+            end = np.cumsum(n)
+            total = int(end[-1]) if len(end) else 0
+            out.append(whole[k] if k in whole else flat[np.repeat(begin[r] - end + n, n) + np.arange(total)])
+        return out
+
+
+def _unassigned(texts: list[str]) -> list[int]:
+    """Texts with a code point that is not assigned here."""
+    table = np.zeros(sys.maxunicode + 1, bool)
+    for t in texts:
+        if not t.isascii():
+            table[np.frombuffer(t.encode("utf-32-le"), np.uint32)] = True
+    strange = {chr(c) for c in np.flatnonzero(table).tolist() if unicodedata.category(chr(c)) == "Cn"}
+    return [k for k, t in enumerate(texts) if not strange.isdisjoint(t)] if strange else []
+
+
 def _tokens(path: str, window: int, end_id: int, kind: str, id_kind: pa.DataType):
     """Ids of every text, with the running numbers that ranks are made of."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
-        tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        coder = Coder(path)
         part, seen, full = TaskContext.get().partitionId(), [0] * window, 0
         for rows in row_chunks(batches, CHUNK_CHARS):
             ids, size, nth, before = [], [], [], []
-            for e in tok.encode_batch_fast([t for _, t in rows], add_special_tokens=False):
-                x = e.ids
-                x.append(end_id)
-                ids.append(np.array(x, kind).tobytes())
-                size.append(len(x))
-                nth.append(seen[len(x) % window])
+            for x in coder([t for _, t in rows]):
+                n = len(x) + 1
+                ids.append(np.append(x, end_id).astype(kind).tobytes())
+                size.append(n)
+                nth.append(seen[n % window])
                 before.append(full)
-                seen[len(x) % window] += 1
-                full += len(x) // window
+                seen[n % window] += 1
+                full += n // window
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i for i, _ in rows], id_kind), pa.array(ids), pa.array(size, pa.int64()),
                  pa.array([part] * len(rows), pa.int32()), pa.array([n % window for n in size], pa.int32()),

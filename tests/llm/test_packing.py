@@ -78,6 +78,20 @@ def test_every_id_lies_in_one_piece(spark, window):
         assert [s for s, _ in parts] == list(np.cumsum([0] + [len(p) // 4 for _, p in parts])[:-1])
 
 
+def test_words_are_encoded_as_in_their_text():
+    """Distinct pre-tokens one by one give what the library gives for the
+    whole text, for every 37th code point and those unassigned here."""
+    rng = random.Random(5)
+    points = [c for c in range(0, 0x110000, 37) if not 0xD800 <= c < 0xE000] + [0x1C89, 0xA7CB, 0x105C0, 0x1E5F6]
+    texts = [f"it's{chr(c)}a 1{chr(c)}2  {chr(c)}'ll \n{chr(c)}{chr(c)} " for c in points]
+    texts += ["".join(rng.choice(["ab", " ", "'s", "'", "\n", "12", "é", "!?", "\t", "<|endoftext|>"])
+                      for _ in range(rng.randint(0, 30))) for _ in range(2000)]
+    coder, enc = packing.Coder(PATH), library()
+    for at in range(0, len(texts), 5000):
+        part = texts[at:at + 5000]
+        assert [x.tolist() for x in coder(part)] == [enc(t)[:-1] for t in part]
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(1, "the same text"), (1, "the same text"), (None, None), (None, "b c"), (2, None)]
     df = spark.createDataFrame(rows, "doc_id int, text string")
