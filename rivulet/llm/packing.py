@@ -50,7 +50,7 @@ DEPTH = 3
 UPDATES = 150
 #: Characters encoded at a time, and distinct pre-tokens whose ids a task keeps.
 CHUNK_CHARS = 4_000_000
-KNOWN = 200_000
+KNOWN = 500_000
 
 #: A plan: for ranks ``[start, stop)`` of a length, the first sequence, the
 #: offset there, the tokens taken, and the length (0: none) and first rank of
@@ -208,7 +208,23 @@ class Coder:
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[bytes, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}  # a word's place in begin and size
+        self.begin = self.size = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _learn(self, words: list[bytes]) -> None:
+        if len(self.known) > KNOWN:  # a chunk's words may go beyond it
+            self._forget()
+        new = [w for w in words if w not in self.known]
+        coded = self._batch([w.decode() for w in new])
+        size = np.fromiter(map(len, coded), np.int64, len(coded))
+        self.begin = np.append(self.begin, len(self.ids) + np.cumsum(size) - size)
+        self.size = np.append(self.size, size)
+        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(coded), np.uint32, int(size.sum())))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -219,14 +235,9 @@ class Coder:
         rows = [(k, "" if k in whole else t) for k, t in enumerate(texts)]
         words, ranks, counts = _words(rows)
         words = words.to_pylist()
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        self.known.update(zip(new, self._batch([w.decode() for w in new])))
-        coded = [self.known[w] for w in words]
-        size = np.fromiter(map(len, coded), np.int64, len(coded))
-        flat = np.fromiter(chain.from_iterable(coded), np.uint32, int(size.sum()))
-        begin = np.cumsum(size) - size
+        self._learn(words)
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        begin, size, flat = self.begin[at], self.size[at], self.ids
         out, bound = [], np.concatenate([[0], np.cumsum(counts)])
         for k in range(len(texts)):
             r = ranks[bound[k]:bound[k + 1]]
