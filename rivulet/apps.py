@@ -42,8 +42,9 @@ HISTORY_N = 3600
 
 
 def _source(spark: SparkSession, a) -> DataFrame:
+    group = {"group": f"{a.checkpoint}-group"} if a.starting == "latest" and a.fmt != "kafka" else {}
     return read_topic(spark, a.source, fmt=a.fmt, stream=True, starting=a.starting, options=a.options,
-                      per_trigger=a.per_trigger)
+                      per_trigger=a.per_trigger, **group)
 
 
 def _records(df: DataFrame, a) -> object:
@@ -181,7 +182,7 @@ def parse_args(argv=None):
     p.add_argument("--option", dest="options", action="append", default=[], metavar="K=V",
                    help="reader and writer option, e.g. kafka.bootstrap.servers=host:9092 (repeatable)")
     p.add_argument("--starting", default="earliest", choices=["earliest", "latest"],
-                   help="where a new checkpoint starts (latest: kafka only)")
+                   help="where a new checkpoint starts (latest on files: --checkpoint names the group)")
     p.add_argument("--flag", default="groupby", choices=sorted([*TOUR, "groupbyKey", "groupby", "map_print"]))
     p.add_argument("--key", default=None, help="produce: the key of every line")
     p.add_argument("--domain", action="append", default=[], help="dashboard: a shown category (repeatable)")
@@ -194,8 +195,8 @@ def parse_args(argv=None):
     a = p.parse_args(argv)
     if a.sink is None and not (a.app == "consumer" or a.app == "tour" and a.flag == "map_print"):
         p.error(f"{a.app} needs --sink")
-    if a.starting == "latest" and a.fmt != "kafka":
-        p.error("--starting latest needs --fmt kafka: files that exist are always read")
+    if a.starting == "latest" and a.fmt != "kafka" and not a.checkpoint:
+        p.error("--starting latest on files needs --checkpoint, which names the group")
     if a.app == "dashboard" and not a.domain:
         p.error("dashboard needs --domain")
     if not all("=" in o for o in a.options):

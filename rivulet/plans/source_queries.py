@@ -31,9 +31,12 @@ def src_record_fields(spark, d):
     return E.record_fields(env_events(spark, d))
 
 
-@register("src_from_offset", "SRC2", sql=with_views(
+FROM_OFFSET_SQL = with_views(
     f"SELECT {ENV} FROM env_events WHERE CASE \"partition\" WHEN 0 THEN \"offset\" >= 1000 "
-    "WHEN 1 THEN \"offset\" >= 2000 WHEN 2 THEN false ELSE true END", "env_events"))
+    "WHEN 1 THEN \"offset\" >= 2000 WHEN 2 THEN false ELSE true END", "env_events")
+
+
+@register("src_from_offset", "SRC2", sql=FROM_OFFSET_SQL)
 def src_from_offset(spark, d):
     return S.from_offsets(env_events(spark, d), START_OFFSETS)
 

@@ -14,14 +14,19 @@ from pyspark.sql import functions as F
 from rivulet.operators import live as L
 from rivulet.operators import tables as T
 from rivulet.operators.ordered import Order
+from rivulet.operators import topics as O
 from rivulet.plans import live_queries as LQ
+from rivulet.plans import source_queries as SQ
 from rivulet.plans import table_queries as TQ
+from rivulet.plans import topic_queries as OQ
 from rivulet.plans.registry import register
 from rivulet.plans.views_sql import with_views
 from rivulet.session import scratch_path
 from rivulet.sinks import writers as W
+from rivulet.sinks.topic_log import append
 from rivulet.sources.envelope import read_lines, read_topic
-from rivulet.sources.tables import env_events, events_topic_stream, stream_table
+from rivulet.sources import readers as S
+from rivulet.sources.tables import PARTITIONS, env_events, events_table, events_topic_stream, stream_table
 from rivulet.streaming import runner as RN
 from rivulet.streaming import snapshot as SN
 
@@ -287,3 +292,64 @@ def ops_replay(spark, d):
         # a fresh checkpoint each time: the second run starts over from the beginning
         _count_stream(spark, f"{base}/topic", base, f"{base}/checkpoint-{int(first)}")
     return SN.read_batches(spark, f"{base}/out").select("key", "partition", "offset", "count")
+
+
+# Topics made by a producer: partition and offset are given by the sink ---------
+
+def _produced(spark, d) -> str:
+    """The events, produced without offsets in two batches.  The first is sent
+    again after its commit; the second crashes before its commit and is tried
+    again."""
+    topic = scratch_path(spark, "produced")
+    records = events_table(spark, d)
+    crashes = iter([True])
+
+    def crash() -> None:
+        if next(crashes, False):
+            raise InterruptedError("lost before its commit")
+
+    send = lambda first, n, **kw: append(_half(records, first), topic, partitions=PARTITIONS, order=STREAM_ORDER,
+                                         producer="events", batch_id=n, **kw)
+    send(True, 0)
+    send(True, 0)
+    try:
+        send(False, 1, before_commit=crash)
+    except InterruptedError:
+        send(False, 1)
+    return topic
+
+
+@register("snk_topic_offsets", "SNK1, SNK3 (dense offsets over two batches, a crash and two retries)", sql=TOPIC_SQL)
+def snk_topic_offsets(spark, d):
+    return read_topic(spark, _produced(spark, d))
+
+
+@register("src_produced_from_offset", "SRC2 on a produced topic", sql=SQ.FROM_OFFSET_SQL)
+def src_produced_from_offset(spark, d):
+    return S.from_offsets(read_topic(spark, _produced(spark, d)), SQ.START_OFFSETS)
+
+
+@register("ops_produced_lag", "OPS5 on a produced topic", sql=OQ.LAG_SQL)
+def ops_produced_lag(spark, d):
+    topic = read_topic(spark, _produced(spark, d))
+    return O.lag(topic, OQ._committed(topic))
+
+
+@register("stream_produce", "SNK1 streaming (foreachBatch commits)", sql=TOPIC_SQL)
+def stream_produce(spark, d):
+    topic = scratch_path(spark, "produced")
+    RN.drain(W.to_topic(events_topic_stream(spark, d), topic, partitions=PARTITIONS, order=STREAM_ORDER))
+    return read_topic(spark, topic)
+
+
+@register("src_group_latest", "SRC2 streaming (a new group at latest, restarted)", sql=with_views(
+    'SELECT "key", "value", "partition", "offset", "timestamp" FROM env_events '
+    f"WHERE \"timestamp\" >= TIMESTAMP '{HALF_TIME}'", "env_events"))
+def src_group_latest(spark, d):
+    base = scratch_path(spark, "group")
+    records = events_table(spark, d)
+    for first in (True, False):
+        W.to_topic(_half(records, first), f"{base}/topic", partitions=PARTITIONS, order=STREAM_ORDER)
+        consumed = read_topic(spark, f"{base}/topic", stream=True, starting="latest", group=f"{base}/group")
+        RN.drain(RN.start(consumed, sink="parquet", path=f"{base}/out", checkpoint=f"{base}/checkpoint"))
+    return spark.read.parquet(f"{base}/out")

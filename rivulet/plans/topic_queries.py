@@ -51,12 +51,15 @@ def ops_compact(spark, d):
     return O.compact(env_events(spark, d))
 
 
-@register("ops_lag", "OPS5", sql=with_views(
+LAG_SQL = with_views(
     "SELECT e.\"partition\", e.end_offset, c.committed, "
     "coalesce(e.end_offset - c.committed, e.n) AS lag FROM (SELECT \"partition\", "
     "CAST(max(\"offset\") + 1 AS BIGINT) AS end_offset, CAST(count(*) AS BIGINT) AS n FROM env_events "
     f"GROUP BY \"partition\") e LEFT JOIN ({COMMITTED_SQL}) c ON c.\"partition\" = e.\"partition\"",
-    "env_events"))
+    "env_events")
+
+
+@register("ops_lag", "OPS5", sql=LAG_SQL)
 def ops_lag(spark, d):
     env = env_events(spark, d)
     return O.lag(env, _committed(env))

@@ -4,12 +4,15 @@ functions; a streaming DataFrame returns the started query."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.numbers import long_to_bytes
 from rivulet.functions.text import java_format
 from rivulet.operators.records import RECORD_FORMAT
+from rivulet.sinks.topic_log import append, append_batches, has_positions
 from rivulet.sources.envelope import FIELDS, TEXT_FORMAT_OPTIONS
 
 
@@ -24,25 +27,32 @@ def _write(df: DataFrame, fmt: str, path: str | None, *, mode: str = "append",
     return w.save(path) if path else w.save()
 
 
-def to_topic(df: DataFrame, topic: str, *, fmt: str = "parquet", **kw):
+def to_topic(df: DataFrame, topic: str, *, fmt: str = "parquet", partitions: int | None = None,
+             order: Sequence[str] = (), **kw):
     """SNK1 / SNK3: ``stream.to(topic)`` / ``producer.send``.
 
-    Kafka: ``topic`` is the topic name (key optional).  Elsewhere: ``topic``
-    is a directory of envelope files; missing envelope columns are null.
+    Kafka: ``topic`` is the topic name (key optional; the broker gives
+    partition and offset).  Elsewhere ``topic`` is a directory of envelope
+    files.  Records that carry partition and offset (a mirror's) keep them;
+    all others are appended with dense offsets as commits of
+    :mod:`rivulet.sinks.topic_log`, which takes ``partitions`` and ``order``.
     """
     if fmt == "kafka":
         opts = dict(kw.pop("options", None) or {})
         opts.setdefault("topic", topic)
         cols = [c for c in ("key", "value") if c in df.columns]
         return _write(df.select(*cols), "kafka", None, options=opts, **kw)
-    missing = {"key": "string", "partition": "int", "offset": "bigint", "timestamp": "timestamp_ntz"}
-    out = df
-    for c, t in missing.items():
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(None).cast(t))
-    if fmt in ("json", "csv"):
-        kw["options"] = {**TEXT_FORMAT_OPTIONS, **(kw.get("options") or {})}
-    return _write(out.select(*FIELDS), fmt, topic, **kw)
+    options = {**(TEXT_FORMAT_OPTIONS if fmt in ("json", "csv") else {}), **(kw.pop("options", None) or {})}
+    if has_positions(df.columns):
+        missing = {"key": "string", "timestamp": "timestamp_ntz"}
+        out = df.withColumns({c: F.lit(None).cast(t) for c, t in missing.items() if c not in df.columns})
+        return _write(out.select(*FIELDS), fmt, topic, options=options, **kw)
+    if df.isStreaming:
+        from rivulet.streaming.runner import start
+        return start(df, foreach_batch=append_batches(topic, partitions=partitions, order=order, fmt=fmt, options=options), **kw)
+    if kw.pop("mode", "append") != "append":
+        raise ValueError("records are appended to a topic")
+    return append(df, topic, partitions=partitions, order=order, fmt=fmt, options=options, **kw)
 
 
 def long_values(df: DataFrame, col: str = "count") -> DataFrame:

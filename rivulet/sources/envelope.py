@@ -52,7 +52,7 @@ def from_kafka(df: DataFrame) -> DataFrame:
 
 def read_topic(spark: SparkSession, topic: str, *, fmt: str = "parquet", stream: bool = False,
                starting: str = "earliest", raw: bool = False, options: dict | None = None,
-               per_trigger: int | None = None) -> DataFrame:
+               per_trigger: int | None = None, group: str | None = None) -> DataFrame:
     """SRC1 / SRC2: a topic as a DataFrame of envelopes.
 
     ``fmt='kafka'``: ``topic`` is the topic name, ``options`` carries
@@ -60,9 +60,11 @@ def read_topic(spark: SparkSession, topic: str, *, fmt: str = "parquet", stream:
     Streams application) or ``latest`` (a new consumer group).  Large topic
     partitions are split over at least ``defaultParallelism`` tasks
     (``minPartitions``); operators that need order sort explicitly.
-    Other formats: ``topic`` is a directory of envelope files; a stream on a
-    fresh checkpoint starts with the files already there (``earliest``),
-    and the batch form of ``latest`` is :func:`rivulet.sources.readers.from_offsets`.
+    Other formats: ``topic`` is a directory of envelope files.  ``latest``
+    needs one that was appended to with offsets and ``group``, a folder that
+    keeps where the consumer group began: its first start takes the topic's
+    end offsets, a restart finds the same (a pushed filter on partition and
+    offset, :func:`rivulet.sources.readers.from_offsets`).
 
     ``per_trigger`` bounds a micro-batch (``maxOffsetsPerTrigger`` records
     for Kafka, ``maxFilesPerTrigger`` files otherwise), which also bounds
@@ -86,7 +88,14 @@ def read_topic(spark: SparkSession, topic: str, *, fmt: str = "parquet", stream:
     if fmt in ("json", "csv"):
         opts = {**TEXT_FORMAT_OPTIONS, **opts}
     schema = RAW_ENVELOPE if raw else ENVELOPE
-    return reader.format(fmt).schema(schema).options(**opts).load(topic)
+    df = reader.format(fmt).schema(schema).options(**opts).load(topic).select(*FIELDS)
+    if starting == "earliest":
+        return df
+    if starting != "latest" or not group:
+        raise ValueError("a stored topic is read from earliest, or from latest by a group")
+    from rivulet.sinks.topic_log import group_starts
+    from rivulet.sources.readers import from_offsets
+    return from_offsets(df, group_starts(spark, topic, group, starting))
 
 
 def record_fields(df: DataFrame) -> DataFrame:

@@ -38,7 +38,15 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger:
 def events_topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a streaming topic: the envelope without offsets (a stream
     cannot number rows with a window), ordered by ``(timestamp, event_id)``."""
-    ev = stream_table(spark, sf_dir, "events")
+    return _as_records(stream_table(spark, sf_dir, "events"))
+
+
+def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as records that a producer sends: no offsets yet."""
+    return _as_records(table(spark, sf_dir, "events"))
+
+
+def _as_records(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.col("event_type").alias("key"),
         F.format_string("%d\t%s %s", "user_id", "event_type", "props").alias("value"),
@@ -54,13 +62,7 @@ def _number(df: DataFrame, order: Order) -> DataFrame:
 def env_events(spark: SparkSession, sf_dir: str, offsets: bool = True) -> DataFrame:
     """``events`` as a topic: key = event_type, value = ``user_id\\tevent_type props``,
     partition = user_id % 4, offsets in ``(ts, event_id)`` order."""
-    ev = table(spark, sf_dir, "events")
-    df = ev.select(
-        F.col("event_type").alias("key"),
-        F.format_string("%d\t%s %s", "user_id", "event_type", "props").alias("value"),
-        (F.col("user_id") % PARTITIONS).cast("int").alias("partition"),
-        F.col("ts").alias("timestamp"),
-        "event_id")
+    df = events_table(spark, sf_dir)
     if offsets:
         df = _number(df, Order.by_time("timestamp", "event_id", seconds=TIME_BUCKET_SECONDS))
         return df.select("key", "value", "partition", "offset", "timestamp")
