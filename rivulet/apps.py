@@ -32,6 +32,7 @@ from rivulet.operators.ordered import Order
 from rivulet.sinks import writers as W
 from rivulet.sources.envelope import read_lines, read_topic
 from rivulet.sources.readers import SENTINEL
+from rivulet.streaming import changelog as CL
 from rivulet.streaming import runner as RN
 from rivulet.streaming import snapshot as SN
 from rivulet.streaming.dashboard import PanelSpec, dashboard_sink
@@ -56,12 +57,12 @@ def _records(df: DataFrame, a) -> object:
 def _counts(table: DataFrame, a, value: str = "count") -> object:
     """A keyed table's changelog: to a Kafka topic each changed key with its
     8-byte value (the newest record per key is the table), to files as
-    batches that :func:`rivulet.streaming.snapshot.read_changelog` reads."""
+    segments that :func:`rivulet.streaming.changelog.read_changelog` reads."""
     if a.sink_fmt == "kafka":
         return W.to_topic(W.long_values(table, value), a.sink, fmt="kafka", checkpoint=a.checkpoint,
                           trigger=a.trigger, output_mode="update", options=a.options)
     return RN.start(table, output_mode="update", checkpoint=a.checkpoint, trigger=a.trigger,
-                    foreach_batch=SN.changelog_writer(a.sink))
+                    foreach_batch=CL.changelog_writer(a.sink, ["key"]))
 
 
 def wordcount(spark: SparkSession, a) -> object:

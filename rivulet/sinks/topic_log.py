@@ -33,6 +33,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rivulet.sinks import files
 
 #: Fixed value: ``num.partitions`` of a topic that does not say.
 PARTITIONS = 1
@@ -41,61 +42,9 @@ STATE = "_state.json"
 _TASK_BITS = 33
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    jvm, p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        return bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
-
-
-def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> bool:
-    """Write a small file; without ``overwrite`` False where it exists."""
-    jvm, p, fs = _fs(spark, path)
-    if not overwrite and fs.exists(p):
-        return False
-    stream = fs.create(p, overwrite)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-    return True
-
-
-def _rename(spark: SparkSession, source: str, target: str) -> bool:
-    """Rename a folder in one step; False if the target exists."""
-    jvm, src, fs = _fs(spark, source)
-    _, dst, _ = _fs(spark, target)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
-    kind = jvm.org.apache.hadoop.fs.Options.Rename
-    never = spark.sparkContext._gateway.new_array(kind, 1)
-    never[0] = kind.NONE
-    try:
-        files.rename(src, dst, never)
-    except Exception as e:  # py4j wraps the file system's exception
-        if "FileAlreadyExistsException" in str(e) or fs.exists(dst):
-            return False
-        raise
-    return True
-
-
 def commits(spark: SparkSession, topic: str) -> list[int]:
     """Numbers of the committed batches, rising."""
-    _, p, fs = _fs(spark, topic)
-    if not fs.exists(p):
-        return []
-    names = (s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
-    return sorted(int(n[6:]) for n in names if n.startswith("batch="))
+    return sorted(int(n[6:]) for n in files.folders(spark, topic) if n.startswith("batch="))
 
 
 def state(spark: SparkSession, topic: str) -> dict:
@@ -105,7 +54,7 @@ def state(spark: SparkSession, topic: str) -> dict:
     done = commits(spark, topic)
     if not done:
         return {"commit": -1, "ends": {}, "producers": {}, "partitions": None}
-    got = json.loads(_read_text(spark, f"{topic}/batch={done[-1]}/{STATE}"))
+    got = json.loads(files.read_text(spark, f"{topic}/batch={done[-1]}/{STATE}"))
     got["ends"] = {int(p): n for p, n in got["ends"].items()}
     return got
 
@@ -158,12 +107,6 @@ def _with_offsets(rows: DataFrame, ends: dict[int, int]) -> tuple[DataFrame, Dat
     return out, runs.groupBy("partition").agg(F.sum("__n").cast("bigint").alias("n"))
 
 
-def _drop(spark: SparkSession, *paths: str) -> None:
-    for path in paths:
-        _, p, fs = _fs(spark, path)
-        fs.delete(p, True)
-
-
 def append(batch: DataFrame, topic: str, *, partitions: int | None = None, order: Sequence[str] = (),
            producer: str | None = None, batch_id: int = 0, fmt: str = "parquet", options: dict | None = None,
            before_commit: Callable[[], None] | None = None) -> int | None:
@@ -196,17 +139,17 @@ def append(batch: DataFrame, topic: str, *, partitions: int | None = None, order
             producers = {**now["producers"], **({producer: batch_id} if producer else {})}
             (out.write.mode("overwrite").format(fmt).options(**(options or {})).partitionBy("partition").save(folder))
             commit = now["commit"] + 1
-            write_text(spark, f"{folder}/{STATE}", json.dumps(
+            files.write_text(spark, f"{folder}/{STATE}", json.dumps(
                 {"commit": commit, "ends": ends, "producers": producers, "partitions": held}))
             if before_commit:
                 before_commit()
-            if _rename(spark, folder, f"{topic}/batch={commit}"):
+            if files.rename_new(spark, folder, f"{topic}/batch={commit}"):
                 return commit
             now = state(spark, topic)  # another producer was first
             if producer and now["producers"].get(producer, -1) >= batch_id:
                 return None
     finally:
-        _drop(spark, f"{folder}-rows", folder)
+        files.delete(spark, f"{folder}-rows", folder)
 
 
 def append_batches(topic: str, *, partitions: int | None = None, order: Sequence[str] = (), fmt: str = "parquet",
@@ -226,11 +169,11 @@ def group_starts(spark: SparkSession, topic: str, group: str, starting: str = "l
     ends (``latest``) or nothing (``earliest``), written once to the folder
     ``group``: a restart finds the same positions."""
     path = f"{group.rstrip('/')}/starts.json"
-    got = _read_text(spark, path)
+    got = files.read_text(spark, path)
     if got is None:
         starts = end_offsets(spark, topic) if starting == "latest" else {}
-        write_text(spark, path, json.dumps(starts), overwrite=False)
-        got = _read_text(spark, path)
+        files.publish(spark, path, json.dumps(starts))
+        got = files.read_text(spark, path)
     return {int(p): n for p, n in json.loads(got).items()}
 
 

@@ -95,10 +95,10 @@ def run_to_files(df: DataFrame, *, output_mode: str = "append", path: str | None
 
     ``append``: the file sink (exactly-once through its metadata log).
     ``update`` (keyed tables, ``keys`` given): each micro-batch writes only
-    its changed rows to ``batch_id=<id>`` (a retry overwrites its own
-    folder) - a changelog - and the table is the newest row per key, read
-    with one aggregate, like a compacted changelog topic.  Work per batch
-    is proportional to the changes, not to the table.
+    its changed rows as a segment of a compacted changelog
+    (:mod:`rivulet.streaming.changelog`), whose table is the newest row per
+    key.  Work per batch is proportional to the changes (a row is merged
+    once a level), not to the table.
     ``complete``: each micro-batch overwrites version ``v=<batch_id>``.
     Nothing is collected on the driver, unlike the memory sink.
     """
@@ -112,8 +112,8 @@ def run_to_files(df: DataFrame, *, output_mode: str = "append", path: str | None
         if not keys:
             raise ValueError("update mode needs the table's key columns")
 
-        from rivulet.streaming.snapshot import changelog_writer, read_changelog
-        drain(start(df, output_mode="update", checkpoint=checkpoint, foreach_batch=changelog_writer(path)))
+        from rivulet.streaming.changelog import changelog_writer, read_changelog
+        drain(start(df, output_mode="update", checkpoint=checkpoint, foreach_batch=changelog_writer(path, keys)))
         return read_changelog(spark, path, keys)
     if output_mode != "complete":
         raise ValueError(f"unknown output mode {output_mode}")

@@ -231,31 +231,6 @@ def running_totals(out_path: str | None, carry_path: str, inc: str | None, order
     return run
 
 
-def changelog_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer for an update-mode keyed table: each batch's
-    changed rows go to ``batch_id=<id>`` of the run's folder (a retry
-    overwrites its own)."""
-    from pyspark.sql import functions as F
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        folder = run_folder(batch.sparkSession, path)
-        batch.withColumn("__batch", F.lit(batch_id).cast("bigint")) \
-             .write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
-        _drop_older_runs(batch.sparkSession, folder)
-    return run
-
-
-def read_changelog(spark: SparkSession, path: str, keys) -> DataFrame:
-    """The table behind a changelog: the newest row per key (one aggregate,
-    as log compaction keeps it)."""
-    from pyspark.sql import functions as F
-    keys = list(keys)
-    log = read_batches(spark, path).drop("batch_id")
-    cols = [c for c in log.columns if c not in ("__batch", *keys)]
-    newest = F.max(F.struct(F.col("__batch"), *[F.col(c) for c in cols]))
-    return log.groupBy(*keys).agg(newest.alias("__r")).select(*keys, *[F.col(f"__r.{c}").alias(c) for c in cols])
-
-
 def take_until_batches(out_path: str, carry_path: str, sentinel, order_cols=("offset",),
                        key: str = "partition", keep_versions: int = 2) -> Callable[[DataFrame, int], None]:
     """SRC7 streaming without keyed state: per micro-batch, the first

@@ -24,6 +24,7 @@ from rivulet.sources import readers as RD
 from rivulet.sources.envelope import ENVELOPE, read_lines, read_topic
 from rivulet.sources.tables import env_events
 from rivulet.streaming import keyed as K
+from rivulet.streaming import changelog as CL
 from rivulet.streaming import runner as RN
 from rivulet.streaming import snapshot as SN
 from tests.conftest import SF_SMALL
@@ -328,14 +329,14 @@ def test_apps_run_end_to_end(spark, topic_parts):
 
     RN.drain(apps.run(spark, ["wordcount", "--source", src, "--sink", f"{base}/wc",
                               "--checkpoint", f"{base}/ck-wc", "--per-trigger", "1"]))
-    got = SN.read_changelog(spark, f"{base}/wc", ["key"])
+    got = CL.read_changelog(spark, f"{base}/wc", ["key"])
     exp = T.word_count(_batch(spark, topic_parts)).withColumnRenamed("word", "key")
     assert sorted(got.collect()) == sorted(exp.collect())
 
     RN.drain(apps.run(spark, ["tour", "--flag", "groupby", "--source", src, "--sink", f"{base}/gb",
                               "--checkpoint", f"{base}/ck-gb"]))
     exp = T.count_by(_batch(spark, topic_parts), T.upper_value)
-    assert sorted(SN.read_changelog(spark, f"{base}/gb", ["key"]).collect()) == sorted(exp.collect())
+    assert sorted(CL.read_changelog(spark, f"{base}/gb", ["key"]).collect()) == sorted(exp.collect())
 
     RN.drain(apps.run(spark, ["tour", "--flag", "map", "--source", src, "--sink", f"{base}/map",
                               "--checkpoint", f"{base}/ck-map"]))
@@ -356,7 +357,7 @@ def test_apps_run_end_to_end(spark, topic_parts):
 
     RN.drain(apps.run(spark, ["gauges", "--source", nsrc, "--sink", f"{base}/g",
                               "--checkpoint", f"{base}/ck-g", "--per-trigger", "1"]))
-    g = {r.key: r.value for r in SN.read_changelog(spark, f"{base}/g", ["key"]).collect()}
+    g = {r.key: r.value for r in CL.read_changelog(spark, f"{base}/g", ["key"]).collect()}
     import pandas as pd
     allnums = pd.concat(nums)
     assert g == {k: 10 + int(v.astype(int).sum()) for k, v in allnums.groupby("key")["value"]}
@@ -496,7 +497,7 @@ def test_tour_flags(spark, topic_parts, flag):
                               "--checkpoint", f"{base}/ck"]))
     b = _batch(spark, topic_parts)
     if flag == "groupbyKey":
-        got = SN.read_changelog(spark, f"{base}/out", ["key"])
+        got = CL.read_changelog(spark, f"{base}/out", ["key"])
         assert sorted(got.collect()) == sorted(T.count_by_key(b).collect())
     elif flag == "foreach":
         lines = spark.read.text(f"{base}/out")
@@ -559,11 +560,11 @@ def test_reset_and_reprocess_into_the_same_sinks(spark, topic_parts):
                  SN.sliding_batches(f"{base}/s", f"{base}/sc", f"{base}/st", _order(), 4, "y", "key")]
         for f in sinks:
             RN.drain(RN.start(s, foreach_batch=f))
-        RN.drain(RN.start(T.count_by_key(read), output_mode="update", foreach_batch=SN.changelog_writer(f"{base}/log")))
+        RN.drain(RN.start(T.count_by_key(read), output_mode="update", foreach_batch=CL.changelog_writer(f"{base}/log", ["key"])))
         got = [SN.read_batches(spark, f"{base}/{x}").drop("batch") for x in ("out", "t", "g", "s")]
         got += [SN.read_latest(spark, f"{base}/{x}") for x in ("hist", "snap", "carry")]
         return [sorted(g.select(sorted(g.columns)).collect(), key=str) for g in got] + \
-            [sorted(SN.read_changelog(spark, f"{base}/log", ["key"]).collect())]
+            [sorted(CL.read_changelog(spark, f"{base}/log", ["key"]).collect())]
 
     first = run(_stream(spark, d))
     assert run(_stream(spark, d)) == first  # drained again: the same tables, not the old state continued
