@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.numbers import py_int
 from rivulet.operators.ordered import Order, running_sum, running_sums, sequence_number, sliding_frame
+from rivulet.operators.tables import newest_record_by
 
 # Fixed value: what the live chart prints for a message it cannot parse.
 REJECT_REASON = "Wrong Input"
@@ -221,8 +222,8 @@ def category_total(df: DataFrame, category: str = "category", value: str = "valu
 def category_latest(df: DataFrame, order_cols: Sequence[str], category: str = "category",
                     value: str = "value") -> DataFrame:
     """Replacing gauge: the newest reading per category overwrites the older."""
-    newest = F.max(F.struct(*[F.col(c) for c in order_cols], F.col(value).alias("__v")))
-    return df.groupBy(category).agg(newest["__v"].alias(value))
+    cols = list(dict.fromkeys([category, *order_cols, value]))
+    return newest_record_by(df.select(*cols), [category], order_cols).select(category, value)
 
 
 def category_domain(values: DataFrame, domain: Sequence[str], category: str = "category",

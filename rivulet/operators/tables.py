@@ -65,25 +65,79 @@ def latest_by_key(df: DataFrame, order_cols=("timestamp", "partition", "offset")
                   keep_tombstones: bool = False) -> DataFrame:
     """AGG5: the table view - newest value per key.
 
-    ``max(struct(order..., value))`` picks the newest record even when its
-    value is null; a newest null is a delete (dropped unless
-    ``keep_tombstones``).
+    The newest record wins even when its value is null; a newest null is a
+    delete (dropped unless ``keep_tombstones``).  See :func:`newest_record_by`.
     """
-    newest = F.max(F.struct(*[F.col(c) for c in order_cols], F.col("value").alias("__value")))
-    out = (df.where(F.col("key").isNotNull()).groupBy("key")
-           .agg(newest["__value"].alias("value")))
+    cols = list(dict.fromkeys([*order_cols, "key", "value"]))
+    out = newest_record_by(df.where(F.col("key").isNotNull()).select(*cols), ["key"], order_cols).select("key", "value")
     return out if keep_tombstones else out.where(F.col("value").isNotNull())
 
 
 def newest_record_by(df: DataFrame, keys, order_cols=("timestamp", "partition", "offset")) -> DataFrame:
-    """Row form of :func:`latest_by_key`: the whole newest record per key.
-
-    One aggregate of ``max(struct(order, record))``; no window, so a hot key
-    is reduced map-side like any other aggregate.
+    """Row form of :func:`latest_by_key`: the whole newest record per key, one
+    row a key.
+
+    Late materialisation: the order is reduced in steps (see :func:`_steps`),
+    each a hash aggregate of one fixed-width maximum per key that reads no
+    payload (a hot key is one row a task), and the rows that have it go on, by
+    a join with one row a key - broadcast where adaptive execution measures it
+    small, so that payloads are not shuffled.  Nulls come first in the order;
+    of records equal in the whole order the greatest stays.
+
+    A streaming table, which cannot be joined with itself, takes one aggregate
+    ``max(struct(order, record))``.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    newest = F.max(F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order_cols)],
-                            *[F.col(c) for c in rest]))
-    agg = df.groupBy(*keys).agg(newest.alias("__r"))
-    return agg.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest]).select(*df.columns)
+    if df.isStreaming:
+        newest = F.max(F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order_cols)],
+                                *[F.col(c) for c in rest]))
+        out = df.groupBy(*keys).agg(newest.alias("__r"))
+    else:
+        left = df
+        for step in _steps(df, order_cols):
+            top = (left.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.max(step).alias("__top")))
+            on = step.eqNullSafe(F.col("__top"))
+            for i, k in enumerate(keys):
+                on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+            left = left.join(top, on, "left_semi")
+        # one record, but for copies of it
+        out = left.groupBy(*keys).agg(F.array_max(F.collect_set(F.struct(*rest))).alias("__r"))
+    return out.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest]).select(*df.columns)
+
+
+# Digits of a whole number above its type's least one, null below: fixed values.
+_WHOLE = {"tinyint": (4, 2 ** 7 + 1), "smallint": (6, 2 ** 15 + 1), "int": (11, 2 ** 31 + 1), "bigint": (20, 2 ** 63 + 1)}
+
+
+def _steps(df: DataFrame, order_cols) -> list[Column]:
+    """The order as few fixed-width columns, most significant first: whole
+    numbers next to each other become one decimal (at most 38 digits)."""
+    steps, held, digits = [], [], 0
+
+    def flush() -> None:
+        nonlocal held, digits
+        if len(held) == 1:
+            steps.append(F.col(held[0][0]))
+        elif held:
+            packed = None
+            for name, size, least in held:
+                part = F.coalesce(F.col(name).cast(f"decimal({size},0)") + F.lit(str(least)).cast(f"decimal({size},0)"),
+                                  F.lit(0)).cast(f"decimal({size},0)")
+                packed = part if packed is None else (packed * F.lit(str(10 ** size)).cast(f"decimal({size + 1},0)")
+                                                      ).cast("decimal(38,0)") + part
+            steps.append(packed.cast("decimal(38,0)"))
+        held, digits = [], 0
+
+    for c in order_cols:
+        size, least = _WHOLE.get(df.schema[c].dataType.simpleString(), (None, None))
+        if size is None:
+            flush()
+            steps.append(F.col(c))
+            continue
+        if digits + size > 37:
+            flush()
+        held.append((c, size, least))
+        digits += size
+    flush()
+    return steps

@@ -10,6 +10,8 @@ skewed the record keys are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,6 +100,81 @@ def reconcile(left: DataFrame, right: DataFrame, only_differences: bool = True)
     return out.where(F.col("status") != "same") if only_differences else out
 
 
+#: Offsets of a range, and ranges of one range above it.
+RANGE = 4096
+CHILDREN = 64
+
+
+def digests(df: DataFrame, width: int = RANGE) -> DataFrame:
+    """One row per range of ``width`` offsets of a partition: record count and
+    two order-free sums of record hashes (a hash aggregate: a replica sends one
+    row a range and task, whatever its payloads).  Digests of wider ranges are
+    sums of narrower ones (:func:`widened`), so they form a tree."""
+    record = [F.col(c) for c in ("offset", "key", "value", "timestamp")]
+    # nulls are skipped by the hash: say which fields have them
+    nulls = F.concat_ws(",", *[c.isNull().cast("string") for c in record])
+    part = lambda salt: F.xxhash64(F.lit(salt), nulls, *record).cast("decimal(38,0)")
+    return (df.groupBy("partition", F.expr(f"floor(offset / {width})").alias("range"))
+            .agg(F.count("*").alias("n"), F.sum(part(1)).alias("h1"), F.sum(part(2)).alias("h2")))
+
+
+def widened(ranges: DataFrame, children: int = CHILDREN) -> DataFrame:
+    """The digests one level up."""
+    return (ranges.groupBy("partition", F.expr(f"floor(range / {children})").alias("range"))
+            .agg(F.sum("n").alias("n"), F.sum("h1").alias("h1"), F.sum("h2").alias("h2")))
+
+
+def _unequal(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Ranges whose digests differ, or that one side lacks."""
+    cols = ("n", "h1", "h2")
+    r = right.withColumnsRenamed({c: f"r_{c}" for c in cols})
+    j = left.join(r, ["partition", "range"], "full_outer")
+    same = F.lit(True)
+    for c in cols:
+        same = same & F.col(c).eqNullSafe(F.col(f"r_{c}"))
+    return j.where(~same).select("partition", "range")
+
+
+def differing_ranges(left: DataFrame, right: DataFrame, levels: int = 3, children: int = CHILDREN) -> DataFrame:
+    """``(partition, range)`` of the narrow ranges that differ, from the top of
+    the two digest trees down: below a range that is equal nothing is compared."""
+    trees = [(left, right)]
+    for _ in range(levels - 1):
+        trees.append(tuple(widened(t, children) for t in trees[-1]))
+    differ = None
+    for l, r in reversed(trees):
+        if differ is not None:
+            above = differ.select(F.col("partition").alias("__p"), F.col("range").alias("__r"))
+            on = (F.col("partition") == F.col("__p")) & (F.expr(f"floor(range / {children})") == F.col("__r"))
+            l, r = (t.join(above, on, "left_semi") for t in (l, r))
+        differ = _unequal(l, r)
+    return differ
+
+
+def reconcile_by_digest(left: DataFrame, right: DataFrame, width: int = RANGE, levels: int = 3,
+                        stored: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """OPS7 between replicas that hardly differ: the differences of
+    :func:`reconcile`, but only records of ranges whose digests differ meet.
+
+    Each side's digests are made once (``stored(df, name)`` keeps them, for the
+    levels of the tree); what is shuffled of equal replicas is one row a range
+    and task.  Records of differing ranges are picked by a join with the list of
+    those ranges, which is broadcast where adaptive execution measures it small.
+    Two replicas whose records differ, but whose 64-bit hashes add up alike
+    twice, would pass as equal (chance below 2^-100).
+    """
+    l, r = digests(left, width), digests(right, width)
+    if stored:
+        l, r = stored(l, "left"), stored(r, "right")
+    differ = differing_ranges(l, r, levels)
+    if stored:
+        differ = stored(differ, "differing")
+    differ = differ.select(F.col("partition").alias("__p"), F.col("range").alias("__r"))
+    on = (F.col("partition") == F.col("__p")) & (F.expr(f"floor(offset / {width})") == F.col("__r"))
+    nowhere = F.col("partition").isNull() | F.col("offset").isNull()  # in no range; equal to none, as in reconcile
+    return reconcile(*(df.join(differ, on, "left_semi").unionByName(df.where(nowhere)) for df in (left, right)))
+
+
 def throughput(df: DataFrame, bucket: str = "hour", exact: bool = True,
                accuracy: int = 10_000) -> DataFrame:
     """OPS8: records, bytes, average size, size percentiles and record rate
@@ -118,6 +195,34 @@ def throughput(df: DataFrame, bucket: str = "hour", exact: bool = True,
     return out.withColumn("records_per_sec", F.col("records") / F.lit(float(BUCKET_SECONDS[bucket])))
 
 
+#: Size parameter of the quantile sketches: the rank error is about 1.3 / k at
+#: 99 % confidence, and a sketch is exact up to k values.
+SKETCH_K = 2000
+
+
+def size_sketches(df: DataFrame, bucket: str = "minute", k: int = SKETCH_K) -> DataFrame:
+    """OPS8, mergeable: per bucket the record count, bytes and a KLL sketch of
+    the value sizes (some kilobytes, however many records).  Rows of several
+    batches may share a bucket: :func:`throughput_of_sketches` merges them."""
+    size = F.octet_length("value")
+    return df.groupBy(truncate_time(df, "timestamp", bucket).alias("bucket")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("records"), F.sum(size).cast("bigint").alias("bytes"),
+        F.count(size).alias("sized"), F.kll_sketch_agg_bigint(size.cast("bigint"), F.lit(k)).alias("sketch"))
+
+
+def throughput_of_sketches(sketches: DataFrame, bucket: str = "hour", k: int = SKETCH_K) -> DataFrame:
+    """The columns of :func:`throughput` from stored sketches, for buckets as
+    wide as theirs or wider.  Percentiles are sizes that occur (the least one
+    that reaches the rank)."""
+    merged = sketches.groupBy(truncate_time(sketches, "bucket", bucket).alias("bucket")).agg(
+        F.sum("records").alias("records"), F.sum("bytes").alias("bytes"), F.sum("sized").alias("sized"),
+        F.kll_merge_agg_bigint("sketch", F.lit(k)).alias("sketch"))
+    pct = lambda p: F.when(F.col("sized") > 0, F.kll_sketch_get_quantile_bigint("sketch", F.lit(p)))
+    return merged.select("bucket", "records", "bytes", (F.col("bytes") / F.nullif("sized", F.lit(0))).alias("avg_bytes"),
+                         pct(0.5).alias("p50_bytes"), pct(0.95).alias("p95_bytes"),
+                         (F.col("records") / F.lit(float(BUCKET_SECONDS[bucket]))).alias("records_per_sec"))
+
+
 # Length of each date_trunc unit used as a throughput bucket.
 BUCKET_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
@@ -138,13 +243,42 @@ def truncate_time(df: DataFrame, col: str, unit: str) -> Column:
     return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), h, m, sec)
 
 
+def offset_counts(df: DataFrame) -> DataFrame:
+    """``(partition, offset, n)``, dealt by ranges of (partition, offset): the
+    only exchange of records in :func:`offset_gaps`."""
+    cut = df.where(F.col("offset").isNotNull()).select("partition", "offset").repartitionByRange("partition", "offset")
+    return cut.groupBy("partition", "offset").agg(F.count("*").alias("n"))
+
+
+def offset_runs(counts: DataFrame) -> DataFrame:
+    """Contiguous runs ``(partition, first, last)`` of a task's distinct
+    offsets: offset less row number is constant along a run and rises at a gap,
+    so a run is one group of a map-side aggregate, and a gap-free partition
+    costs one row a task."""
+    cut = counts.sortWithinPartitions("partition", "offset").withColumn("__id", F.monotonically_increasing_id())
+    run = (F.col("offset") - F.col("__id")).alias("__run")
+    return (cut.groupBy("partition", F.shiftright("__id", 33).alias("__task"), run)
+            .agg(F.min("offset").alias("first"), F.max("offset").alias("last")).select("partition", "first", "last"))
+
+
 def offset_gaps(df: DataFrame, width: int = 1 << 20) -> DataFrame:
     """OPS9: sequence verification - duplicates and gaps in each partition's
     offsets.  ``kind`` is ``duplicate`` (same offset again) or ``gap``
-    (offsets missing between ``prev_offset`` and ``offset``)."""
-    prev = previous_in_order(df.select("partition", "offset"), "offset", ["partition"], width,
-                             out="prev_offset")
-    diff = F.col("offset") - F.col("prev_offset")
-    kind = F.when(diff == 0, F.lit("duplicate")).when(diff > 1, F.lit("gap"))
-    return prev.withColumn("kind", kind).where(F.col("kind").isNotNull()).select(
-        "partition", "kind", "prev_offset", "offset")
+    (offsets missing between ``prev_offset`` and ``offset``).
+
+    Records are dealt by ranges once and become runs there; gaps are found
+    between the ends of runs by the bucketed lag (buckets of ``width`` offsets,
+    so a partition full of gaps is not one task).
+    """
+    counts = offset_counts(df)
+    again = counts.where("n > 1").select(
+        "partition", F.lit("duplicate").alias("kind"), F.col("offset").alias("prev_offset"),
+        F.explode(F.array_repeat("offset", (F.col("n") - 1).cast("int"))).alias("offset"))
+    first = F.struct(F.col("first").alias("offset"), F.lit(True).alias("begins"))
+    last = F.struct(F.col("last").alias("offset"), F.lit(False).alias("begins"))
+    ends = offset_runs(counts).select("partition", F.inline(
+        F.when(F.col("first") == F.col("last"), F.array(first)).otherwise(F.array(first, last))))
+    gaps = previous_in_order(ends, "offset", ["partition"], width, out="prev_offset")
+    gaps = gaps.where("begins AND offset - prev_offset > 1").select(
+        "partition", F.lit("gap").alias("kind"), "prev_offset", "offset")
+    return gaps.unionByName(again)

@@ -353,3 +353,31 @@ def src_group_latest(spark, d):
         consumed = read_topic(spark, f"{base}/topic", stream=True, starting="latest", group=f"{base}/group")
         RN.drain(RN.start(consumed, sink="parquet", path=f"{base}/out", checkpoint=f"{base}/checkpoint"))
     return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_exactly_once", "SRC5 (redelivered records, restart on the same checkpoint)", sql=TOPIC_SQL)
+def stream_exactly_once(spark, d):
+    base = scratch_path(spark, "once")
+    ev = env_events(spark, d)
+    late = F.col("timestamp") >= F.lit(HALF_TIME).cast("timestamp_ntz") - F.expr("INTERVAL 1 DAY")
+    for first in (True, False):
+        # the second delivery repeats the last day of the first, and each sends some records twice
+        part = _half(ev, True) if first else ev.where(late)
+        W.to_topic(part.unionByName(part.where("offset % 3 = 0")), f"{base}/topic")
+        consumed = S.once(read_topic(spark, f"{base}/topic", stream=True), delay="2 days")
+        RN.drain(RN.start(consumed, sink="parquet", path=f"{base}/out", checkpoint=f"{base}/checkpoint"))
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_throughput", "OPS8 streaming (sketches per batch, merged on read)", sql=OQ.SKETCH_SQL)
+def stream_throughput(spark, d):
+    base = scratch_path(spark, "throughput")
+
+    def keep(batch, batch_id):
+        O.size_sketches(batch).write.mode("overwrite").parquet(f"{SN.run_folder(spark, base)}/batch={batch_id}")
+
+    topic = f"{base}-topic"
+    for first in (True, False):
+        W.to_topic(_half(events_table(spark, d), first), topic, partitions=PARTITIONS)
+        RN.drain(RN.start(read_topic(spark, topic, stream=True), checkpoint=f"{base}-checkpoint", foreach_batch=keep))
+    return OQ.rounded(O.throughput_of_sketches(SN.read_batches(spark, base)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rivulet.operators import topics as O
 from rivulet.plans.registry import register
 from rivulet.plans.views_sql import with_views
+from rivulet.session import scratch_path
 from rivulet.sources.tables import env_events
 
 ENV = '"key", "value", "partition", "offset", "timestamp"'
@@ -73,7 +74,7 @@ def ops_topic_summary(spark, d):
     return O.topic_summary(env_events(spark, d))
 
 
-@register("ops_reconcile", "OPS7", sql=with_views(
+RECONCILE_SQL = with_views(
     "SELECT coalesce(l.\"partition\", r.\"partition\") AS \"partition\", "
     "coalesce(l.\"offset\", r.\"offset\") AS \"offset\", "
     "CASE WHEN l.\"offset\" IS NULL THEN 'missing_left' WHEN r.\"offset\" IS NULL THEN 'missing_right' "
@@ -84,12 +85,28 @@ def ops_topic_summary(spark, d):
     "ON l.\"partition\" = r.\"partition\" AND l.\"offset\" = r.\"offset\" "
     "WHERE l.\"offset\" IS NULL OR r.\"offset\" IS NULL OR l.\"key\" IS DISTINCT FROM r.\"key\" "
     "OR l.\"value\" IS DISTINCT FROM r.\"value\" OR l.\"timestamp\" IS DISTINCT FROM r.\"timestamp\"",
-    "env_events"))
-def ops_reconcile(spark, d):
-    leader = env_events(spark, d)
-    follower = O.retention(leader).withColumn(
+    "env_events")
+
+
+def _replicas(leader):
+    return leader, O.retention(leader).withColumn(
         "value", F.when(F.col("key") == DIVERGENT_KEY, F.upper("value")).otherwise(F.col("value")))
-    return O.reconcile(leader, follower)
+
+
+@register("ops_reconcile", "OPS7", sql=RECONCILE_SQL)
+def ops_reconcile(spark, d):
+    return O.reconcile(*_replicas(env_events(spark, d)))
+
+
+@register("ops_reconcile_digests", "OPS7 by range digests", sql=RECONCILE_SQL)
+def ops_reconcile_digests(spark, d):
+    base = scratch_path(spark, "digests")
+
+    def stored(df, name):
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    return O.reconcile_by_digest(*_replicas(stored(env_events(spark, d), "leader")), width=64, stored=stored)
 
 
 @register("ops_throughput", "OPS8", sql=with_views(
@@ -107,6 +124,24 @@ def ops_throughput(spark, d):
                             "records_per_sec": F.round("records_per_sec", 6)})
 
 
+SKETCH_SQL = with_views(
+    "SELECT date_trunc('hour', \"timestamp\") AS bucket, CAST(count(*) AS BIGINT) AS records, "
+    "CAST(sum(octet_length(encode(\"value\"))) AS BIGINT) AS bytes, "
+    "round(avg(octet_length(encode(\"value\"))), 6) AS avg_bytes, "
+    "quantile_disc(octet_length(encode(\"value\")), 0.5) AS p50_bytes, "
+    "quantile_disc(octet_length(encode(\"value\")), 0.95) AS p95_bytes, "
+    "round(count(*) / 3600.0, 6) AS records_per_sec FROM env_events GROUP BY 1", "env_events")
+
+
+def rounded(out):
+    return out.withColumns({"avg_bytes": F.round("avg_bytes", 6), "records_per_sec": F.round("records_per_sec", 6)})
+
+
+@register("ops_throughput_sketches", "OPS8 (KLL sketches by minute, merged to hours)", sql=SKETCH_SQL)
+def ops_throughput_sketches(spark, d):
+    return rounded(O.throughput_of_sketches(O.size_sketches(env_events(spark, d, offsets=False))))
+
+
 GAPS_INPUT_SQL = (f"SELECT \"partition\", \"offset\" FROM env_events WHERE \"key\" <> '{LOST_KEY}' "
                   f"UNION ALL SELECT \"partition\", \"offset\" FROM env_events WHERE \"key\" = '{REDELIVERED_KEY}'")
 

@@ -74,6 +74,17 @@ def take_until(df: DataFrame, sentinel: Union[Column, Callable[[Column, Column],
     return joined.where(F.col("__stop").isNull() | (F.col("offset") < F.col("__stop"))).drop("__p", "__stop")
 
 
+def once(stream: DataFrame, delay: str = "7 days", time: str = "timestamp") -> DataFrame:
+    """SRC5: a stream's records without what is delivered again: the first
+    record of each (partition, offset).  State is kept for records within
+    ``delay`` of the newest event time, so it stays bounded; a record that comes
+    again later than that passes.  Records without a time are left out by the
+    watermark, so they take the start of time."""
+    at = F.coalesce(F.col(time).cast("timestamp"), F.lit("1970-01-01").cast("timestamp"))
+    marked = stream.withColumn("__at", at).withWatermark("__at", delay)
+    return marked.dropDuplicatesWithinWatermark(["partition", "offset"]).drop("__at")
+
+
 def value_equals(token: str = SENTINEL):
     """The reference sentinel: ``value == "exit"``."""
     return lambda k, v: v == F.lit(token)
