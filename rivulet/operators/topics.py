@@ -114,7 +114,8 @@ def digests(df: DataFrame, width: int = RANGE) -> DataFrame:
     # nulls are skipped by the hash: say which fields have them
     nulls = F.concat_ws(",", *[c.isNull().cast("string") for c in record])
     part = lambda salt: F.xxhash64(F.lit(salt), nulls, *record).cast("decimal(38,0)")
-    return (df.groupBy("partition", F.expr(f"floor(offset / {width})").alias("range"))
+    placed = df.where(F.col("partition").isNotNull() & F.col("offset").isNotNull())
+    return (placed.groupBy("partition", F.expr(f"floor(offset / {width})").alias("range"))
             .agg(F.count("*").alias("n"), F.sum(part(1)).alias("h1"), F.sum(part(2)).alias("h2")))
 
 
