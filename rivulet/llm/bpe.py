@@ -29,6 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rivulet.llm.util import by_value, row_chunks
 
@@ -200,6 +201,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     """
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = src.schema["id"].dataType.simpleString()
+    id_kind = pa.list_(to_arrow_type(src.schema["id"].dataType))
 
     def vocabulary(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in row_chunks(batches, chunk_chars):
@@ -217,7 +219,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
             words, ranks, counts = _words(rows)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_chunk_id(rows)], pa.int64()),
-                 pa.array([[i for i, _ in rows]]),
+                 pa.array([[i for i, _ in rows]], id_kind),
                  pa.array([counts.astype(np.int32)]),
                  pa.array([len(words)], pa.int32()),
                  pa.array([_planes(ranks, 3)], pa.binary())],

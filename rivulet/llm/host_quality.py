@@ -25,7 +25,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rivulet.llm.util import stage
+from rivulet.llm.util import free, stage
 
 #: Shrunk failure rate above which a host is rejected: most of it fails.
 HOST_LIMIT = 0.5
@@ -115,8 +115,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
 
 def keep(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The documents that pass, with their own columns."""
-    flag = "__base_failed"
+    flag, host = free(docs, "__base_failed", "__host")  # a caller's columns may have any name
     m = stage(docs.withColumn(flag, base_failed(counts(F.col(text_col)))), "quality-docs")
-    bad = host_verdicts(m, host_col, flag).where("host_rejected").select(F.col("host").alias("__host"))
+    bad = host_verdicts(m, host_col, flag).where("host_rejected").select(F.col("host").alias(host))
     ok = m.where(~F.col(flag))
-    return ok.join(bad, ok[host_col].eqNullSafe(bad["__host"]), "left_anti").drop(flag)
+    return ok.join(bad, ok[host_col].eqNullSafe(bad[host]), "left_anti").drop(flag)

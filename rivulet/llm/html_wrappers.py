@@ -12,9 +12,11 @@ wrapper; a page without that place, or with less than ``LITTLE`` there of the
 text that it gives as its own wrapper, is its own wrapper.
 
 Furniture is told by element (``nav``, ``footer``, ``form`` ...) or by a word
-of its class, id or role (``menu``, ``sidebar``, ``comments`` ...).  Texts
-that are equal on all pages stay if they are in the article: copies
-are articles too.
+of its class, id or role (``menu``, ``sidebar``, ``comments`` ...), and, where
+nothing marks the article, by the expression: its literals - short texts that
+all of at least ``MIN_PAGES`` distinct pages have at the same place, menus of
+repeated neighbours included - are the template's; slots are the page's.  In a
+marked article texts that are equal on all pages stay.
 
 Blocks are the block-level elements; white space inside a block (``br``
 included) becomes one space; character references are decoded.

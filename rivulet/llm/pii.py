@@ -30,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rivulet.llm.host_quality import let
-from rivulet.llm.util import stage
+from rivulet.llm.util import free, stage
 
 KINDS = ("email", "ip", "card", "phone")
 _NAME = "[A-Za-z0-9._%+-]"
@@ -78,23 +78,37 @@ LABELERS = ("pattern", "gazetteer", "context", "edges")
 CONTEXT_CHARS = 40
 
 
+#: Matches whose spans are put together in one step: what is copied per match
+#: does not grow with a text's matches.
+STEP = 256
+
+
 def _placed(text: Column, pattern: str, keep: Callable[[Column], Column], kind: int) -> Column:
-    """Spans of a pattern: matches and the gaps between them, summed up."""
+    """Spans of a pattern: matches and the gaps between them, summed up - for
+    steps of matches first, then within each step."""
     none = F.array().cast("array<struct<s:int,k:int,e:int,v:string>>")
 
+    def step(acc: Column, x: Column) -> Column:
+        s = acc["at"] + x["g"]
+        e = s + F.char_length(x["v"])
+        one = F.struct(s.alias("s"), F.lit(kind).alias("k"), e.alias("e"), x["v"].alias("v"))
+        return F.struct(e.alias("at"), F.concat(acc["all"], F.when(keep(x["v"]), F.array(one)).otherwise(none)).alias("all"))
+
+    def within(matches: Column, start: Column) -> Column:
+        return F.aggregate(matches, F.struct(start.alias("at"), none.alias("all")), step, lambda a: a["all"])
+
+    def stepwise(matches: Column) -> Column:
+        steps = F.transform(F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / STEP).cast("int")),
+                            lambda i: F.slice(matches, i * STEP + 1, F.lit(STEP)))
+        wide = F.transform(steps, lambda b: F.aggregate(b, F.lit(0), lambda n, x: n + x["g"] + F.char_length(x["v"])))
+        starts = F.aggregate(wide, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+        return let(starts, lambda at: F.flatten(F.transform(steps, lambda b, i: within(b, F.get(at, i)))))
+
     def spans(hits: Column) -> Column:
         gaps = F.transform(F.split(text, pattern, -1), lambda x: F.char_length(x))
         zipped = F.arrays_zip(F.slice(gaps, 1, F.size(hits)).alias("g"), hits.alias("v"))
-        zero = F.struct(F.lit(0).alias("at"), none.alias("all"))
-
-        def step(acc: Column, x: Column) -> Column:
-            s = acc["at"] + x["g"]
-            e = s + F.char_length(x["v"])
-            one = F.struct(s.alias("s"), F.lit(kind).alias("k"), e.alias("e"), x["v"].alias("v"))
-            return F.struct(e.alias("at"), F.concat(acc["all"], F.when(keep(x["v"]), F.array(one)).otherwise(none))
-                            .alias("all"))
-
-        return F.when(F.size(hits) == 0, none).otherwise(F.aggregate(zipped, zero, step, lambda a: a["all"]))
+        return F.when(F.size(hits) == 0, none).when(F.size(hits) <= STEP, within(zipped, F.lit(0))).otherwise(
+            let(zipped, stepwise))
 
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)
 
@@ -176,8 +190,14 @@ def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     both = let(text, lambda t: let(base_spans(t), lambda b: F.struct(
         _voted(t, b, True).alias("base"), _voted(t, _loose_spans(t, b), False).alias("loose"))))
-    return docs.withColumn("__pii", both).select(*[docs[c] for c in docs.columns], F.col("__pii.base").alias("__base"),
-                                                 F.col("__pii.loose").alias("__loose"))
+    held, = free(docs, "__pii")
+    return docs.withColumn(held, both).select(*_others(docs), F.col(f"{held}.base").alias("__base"),
+                                              F.col(f"{held}.loose").alias("__loose"))
+
+
+def _others(docs: DataFrame) -> list[str]:
+    """The table's columns but those that have a result's name."""
+    return [f"`{c}`" for c in docs.columns if c.lower() not in ("__base", "__loose", "__spans")]
 
 
 # -- label model: plain arithmetic on the counts of vote patterns ------------------
@@ -261,11 +281,11 @@ def _plain(spans: Column) -> Column:
 
 def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with ``__base`` and ``__spans``: sorted arrays of spans
-    (s start, k kind number, e end)."""
+    (s start, k kind number, e end), in place of columns named so (or
+    ``__loose``)."""
     found = stage(candidates(docs, text_col), "pii")
     ok = _accepted(train(found))
-    cols = [found[c] for c in docs.columns]
-    return found.select(*cols, _plain(F.col("__base")).alias("__base"),
+    return found.select(*_others(docs), _plain(F.col("__base")).alias("__base"),
                         _plain(F.concat("__base", F.filter("__loose", ok))).alias("__spans"))
 
 
@@ -278,9 +298,11 @@ def written(spans: Column) -> Column:
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
     """``docs`` with each span replaced by ``<KIND>``; spans that overlap an
-    earlier one are part of its replacement.  ``length_col`` is set anew."""
-    found = find(docs, text_col)
-    text = F.col(text_col)
+    earlier one are part of its replacement.  ``length_col`` is set anew.
+    Other columns may have any name: they travel in one struct."""
+    others = [docs[c] for c in docs.columns if c != text_col]
+    found = find(docs.select(F.struct(F.lit(0).alias("__"), *others).alias("row"), docs[text_col].alias("text")), "text")
+    text = F.col("text")
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
     blank = F.array().cast("array<struct<s:int,k:int,e:int>>")
 
@@ -300,9 +322,15 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
 
     merged = F.aggregate("__spans", blank, merge)
     new = F.when(F.size("__spans") == 0, text).otherwise(let(merged, replaced))
-    out = found.withColumn(text_col, new)
-    if length_col in docs.columns:
-        kind = docs.schema[length_col].dataType
-        out = out.withColumn(length_col, F.when(F.size("__spans") == 0, F.col(length_col)).otherwise(
-            F.char_length(text_col).cast(kind)))
-    return out.select(*docs.columns)
+    found = found.select("row", "__spans", new.alias("text"))
+
+    def column(c: str) -> Column:
+        if c == text_col:
+            return F.col("text").alias(c)
+        own = F.col("row").getField(c)
+        if c == length_col:
+            kind = docs.schema[c].dataType
+            own = F.when(F.size("__spans") == 0, own).otherwise(F.char_length("text").cast(kind))
+        return own.alias(c)
+
+    return found.select(*map(column, docs.columns))

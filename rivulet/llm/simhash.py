@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rivulet.llm.util import by_value, drop, stage, stage_at
+from rivulet.llm.util import by_value, drop, free, stage, stage_at
 
 RADIUS = 3
 SHINGLE = 3
@@ -293,11 +293,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     key = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h"))
     comp = near_duplicates(docs.select(key.alias("key"), F.col(text_col)), "key", text_col, shingle, radius, shard)
     first = comp.where(F.col("key").eqNullSafe(F.col("component_id"))).select("key.*").distinct()
-    first = first.withColumnsRenamed({"id": "__id", "h": "__h"})
-    own = docs.join(first, docs[id_col].eqNullSafe(first["__id"]) & (F.xxhash64(docs[text_col]) == first["__h"]))
+    own_id, own_hash, nth = free(docs, "__id", "__h", "__n")  # a caller's columns may have any name
+    first = first.withColumnsRenamed({"id": own_id, "h": own_hash})
+    own = docs.join(first, docs[id_col].eqNullSafe(first[own_id]) & (F.xxhash64(docs[text_col]) == first[own_hash]))
     rest = [c for c in docs.columns if c != text_col]
-    order = Window.partitionBy("__id", "__h").orderBy(F.xxhash64(F.to_json(F.struct(*[docs[c] for c in rest]))))
-    return own.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*[docs[c] for c in docs.columns])
+    order = Window.partitionBy(own_id, own_hash).orderBy(F.xxhash64(F.to_json(F.struct(*[docs[c] for c in rest]))))
+    return own.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).select(*[docs[c] for c in docs.columns])
 
 
 by_value(__name__)

@@ -47,6 +47,19 @@ def drop(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores added where the table has such a column
+    (Spark tells names apart without regard to case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def row_chunks(batches: Iterable, limit: int) -> Iterator[list[tuple]]:
     """Rows ``(id, text)`` of Arrow batches in lists of about ``limit``
     characters (one longer text makes a list of its own); a null text is
