@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.functions.numbers import py_int
-from rivulet.operators.ordered import Order, running_sum, running_sums, sequence_number, sliding_frame
+from rivulet.operators.ordered import Order, running_sum, running_sums, sequence_number, sliding_extremes, sliding_frame
 from rivulet.operators.tables import newest_record_by
 
 # Fixed value: what the live chart prints for a message it cannot parse.
@@ -119,19 +119,29 @@ def last_n_numbered(df: DataFrame, n: int, order_cols: Sequence[str], y: str = "
 
 # LIVE5 -----------------------------------------------------------------------
 
+#: Points from which a buffer is kept as block heads and tails.
+WIDE = 64
+
+
 def sliding(df: DataFrame, order: Order, size: int, y: str = "y", series=None,
             bucket_rows: int = 1 << 16, position: str | None = None) -> DataFrame:
     """What the buffer of the newest ``size`` points held after each point:
     ``n``, ``lo``, ``hi``, ``total`` over ``ROWS size-1 PRECEDING``.
 
     ``position``: an existing dense 1-based position of the points per
-    series (e.g. from :func:`sequence_with_accepted`); computed if absent."""
+    series (e.g. from :func:`sequence_with_accepted`); computed if absent.
+    Buffers of ``WIDE`` points or more take the form whose cost per row does
+    not grow with ``size`` (:func:`rivulet.operators.ordered.sliding_extremes`),
+    with equal results."""
     keys = _keys(series)
     pos = position or "__pos"
     if position is None:
         df = sequence_number(df, order, keys, out=pos)
-    aggs = {"n": F.count(y), "lo": F.min(y), "hi": F.max(y), "total": F.sum(y)}
-    out = sliding_frame(df, pos, size, aggs, keys, bucket_rows)
+    if size >= WIDE:
+        out = sliding_extremes(df, pos, size, y, keys)
+    else:
+        aggs = {"n": F.count(y), "lo": F.min(y), "hi": F.max(y), "total": F.sum(y)}
+        out = sliding_frame(df, pos, size, aggs, keys, bucket_rows)
     out = out.drop("__pos") if position is None else out
     return out.withColumn("n", F.col("n").cast("bigint"))
 

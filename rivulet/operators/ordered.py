@@ -291,3 +291,32 @@ def sliding_frame(df: DataFrame, seq: str, size: int, aggs: dict, partition_by=(
     w = Window.partitionBy(_K, _B).orderBy(seq).rowsBetween(-halo, Window.currentRow)
     cols = [agg.over(w).alias(name) for name, agg in aggs.items()]
     return both.select("*", *cols).where(~F.col("__halo")).drop(_K, _B, "__halo")
+
+
+def sliding_extremes(df: DataFrame, seq: str, size: int, value: str, partition_by=()) -> DataFrame:
+    """``n``, ``lo``, ``hi`` and ``total`` of ``value`` over ``ROWS BETWEEN
+    size-1 PRECEDING AND CURRENT ROW``, at a cost per row that does not grow
+    with ``size``.
+
+    Positions are cut into blocks of ``size``.  A frame is the tail of one block
+    and the head of the next: what runs up to each row from its block's start,
+    and what runs down to it from the block's end, are two running aggregates
+    within a block; the row meets the tail that begins ``size - 1`` rows before
+    it in an equi-join on (keys, position).  A window or join task holds blocks,
+    never a whole key.  ``seq``: a dense 1-based position.
+    """
+    if size < 1:
+        raise ValueError("size must be >= 1")
+    d = df.withColumn(_K, F.struct(*[as_col(c) for c in partition_by]) if partition_by
+                      else F.struct(F.lit(0).alias("k"))).withColumn(_B, F.floor((F.col(seq) - 1) / size))
+    up = Window.partitionBy(_K, _B).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy(_K, _B).orderBy(F.col(seq).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    of = lambda w, tag: {f"__n{tag}": F.count(value).over(w), f"__lo{tag}": F.min(value).over(w),
+                         f"__hi{tag}": F.max(value).over(w), f"__t{tag}": F.sum(value).over(w)}
+    tails = d.select(_K, _B, seq, value).withColumns(of(down, "2")).where((F.col(seq) - 1) % size != 0)
+    tails = tails.select(F.col(_K).alias("__k2"), (F.col(seq) + (size - 1)).alias("__at"), "__n2", "__lo2", "__hi2", "__t2")
+    j = d.withColumns(of(up, "1")).join(tails, F.col(_K).eqNullSafe(F.col("__k2")) & (F.col(seq) == F.col("__at")), "left")
+    both = lambda c: F.when(F.col(f"__{c}1").isNull() & F.col(f"__{c}2").isNull(), F.lit(None)).otherwise(
+        F.coalesce(f"__{c}1", F.lit(0)) + F.coalesce(f"__{c}2", F.lit(0)))
+    out = j.withColumns({"n": both("n"), "lo": F.least("__lo1", "__lo2"), "hi": F.greatest("__hi1", "__hi2"), "total": both("t")})
+    return out.drop(_K, _B, "__k2", "__at", *[f"__{c}{t}" for c in ("n", "lo", "hi", "t") for t in (1, 2)])

@@ -15,6 +15,7 @@ from rivulet.sources.tables import TIME_BUCKET_SECONDS, gauge_input, live_input,
 # Buffer bounds and gauge start values of the reference charts,
 # and the category domains adapted to the test event types.
 LAST_N = 20
+WIDE_N = 720
 HISTORY_N = 3600
 LAYOUT_HISTORY_N = 720
 GAUGE_START = 10
@@ -96,6 +97,17 @@ def live_sliding_frame(spark, d):
                       F.col("total").cast("bigint").alias("total"))
 
 
+WIDE_SQL = SLIDING_SQL.replace(f"{LAST_N - 1} PRECEDING", f"{WIDE_N - 1} PRECEDING")
+
+
+@register("live_sliding_wide", "LIVE5 (buffer of 720 points)", sql=WIDE_SQL)
+def live_sliding_wide(spark, d):
+    parsed = L.sequence_with_accepted(L.parse_points(live_input(spark, d)), _order(), "series")
+    out = L.sliding(L.accepted(parsed), _order(), WIDE_N, "y", "series", position="apos")
+    return out.select("series", "event_id", F.col("seq").alias("x"), "n", "lo", "hi",
+                      F.col("total").cast("bigint").alias("total"))
+
+
 def _increments(spark, d):
     ev = table(spark, d, "events")
     return ev.select(F.col("event_type").alias("series"), "ts", "event_id",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rivulet.functions.codec import encode_utf8
+from rivulet.functions.codec import encode_utf8, typed_envelope
 from rivulet.plans.registry import register
 from rivulet.plans.views_sql import with_views
 from rivulet.session import scratch_path
@@ -79,3 +79,31 @@ def src_json_envelope(spark, d):
     wrapped = S.wrap_json(S.wrap_json(env_events(spark, d)), schemas=False, out="bare")
     unwrapped = S.unwrap_json(S.unwrap_json(wrapped), col="bare", schemas=False, out="bare_payload")
     return unwrapped.select("partition", "offset", "json", "payload", "bare", "bare_payload")
+
+
+# Records of several schemas in one topic, by offset: a whole number, a number, a
+# struct, an absent optional text, and three bad ones (a number said to be text,
+# one beyond its type, a text that is no JSON).
+@register("src_typed_envelope", "SRC10 (schema-led)", sql=with_views(
+    "SELECT \"partition\", \"offset\", "
+    "CASE m WHEN 0 THEN 'int64' WHEN 1 THEN 'double' WHEN 2 THEN 'struct' WHEN 3 THEN 'string' END AS type, m < 4 AS valid, "
+    "CASE WHEN m = 0 THEN \"offset\" END AS as_long, CASE WHEN m IN (0, 1) THEN \"offset\" / (1.0 + m) END AS as_double, "
+    "CASE WHEN m = 2 THEN \"key\" END AS name, CASE WHEN m = 2 THEN length(\"value\") END AS size "
+    "FROM (SELECT *, \"offset\" % 7 AS m FROM env_events)", "env_events"))
+def src_typed_envelope(spark, d):
+    env = env_events(spark, d).withColumns({
+        "long": F.col("offset"), "double": F.col("offset") / 2.0, "text": F.lit(None).cast("string"),
+        "object": F.struct(F.col("key").alias("name"), F.length("value").cast("bigint").alias("size"))})
+    m = F.col("offset") % 7
+    written = {0: typed_envelope(env, "long", optional=False), 1: typed_envelope(env, "double"),
+               2: typed_envelope(env, "object"), 3: typed_envelope(env, "text"),
+               4: F.lit('{"schema":{"type":"string","optional":false},"payload":5}'),
+               5: F.lit('{"schema":{"type":"int8","optional":false},"payload":300}'), 6: F.lit('{"schema":')}
+    json = F.coalesce(*[F.when(m == k, v) for k, v in written.items()])
+    out = S.unwrap_typed(env.select("partition", "offset", json.alias("json")))
+    field = lambda path, kind: F.try_variant_get("payload", path, kind)
+    plain = F.col("type").isin("int64", "double")
+    return out.select("partition", "offset", "type", "valid",
+                      F.when(F.col("type") == "int64", field("$", "bigint")).alias("as_long"),
+                      F.when(plain, field("$", "double")).alias("as_double"),
+                      field("$.name", "string").alias("name"), field("$.size", "bigint").alias("size"))

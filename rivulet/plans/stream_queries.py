@@ -22,6 +22,7 @@ from rivulet.plans import topic_queries as OQ
 from rivulet.plans.registry import register
 from rivulet.plans.views_sql import with_views
 from rivulet.session import scratch_path
+from rivulet.sinks import topic_log as TL
 from rivulet.sinks import writers as W
 from rivulet.sinks.topic_log import append
 from rivulet.sources.envelope import read_lines, read_topic
@@ -381,3 +382,33 @@ def stream_throughput(spark, d):
         W.to_topic(_half(events_table(spark, d), first), topic, partitions=PARTITIONS)
         RN.drain(RN.start(read_topic(spark, topic, stream=True), checkpoint=f"{base}-checkpoint", foreach_batch=keep))
     return OQ.rounded(O.throughput_of_sketches(SN.read_batches(spark, base)))
+
+
+def _weekly(spark, d) -> str:
+    """The events as a topic of one commit a week of event time."""
+    topic = scratch_path(spark, "weekly")
+    ev = events_table(spark, d)
+    for n in range(5):
+        begin = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.expr(f"INTERVAL {7 * n} DAYS")
+        week = F.col("timestamp") < begin + F.expr("INTERVAL 7 DAYS") if n < 4 else F.lit(True)
+        week = week & (F.col("timestamp") >= begin) if n else week
+        append(ev.where(week), topic, partitions=PARTITIONS, order=STREAM_ORDER)
+    return topic
+
+
+@register("ops_stored_summary", "OPS6 from the commits of a stored topic", sql=OQ.SUMMARY_SQL)
+def ops_stored_summary(spark, d):
+    return TL.summary(spark, _weekly(spark, d))
+
+
+@register("ops_stored_lag", "OPS5 from the commits of a stored topic", sql=OQ.LAG_SQL)
+def ops_stored_lag(spark, d):
+    topic = _weekly(spark, d)
+    return TL.lag(spark, topic, OQ._committed(read_topic(spark, topic)))
+
+
+@register("ops_stored_retention", "OPS3 on a stored topic (whole files, then the rest)", sql=OQ.RETENTION_SQL)
+def ops_stored_retention(spark, d):
+    topic = _weekly(spark, d)
+    TL.retain(spark, topic, O.RETENTION_HOURS)
+    return O.retention(read_topic(spark, topic))

@@ -31,7 +31,10 @@ RETAINED_SQL = (f"SELECT {ENV} FROM env_events WHERE \"timestamp\" >= "
                 f"(SELECT max(\"timestamp\") FROM env_events) - INTERVAL {O.RETENTION_HOURS} HOURS")
 
 
-@register("ops_retention", "OPS3", sql=with_views(RETAINED_SQL, "env_events"))
+RETENTION_SQL = with_views(RETAINED_SQL, "env_events")
+
+
+@register("ops_retention", "OPS3", sql=RETENTION_SQL)
 def ops_retention(spark, d):
     return O.retention(env_events(spark, d))
 
@@ -66,10 +69,13 @@ def ops_lag(spark, d):
     return O.lag(env, _committed(env))
 
 
-@register("ops_topic_summary", "OPS6", sql=with_views(
+SUMMARY_SQL = with_views(
     "SELECT \"partition\", min(\"offset\") AS first_offset, max(\"offset\") AS last_offset, "
     "CAST(count(*) AS BIGINT) AS records, min(\"timestamp\") AS first_timestamp, "
-    "max(\"timestamp\") AS last_timestamp FROM env_events GROUP BY \"partition\"", "env_events"))
+    "max(\"timestamp\") AS last_timestamp FROM env_events GROUP BY \"partition\"", "env_events")
+
+
+@register("ops_topic_summary", "OPS6", sql=SUMMARY_SQL)
 def ops_topic_summary(spark, d):
     return O.topic_summary(env_events(spark, d))
 

@@ -104,7 +104,8 @@ def _with_offsets(rows: DataFrame, ends: dict[int, int]) -> tuple[DataFrame, Dat
              .select("partition", "__task", "__shift"))
     out = rows.withColumn("__task", task).join(shift, ["partition", "__task"])
     out = out.select("key", "value", "partition", (F.col("__id") + F.col("__shift")).alias("offset"), "timestamp")
-    return out, runs.groupBy("partition").agg(F.sum("__n").cast("bigint").alias("n"))
+    stamp = [f(F.unix_micros(F.col("timestamp").cast("timestamp"))) for f in (F.min, F.max)]
+    return out, rows.groupBy("partition").agg(F.count("*").alias("n"), stamp[0].alias("t0"), stamp[1].alias("t1"))
 
 
 def append(batch: DataFrame, topic: str, *, partitions: int | None = None, order: Sequence[str] = (),
@@ -132,7 +133,8 @@ def append(batch: DataFrame, topic: str, *, partitions: int | None = None, order
     try:
         while True:
             out, news = _with_offsets(rows, now["ends"])
-            new = {r.partition: r.n for r in news.collect()}  # one row a topic partition
+            held_by = {r.partition: (r.n, r.t0, r.t1) for r in news.collect()}  # one row a topic partition
+            new = {p: n for p, (n, _, _) in held_by.items()}
             if not new:
                 return None
             ends = {**now["ends"], **{p: now["ends"].get(p, 0) + n for p, n in new.items()}}
@@ -140,7 +142,8 @@ def append(batch: DataFrame, topic: str, *, partitions: int | None = None, order
             (out.write.mode("overwrite").format(fmt).options(**(options or {})).partitionBy("partition").save(folder))
             commit = now["commit"] + 1
             files.write_text(spark, f"{folder}/{STATE}", json.dumps(
-                {"commit": commit, "ends": ends, "producers": producers, "partitions": held}))
+                {"commit": commit, "ends": ends, "producers": producers, "partitions": held,
+                 "batch": {p: [now["ends"].get(p, 0), ends[p], t0, t1] for p, (_, t0, t1) in held_by.items()}}))
             if before_commit:
                 before_commit()
             if files.rename_new(spark, folder, f"{topic}/batch={commit}"):
@@ -163,6 +166,59 @@ def append_batches(topic: str, *, partitions: int | None = None, order: Sequence
     return run
 
 
+def batches(spark: SparkSession, topic: str) -> list[dict]:
+    """What the commits say of their own records: ``commit``, ``partition``,
+    ``first_offset``, ``end_offset``, and the least and greatest timestamp in
+    microseconds of the session's clock - one entry a commit and partition, read
+    from the state files alone."""
+    out = []
+    for n in commits(spark, topic):
+        got = json.loads(files.read_text(spark, f"{topic}/batch={n}/{STATE}"))
+        out += [{"commit": n, "partition": int(p), "first_offset": b[0], "end_offset": b[1], "from": b[2], "to": b[3]}
+                for p, b in sorted(got["batch"].items())]
+    return out
+
+
+def summary(spark: SparkSession, topic: str) -> DataFrame:
+    """OPS6 of a stored topic, the columns of
+    :func:`rivulet.operators.topics.topic_summary`, from its commits: no record
+    is read."""
+    rows = spark.createDataFrame([tuple(b.values()) for b in batches(spark, topic)],
+                                 "commit bigint, partition int, first_offset bigint, end_offset bigint, `from` bigint, `to` bigint")
+    stamp = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    return rows.groupBy("partition").agg(
+        F.min("first_offset").alias("first_offset"), (F.max("end_offset") - 1).alias("last_offset"),
+        F.sum(F.col("end_offset") - F.col("first_offset")).cast("bigint").alias("records"),
+        stamp(F.min("from")).alias("first_timestamp"), stamp(F.max("to")).alias("last_timestamp"))
+
+
+def lag(spark: SparkSession, topic: str, committed: DataFrame) -> DataFrame:
+    """OPS5 of a stored topic, the columns of
+    :func:`rivulet.operators.topics.lag`, from its commits."""
+    ends = summary(spark, topic).select("partition", (F.col("last_offset") + 1).alias("end_offset"), "records")
+    c = committed.select(F.col("partition").alias("__p"), "committed")
+    return ends.join(c, F.col("partition") == F.col("__p"), "left").select(
+        "partition", "end_offset", "committed", F.coalesce(F.col("end_offset") - F.col("committed"), F.col("records")).alias("lag"))
+
+
+def retain(spark: SparkSession, topic: str, hours: int) -> list[int]:
+    """OPS3 on a stored topic: delete the commits whose records are all older
+    than the newest record less ``hours``; their numbers.  Like a broker's log,
+    what is deleted are whole files: records that are too old stay while one of
+    their commit is young (:func:`rivulet.operators.topics.retention` filters
+    those).  The newest commit, which holds the topic's state, stays."""
+    held = batches(spark, topic)
+    newest = max((b["to"] for b in held if b["to"] is not None), default=None)
+    if newest is None:
+        return []
+    cut = newest - hours * 3_600_000_000
+    last = max(b["commit"] for b in held)
+    young = {b["commit"] for b in held if b["to"] is None or b["to"] >= cut} | {last}
+    old = sorted({b["commit"] for b in held} - young)
+    files.delete(spark, *[f"{topic.rstrip('/')}/batch={n}" for n in old])
+    return old
+
+
 def group_starts(spark: SparkSession, topic: str, group: str, starting: str = "latest") -> dict[int, int]:
     """Start offsets of a consumer group on a stored topic, for
     :func:`rivulet.sources.readers.from_offsets`.  A new group gets the topic's

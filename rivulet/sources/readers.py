@@ -8,7 +8,7 @@ from typing import Callable, Union
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.codec import decode_utf8, from_json_envelope, to_json_envelope
+from rivulet.functions.codec import decode_utf8, from_json_envelope, parse_typed_envelope, to_json_envelope
 from rivulet.operators.joins import join_small
 
 # Kafka's conventions for start positions in a per-partition offsets map.
@@ -98,3 +98,11 @@ def wrap_json(df: DataFrame, schemas: bool = True, out: str = "json") -> DataFra
 def unwrap_json(df: DataFrame, col: str = "json", schemas: bool = True, out: str = "payload") -> DataFrame:
     """SRC10 (read side): the payload of a JSON envelope (NULL if malformed)."""
     return df.withColumn(out, from_json_envelope(F.col(col), schemas))
+
+
+def unwrap_typed(df: DataFrame, col: str = "json") -> DataFrame:
+    """SRC10 (read side, schema-led): ``type``, ``payload`` (variant) and
+    ``valid`` of each record by the schema that it carries itself, so that one
+    topic may mix them; bad records can be counted or routed."""
+    parsed = df.withColumn("__envelope", parse_typed_envelope(F.col(col)))
+    return parsed.select(*df.columns, "__envelope.type", "__envelope.payload", "__envelope.valid")
