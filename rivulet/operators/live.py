@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivulet.functions.numbers import py_int
+from rivulet.operators.joins import join_small
 from rivulet.operators.ordered import Order, running_sum, running_sums, sequence_number, sliding_extremes, sliding_frame
 from rivulet.operators.tables import newest_record_by
 
@@ -97,8 +98,15 @@ def last_n_numbered(df: DataFrame, n: int, order_cols: Sequence[str], y: str = "
     kept = last_n(accepted(df, y), n, order_cols, series)
     points = kept.groupBy(*named).agg(F.sort_array(F.collect_list(at)).alias("__points"))
     rest = df.where(F.col(y).isNull()).select(*keys, at.alias("__at"))
-    rest = meet(rest, points, "inner") if keys else rest.withColumn("__points", points.scalar())
-    rest = rest.withColumn("__older", F.size(F.filter("__points", lambda p: p < F.col("__at")))).where("__older > 0")
+    if keys:
+        rest = rest.withColumn("__ks", F.struct(*[F.col(k) for k in keys]))
+        by_key = points.select(F.struct(*[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)]).alias("__kp"), "__points")
+        rest = join_small(rest, by_key, "__ks", "__kp", ["__at"], "inner").drop("__ks", "__kp")
+    else:
+        rest = rest.withColumn("__points", points.scalar())
+    # only rejects newer than the oldest kept point are placed among them
+    rest = rest.where(F.col("__at") > F.get("__points", F.lit(0)))
+    rest = rest.withColumn("__older", F.size(F.filter("__points", lambda p: p < F.col("__at"))))
     between = rest.groupBy(*keys, "__older").agg(F.count(F.lit(1)).alias("__c"))
     between = between.groupBy(*named).agg(F.collect_list(F.struct("__older", "__c")).alias("__between"))
     total = df.groupBy(*named).agg(F.count(F.lit(1)).alias("__total"))

@@ -30,6 +30,7 @@ from rivulet.sources import readers as S
 from rivulet.sources.tables import PARTITIONS, env_events, events_table, events_topic_stream, stream_table
 from rivulet.streaming import runner as RN
 from rivulet.streaming import snapshot as SN
+from rivulet.streaming import ticks as TK
 
 STREAM_ORDER = ["timestamp", "event_id"]
 SENTINEL_KEY = "error"
@@ -412,3 +413,33 @@ def ops_stored_retention(spark, d):
     topic = _weekly(spark, d)
     TL.retain(spark, topic, O.RETENTION_HOURS)
     return O.retention(read_topic(spark, topic))
+
+
+TICK_STEP_MS, TICK_DELAY_MS, TICK_QUIET = 6 * 3_600_000, 3_600_000, 4
+TICKS_SQL = f"""
+WITH steps AS (
+  SELECT user_id, time_bucket(INTERVAL 6 HOUR, ts) + INTERVAL 6 HOUR AS tick, CAST(count(*) AS BIGINT) AS n,
+         last(value ORDER BY ts, event_id, value) AS value
+  FROM events WHERE ts IS NOT NULL GROUP BY ALL),
+ends AS (SELECT time_bucket(INTERVAL 6 HOUR, max(ts) - INTERVAL 1 HOUR) AS final FROM events),
+runs AS (
+  SELECT user_id, tick, n, value, final,
+         lead(tick) OVER w - INTERVAL 6 HOUR AS until,
+         coalesce(tick - lag(tick) OVER w > INTERVAL {6 * TICK_QUIET} HOUR, true) AS fresh
+  FROM steps, ends WHERE tick <= final WINDOW w AS (PARTITION BY user_id ORDER BY tick)),
+lives AS (
+  SELECT *, sum(CAST(fresh AS INTEGER)) OVER (PARTITION BY user_id ORDER BY tick) AS life FROM runs),
+totals AS (
+  SELECT *, CAST(sum(n) OVER (PARTITION BY user_id, life ORDER BY tick) AS BIGINT) AS total FROM lives)
+SELECT user_id, tick + k * INTERVAL 6 HOUR AS tick, CASE WHEN k = 0 THEN n ELSE 0 END AS n, total, value, k > 0 AS silent
+FROM (SELECT *, unnest(range(0, 1 + least({TICK_QUIET},
+             datediff('hour', tick, coalesce(until, final)) // 6))) AS k FROM totals)
+"""
+
+
+@register("stream_ticks", "LIVE13, UDF5 streaming (transformWithState: typed state and timers)", sql=TICKS_SQL)
+def stream_ticks(spark, d):
+    out = scratch_path(spark, "ticks")
+    RN.drain(RN.start(TK.ticks(stream_table(spark, d, "events"), "user_id", "ts", "value", ["ts", "event_id"],
+                               TICK_STEP_MS, TICK_DELAY_MS, TICK_QUIET), sink="parquet", path=out))
+    return spark.read.parquet(out)

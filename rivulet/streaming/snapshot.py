@@ -165,7 +165,8 @@ def running_totals(out_path: str | None, carry_path: str, inc: str | None, order
     Each micro-batch is numbered and summed with the bucketed batch
     operators; a carry table (one row per series: count and total so far,
     versioned by batch id) supplies the offset from earlier batches and is
-    joined on the series key (a constant for the ungrouped form).  Output
+    joined on the series key (a constant for the ungrouped form) and a salt,
+    so a hot series meets its one row in many tasks.  Output
     rows go to ``batch=<id>`` of the run's folder under ``out_path``
     (:func:`read_batches`; None: no rows are written), overwritten on retry.  With
     ``history_path``/``history_n`` it also keeps LIVE7's bounded history:
@@ -174,6 +175,7 @@ def running_totals(out_path: str | None, carry_path: str, inc: str | None, order
     """
     from pyspark.sql import functions as F
 
+    from rivulet.operators.joins import join_small
     from rivulet.operators.ordered import running_sum, sequence_number
 
     keys = [] if series is None else ([series] if isinstance(series, str) else list(series))
@@ -191,7 +193,7 @@ def running_totals(out_path: str | None, carry_path: str, inc: str | None, order
         cur = keyed(cur)
         if prev is not None:
             p = prev.select(F.col("__ck").alias("__pk"), "__n", "__t")
-            cur = cur.join(p, F.col("__ck") == F.col("__pk"), "left").drop("__pk")
+            cur = join_small(cur, p, "__ck", "__pk", order.by).drop("__pk")
         else:
             cur = cur.withColumn("__n", F.lit(None).cast("bigint")).withColumn("__t", F.lit(None).cast("bigint"))
         cur = cur.withColumn(seq, F.col("__s") + F.coalesce("__n", F.lit(0)))
@@ -309,6 +311,7 @@ def sliding_batches(out_path: str, carry_path: str, tail_path: str, order, size:
     one row per series with its message and point counts so far."""
     from pyspark.sql import functions as F
 
+    from rivulet.operators.joins import join_small
     from rivulet.operators.live import last_n, sequence_with_accepted, sliding
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -318,7 +321,7 @@ def sliding_batches(out_path: str, carry_path: str, tail_path: str, order, size:
         cur = sequence_with_accepted(batch, order, series, y, seq, "__pos")
         if prev is not None:
             p = prev.select(F.col(series).alias("__k"), F.col("__n").alias("__n0"), F.col("__a").alias("__a0"))
-            cur = cur.join(p, F.col(series).eqNullSafe(F.col("__k")), "left")
+            cur = join_small(cur, p, series, "__k", order.by, null_safe=True)
             cur = cur.withColumns({seq: F.col(seq) + F.coalesce("__n0", F.lit(0)),
                                    "__pos": F.col("__pos") + F.coalesce("__a0", F.lit(0))}).drop("__k", "__n0", "__a0")
         cur = cur.persist()
