@@ -51,7 +51,7 @@ FROM docs d LEFT JOIN (
 def op2_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = host_quality.judge(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                      "kept", "host_docs", "host_failed")
+                      "kept", "host_docs", "host_failed", "host_short", "host_repeats", "host_symbols", "host_dup_lines")
 
 
 OP2_SQL = r"""
@@ -66,27 +66,45 @@ repeats AS (
   SELECT doc_id, count(DISTINCT q) AS n_repeat_words FROM (
     SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM grams WHERE n > 1) GROUP BY doc_id),
 lines AS (
-  SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines FROM (
+  SELECT doc_id, count(*) - count(DISTINCT l) AS n_dup_lines, count(*) AS n_lines FROM (
     SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM docs)
   WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 base AS (
   SELECT d.doc_id, d.source, CAST(len(w) AS BIGINT) AS n_words,
          CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
          CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_lines, 0) AS n_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words,
          len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed
   FROM docs d LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+rules AS (
+  SELECT *, n_words < 50 AS r_short, 100 * n_repeat_words > 50 * n_words AS r_repeats,
+         100 * n_symbols > 10 * n_words AS r_symbols, 100 * n_dup_lines > 30 * n_lines AS r_dup_lines FROM base),
 hosts AS (
-  SELECT source, count(*) AS host_docs, CAST(count(*) FILTER (WHERE base_failed) AS BIGINT) AS host_failed
-  FROM base GROUP BY source),
+  SELECT source, count(*) AS host_docs, CAST(count(*) FILTER (WHERE base_failed) AS BIGINT) AS host_failed,
+         CAST(count(*) FILTER (WHERE r_short) AS BIGINT) AS host_short,
+         CAST(count(*) FILTER (WHERE r_repeats) AS BIGINT) AS host_repeats,
+         CAST(count(*) FILTER (WHERE r_symbols) AS BIGINT) AS host_symbols,
+         CAST(count(*) FILTER (WHERE r_dup_lines) AS BIGINT) AS host_dup_lines
+  FROM rules GROUP BY source),
+by_rule AS (
+  SELECT source, host_docs, unnest(['base', 'short', 'repeats', 'symbols', 'dup_lines']) AS rule,
+         unnest([host_failed, host_short, host_repeats, host_symbols, host_dup_lines]) AS n FROM hosts),
 moments AS (
-  SELECT avg(host_failed / host_docs) AS m, var_pop(host_failed / host_docs) AS v, avg(1 / host_docs) AS inv FROM hosts),
-prior AS (
-  SELECT m, CASE WHEN v - m * (1 - m) * inv <= 0 THEN 1000.0
-                 ELSE least(1000.0, greatest(2.0, m * (1 - m) / (v - m * (1 - m) * inv) - 1)) END AS s FROM moments)
+  SELECT rule, avg(n / host_docs) AS m, var_pop(n / host_docs) AS v, avg(1 / host_docs) AS inv FROM by_rule GROUP BY rule),
+priors AS (
+  SELECT rule, m, CASE WHEN v - m * (1 - m) * inv <= 0 THEN 1000.0
+                       ELSE least(1000.0, greatest(2.0, m * (1 - m) / (v - m * (1 - m) * inv) - 1)) END AS s FROM moments),
+shrunk AS (
+  SELECT source, rule, host_docs, m, s, (n + m * s) / (host_docs + s) AS q FROM by_rule JOIN priors USING (rule)),
+verdicts AS (
+  SELECT source, bool_or(CASE WHEN rule = 'base' THEN q > 0.5
+    ELSE q - 2 * sqrt(q * (1 - q) / (host_docs + s + 1)) > greatest(0.3, m + 2 * sqrt(m * (1 - m) / (s + 1))) END) AS rejected
+  FROM shrunk GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND (host_failed + m * s) / (host_docs + s) <= 0.5 AS kept, host_docs, host_failed
-FROM base JOIN hosts ON base.source IS NOT DISTINCT FROM hosts.source CROSS JOIN prior
+       NOT base_failed AND NOT rejected AS kept, host_docs, host_failed, host_short, host_repeats, host_symbols, host_dup_lines
+FROM rules JOIN hosts ON rules.source IS NOT DISTINCT FROM hosts.source
+JOIN verdicts ON rules.source IS NOT DISTINCT FROM verdicts.source
 """
 
 

@@ -222,14 +222,12 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD, sample:
         return pa.table({"a": points[root[far]].view(np.int64), "b": points[far].view(np.int64)})
 
     placed, path = stage_at(distinct.select("fp").mapInArrow(assign, "shard int, fp bigint"), "vp-shards")
-    # shards are bounded by the sample, not by the input
-    large = {r["shard"]: -(-r["count"] // shard) for r in placed.groupBy("shard").count()
-             .where(F.col("count") > 2 * shard).collect()}
-    chunks = F.lit(1)
-    for s, k in large.items():
-        chunks = F.when(F.col("shard") == s, F.lit(k)).otherwise(chunks)
+    # one row for each dense shard; shards are bounded by the sample, not by the input
+    dense = (placed.groupBy(F.col("shard").alias("s")).count().where(F.col("count") > 2 * shard)
+             .select("s", F.ceil(F.col("count") / shard).cast("int").alias("k")))
     own = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    tiles = (placed.withColumn("chunks", chunks.cast("int"))
+    tiles = (placed.join(F.broadcast(dense), F.col("shard") == F.col("s"), "left")
+             .select("shard", "fp", F.coalesce("k", F.lit(1)).alias("chunks"))
              .withColumn("own", own)
              .withColumn("other", F.explode(F.when(F.col("chunks") == 1, F.array(F.lit(0))).otherwise(
                  F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda c: c != F.col("own")))))

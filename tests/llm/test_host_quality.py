@@ -51,3 +51,26 @@ def test_keep_agrees_with_judge(spark):
     want = sorted(r.doc_id for r in Q.judge(df).collect() if r.kept)
     assert sorted(r.doc_id for r in kept.collect()) == want
     assert Q.judge(df.limit(0)).collect() == [] and Q.keep(df.limit(0)).collect() == []
+
+
+def test_hosts_credibly_worse_than_the_others(spark):
+    """Of 30 hosts one has symbols in 60 of 100 texts: its clean texts go too;
+    one with 5 of 8 is not certain, one with 20 of 100 stays below the floor."""
+    def doc(i, bad):
+        return " ".join(f"w{i}x{j}" for j in range(60)) + " #$%&|<>" * bad
+
+    data, i = [], 0
+    for h in range(30):
+        for k in range(100):
+            i += 1
+            data.append((i, doc(i, k < 2 + h % 3), f"h{h}", "x", 1))
+    for host, n, bad in (("worse", 100, 60), ("few", 8, 5), ("somewhat", 100, 20)):
+        for k in range(n):
+            i += 1
+            data.append((i, doc(i, k < bad), host, "x", 1))
+    df = spark.createDataFrame(data, SCHEMA)
+    got = Q.judge(df)
+    assert [r.host for r in got.where("host_rejected").select("host").distinct().collect()] == ["worse"]
+    assert {r.host for r in got.where("NOT kept").select("host").distinct().collect()} == {"worse"}
+    assert got.where("NOT base_failed").count() == len(data)
+    assert Q.keep(df).where("source = 'worse'").count() == 0 and Q.keep(df).count() == len(data) - 100
