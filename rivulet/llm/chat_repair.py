@@ -17,7 +17,7 @@ block's text is a part of the conversation's: parts in order, joined, are the
 whole.
 
 Defined cases: messages are in order of (turn, role, text), nulls first;
-exactly repeated rows count once; a null text is empty; roles are trimmed and
+an exactly repeated row is a message of its own each time; a null text is empty; roles are trimmed and
 lower-cased, known aliases are free, and an unknown or null role must be
 relabelled; a null conversation id is a conversation; other columns are
 ignored; ties go to the earlier of system, user, assistant; an empty table
@@ -178,31 +178,36 @@ def _square(flat):
 
 
 def _numbered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order with their task and their number in the conversation within it."""
-    task, last, n = TaskContext.get().partitionId(), None, -1
+    """Rows in order with their task and, within it, the number of the first of
+    their copies in the conversation."""
+    task, last, n = TaskContext.get().partitionId(), None, 0
     for b in batches:
         numbers = []
-        for conv in b.column(0).to_pylist():
-            n = n + 1 if conv == last else 0
-            last = conv
+        for conv, copies in zip(b.column("conv").to_pylist(), b.column("copies").to_pylist()):
+            n = n if last == (conv,) else 0
+            last = (conv,)
             numbers.append(n)
+            n += copies
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array([task] * b.num_rows, pa.int32()), pa.array(numbers, pa.int64())],
                                          [*b.schema.names, "task", "n"])
 
 
 def positions(rows: DataFrame) -> DataFrame:
-    """Distinct ``rows`` (conv, turn, role, text) with their position ``n`` in
-    the conversation, from 0.  No task holds a whole conversation."""
+    """``rows`` (conv, turn, role, text) with their position ``n`` in the
+    conversation, from 0.  Equal rows are counted first and travel as one, so
+    that no task holds a whole conversation."""
     order = ("conv", "turn", "role", "text")
+    rows = rows.groupBy(*order).agg(F.count("*").alias("copies"))
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in order)
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    rows = stage(rows.mapInArrow(_numbered, f"{kinds}, task int, n bigint"), "chat-rows")
+    rows = stage(rows.mapInArrow(_numbered, f"{kinds}, copies bigint, task int, n bigint"), "chat-rows")
     # a conversation's count before each task: beyond 0 for a task's first conversation alone
     w = Window.partitionBy("conv").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    before = rows.groupBy("conv", "task").count().withColumn("before", F.sum("count").over(w)).where("before > 0")
+    before = rows.groupBy("conv", "task").agg(F.sum("copies").alias("count")).withColumn("before", F.sum("count").over(w)).where("before > 0")
     before = F.broadcast(before.select(F.col("conv").alias("c2"), F.col("task").alias("t2"), "before"))  # a row a task at most
     out = rows.join(before, (rows["task"] == F.col("t2")) & rows["conv"].eqNullSafe(F.col("c2")), "left")
-    return out.select(*order, (F.col("n") + F.coalesce("before", F.lit(0))).alias("n"))
+    first = F.col("n") + F.coalesce("before", F.lit(0))
+    return out.select(*order, F.explode(F.sequence(first, first + F.col("copies") - 1)).alias("n"))
 
 
 def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -211,7 +216,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     text)``: one row per block, numbered from 0 in order."""
     conv_type = turns.schema[conv_col].dataType.simpleString()
     rows = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).cast("bigint").alias("turn"),
-                        F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text")).distinct()
+                        F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
     rows = positions(rows).select("conv", "turn", "role", "text", F.floor(F.col("n") / block).cast("bigint").alias("b"))
 
     def order(t):

@@ -10,7 +10,7 @@ number of unknown sentences between them, are matched against ordered rules:
 sequences of identifiers with at most ``GAP`` unknown sentences between two.
 The longest rule wins at each place; matches do not overlap.
 
-The table is fixed (about 25,000 short rows), so it is broadcast; only
+The table is fixed (about 32,000 short rows), so it is broadcast; only
 known sentences leave the scan, and a document's identifiers are gathered per
 document, never per licence.
 
@@ -38,7 +38,7 @@ WRAPPED = r"^(?:;[\x20\x09\x0D]*\n?[\x20\x09]*|\n)\z"
 
 # Names by which a sentence refers to a licence.
 NAMES = {
-    "MIT": ["mit license", "mit licence", "mit open source license", "expat license", "mit"],
+    "MIT": ["mit license", "mit licence", "mit open source license", "expat license", "mit", "mit license see license"],
     "Apache-2.0": ["apache license version 2 0", "apache license 2 0", "apache 2 0 license", "apache 2 0", "apache software license 2 0"],
     "GPL-2.0-only": ["gnu general public license version 2", "gnu general public license v2", "gpl version 2", "gplv2", "gnu gpl v2"],
     "GPL-3.0-only": ["gnu general public license version 3", "gnu general public license v3", "gpl version 3", "gplv3", "gnu gpl v3"],
@@ -57,6 +57,16 @@ NAMES = {
     "CC-BY-NC-4.0": ["cc by nc 4 0", "creative commons attribution noncommercial 4 0 international license"],
     "CC-BY-ND-4.0": ["cc by nd 4 0", "creative commons attribution noderivatives 4 0 international license"],
     "CC-BY-NC-SA-4.0": ["cc by nc sa 4 0", "creative commons attribution noncommercial sharealike 4 0 international license"],
+    "GPL-2.0-or-later": ["gnu general public license version 2 or later", "gpl version 2 or later", "gplv2 or later",
+                         "gnu general public license either version 2 of the license or at your option any later version"],
+    "GPL-3.0-or-later": ["gnu general public license version 3 or later", "gpl version 3 or later", "gplv3 or later",
+                         "gnu general public license either version 3 of the license or at your option any later version"],
+    "LGPL-2.1-or-later": ["gnu lesser general public license version 2 1 or later",
+                          "gnu lesser general public license either version 2 1 of the license or at your option any later version"],
+    "LGPL-3.0-or-later": ["gnu lesser general public license version 3 or later",
+                          "gnu lesser general public license either version 3 of the license or at your option any later version"],
+    "AGPL-3.0-or-later": ["gnu affero general public license version 3 or later",
+                          "gnu affero general public license either version 3 of the license or at your option any later version"],
 }
 # What comes before the name.
 SUBJECTS = ["", "this work is ", "this file is ", "this software is ", "this program is ", "this project is ", "this code is ",
@@ -81,6 +91,14 @@ TEXTS = {
     "apache_obtain": "you may obtain a copy of the license at",
     "gpl_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl2_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "lgpl_free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "agpl_free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "mpl_form": "this source code form is subject to the terms of the mozilla public license v",
+    "unlicense_free": "this is free and unencumbered software released into the public domain",
+    "zlib_as_is": "this software is provided as is without any express or implied warranty",
+    "zlib_grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
+    "cc0_waiver": "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law including all related and neighboring rights to the extent allowed by law",
+    "lgpl_hope": "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
     "gpl_hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
     "isc_grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
     "or_later": "or at your option any later version",
@@ -103,6 +121,15 @@ RULES = {
     "gpl-2-notice-later": ("GPL-2.0-or-later", ["n_gpl_2_0_only", "or_later"]),
     "isc-text": ("ISC", ["isc_grant", "mit_as_is"]),
     "isc-grant": ("ISC", ["isc_grant"]),
+    "lgpl-2.1-later-text": ("LGPL-2.1-or-later", ["lgpl_free", "lgpl_hope"]),
+    "lgpl-2.1-later": ("LGPL-2.1-or-later", ["lgpl_free"]),
+    "agpl-3-later-text": ("AGPL-3.0-or-later", ["agpl_free", "gpl_hope"]),
+    "agpl-3-later": ("AGPL-3.0-or-later", ["agpl_free"]),
+    "mpl-form": ("MPL-2.0", ["mpl_form"]),
+    "unlicense-text": ("Unlicense", ["unlicense_free"]),
+    "zlib-text": ("Zlib", ["zlib_as_is", "zlib_grant"]),
+    "zlib-grant": ("Zlib", ["zlib_grant"]),
+    "cc0-waiver": ("CC0-1.0", ["cc0_waiver"]),
 }
 
 

@@ -30,7 +30,7 @@ def key(r):
 def check(rows, got):
     """Costs are least, the turns legal, and all texts are there in order."""
     convs = {}
-    for c, t, r, x in set(rows):
+    for c, t, r, x in rows:
         convs.setdefault(c, []).append((t, r, x))
     parts = {}
     for g in sorted(got, key=lambda g: g.part):
@@ -101,3 +101,12 @@ def test_blocks_are_bounded_whatever_the_turns(spark, block):
     check(rows, got)
     assert max(g.messages for g in got) == block
     assert sum(g.conv_id == 3 for g in got) == 1
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_repeated_messages_are_all_kept(spark, block):
+    rows = [(1, 0, "user", "yes")] * 9 + [(1, 1, "assistant", "no"), (2, 0, "user", "a"), (2, 0, "user", "a")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = C.format_chats(df, block=block).collect()
+    check(rows, got)
+    assert sum(g.text.count("yes") for g in got) == 9 and max(g.messages for g in got) <= block

@@ -41,7 +41,7 @@ def test_rules(spark):
 
 def test_tables():
     table = L.sentence_table()
-    assert len(table) < 30_000 and all(s == " ".join(s.split()) and s for s in table)
+    assert len(table) < 40_000 and all(s == " ".join(s.split()) and s for s in table)
     ids = set(table.values())
     assert all(i in ids for _, seq in L.RULES.values() for i in seq)
 
@@ -86,3 +86,23 @@ def test_wrapped_texts(spark):
         (4, 1, "apache-header", "Apache-2.0", 3), (5, 1, "gpl-3-later-text", "GPL-3.0-or-later", 2),
         (6, 1, "gpl-2-later-text", "GPL-2.0-or-later", 2), (7, 1, "bsd-2-text", "BSD-2-Clause", 3), (8, 1, "isc-grant", "ISC", 1),
         (9, 1, "notice-mit", "MIT", 1), (9, 2, "notice-isc", "ISC", 1), (9, 3, "notice-zlib", "Zlib", 1)]
+
+
+def test_later_versions_and_texts(spark):
+    rows = [(1, "SPDX-License-Identifier: GPL-2.0-or-later"),
+            (2, "Licensed under the GNU General Public License, either version 3 of the License, or (at your option) any later version."),
+            (3, "This is free and unencumbered software released into the public domain.\n"),
+            (4, "Released under the MIT License (see LICENSE)."),
+            (5, GPL.format(";", ",", 3).replace("General", "Affero General", 1)),
+            (6, GPL.format(";", ",", "2.1").replace("General", "Lesser General", 1).replace("program", "library")),
+            (7, "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL"),
+            (8, "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held "
+                "liable.\n\nPermission is granted to anyone to use this software for any purpose,\nincluding commercial applications, "
+                "and to alter it and redistribute it\nfreely, subject to the following restrictions:\n")]
+    assert scan(spark, rows) == [
+        (1, 1, "notice-gpl-2.0-or-later", "GPL-2.0-or-later", 1), (2, 1, "notice-gpl-3.0-or-later", "GPL-3.0-or-later", 1),
+        (3, 1, "unlicense-text", "Unlicense", 1), (4, 1, "notice-mit", "MIT", 1),
+        (5, 1, "agpl-3-later-text", "AGPL-3.0-or-later", 2), (6, 1, "lgpl-2.1-later-text", "LGPL-2.1-or-later", 2),
+        (7, 1, "mpl-form", "MPL-2.0", 1), (8, 1, "zlib-text", "Zlib", 2)]
+    empty = spark.createDataFrame([], "doc_id bigint, text string, sentence string")
+    assert L.scan(empty).collect() == []
