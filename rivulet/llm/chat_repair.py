@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rivulet.llm.util import by_value, stage
 
 BLOCK = 512
+#: Copies of one row that a task makes at a time.
+RUN = 65_536
 MERGE, INSERT, RELABEL = 4, 6, 10
 
 # Fixed values.
@@ -207,7 +209,13 @@ def positions(rows: DataFrame) -> DataFrame:
     before = F.broadcast(before.select(F.col("conv").alias("c2"), F.col("task").alias("t2"), "before"))  # a row a task at most
     out = rows.join(before, (rows["task"] == F.col("t2")) & rows["conv"].eqNullSafe(F.col("c2")), "left")
     first = F.col("n") + F.coalesce("before", F.lit(0))
-    return out.select(*order, F.explode(F.sequence(first, first + F.col("copies") - 1)).alias("n"))
+    out = out.select(*order, first.alias("n"), "copies")
+    # rows with very many copies are first dealt out in runs of RUN
+    run = F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / RUN).cast("bigint"))).alias("r")
+    many = out.where(F.col("copies") > RUN).select("*", run).repartition("n", "r").select(
+        *order, (F.col("n") + F.col("r") * RUN).alias("n"), F.least(F.col("copies") - F.col("r") * RUN, F.lit(RUN)).alias("copies"))
+    out = out.where(F.col("copies") <= RUN).union(many)
+    return out.select(*order, F.explode(F.sequence(F.col("n"), F.col("n") + F.col("copies") - 1)).alias("n"))
 
 
 def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",

@@ -104,7 +104,8 @@ def test_blocks_are_bounded_whatever_the_turns(spark, block):
 
 
 @pytest.mark.parametrize("block", [512, 3])
-def test_repeated_messages_are_all_kept(spark, block):
+def test_repeated_messages_are_all_kept(spark, block, monkeypatch):
+    monkeypatch.setattr(C, "RUN", 4)
     rows = [(1, 0, "user", "yes")] * 9 + [(1, 1, "assistant", "no"), (2, 0, "user", "a"), (2, 0, "user", "a")]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     got = C.format_chats(df, block=block).collect()
