@@ -33,13 +33,28 @@ def start(df: DataFrame, *, sink: str = "memory", output_mode: str = "append",
           checkpoint: str | None = None, trigger: str | None = "available-now",
           query_name: str | None = None, path: str | None = None,
           foreach_batch: Callable[[DataFrame, int], None] | None = None,
-          options: dict | None = None) -> StreamingQuery:
+          options: dict | None = None, conf: dict | None = None) -> StreamingQuery:
     """Start a streaming query with its own checkpoint.
 
     ``sink`` is a format (``memory``, ``parquet``, ``json``, ``text``,
-    ``console``, ``kafka``) or ``foreachBatch`` with a callable.
+    ``console``, ``kafka``) or ``foreachBatch`` with a callable.  ``conf``:
+    session settings of this query alone (Spark copies the session's as a
+    query starts; they are put back afterwards).
     """
     spark = df.sparkSession
+    if conf:
+        before = {k: spark.conf.get(k, None) for k in conf}
+        try:
+            for k, v in conf.items():
+                spark.conf.set(k, v)
+            return start(df, sink=sink, output_mode=output_mode, checkpoint=checkpoint, trigger=trigger,
+                         query_name=query_name, path=path, foreach_batch=foreach_batch, options=options)
+        finally:
+            for k, v in before.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
     ckpt = checkpoint or scratch_path(spark, "checkpoint")
     w = (df.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt)
          .trigger(**trigger_args(trigger)))

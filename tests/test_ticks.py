@@ -108,3 +108,21 @@ def test_ttl(spark, tmp_path):
 
     assert counted(3_600_000, "long") == [[("a", 2), (None, 1)], [("a", 4), (None, 2)]]
     assert counted(1, "short") == [[("a", 2), (None, 1)], [("a", 2), (None, 1)]]
+
+
+def test_any_session_state_store(spark, tmp_path):
+    """Spark's default provider has no column families: the query brings its own."""
+    from rivulet.plans.registry import all_queries
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before, default = spark.conf.get(key), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.createDataFrame([(1, T0 + dt.timedelta(hours=h), 7, "view", float(h), "{}") for h in (0, 1, 40)],
+                          "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+                          ).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set(key, default)
+    try:
+        got = sorted(tuple(r) for r in all_queries()["stream_ticks"].fn(spark, str(tmp_path)).collect())
+        assert spark.conf.get(key) == default
+    finally:
+        spark.conf.set(key, before)
+    at = lambda h: T0 + dt.timedelta(hours=h)
+    assert got == [(7, at(6), 2, 2, 1.0, False)] + [(7, at(6 * k), 0, 2, 1.0, True) for k in range(2, 6)]
