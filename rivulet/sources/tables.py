@@ -27,12 +27,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1) -> DataFrame:
-    """A test table as a file stream (the file source needs a directory, so
-    the table's file is selected with a glob filter)."""
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int | None = None) -> DataFrame:
+    """A test table as a file stream.  A table that is a directory is streamed
+    whole; of a single file (the file source needs a directory) its folder is,
+    with a glob filter.  Without ``files_per_trigger`` a micro-batch takes all
+    files that there are, so that none waits for another or comes late."""
     static = table(spark, sf_dir, name)
-    return (spark.readStream.schema(static.schema).option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", files_per_trigger).parquet(sf_dir.rstrip("/")))
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    stream = spark.readStream.schema(static.schema)
+    if files_per_trigger:
+        stream = stream.option("maxFilesPerTrigger", files_per_trigger)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return stream.parquet(path.toString())
+    return stream.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir.rstrip("/"))
 
 
 def events_topic_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -656,3 +656,11 @@ def test_viewer_dashboard_produce_and_mirror(spark):
     run("dashboard", "--source", f"{base}/copy", "--sink", f"{base}/dash", "--domain", "a", "--domain", "c")
     page = {(r.panel, r.x_cat): r.y for r in spark.read.json(SN.json_page(spark, f"{base}/dash/page")).collect() if r.panel != "history"}
     assert page == {("latest", "a"): 3, ("latest", "c"): 10, ("total", "a"): 15, ("total", "c"): 10}
+
+
+def test_table_in_a_directory_is_streamed_whole(spark, tmp_path):
+    from rivulet.plans.registry import all_queries
+    spark.createDataFrame([(i, f"a b{i % 3}", "en") for i in range(30)], "doc_id bigint, text string, lang string"
+                          ).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {tuple(r) for r in all_queries()["stream_word_count"].fn(spark, str(tmp_path)).collect()}
+    assert got == {("a", 30), ("b0", 10), ("b1", 10), ("b2", 10)}
