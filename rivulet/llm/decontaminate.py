@@ -1,35 +1,41 @@
-"""Benchmark decontamination by SimHash windows under a multi-index.
-
-Words are runs of letters and digits, lower-cased.  Every window of a text that
-has as many words as a benchmark item gets a 64-bit SimHash over its two-word
-grams (each occurrence counts), and so does every item.  Fingerprints of all
-windows roll: bit counts are running sums along the words, so a window's counts
-are one difference of two rows, whatever its length.  (Windows of ``PAIRED`` words
-or more are looked up at every second word; where one is near, the windows on both
-sides are verified as well.)
-
-The multi-index cuts 64 bits into ``BLOCKS`` blocks of 16.  Two fingerprints
-within ``RADIUS`` bits have a block in which they differ by at most ``RADIUS //
-BLOCKS``; for each block a table of all 65,536 values holds the items that close
-to it, as a bit mask of up to 64 items of one length.  A window's candidates are
-the union of its four masks, so no item within the radius is missed.  Candidates
-within the radius are verified exactly: weighted (multiset) Jaccard similarity
-of shingles of ``SHINGLE`` words, ``THRESHOLD`` or more.  At similarity 0.8 the
-grams of window and item agree in at least 0.92 (a cut edge; an edit inside costs
-more shingles and so agrees more): 8.2 bits on average, deviation 2.7, so the
-radius of 15 keeps over 99 of 100 of the worst pairs.
-
-Texts are scanned once for each part of the benchmark, and a part is at most
-``PART_CHARS`` characters of distinct item texts, which bounds what is broadcast.
-A task holds at most ``TABLE_BYTES`` of block tables; those of further groups are
-built anew for each chunk of words.  A text of any length passes in chunks that
-overlap by the longest item.
+"""Benchmark decontamination by SimHash windows under a multi-index, in DataFrame
+functions only.
+
+Words are runs of letters and digits, lower-cased.  A window has as many words as
+a benchmark item and may begin at every word of a text; it gets a 64-bit SimHash
+over its two-word grams (each occurrence counts), and so does every item.
+
+1. *Windows.*  A window of similarity ``THRESHOLD`` to an item of its length shares
+   at least ``THRESHOLD * (a + b) / (1 + THRESHOLD)`` of its ``a`` shingles with it
+   (``b``: the item's).  Every position of every text is looked up among the
+   shingles of all items of a length, and every window with so many positions found
+   is laid, whatever its start.  The others cannot be similar to any item: nothing
+   is sampled or stepped over.
+2. *Multi-index.*  The fingerprints of all windows laid (equal ones once) are looked
+   up among those of all items of the length: 64 bits are cut into ``BLOCKS`` blocks
+   of 16, and two fingerprints within ``RADIUS`` bits have a block in which they
+   differ by at most ``RADIUS // BLOCKS``.  Both sides list the values near their own
+   in each block (items within two bits, windows within one), so that all such pairs
+   meet in an equi-join.
+3. *Verdict.*  Pairs within the radius are verified exactly: weighted (multiset)
+   Jaccard similarity of shingles of ``SHINGLE`` words, ``THRESHOLD`` or more.
+
+At similarity 0.8 the grams of window and item agree in at least 0.92 (a cut edge;
+an edit inside costs more shingles and so agrees more): 8.2 bits on average,
+deviation 2.7, so the radius of 15 keeps over 99 of 100 of the worst pairs.
+
+Texts are scanned once for the shingles, and once more for the words of texts with
+windows.  The shingles of the items are broadcast up to ``PART_CHARS`` characters of
+item texts; beyond that they are joined by a shuffle.
 
 Defined cases: null or empty texts match nothing; an item shorter than a shingle
 is one shingle, so that its words must occur as they are; items without words
 match nothing; a text shorter than an item is one window; repeated rows and items
 each count; a null id keeps its row; other columns are ignored (``clean`` passes
 them on, clashing names included); empty tables give an empty result.
+
+:func:`search` does the same over a list of texts in one process, fingerprinting
+every window by running bit counts; tests hold the two against each other.
 """
 
 from __future__ import annotations
@@ -38,30 +44,30 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from rivulet.llm.util import by_value, free, stage
+from rivulet.llm.host_quality import let
+from rivulet.llm.util import free, stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
 RADIUS = 15
 BLOCKS = 4
-#: Characters of distinct item texts broadcast at a time.
+#: Characters of distinct item texts whose shingles are broadcast.
 PART_CHARS = 32_000_000
-#: Windows of so many words are looked up at every second place, and both
-#: neighbours of a near one are verified: shifted by a word, one gram changes.
-PAIRED = 24
-#: Block tables that a task keeps.
+#: Windows whose places in the texts are broadcast.
+FEW_WINDOWS = 500_000
+#: Block tables that a search keeps.
 TABLE_BYTES = 96_000_000
 #: Words in a chunk, and windows whose bit counts are taken at a time.
 CHUNK, STEP = 65_536, 8_192
 #: Characters whose words are cut at a time.
 SLICE = 200_000
-#: Distinct words whose hashes a task remembers.
+#: Distinct words whose hashes a search remembers.
 MEMORY = 1_000_000
 
 _WORD = re.compile(r"[^\W_]+")
@@ -246,13 +252,8 @@ def search(index: Index, rows: Iterable[str | None], threshold: float) -> dict[t
             fps, tables = index.tables(g)
             for first in range(0, len(words) - size + 1, STEP):
                 last = min(first + STEP, len(words) - size + 1)
-                step = 2 if size >= PAIRED else 1
-                at, js = near(tables, fps, counts.windows(first, last, size, step), index.radius)
-                if step == 2 and len(at):  # with the windows on both sides
-                    at, js = np.unravel_index(np.unique((np.maximum(first + 2 * at + [[-1], [0], [1]], 0) * 64 + js).ravel()),
-                                              (len(words) + 1, 64))
-                else:
-                    at = at + first
+                at, js = near(tables, fps, counts.windows(first, last, size), index.radius)
+                at = at + first
                 own = np.searchsorted(begins, at, "right") - 1
                 inside = at + size <= ends[own]  # the others run over into another text
                 for a, i, j in zip(at[inside].tolist(), own[inside].tolist(), js[inside].tolist()):
@@ -267,45 +268,142 @@ def search(index: Index, rows: Iterable[str | None], threshold: float) -> dict[t
     return best
 
 
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+
+
+def _gram(w: Column, p: Column, size: int) -> Column:
+    """Hash of ``size`` words from the one numbered ``p``."""
+    return F.xxhash64(*[F.get(w, p + j) for j in range(size)])
+
+
+def _simhash(w: Column) -> Column:
+    """64-bit SimHash of a word array over its two-word grams (of the word, if
+    it is a single one)."""
+    grams = F.when(F.size(w) == 1, F.array(F.xxhash64(F.get(w, F.lit(0))))).otherwise(
+        F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 2, F.lit(0))), lambda p: _gram(w, p, 2)))
+
+    def bits(h: Column) -> Column:
+        def one(b: Column) -> Column:
+            n = F.aggregate(h, F.lit(0), lambda s, x: s + F.getbit(x, b).cast("int"))
+            return F.when(2 * n > F.size(h), F.call_function("shiftleft", F.lit(1).cast("bigint"), b)).otherwise(
+                F.lit(0).cast("bigint"))
+        return F.aggregate(F.transform(F.sequence(F.lit(0), F.lit(63)), one), F.lit(0).cast("bigint"),
+                           lambda s, x: s.bitwiseOR(x))
+
+    return let(grams, bits)
+
+
+def _shingles(w: Column, size: Column) -> Column:
+    """Shingles of a word array, each with the number of its occurrence."""
+    plain = F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda p: F.array_join(F.slice(w, p + 1, size), " "))
+
+    def numbered(s: Column) -> Column:
+        nth = F.transform(s, lambda x, j: F.concat_ws(" ", x, F.size(F.filter(F.slice(s, 1, j), lambda y: y == x))
+                                                      .cast("string")))
+        return F.when(F.size(F.array_distinct(s)) == F.size(s), F.transform(s, lambda x: F.concat(x, F.lit(" 0")))) \
+            .otherwise(nth)
+
+    return let(plain, numbered)
+
+
+def _near_values(df: DataFrame, fp: str, bits: int) -> DataFrame:
+    """A row for each block ``b`` and each of its values ``v`` within ``bits``
+    bits of the fingerprint's own."""
+    width = 64 // BLOCKS
+    masks = [sum(1 << k for k in c) for n in range(bits + 1) for c in combinations(range(width), n)]
+    blocks = [F.struct(F.lit(b).alias("b"), F.shiftrightunsigned(F.col(fp), width * b).bitwiseAND(F.lit((1 << width) - 1))
+                       .cast("int").alias("own")) for b in range(BLOCKS)]
+    df = df.select("*", F.inline(F.array(*blocks)))
+    return df.select("*", F.explode(F.lit(masks)).alias("mask")).withColumn("v", F.col("own").bitwiseXOR(F.col("mask"))) \
+        .drop("own", "mask")
+
+
+def near_pairs(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
+    """``(wkey, n, ikey)`` of the fingerprints ``fp`` of ``windows`` and ``ifp``
+    of ``items`` with equal ``n`` that differ by ``radius`` bits at most."""
+    bits = radius // BLOCKS
+    left = _near_values(windows.select("wkey", "n", "fp"), "fp", bits // 2)
+    right = _near_values(items.select("ikey", "n", "ifp"), "ifp", bits - bits // 2)
+    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= radius
+    return left.join(right, ["n", "b", "v"]).where(close).select("wkey", "n", "ikey").distinct()
+
+
+def _lay(found: DataFrame, threshold: float) -> DataFrame:
+    """All windows ``(id, h, n, start, size)`` that can be similar to an item of
+    ``n`` words, from the places ``ps`` of its length's shingles (``k`` words
+    each) in a text of ``len`` words.  A window belongs to the first place in it."""
+    a = F.least("n", "len") - F.col("k") + 1
+    need = F.ceil((a + F.col("n") - F.col("k") + 1) * F.lit(threshold / (1 + threshold)) - 1e-9)
+    df = found.select("*", a.alias("a"), F.greatest(need.cast("int"), F.lit(1)).alias("need")).where("size(ps) >= need")
+    df = df.select("*", F.posexplode("ps").alias("i", "p"))
+    df = df.select("*", F.get("ps", F.col("i") - 1).alias("before"), F.get("ps", F.col("i") + F.col("need") - 1).alias("last"))
+    low = F.greatest(F.coalesce(F.col("before") + 1, F.lit(0)), F.col("last") - F.col("a") + 1, F.lit(0))
+    high = F.least(F.col("p"), F.col("len") - F.least("n", "len"))
+    df = df.where(F.col("last").isNotNull()).select("*", low.alias("low"), high.alias("high")).where("low <= high")
+    return df.select("id", "h", "n", F.explode(F.sequence("low", "high")).alias("start"), F.least("n", "len").alias("size"))
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_col: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD,
             radius: int = RADIUS, shingle: int = SHINGLE, part_chars: int = PART_CHARS) -> DataFrame:
     """``(id_col, h, item_col, start, similarity)``: the best window of every
     text and item with a similarity of ``threshold`` or more; ``h`` is the
     text's xxhash64, ``start`` the window's first word."""
-    spark = docs.sparkSession
-    items = stage(benchmark.where(F.col(item_text).isNotNull()).select(
-        F.col(item_col).alias("item"), F.col(item_text).cast("string").alias("t"),
-        F.xxhash64(F.col(item_text).cast("string")).alias("ikey")), "benchmark")
-    texts = items.groupBy("ikey").agg(F.min("t").alias("t"))
-    total = texts.agg(F.sum(F.length("t"))).first()[0] or 0
-    parts = max(1, -(-total // part_chars))
+    items = benchmark.select(F.col(item_col).alias("item"), _words(F.col(item_text).cast("string")).alias("iw"))
+    items = stage(items.where(F.size("iw") > 0).select("*", F.xxhash64("iw").alias("ikey")), "benchmark")
+    texts = items.groupBy("ikey").agg(F.first("iw").alias("iw")).withColumn("n", F.size("iw"))
+    texts = texts.withColumn("k", F.least("n", F.lit(shingle)))
+    texts = stage(texts.select("ikey", "n", "k", "iw", _simhash(F.col("iw")).alias("ifp"),
+                               _shingles(F.col("iw"), F.col("k")).alias("ish")), "benchmark-texts")
+    sizes = sorted(k for k, in texts.select("k").distinct().collect()) or [shingle]  # at most ``shingle``
+    chars = texts.agg(F.sum(F.length(F.array_join("iw", " ")))).first()[0] or 0
+
+    def held(df: DataFrame, small: bool) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    grams = reduce(DataFrame.union, [
+        texts.where(F.col("k") == k).select("n", "k", F.explode(F.transform(
+            F.sequence(F.lit(0), F.col("n") - k), lambda p: _gram(F.col("iw"), p, k))).alias("g"))
+        for k in sizes]).distinct()
+
+    # The places of every text whose shingle is one of an item, by the item's length.
     src = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("h"),
                       F.col(text_col).cast("string").alias("text"))
-    id_type = src.schema["id"].dataType.simpleString()
-
-    def part(k: int) -> DataFrame:
-        own = texts.where(F.pmod(F.col("ikey"), F.lit(parts)) == k) if parts > 1 else texts
-        sent = spark.sparkContext.broadcast([tuple(r) for r in own.select("ikey", "t").collect()])
-
-        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(sent.value, shingle, radius)
-            for b in batches:
-                best = search(index, (t.as_py() for t in b.column(2)), threshold) if index.groups else {}
-                at = pa.array([row for row, _ in best], pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(at), b.column(1).take(at), pa.array([key for _, key in best], pa.int64()),
-                     pa.array([-s for _, s in best.values()], pa.int64()),
-                     pa.array([v for v, _ in best.values()], pa.float64())],
-                    names=["id", "h", "ikey", "start", "similarity"])
-
-        return src.mapInArrow(find, f"id {id_type}, h bigint, ikey bigint, start bigint, similarity double")
-
-    found = reduce(DataFrame.union, [part(k) for k in range(parts)])
-    # found in one scan and written, so that nothing is searched twice
-    found = stage(found, "windows").join(items.select("item", "ikey"), "ikey")
+    src = src.where(F.col("text").isNotNull())
+    w = F.col("w")
+    at = src.select("id", "h", _words(F.col("text")).alias("w"))
+    at = at.select("id", "h", "w", F.posexplode(F.slice(w, 1, F.greatest(F.size(w) - (sizes[0] - 1), F.lit(0)))).alias("p", "x"))
+    if len(sizes) == 1:
+        at = at.select("id", "h", F.size(w).alias("len"), "p", _gram(w, F.col("p"), sizes[0]).alias("g"))
+    else:
+        at = at.select("id", "h", F.size(w).alias("len"), "p", F.explode(F.array(*[
+            F.when(F.col("p") + k <= F.size(w), _gram(w, F.col("p"), k)) for k in sizes])).alias("g"))
+    found = at.join(held(grams, chars <= part_chars), "g").groupBy("id", "h", "n", "k").agg(
+        F.sort_array(F.collect_set("p")).alias("ps"), F.max("len").alias("len"))
+    laid = stage(_lay(found, threshold), "windows")
+
+    # Their words, by a second scan of the texts that have windows.
+    places = laid.groupBy("id", "h").agg(F.collect_list(F.struct("n", "start", "size")).alias("at")) \
+        .select(F.col("id").alias("id2"), F.col("h").alias("h2"), "at")
+    own = src.join(held(places, laid.count() <= FEW_WINDOWS), (F.col("h") == F.col("h2")) & F.col("id").eqNullSafe(F.col("id2")))
+    own = own.select("id", "h", "at", _words(F.col("text")).alias("w"))
+    own = own.select("id", "h", "w", F.inline("at"))
+    own = own.select("id", "h", "n", "start", F.slice(w, F.col("start") + 1, F.col("size")).alias("win"))
+    own = stage(own.withColumn("wkey", F.xxhash64("win")), "window-words")
+    wins = own.groupBy("wkey", "n").agg(F.first("win").alias("win"))
+    wins = stage(wins.withColumn("fp", _simhash(F.col("win"))), "fingerprints")
+
+    pairs = stage(near_pairs(wins, texts, radius), "near")
+    both = F.size(F.array_intersect("wsh", "ish"))
+    similar = pairs.join(wins.select("wkey", "n", "win"), ["wkey", "n"]).join(texts.select("ikey", "k", "ish"), "ikey")
+    similar = similar.withColumn("wsh", _shingles(F.col("win"), F.col("k"))).select(
+        "wkey", "n", "ikey", (both / (F.size("wsh") + F.size("ish") - both)).alias("similarity"))
+    similar = stage(similar.where(F.col("similarity") >= threshold), "similar")
+
+    out = own.select("id", "h", "n", "start", "wkey").join(similar, ["wkey", "n"]).join(items.select("item", "ikey"), "ikey")
     top = F.max(F.struct("similarity", (-F.col("start")).alias("s"))).alias("best")
-    return found.groupBy("id", "h", "item").agg(top).select(
+    return out.groupBy("id", "h", "item").agg(top).select(
         F.col("id").alias(id_col), "h", F.col("item").alias(item_col), (-F.col("best.s")).alias("start"),
         F.col("best.similarity").alias("similarity"))
 
@@ -316,6 +414,3 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     bad = stage(matches(docs, benchmark, id_col, text_col, **kw)
                 .select(F.col(id_col).alias(one), F.col("h").alias(two)).distinct(), "contaminated")
     return docs.join(bad, docs[id_col].eqNullSafe(bad[one]) & (F.xxhash64(docs[text_col]) == bad[two]), "left_anti")
-
-
-by_value(__name__)
