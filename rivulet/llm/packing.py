@@ -35,10 +35,11 @@ from __future__ import annotations
 import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rivulet.llm.bpe import _words
@@ -51,6 +52,11 @@ UPDATES = 150
 #: Characters encoded at a time, and distinct pre-tokens whose ids a task keeps.
 CHUNK_CHARS = 4_000_000
 KNOWN = 500_000
+#: Distinct pre-tokens that the library gets in one string, and pre-tokens whose ids are put in place at a time.
+LINE = 200
+PIECE_WORDS = 50_000
+#: Tokens of documents that are cut at a time.
+CUT_TOKENS = 1_000_000
 
 #: A plan: for ranks ``[start, stop)`` of a length, the first sequence, the
 #: offset there, the tokens taken, and the length (0: none) and first rank of
@@ -179,35 +185,48 @@ class Places:
 
     def __init__(self, rows: np.ndarray):
         rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-        self.first = np.searchsorted(rows[:, 0], np.arange(rows[-1, 0] + 2 if len(rows) else 1))
-        self.start = rows[:, 1]
-        self.stop = rows[:, 2]
-        self.rest = rows[:, [3, 4, 5, 6, 7]]
-
-    def pieces(self, length: int, rank: int) -> Iterator[tuple[int, int, int]]:
-        """``(sequence, offset, tokens)`` of a remainder, in the order of its
-        tokens."""
-        while length:
-            lo, hi = self.first[length], self.first[length + 1]
-            i = lo + int(np.searchsorted(self.start[lo:hi], rank, "right")) - 1
-            if i < lo or rank >= self.stop[i]:
+        self.length, self.start, self.stop = rows[:, 0], rows[:, 1], rows[:, 2]
+        self.rest = rows[:, 3:]
+        self.span = int(self.stop.max(initial=0)) + 1
+        self.key = self.length * self.span + self.start
+
+    def pieces(self, length: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Remainder (its number here), sequence, offset and tokens of each
+        piece of these remainders; those of one in the order of its tokens."""
+        out = [(np.zeros(0, np.int64),) * 4]
+        own = np.flatnonzero(length)
+        length, rank = length[own], rank[own]
+        while len(own):
+            i = np.searchsorted(self.key, length * self.span + rank, "right") - 1
+            if (i < 0).any() or (self.length[i] != length).any() or (rank >= self.stop[i]).any():
                 raise RuntimeError("a document is not in the plan: the stored ids changed between two reads")
-            nth = rank - int(self.start[i])
-            sequence, offset, take, length, rank = self.rest[i].tolist()
-            yield sequence + nth, offset, take
-            rank += nth
+            nth = rank - self.start[i]
+            sequence, offset, take, rest, rest_start = self.rest[i].T
+            out.append((own, sequence + nth, offset, take))
+            more = rest > 0
+            own, length, rank = own[more], rest[more], (rest_start + nth)[more]
+        return tuple(map(np.concatenate, zip(*out)))
 
 
 class Coder:
     """Ids of texts by the tokenizers library: each distinct pre-token of a
-    chunk is encoded once, and the last ``KNOWN`` ones are kept.  A text with a
-    code point that this Python's Unicode tables do not have (which may be cut
-    otherwise by the library's) is encoded whole."""
+    chunk is encoded once, and the last ``KNOWN`` ones are kept.  The library
+    gets ``LINE`` of them in one string, where its own pattern cuts them off from
+    each other; the bytes of the tokens tell whose they are, and should they not
+    fit, the pre-tokens are encoded one by one.  A text with a code point that
+    this Python's Unicode tables do not have (which may be cut otherwise by the
+    library's) is encoded whole."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        cut = self.tok.pre_tokenizer
+        self.joins = isinstance(cut, pre_tokenizers.ByteLevel) and cut.use_regex and not cut.add_prefix_space \
+            and self.tok.normalizer is None
+        vocab = self.tok.get_vocab()
+        self.wide = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each token: a character stands for one
+        self.wide[np.fromiter(vocab.values(), np.int64, len(vocab))] = np.fromiter(map(len, vocab), np.int64, len(vocab))
         self._forget()
 
     def _forget(self) -> None:
@@ -215,16 +234,61 @@ class Coder:
         self.begin = self.size = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _places(self, words: pa.Array) -> np.ndarray:
+        """Where ``begin`` and ``size`` have the words, new ones learnt."""
         if len(self.known) > KNOWN:  # a chunk's words may go beyond it
             self._forget()
-        new = [w for w in words if w not in self.known]
-        coded = self._batch([w.decode() for w in new])
+        at = np.fromiter(map(self.known.get, _list(words), repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        fresh = words.take(pa.array(new))
+        alone = np.ones(len(new), bool)
+        for end, fit in self._joinable(fresh):
+            part = np.flatnonzero(fit)
+            if len(part) and self._learn_lines(fresh.take(pa.array(part)), end):
+                alone[part] = False
+                at[new[part]] = np.arange(len(self.begin) - len(part), len(self.begin))
+        part = np.flatnonzero(alone)
+        own = _list(fresh.take(pa.array(part)))
+        coded = self._batch([w.decode() for w in own])
         size = np.fromiter(map(len, coded), np.int64, len(coded))
-        self.begin = np.append(self.begin, len(self.ids) + np.cumsum(size) - size)
+        self._add(own, np.fromiter(chain.from_iterable(coded), np.uint32, int(size.sum())), np.cumsum(size) - size, size)
+        at[new[part]] = np.arange(len(self.begin) - len(part), len(self.begin))
+        return at
+
+    def _joinable(self, words: pa.Array) -> list[tuple[bytes, np.ndarray]]:
+        """Words that the library cuts off from each other if these bytes come
+        after each: a space and a plain character (after anything), or a plain
+        character (after a line break)."""
+        if not self.joins or not len(words):
+            return []
+        begin, data = _buffers(words)
+        first, second = data[begin[:-1]], data[np.minimum(begin[:-1] + 1, len(data) - 1)]
+
+        def plain(x: np.ndarray) -> np.ndarray:  # no white space: ASCII, and two bytes from U+00C0 on
+            return (x > 0x20) & (x < 0x7F) | (x >= 0xC3) & (x < 0xE0)
+        return [(b"", (first == 0x20) & (np.diff(begin) > 1) & plain(second)), (b"\n", plain(first))]
+
+    def _learn_lines(self, words: pa.Array, end: bytes) -> bool:
+        """Words encoded ``LINE`` at a time, each with ``end`` after it; false,
+        and nothing learnt, if a token is not of one word alone."""
+        joined = pc.binary_join_element_wise(words, pa.scalar(b"", words.type), pa.scalar(end, words.type)) if end else words
+        begin, data = _buffers(joined)
+        text = data.tobytes()
+        cuts = begin[[*range(0, len(words), LINE), len(words)]].tolist()
+        ids = np.concatenate([np.array(x, np.uint32) for x in self._batch([text[a:b].decode() for a, b in zip(cuts, cuts[1:])])])
+        edge = np.concatenate([[0], np.cumsum(self.wide[ids])])
+        stop = begin[1:] - len(end)
+        a, b = np.searchsorted(edge, begin[:-1]), np.searchsorted(edge, stop)
+        if edge[-1] != begin[-1] or (edge[a] != begin[:-1]).any() or (edge[b] != stop).any():
+            return False
+        self._add(_list(words), ids, a, b - a)
+        return True
+
+    def _add(self, words: list[bytes], ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        self.known.update(zip(words, range(len(self.begin), len(self.begin) + len(words))))
+        self.begin = np.append(self.begin, len(self.ids) + begin)
         self.size = np.append(self.size, size)
-        self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(coded), np.uint32, int(size.sum())))
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.ids = np.append(self.ids, ids)
 
     def _batch(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -234,20 +298,38 @@ class Coder:
         whole = {k: np.array(x, np.uint32) for k, x in zip(odd, self._batch([texts[k] for k in odd]))}
         rows = [(k, "" if k in whole else t) for k, t in enumerate(texts)]
         words, ranks, counts = _words(rows)
-        words = words.to_pylist()
-        self._learn(words)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        begin, size, flat = self.begin[at], self.size[at], self.ids
-        out, bound = [], np.concatenate([[0], np.cumsum(counts)])
-        for k in range(len(texts)):
-            r = ranks[bound[k]:bound[k + 1]]
+        at = self._places(words)
+        begin, size = self.begin[at], self.size[at]
+        out: list[np.ndarray] = []
+        bound = np.concatenate([[0], np.cumsum(counts)])
+        while len(out) < len(texts):  # texts of about PIECE_WORDS together
+            doc = len(out)
+            stop = max(doc + 1, int(np.searchsorted(bound, bound[doc] + PIECE_WORDS, "right")) - 1)
+            r = ranks[bound[doc]:bound[stop]]
             n = size[r]
-            end = np.cumsum(n)
-            total = int(end[-1]) if len(end) else 0
-            out.append(whole[k] if k in whole else flat[np.repeat(begin[r] - end + n, n) + np.arange(total)])
+            end = np.concatenate([[0], np.cumsum(n)])
+            ids = self.ids[np.repeat(begin[r] - end[:-1], n) + np.arange(end[-1])]
+            edge = end[bound[doc:stop + 1] - bound[doc]].tolist()
+            out += [ids[a:b] for a, b in zip(edge, edge[1:])]
+        for k, x in whole.items():
+            out[k] = x
         return out
 
 
+def _buffers(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins (and the last ends), and the bytes of all."""
+    if not len(words):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    begin = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    return begin - begin[0], np.frombuffer(words.buffers()[2], np.uint8)[begin[0]:begin[-1]]
+
+
+def _list(words: pa.Array) -> list[bytes]:
+    begin, data = _buffers(words)
+    text, begin = data.tobytes(), begin.tolist()
+    return [text[a:b] for a, b in zip(begin, begin[1:])]
+
+
 def _unassigned(texts: list[str]) -> list[int]:
     """Texts with a code point that is not assigned here."""
     table = np.zeros(sys.maxunicode + 1, bool)
@@ -264,13 +346,13 @@ def _tokens(path: str, window: int, end_id: int, kind: str, id_kind: pa.DataType
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from pyspark import TaskContext
-        coder = Coder(path)
+        coder, end = Coder(path), np.array([end_id], kind).tobytes()
         part, seen, full = TaskContext.get().partitionId(), [0] * window, 0
         for rows in row_chunks(batches, CHUNK_CHARS):
             ids, size, nth, before = [], [], [], []
             for x in coder([t for _, t in rows]):
                 n = len(x) + 1
-                ids.append(np.append(x, end_id).astype(kind).tobytes())
+                ids.append(x.astype(kind).tobytes() + end)
                 size.append(n)
                 nth.append(seen[n % window])
                 before.append(full)
@@ -287,28 +369,38 @@ def _tokens(path: str, window: int, end_id: int, kind: str, id_kind: pa.DataType
 def _cut(shared, window: int, first: int, kind: str, id_kind: pa.DataType):
     """The pieces of every document; ``first``: the sequences of whole
     windows."""
+    names = ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+
+    def pieces(b: pa.RecordBatch) -> pa.RecordBatch:
+        size, rest, rank, whole = (b.column(k).to_numpy().astype(np.int64) for k in range(2, 6))
+        own, sequence, offset, take = shared.value.pieces(rest, rank)
+        full = size // window
+        doc = np.repeat(np.arange(b.num_rows), full)
+        nth = np.arange(len(doc)) - (np.cumsum(full) - full)[doc]
+        order = np.argsort(np.concatenate([doc, own]), kind="stable")  # by document, whole windows first
+        sequence = np.concatenate([whole[doc] + nth, first + sequence])[order]
+        offset = np.concatenate([np.zeros_like(doc), offset])[order]
+        take = np.concatenate([np.full_like(doc, window), take])[order]
+        doc = np.concatenate([doc, own])[order]
+        end = np.cumsum(take)  # the pieces of a document are its ids in order
+        x = np.frombuffer(b"".join(b.column(1).to_pylist()), kind).astype("<u4")
+        if end[-1] != len(x):
+            raise RuntimeError("a document is not in the plan: the stored ids changed between two reads")
+        ids = pa.Array.from_buffers(pa.binary(), len(doc), [
+            None, pa.py_buffer(np.concatenate([[0], 4 * end]).astype(np.int32)), pa.py_buffer(x)])
+        start = end - take - (np.cumsum(size) - size)[doc]
+        return pa.RecordBatch.from_arrays(
+            [b.column(0).take(pa.array(doc)).cast(id_kind), *map(pa.array, (start, take)), ids,
+             *map(pa.array, (size[doc], sequence, offset))], names)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = shared.value
-        names = ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-        kinds = [id_kind, pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-        out, held = [], 0
         for b in batches:
-            for i in range(b.num_rows):
-                doc, ids, size, rest, rank, whole = (b.column(k)[i].as_py() for k in range(6))
-                x = np.frombuffer(ids, kind).astype("<u4")
-                at = 0
-                for w in range(size // window):
-                    out.append((doc, at, window, x[at:at + window].tobytes(), size, whole + w, 0))
-                    at += window
-                for sequence, offset, take in places.pieces(rest, rank):
-                    out.append((doc, at, take, x[at:at + take].tobytes(), size, first + sequence, offset))
-                    at += take
-                held += size
-                if held > 1_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
-                    out, held = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+            bound = np.concatenate([[0], np.cumsum(b.column(2).to_numpy())])
+            doc = 0
+            while doc < b.num_rows:  # documents of about CUT_TOKENS together
+                stop = max(doc + 1, int(np.searchsorted(bound, bound[doc] + CUT_TOKENS, "right")) - 1)
+                yield pieces(b.slice(doc, stop - doc))
+                doc = stop
     return run
 
 

@@ -92,6 +92,46 @@ def test_words_are_encoded_as_in_their_text():
         assert [x.tolist() for x in coder(part)] == [enc(t)[:-1] for t in part]
 
 
+def test_words_reach_the_library_in_lines(monkeypatch):
+    """Distinct pre-tokens are encoded many at a time, with the ids that each
+    has alone; should a line's tokens not fit them, one by one."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdeéß'17.") for _ in range(rng.randint(3, 9)))
+    texts = ["".join(rng.choice(["", " ", " ", "  ", "\n", "\t", "\u2003", "\x85"]) + word() for _ in range(200)) for _ in range(40)]
+    enc = library()
+    want = [enc(t)[:-1] for t in texts]
+    coder, given = packing.Coder(PATH), []
+    plain = coder._batch
+    monkeypatch.setattr(coder, "_batch", lambda part: given.extend(part) or plain(part))
+    assert [x.tolist() for x in coder(texts)] == want
+    assert len(coder.known) > 2000 and len(given) < len(coder.known) / 20
+    assert [x.tolist() for x in coder(texts[::-1])] == want[::-1]
+    for spoil in (lambda c: c.wide.fill(1), lambda c: setattr(c, "joins", False)):
+        coder = packing.Coder(PATH)
+        spoil(coder)
+        assert [x.tolist() for x in coder(texts)] == want
+
+
+def test_places_of_many_remainders_at_once():
+    """Pieces of a batch's remainders against the plan read row by row."""
+    rng = np.random.default_rng(3)
+    h = rng.integers(0, 60, 64) * (rng.random(64) < 0.4)
+    rows, _ = packing.plan(h, 64)
+    assert (rows[:, 6] > 0).any()
+    length, rank = np.concatenate([[(n, k) for n, c in enumerate(h.tolist()) if n for k in range(c)], [(0, 5)]]).T
+    want = []
+    for i, (n, k) in enumerate(zip(length.tolist(), rank.tolist())):
+        while n:
+            _, start, _, sequence, offset, take, rest, rest_start = next(
+                r for r in rows.tolist() if r[0] == n and r[1] <= k < r[2])
+            want.append((i, sequence + k - start, offset, take))
+            n, k = rest, rest_start + k - start
+    got = list(zip(*(x.tolist() for x in packing.Places(rows).pieces(length, rank))))
+    assert sorted(got, key=lambda p: p[0]) == want
+    with pytest.raises(RuntimeError):
+        packing.Places(rows).pieces(np.array([1]), np.array([10 ** 6]))
+
+
 def test_repeated_rows_and_null_ids(spark):
     rows = [(1, "the same text"), (1, "the same text"), (None, None), (None, "b c"), (2, None)]
     df = spark.createDataFrame(rows, "doc_id int, text string")
