@@ -1,9 +1,12 @@
 """Every stage of the corpus pipeline against its brute-force version."""
 
 import hashlib
+import random
+from collections import Counter
 
 import numpy as np
 
+from rivulet.llm import decontaminate as D
 from tests.llm import test_bpe, test_decontaminate, test_host_quality, test_pii, test_simhash
 
 COLS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -69,3 +72,30 @@ def test_empty_table(spark, tmp_path):
     df.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert P.run(spark, str(tmp_path)).collect() == []
+
+
+def test_decontamination_looks_every_start_up(spark, tmp_path):
+    """Passages that are near a benchmark item at one start alone, by the
+    fingerprints of ``search``, at even and odd starts: stage decontaminate
+    drops all rows that brute force over all windows does, and no others."""
+    import corpus_pipeline as P
+    rng = random.Random(12)
+    vocab = [f"t{i}" for i in range(3000)]
+    items, rows, parity = [], [], Counter()
+    for _ in range(20_000):
+        item = [rng.choice(vocab) for _ in range(24)]
+        noise, cut = [rng.choice(vocab) for _ in range(60)], rng.choice([20, 21])
+        w = noise[:cut] + item[:-2] + ["edited", "here"] + noise[cut:]
+        left, mid, right = ((D.fingerprint(item) ^ D.fingerprint(w[s:s + 24])).bit_count() for s in (cut - 1, cut, cut + 1))
+        if mid <= D.RADIUS < min(left, right) and parity[cut] < 10:
+            items.append((len(items), " ".join(item)))
+            rows.append((len(rows), " ".join(w)))
+            parity[cut] += 1
+    assert min(parity[20], parity[21]) >= 5
+    rows += [(1000 + k, " ".join(rng.choice(vocab) for _ in range(140))) for k in range(20)]
+    spark.createDataFrame(items, "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bad = {i for i, _ in test_decontaminate.brute(rows, items)}
+    assert len(bad) == len(items)
+    out = P.decontaminated(spark, docs, str(tmp_path))
+    assert {r.doc_id for r in out.collect()} == {i for i, _ in rows} - bad
