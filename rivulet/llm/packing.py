@@ -366,7 +366,7 @@ def _tokens(path: str, window: int, end_id: int, kind: str, id_kind: pa.DataType
     return run
 
 
-def _cut(shared, window: int, first: int, kind: str, id_kind: pa.DataType):
+def _cut(shared, window: int, first: int, kind: str):
     """The pieces of every document; ``first``: the sequences of whole
     windows."""
     names = ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
@@ -390,7 +390,7 @@ def _cut(shared, window: int, first: int, kind: str, id_kind: pa.DataType):
             None, pa.py_buffer(np.concatenate([[0], 4 * end]).astype(np.int32)), pa.py_buffer(x)])
         start = end - take - (np.cumsum(size) - size)[doc]
         return pa.RecordBatch.from_arrays(
-            [b.column(0).take(pa.array(doc)).cast(id_kind), *map(pa.array, (start, take)), ids,
+            [b.column(0).take(pa.array(doc)), *map(pa.array, (start, take)), ids,
              *map(pa.array, (size[doc], sequence, offset))], names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -445,7 +445,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int =
             .join(bases.where("rest < 0").select("part", F.col("base").alias("whole")), "part"))
     placed = coded.join(base, ["part", "rest"]).select(
         "id", "ids", "size", "rest", (F.col("base") + F.col("nth")).alias("rank"), (F.col("whole") + F.col("before")).alias("whole"))
-    out = placed.mapInArrow(_cut(shared, window, whole, kind, id_kind),
+    out = placed.mapInArrow(_cut(shared, window, whole, kind),
                             f"id {id_type.simpleString()}, start bigint, length bigint, ids binary, doc_tokens bigint, "
                             "sequence_id bigint, offset bigint")
     return out.withColumnRenamed("id", id_col)

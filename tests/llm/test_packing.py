@@ -142,6 +142,18 @@ def test_repeated_rows_and_null_ids(spark):
     assert packing.pack(df.where("doc_id > 5"), PATH).collect() == []
 
 
+def test_ids_of_other_types_in_small_cuts(spark, monkeypatch):
+    monkeypatch.setattr(packing, "CUT_TOKENS", 50)
+    enc = library()
+    rows = [(k, f"word {k} " * (k * 7 % 40)) for k in range(30)] + [(None, "no id")]
+    for kind, ids in (("string", [None if k is None else f"d{k}" for k, _ in rows]),
+                      ("struct<a:bigint,b:string>", [None if k is None else (k, "b") for k, _ in rows])):
+        docs = [(i, t) for i, (_, t) in zip(ids, rows)]
+        out = packing.pack(spark.createDataFrame(docs, f"doc_id {kind}, text string"), PATH, window=32)
+        assert dict(out.dtypes)["doc_id"] == kind
+        check([tuple(r) for r in out.collect()], [(i, tuple(enc(t))) for i, t in docs], 32)
+
+
 @pytest.mark.parametrize("histogram", ["even", "one length", "short", "hot", "none"])
 def test_plan_places_every_rank_once(histogram):
     window = 128
